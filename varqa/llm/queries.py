@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontam import leaks
 from .simhash import simhash_components
 
 
@@ -12,5 +13,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), radius=4, width=4, seed=42)
 
 
-QUERIES = {"op8_simhash": op8_simhash}
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = {"op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 ORACLE: dict[str, str] = {}
