@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontam import leaks
 from .simhash import simhash_components
+from .toxicity import score_toxicity, train_toxicity
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,5 +18,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {"op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 ORACLE: dict[str, str] = {}
