@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import leaks
+from .mixing import mix_copies
 from .simhash import simhash_components
 from .toxicity import score_toxicity, train_toxicity
 
@@ -23,5 +24,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(docs, train_toxicity(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {"op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mix_copies(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+QUERIES = {"op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 ORACLE: dict[str, str] = {}
