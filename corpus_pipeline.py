@@ -1,7 +1,56 @@
-"""The training-corpus pipeline."""
-STAGES = []
+"""The training-corpus pipeline: each stage works on all that the one before it kept."""
+
+from __future__ import annotations
+
+import uuid
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from varqa.llm.common import shared_dir, table
+from varqa.llm.decontam import decontaminate
+from varqa.llm.mixing import mix
+from varqa.llm.simhash import near_dedup
+from varqa.llm.tokens import token_table
+from varqa.llm.toxicity import reject_toxic, train_toxicity
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labelled rows outside the held-out fold, doesn't find toxic."""
+    return reject_toxic(docs, train_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that of the smallest doc_id, of each group linked by fingerprints at most 4 bits apart."""
+    return near_dedup(docs, radius=4, width=4, seed=42)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix of sources takes it."""
+    return mix(docs, weights=(5, 2, 1), share=1.5, most=2.0)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids written as ORC and read back: doc_id, start, n_tokens, ids_crc32."""
+    return token_table(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+STAGES = [("toxicity", toxicity), ("near duplicates", near_duplicates), ("decontamination", decontamination), ("mixing", mixing), ("tokens", tokens)]
+
+#: SQL expresses neither the classifier nor the tokenizer: tests compare each stage with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents, each written as Parquet in the shared folder and read again."""
+    docs = table(spark, sf_dir, "documents")
+    base = f"{shared_dir(spark).rstrip('/')}/varqa/pipeline-{uuid.uuid4().hex}"
+    for i, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{base}/{i}")
+        docs = spark.read.parquet(f"{base}/{i}")
+    return docs

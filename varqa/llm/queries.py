@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontam import leaks
 from .mixing import mix_copies
 from .simhash import simhash_components
+from .tokens import token_table
 from .toxicity import score_toxicity, train_toxicity
 
 
@@ -29,5 +31,9 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
+QUERIES = {"op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 ORACLE: dict[str, str] = {}
