@@ -9,6 +9,7 @@ from .common import table
 from .decontam import leaks
 from .mixing import mix_copies
 from .simhash import simhash_components
+from .substrings import remove_repeats
 from .tokens import token_table
 from .toxicity import score_toxicity, train_toxicity
 
@@ -35,5 +36,9 @@ def op6_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_table(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
-QUERIES = {"op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=13)
+
+
+QUERIES = {"op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 ORACLE: dict[str, str] = {}
