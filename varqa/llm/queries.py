@@ -12,6 +12,7 @@ from .language import learn_profiles, predict_language
 from .mixing import mix_copies
 from .simhash import simhash_components
 from .substrings import remove_repeats
+from .tiff import media_digests, texts_to_media
 from .tokens import token_table
 from .toxicity import score_toxicity, train_toxicity
 
@@ -55,7 +56,11 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(formatted).drop("n_tokens", "n_loss_tokens")
 
 
-QUERIES = {"op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op4_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media_digests(texts_to_media(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {"op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 _ESCAPED = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<s>', '<\\s>'), '</s>', '<\\/s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
 
 ORACLE: dict[str, str] = {
