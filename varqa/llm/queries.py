@@ -10,6 +10,7 @@ from .common import table
 from .decontam import leaks
 from .language import learn_profiles, predict_language
 from .mixing import mix_copies
+from .pii import detect_pii
 from .simhash import simhash_components
 from .substrings import remove_repeats
 from .tiff import media_digests, texts_to_media
@@ -60,7 +61,11 @@ def op4_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media_digests(texts_to_media(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {"op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detect_pii(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 _ESCAPED = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<s>', '<\\s>'), '</s>', '<\\/s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
 
 ORACLE: dict[str, str] = {
