@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 FLAGSHIP = "join01_source_matching"
-MODULES: tuple[str, ...] = ()
+MODULES: tuple[str, ...] = ("scalars", "matching", "relational")
 
 
 def _gather(name: str) -> dict:
