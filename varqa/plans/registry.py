@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 FLAGSHIP = "join01_source_matching"
-MODULES: tuple[str, ...] = ("scalars", "matching", "relational", "graph", "vectors", "evaluation")
+MODULES: tuple[str, ...] = ("scalars", "matching", "relational", "graph", "vectors", "evaluation", "records", "events")
 
 
 def _gather(name: str) -> dict:
