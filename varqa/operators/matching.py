@@ -37,13 +37,13 @@ def short_text_leaks(texts: DataFrame, key: str, protected: DataFrame, protected
     their parts; containment is then confirmed on the strings.
     """
     short = protected.select(protected_key, T.words(F.col("text")).alias("w")).where((F.size("w") < n) & (F.size("w") > 0))
-    short = short.select(protected_key, F.array_join("w", " ").alias("needle"), F.size("w").alias("k"), F.element_at("w", 2).alias("second"))
+    short = short.select(protected_key, F.array_join("w", " ").alias("needle"), F.size("w").alias("_k"), F.element_at(F.when(F.size("w") > 1, F.col("w")), 2).alias("second"))
     hay = texts.select(key, T.words(F.col("text")).alias("hw")).withColumn("hay", F.array_join("hw", " "))
     # From three words on, the second word stands whole in any text that holds them.
-    inner = short.where("k >= 3")
+    inner = short.where("_k >= 3")
     by_word = hay.select(key, "hay", F.explode(F.array_distinct("hw")).alias("second")).join(sized_broadcast(inner), "second")
     # One or two words can start or end inside a longer word: so few protected texts are compared one by one.
-    rest = hay.join(sized_broadcast(short.where("k < 3")), F.expr("contains(hay, needle)"))
+    rest = hay.join(sized_broadcast(short.where("_k < 3")), F.expr("contains(hay, needle)"))
     return by_word.where("contains(hay, needle)").select(key, protected_key).unionByName(rest.select(key, protected_key)).distinct()
 
 
@@ -95,10 +95,11 @@ def line_similarity(texts: DataFrame, key: str, other: DataFrame, other_key: str
 def combine_signals(roman: list[Column], urdu: list[Column], approximate: list[Column], exact_lines: Column) -> Column:
     """The match score: the best native signal; two strong scripts together a little more; approximate channels at
     most APPROXIMATE_CAP; any exact line 1. Rounded to 4 places."""
-    r, u = F.greatest(*roman), F.greatest(*urdu)
+    top = lambda c: F.greatest(*c) if len(c) > 1 else c[0]
+    r, u = top(roman), top(urdu)
     score = F.greatest(r, u)
     score = F.when((r >= 0.75) & (u >= 0.75), F.greatest(score, F.least(F.lit(1.0), (r + u) / 2 + 0.05))).otherwise(score)
-    score = F.greatest(score, F.least(F.lit(APPROXIMATE_CAP), F.greatest(*approximate)))
+    score = F.greatest(score, F.least(F.lit(APPROXIMATE_CAP), top(approximate)))
     return F.round(F.when(exact_lines > 0, 1.0).otherwise(score), 4)
 
 

@@ -226,7 +226,7 @@ def mode_blocks(lines: DataFrame, markers: dict[str, str]) -> DataFrame:
 def training_log(lines: DataFrame) -> DataFrame:
     """iter, kind, loss from log lines such as `Iter 25: Val loss 1.3` (SRC24)."""
     it, kind, loss = (F.regexp_extract("value", r"Iter (\d+):.*?(Val|Train) loss ([0-9.]+)", i) for i in (1, 2, 3))
-    return lines.select(it.cast("int").alias("iter"), F.lower(kind).alias("kind"), F.rtrim(loss, F.lit(".")).cast("double").alias("loss")).where("iter is not null")
+    return lines.select(it.try_cast("int").alias("iter"), F.lower(kind).alias("kind"), F.rtrim(loss, F.lit(".")).try_cast("double").alias("loss")).where("iter is not null")
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:

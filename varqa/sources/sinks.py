@@ -52,7 +52,7 @@ def append_numbered(old: DataFrame, new: DataFrame, prefix: str, order: Column)
     """new rows with ids that go on after the greatest one there (SNK09)."""
     from pyspark.sql import Window
 
-    top = old.agg(F.coalesce(F.max(F.regexp_extract("id", r"(\d+)$", 1).cast("long")), F.lit(0)).alias("_top"))
+    top = old.agg(F.coalesce(F.max(F.regexp_extract("id", r"(\d+)$", 1).try_cast("long")), F.lit(0)).alias("_top"))
     n = F.row_number().over(Window.orderBy(order))
     made = new.crossJoin(F.broadcast(top)).withColumn("id", F.concat(F.lit(prefix), F.lpad((F.col("_top") + n).cast("string"), 5, "0"))).drop("_top")
     return old.unionByName(made, allowMissingColumns=True)
