@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .operators import evaluation, graph, matching, projections, records, relational, vectors
 from .sources import readers, sinks
 
+# Section titles and the names they stand for.
 ALIASES = {
     "original": "original", "script notes": "script_notes", "transliteration": "transliteration", "literal gloss": "literal_gloss", "literal translation": "literal_gloss",
     "reference translation": "reference_translation", "ai translation": "ai_translation", "literary translation": "literary_translation", "tashreeh": "tashreeh",

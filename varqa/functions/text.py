@@ -31,8 +31,11 @@ THINK = r"(?s)<think>.*?</think>"
 SPECIAL_TOKENS = r"<\|(?:im_end|im_start|endoftext)\|>"
 CITATION = r"\[(kb:[^\]\s]+)\]"
 MECHANICAL_FAMILIES = ("identification", "transliteration")
+# Doubled vowels and old nasal marks with what the transliteration style writes for them.
+STYLE_PAIRS = (("aa", "ā"), ("Aa", "Ā"), ("AA", "Ā"), ("ee", "ī"), ("Ee", "Ī"), ("EE", "Ī"), ("oo", "ū"), ("Oo", "Ū"), ("OO", "Ū"), ("ṅ", "n̄"), ("ṁ", "n̄"), ("ṉ", "n̄"))
+
 #: Everything Python's splitlines() ends a line at.
-LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]"
+LINE_BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 
 
 def words(text: Column) -> Column:
@@ -171,7 +174,7 @@ def before_stop(text: Column, prefix: str = "") -> Column:
 
 def vowel_lengths(text: Column) -> Column:
     """Doubled Latin vowels as macrons and one nasal mark: the native part of the transliteration style."""
-    for source, target in (("aa", "ā"), ("Aa", "Ā"), ("AA", "Ā"), ("ee", "ī"), ("Ee", "Ī"), ("EE", "Ī"), ("oo", "ū"), ("Oo", "Ū"), ("OO", "Ū"), ("ṅ", "n̄"), ("ṁ", "n̄"), ("ṉ", "n̄")):
+    for source, target in STYLE_PAIRS:
         text = F.replace(text, F.lit(source), F.lit(target))
     return text
 

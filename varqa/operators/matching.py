@@ -11,6 +11,7 @@ from ..functions import text as T
 from ..functions.keys import latin_key_udf, similarity_udf
 from .common import ordered_list, sized_broadcast, sql_lines, sql_words, table
 
+# The length of a leak, the thresholds of coverage and the cap of approximate scores.
 LEAK_WORDS = 8
 STRONG, LOOSE, LOOSE_APPROXIMATE, APPROXIMATE_CAP = 0.80, 0.60, 0.55, 0.98
 

@@ -61,13 +61,15 @@ def numbered(parts: list[DataFrame], *order: str) -> DataFrame:
     return x.withColumn("seq", F.col("_before") + F.col("_n")).withColumn("id", F.format_string("ex_%s_%06d", "family", "seq")).drop("_part", "_n", "_before")
 
 
+# Fixed value: what an answer from uncertain records ends with.
+HEDGE_NOTE = "Note: parts of the underlying record carry uncertain readings flagged for review."
 SYSTEM = "You are a scholarly assistant. Answer from the corpus and keep its doubts."
 
 
 def build_examples(poems: DataFrame, records: DataFrame) -> DataFrame:
     """The template families over poems (id, title, original, translation, transliteration, note, uncertain) and
     knowledge-base records (kb_id, kind, text, titles): GEN02-GEN10 and the honesty family."""
-    note = "Note: parts of the underlying record carry uncertain readings flagged for review."
+    note = HEDGE_NOTE
     h = lambda c: F.when(F.trim(c) != "", T.hedged(c, F.col("uncertain"), note)).otherwise("")
     first = T.first_line(F.col("original"))
     kind = lambda k: records.where(F.col("kind") == k).withColumn("uncertain", F.lit(k == "biographical_claim"))
