@@ -16,13 +16,14 @@ Batches then remove the spans that earlier documents cover.
 from __future__ import annotations
 
 import hashlib
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, batches_for, id_array, ids, materialize, utf8_buffer
+from .common import batches_for, id_array, ids, utf8_buffer
 
 LENGTH, GRAM = 13, 6
 BATCH_BYTES = 8 << 20
@@ -114,7 +115,8 @@ class Anchored:
 
 
 def _packed(parts: list[tuple[str, np.ndarray]]) -> bytes:
-    return b"".join(np.ascontiguousarray(a, t).tobytes() for t, a in parts)
+    """Columns one after the other; document ids (i8) as byte planes, whose zeros compress."""
+    return b"".join(np.ascontiguousarray(a, t).view(np.uint8).reshape(-1, 8).T.tobytes() if t == "i8" else np.ascontiguousarray(a, t).tobytes() for t, a in parts)
 
 
 def _unpacked(data: bytes, kinds: str) -> list[np.ndarray]:
@@ -122,7 +124,10 @@ def _unpacked(data: bytes, kinds: str) -> list[np.ndarray]:
     types = [np.dtype(k) for k in kinds.split()]
     n, at, out = len(data) // sum(t.itemsize for t in types), 0, []
     for t in types:
-        out.append(np.frombuffer(data, t, n, at))
+        if t == np.int64:
+            out.append(np.frombuffer(data, np.uint8, 8 * n, at).reshape(8, n).T.copy().view(np.int64).ravel())
+        else:
+            out.append(np.frombuffer(data, t, n, at))
         at += n * t.itemsize
     return out
 
@@ -215,13 +220,13 @@ def _shared(data: list[tuple[int, bytes]]):
             yield int(batch[part[0]]), _packed([("u8", key[part])])
 
 
-def _regions(a: Anchored, ids_: np.ndarray, shared: np.ndarray, length: int):
-    """Windows with a shared anchor, one stretch for each occurrence of an anchor.
+def _regions(a: Anchored, shared: np.ndarray, length: int):
+    """Windows whose anchor is shared, one stretch for each occurrence of an anchor.
 
     Returns per stretch: document, anchor's hash, first word, number of windows, hash of all its words; windows of
     one anchor occurrence follow one another.
     """
-    hit = np.flatnonzero(np.isin(a.key, shared)) if len(shared) else np.zeros(0, np.int64)
+    hit = np.flatnonzero(shared)
     if not len(hit):
         return None
     new = np.r_[True, (a.anchor[hit][1:] != a.anchor[hit][:-1]) | (a.doc[hit][1:] != a.doc[hit][:-1]) | (hit[1:] != hit[:-1] + 1)]
@@ -238,7 +243,7 @@ def _regions(a: Anchored, ids_: np.ndarray, shared: np.ndarray, length: int):
 
 def _first_documents(data: list[tuple[int, bytes]], length: int, width: int):
     """Of (batch, packed stretches): for each batch (stretch hash, window, first document) where that is an earlier one."""
-    h = [_unpacked(d, f"u8 u8 u1 i8 i8 {width}u4") for _, d in data]
+    h = [_unpack_stretches(d, length, width) for _, d in data]
     key, full, n, low, high, words = (np.concatenate([x[i] for x in h]) for i in range(6))
     batch = np.repeat([b for b, _ in data], [len(x[0]) for x in h])
     order = np.lexsort((low, full, key))
@@ -288,11 +293,29 @@ def _table(rows: list[tuple[int, int, bytes]]) -> pa.Table:
     return pa.table({"bucket": pa.array([r[0] for r in rows], pa.int64()), "batch": pa.array([r[1] for r in rows], pa.int64()), "data": pa.array([r[2] for r in rows], pa.binary())})
 
 
-def _split(batch: int, bucket: np.ndarray, columns: list[tuple[str, np.ndarray]]) -> pa.Table:
-    """One row for each bucket with its part of the columns."""
-    order = np.argsort(bucket, kind="stable")
-    cuts = np.flatnonzero(bucket[order][1:] != bucket[order][:-1]) + 1
-    return _table([(int(bucket[p[0]]), batch, _packed([(t, a[p]) for t, a in columns])) for p in np.split(order, cuts) if len(p)])
+def _parts(values: np.ndarray) -> list[np.ndarray]:
+    """The places of each value that occurs."""
+    order = np.argsort(values, kind="stable")
+    cuts = np.flatnonzero(values[order][1:] != values[order][:-1]) + 1
+    return [p for p in np.split(order, cuts) if len(p)]
+
+
+_HEAD = "u8 u8 u1 i8 i8"
+
+
+def _pack_stretches(head: list[np.ndarray], words: np.ndarray, length: int) -> bytes:
+    """Columns (anchor, stretch, windows, least document, greatest document), then the words of all, unpadded."""
+    used = np.arange(words.shape[1])[None, :] < (head[2].astype(np.int64) + length - 1)[:, None]
+    return _packed([("i8", np.array([len(words)])), *zip(_HEAD.split(), head), ("u4", words[used])])
+
+
+def _unpack_stretches(data: bytes, length: int, width: int) -> list[np.ndarray]:
+    n = int(np.frombuffer(data, "i8", 1)[0])
+    size = 8 + n * sum(np.dtype(t).itemsize for t in _HEAD.split())
+    head = _unpacked(data[8:size], _HEAD)
+    words = np.zeros((n, width), np.uint32)
+    words[np.arange(width)[None, :] < (head[2].astype(np.int64) + length - 1)[:, None]] = np.frombuffer(data, "u4", -1, size)
+    return [*head, words]
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH_BYTES, keep_text: bool = False) -> DataFrame:
@@ -320,89 +343,79 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         last = np.r_[cut[1:], len(key)] - 1
         k = key[cut]
-        return _split(batch, (k % np.uint64(batches)).astype(np.int64), [("u8", k), ("u1", own[cut] != own[last])])
+        many = own[cut] != own[last]
+        return _table([(int(k[p[0]] % np.uint64(batches)), batch, _packed([("u8", k[p]), ("u1", many[p])])) for p in _parts(k % np.uint64(batches))])
 
     def which(part: pa.Table) -> pa.Table:
         return _table([(0, b, d) for b, d in _shared(list(zip(part.column("batch").to_pylist(), part.column("data").to_pylist())))])
 
     def stretches(part: pa.Table, reply: pa.Table) -> pa.Table:
-        batch = part.column("batch")[0].as_py() if part.num_rows else None
-        rows = []
-        if batch is None:
-            return _state(rows)
-        shared = np.unique(np.concatenate([_unpacked(d, "u8")[0] for d in reply.column("data").to_pylist()])) if reply.num_rows else np.zeros(0, np.uint64)
-        flat, offsets = utf8_buffer(part.column("text"))
+        rows: list[tuple[int, int, bytes]] = []
+        if not part.num_rows or not reply.num_rows:
+            return _table(rows)
+        batch = part.column("batch")[0].as_py()
+        shared = np.unique(np.concatenate([_unpacked(d, "u8")[0] for d in reply.column("data").to_pylist()]))
         own = ids(part.column("doc_id"))
-        a = Anchored(flat, offsets, length, gram)
-        found = _regions(a, own, shared, length)
-        busy = np.zeros(len(own), bool)
-        if found is not None:
-            doc, key, at, n, full = found
-            busy[doc] = True
-            order = np.lexsort((own[doc], full))
-            cut = np.flatnonzero(np.r_[True, full[order][1:] != full[order][:-1]])
-            head, tail = order[cut], order[np.r_[cut[1:], len(order)] - 1]
-            words = np.zeros((len(head), width), np.uint32)
-            short = (a.hash >> np.uint64(32)).astype(np.uint32)
-            for k in range(width):
-                go = k < n[head] + length - 1
-                words[go, k] = short[at[head][go] + k]
-            blob = _split(batch, (key[head] % np.uint64(batches)).astype(np.int64), [("u8", key[head]), ("u8", full[head]), ("u1", n[head]), ("i8", own[doc[head]]), ("i8", own[doc[tail]]), ("u4", words)])
-            rows = [("stretch", b, batch, d, None, None, None, None, None, None) for b, d in zip(blob.column("bucket").to_pylist(), blob.column("data").to_pylist())]
-        per = np.diff(a.first)
-        raw = flat.tobytes()
-        for i in range(len(own)):
-            s, e = int(offsets[i]), int(offsets[i + 1])
-            words = raw[s:e].split()
-            if busy[i]:
-                mine = doc == i
-                rows.append(("held", None, batch, _packed([("i8", at[mine] - a.first[i]), ("u8", full[mine]), ("u1", n[mine])]), int(own[i]), int(per[i]), None, None, b" ".join(words), None))
-            else:
-                kept = b" ".join(words)
-                rows.append(("done", None, batch, None, int(own[i]), int(per[i]), 0, hashlib.sha256(kept).hexdigest(), None, kept.decode() if keep_text else None))
-        return _state(rows)
-
-    kinds = "kind string, bucket long, batch long, data binary, doc_id long, n_words long, n_removed long, kept_sha256 string, words binary, kept string"
-
-    def _state(rows) -> pa.Table:
-        types = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.string()]
-        names = [x.split()[0] for x in kinds.split(", ")]
-        columns = list(zip(*rows)) if rows else [()] * len(names)
-        return pa.table({n: pa.array(c, t) for n, c, t in zip(names, columns, types)})
+        a = Anchored(*utf8_buffer(part.column("text")), length, gram)
+        found = _regions(a, np.isin(a.key, shared), length)
+        if found is None:
+            return _table(rows)
+        doc, key, at, n, full = found
+        order = np.lexsort((own[doc], full))
+        cut = np.flatnonzero(np.r_[True, full[order][1:] != full[order][:-1]])
+        head, tail = order[cut], order[np.r_[cut[1:], len(order)] - 1]
+        words = np.zeros((len(head), width), np.uint32)
+        short = (a.hash >> np.uint64(32)).astype(np.uint32)
+        for k in range(width):
+            go = k < n[head] + length - 1
+            words[go, k] = short[at[head][go] + k]
+        columns = [key[head], full[head], n[head].astype(np.uint8), own[doc[head]], own[doc[tail]]]
+        for p in _parts(columns[0] % np.uint64(batches)):
+            rows.append((int(columns[0][p[0]] % np.uint64(batches)), batch, _pack_stretches([c[p] for c in columns], words[p], length)))
+        return _table(rows)
 
     def firsts(part: pa.Table) -> pa.Table:
         return _table([(0, b, d) for b, d in _first_documents(list(zip(part.column("batch").to_pylist(), part.column("data").to_pylist())), length, width)])
 
     def cleaned(part: pa.Table, reply: pa.Table) -> pa.Table:
+        flat, offsets = utf8_buffer(part.column("text"))
+        own = ids(part.column("doc_id"))
         got = [_unpacked(d, "u8 u1 i8") for d in reply.column("data").to_pylist()]
-        full, window, doc = (np.concatenate([g[i] for g in got]) if got else np.zeros(0, t) for i, t in enumerate(("u8", "u1", "i8")))
-        order = np.argsort(full, kind="stable")
-        full, window, doc = full[order], window[order], doc[order]
-        out = []
-        for own, n_words, data, words in zip(*(part.column(c).to_pylist() for c in ("doc_id", "n_words", "data", "words"))):
-            at, mine, n = _unpacked(data, "i8 u8 u1")
-            lo, hi = np.searchsorted(full, mine, "left"), np.searchsorted(full, mine, "right")
-            gone = np.zeros(n_words + 1, np.int64)
+        a = Anchored(flat, offsets, length, gram)
+        gone = np.zeros(len(a.start) + 1, np.int64)
+        found = _regions(a, np.ones(len(a.key), bool), length) if got else None
+        if found is not None:
+            known, window, earliest = (np.concatenate([g[i] for g in got]) for i in range(3))
+            order = np.argsort(known, kind="stable")
+            known, window, earliest = known[order], window[order], earliest[order]
+            doc, _, at, n, full = found
+            lo, hi = np.searchsorted(known, full, "left"), np.searchsorted(known, full, "right")
             count = hi - lo
             rows = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
             of = np.repeat(np.arange(len(at)), count)
-            early = doc[rows] < own
+            early = earliest[rows] < own[doc[of]]
             rows, of = rows[early], of[early]
             whole = window[rows] == 255
             begin = at[of] + np.where(whole, 0, window[rows])
             np.add.at(gone, begin, 1)
             np.add.at(gone, begin + np.where(whole, n[of].astype(np.int64), 1) + length - 1, -1)
-            stay = np.cumsum(gone)[:-1] == 0
-            kept = b" ".join(w for w, s in zip(words.split(), stay.tolist()) if s)
-            out.append((own, n_words, int(n_words - stay.sum()), hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None))
-        c = list(zip(*out)) if out else [()] * 5
-        return pa.table({"doc_id": pa.array(c[0], pa.int64()), "n_words": pa.array(c[1], pa.int64()), "n_removed": pa.array(c[2], pa.int64()), "kept_sha256": pa.array(c[3], pa.string()), "kept": pa.array(c[4], pa.string())})
-
-    shared = text.groupBy("batch").applyInArrow(anchors, _BLOB).groupBy("bucket").applyInArrow(which, _BLOB)
-    state = materialize(text.groupBy("batch").cogroup(shared.groupBy("batch")).applyInArrow(stretches, kinds), "stretches")
-    answers = state.where("kind = 'stretch'").select("bucket", "batch", "data").groupBy("bucket").applyInArrow(firsts, _BLOB)
-    held = state.where("kind = 'held'").select("batch", "doc_id", "n_words", "data", "words")
-    last = held.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(cleaned, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
-    done = state.where("kind = 'done'").select("doc_id", "n_words", "n_removed", "kept_sha256", "kept").unionByName(last)
-    done = done.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
+        stay = np.cumsum(gone)[:-1] == 0
+        lost = np.diff(np.r_[0, np.cumsum(~stay)][a.first])
+        raw, out = flat.tobytes(), []
+        for i in range(len(own)):
+            words = raw[int(offsets[i]) : int(offsets[i + 1])].split()
+            if lost[i]:
+                words = list(compress(words, stay[a.first[i] : a.first[i + 1]].tolist()))
+            kept = b" ".join(words)
+            out.append((int(a.first[i + 1] - a.first[i]), int(lost[i]), hashlib.sha256(kept).hexdigest(), kept.decode() if keep_text else None))
+        c = list(zip(*out)) if out else [()] * 4
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
+        return pa.table({"doc_id": id_array(own), **{k: pa.array(x, t) for k, x, t in zip(("n_words", "n_removed", "kept_sha256", "kept"), c, kinds)}})
+
+    # One exchange of the texts serves all three passes over them.
+    by_batch = text.groupBy("batch")
+    shared = by_batch.applyInArrow(anchors, _BLOB).groupBy("bucket").applyInArrow(which, _BLOB)
+    sent = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(stretches, _BLOB)
+    answers = sent.groupBy("bucket").applyInArrow(firsts, _BLOB)
+    done = by_batch.cogroup(answers.groupBy("batch")).applyInArrow(cleaned, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return done if keep_text else done.drop("kept")
