@@ -37,7 +37,7 @@ def test_gradient_is_right():
     x, y = _labelled(3, 1)
     x, y = x[:, :10], y[:, :10]
     _, grad = net.step(x, y)
-    for k in ("o", "t", "wf", "wb", "e", "s"):
+    for k in ("o", "t", "w", "b", "e", "s"):
         i = np.unravel_index(np.abs(grad[k]).argmax(), grad[k].shape)
         old, h = net.p[k][i], np.float32(1e-2)
         net.p[k][i] = old + h

@@ -149,58 +149,61 @@ class BiLstmCrf:
         rng = np.random.default_rng(seed)
         u = lambda *s: (rng.standard_normal(s) / np.sqrt(s[0])).astype(np.float32)
         self.p = {"e": u(130, EMBED) * 3, "o": u(2 * HIDDEN, _TAGS), "ob": np.zeros(_TAGS, np.float32), "t": u(_TAGS, _TAGS), "s": np.zeros(_TAGS, np.float32)}
-        for d in "fb":
-            self.p |= {"w" + d: u(EMBED + HIDDEN, 4 * HIDDEN), "b" + d: np.r_[np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)].astype(np.float32)}
-
-    def _run(self, x: np.ndarray, d: str):
-        """x: (time, batch, EMBED). Hidden states and what the way back needs."""
-        w, b = self.p["w" + d], self.p["b" + d]
-        n, m, _ = x.shape
-        h, c, keep = np.zeros((m, HIDDEN), np.float32), np.zeros((m, HIDDEN), np.float32), []
-        out, given = np.empty((n, m, HIDDEN), np.float32), x @ w[:EMBED] + b
+        gates = np.r_[np.zeros(HIDDEN), np.ones(HIDDEN), np.zeros(2 * HIDDEN)].astype(np.float32)
+        self.p |= {"w": np.stack([u(EMBED + HIDDEN, 4 * HIDDEN) for _ in "fb"]), "b": np.stack([gates, gates])[:, None]}
+
+    def _run(self, ids: np.ndarray):
+        """Hidden states (time, batch, 2 * HIDDEN) of both directions, run side by side, and what the way back needs."""
+        e = self.p["e"][ids.T]
+        x = np.stack([e, e[::-1]], 1)  # (time, direction, batch, EMBED)
+        w, b = self.p["w"], self.p["b"]
+        n, _, m, _ = x.shape
+        h, c, keep = np.zeros((2, m, HIDDEN), np.float32), np.zeros((2, m, HIDDEN), np.float32), []
+        out, given, again = np.empty((n, 2, m, HIDDEN), np.float32), x @ w[:, :EMBED] + b, np.ascontiguousarray(w[:, EMBED:])
         for t in range(n):
-            z = given[t] + h @ w[EMBED:]
-            g = _sigmoid(z[:, : 3 * HIDDEN])
-            i, f, o, a = g[:, :HIDDEN], g[:, HIDDEN : 2 * HIDDEN], g[:, 2 * HIDDEN :], np.tanh(z[:, 3 * HIDDEN :])
+            z = given[t] + h @ again
+            g = _sigmoid(z[..., : 3 * HIDDEN])
+            i, f, o, a = g[..., :HIDDEN], g[..., HIDDEN : 2 * HIDDEN], g[..., 2 * HIDDEN :], np.tanh(z[..., 3 * HIDDEN :])
             before, last = c, h
             c = f * c + i * a
             tc = np.tanh(c)
             h = o * tc
             out[t] = h
             keep.append((i, f, o, a, before, tc, last))
-        return out, keep
+        return np.concatenate([out[:, 0], out[::-1, 1]], 2), x, keep
 
-    def _back(self, x, d, keep, dout, grad):
-        w = self.p["w" + d]
+    def _back(self, ids, x, keep, dout, grad):
+        w = self.p["w"]
+        dout = np.stack([dout[:, :, :HIDDEN], dout[::-1, :, HIDDEN:]], 1)
+        again = np.ascontiguousarray(w[:, EMBED:].transpose(0, 2, 1))
         dh, dc = np.zeros_like(dout[0]), np.zeros_like(dout[0])
-        dz_all = np.empty((len(x), x.shape[1], 4 * HIDDEN), np.float32)
+        dz_all = np.empty((*dout.shape[:3], 4 * HIDDEN), np.float32)
         for t in range(len(x) - 1, -1, -1):
             i, f, o, a, before, tc, _ = keep[t]
             dh = dh + dout[t]
             dc = dc + dh * o * (1 - tc * tc)
-            dz = np.concatenate([dc * a * i * (1 - i), dc * before * f * (1 - f), dh * tc * o * (1 - o), dc * i * (1 - a * a)], 1)
-            dz_all[t] = dz
-            dh, dc = dz @ w[EMBED:].T, dc * f
-        flat = dz_all.reshape(-1, 4 * HIDDEN)
-        last = np.stack([k[6] for k in keep]).reshape(-1, HIDDEN)
-        grad["w" + d] = np.concatenate([x.reshape(-1, EMBED), last], 1).T @ flat
-        grad["b" + d] = flat.sum(0)
-        return dz_all @ w[:EMBED].T
+            dz = dz_all[t]
+            dz[..., :HIDDEN] = dc * a * i * (1 - i)
+            dz[..., HIDDEN : 2 * HIDDEN] = dc * before * f * (1 - f)
+            dz[..., 2 * HIDDEN : 3 * HIDDEN] = dh * tc * o * (1 - o)
+            dz[..., 3 * HIDDEN :] = dc * i * (1 - a * a)
+            dh, dc = dz @ again, dc * f
+        given = np.concatenate([x, np.stack([k[6] for k in keep])], 3)
+        grad["w"] = np.stack([given[:, d].reshape(-1, EMBED + HIDDEN).T @ dz_all[:, d].reshape(-1, 4 * HIDDEN) for d in (0, 1)])
+        grad["b"] = dz_all.sum((0, 2))[:, None]
+        dx = dz_all @ w[:, :EMBED].transpose(0, 2, 1)
+        one = np.zeros((ids.size, len(self.p["e"])), np.float32)
+        one[np.arange(ids.size), ids.T.ravel()] = 1
+        grad["e"] = one.T @ (dx[:, 0] + dx[::-1, 1]).reshape(-1, EMBED)
 
     def emissions(self, ids: np.ndarray) -> np.ndarray:
         """(batch, time) ids to (time, batch, tags)."""
-        x = self.p["e"][ids.T]
-        f, _ = self._run(x, "f")
-        b, _ = self._run(x[::-1], "b")
-        return np.concatenate([f, b[::-1]], 2) @ self.p["o"] + self.p["ob"]
+        return self._run(ids)[0] @ self.p["o"] + self.p["ob"]
 
     def step(self, ids: np.ndarray, tags: np.ndarray) -> tuple[float, dict]:
         """Mean negative log likelihood of the tag sequences under the CRF, and its gradient."""
         p, grad = self.p, {}
-        x = p["e"][ids.T]
-        f, kf = self._run(x, "f")
-        b, kb = self._run(x[::-1], "b")
-        h = np.concatenate([f, b[::-1]], 2)
+        h, x, keep = self._run(ids)
         e = (h @ p["o"] + p["ob"]).astype(np.float64)
         n, m, _ = e.shape
         y, tr = tags.T, p["t"].astype(np.float64)
@@ -228,10 +231,7 @@ class BiLstmCrf:
         np.subtract.at(de, (np.arange(n)[:, None], k[None, :], y), 1)
         de = (de / m).astype(np.float32)
         grad["o"], grad["ob"] = h.reshape(-1, 2 * HIDDEN).T @ de.reshape(-1, _TAGS), de.sum((0, 1))
-        dh = de @ p["o"].T
-        dx = self._back(x, "f", kf, dh[:, :, :HIDDEN], grad) + self._back(x[::-1], "b", kb, dh[::-1, :, HIDDEN:], grad)[::-1]
-        grad["e"] = np.zeros_like(p["e"])
-        np.add.at(grad["e"], ids.T, dx)
+        self._back(ids, x, keep, de @ p["o"].T, grad)
         return float((total - gold).mean()), grad
 
     def decode(self, ids: np.ndarray) -> np.ndarray:
@@ -373,7 +373,7 @@ def detect_pii(docs: DataFrame, net: BiLstmCrf | None = None) -> DataFrame:
     def run(batches):
         for b in batches:
             flat, offsets = utf8_buffer(b.column(1))
-            hits = np.diff(np.r_[0, np.cumsum(_BYTES[flat])][offsets])
+            hits = np.diff(np.searchsorted(np.flatnonzero(_BYTES[flat]), offsets))
             busy = np.flatnonzero(hits)
             got: dict[int, tuple[list, list]] = {}
             for lo in range(0, len(busy), 256):
