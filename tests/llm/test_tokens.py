@@ -20,7 +20,7 @@ def brute(rows):
 
 def test_pieces_encode_as_the_library_does():
     e, t = Encoder(PATH), Tokenizer.from_file(PATH)
-    for text in ("", " ", "a  b", "a \n b", "x\ny z\n", " lead", "trail ", "it's we'll 12 3.4 ÉTÉ ß 😀 日本 a b  c", "un***\tdos <|endoftext|> tres", "a b", "\x1c \x85"):
+    for text in ("", " ", "a  b", "a \n b", "x\ny z\n", " lead", "trail ", "it's we'll 12 3.4 ÉTÉ ß 😀 日本 a b  c", "un***\tdos <|endoftext|> tres", "a b", "\x1c \x85", "it's. don't!! (isn't). ab***, é... x\" y]} 12. a1.", "a. a, a.b. b'. 's. ''. .a."):
         want = t.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(e.encode(text), "<u4").tolist() == want, text
 

@@ -10,6 +10,7 @@ import os
 import re
 import uuid
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,16 +20,19 @@ from pyspark.sql import functions as F
 
 from .common import shared_dir, sized_broadcast, texts
 
-ORC = {"compression": "zstd", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
-_CACHE, _BLOCK = 400_000, 4 << 20
-_UNSURE = re.compile(r" \s|\s ")
+ORC = {"compression": "lz4", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
+_CACHE, _BLOCK = 600_000, 4 << 20
+_MARKS = ".,;:!?*#$%&|)]}\""
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_OTHER = re.compile(r"[\t\x0b-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Encoder:
     """Ids of whole texts, as little-endian 32-bit bytes.
 
-    The tokenizer splits before a space between two other characters, so such pieces are encoded once by the
-    library and then looked up; a text with a space next to other white space is encoded by the library as a whole.
+    The tokenizer splits before a space, and around a newline, that stand between two characters which are no white
+    space. So the pieces between them are encoded by the library once, many in one call, and then looked up; a text
+    with two white-space characters in a row, or others than space and newline, is encoded by the library as a whole.
     """
 
     def __init__(self, path: str):
@@ -36,27 +40,76 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {"": b""}  # by what follows the space
+        self.bare: dict[str, bytes] = {"": b""}
+        names = self.tokenizer.get_vocab()
+        self.opens = np.zeros(max(names.values()) + 1, bool)
+        self.opens[[i for t, i in names.items() if t.startswith("\u0120")]] = True  # the byte-level mark of a space
+        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.newline = self.library(["\n"])[0]
 
     def library(self, texts: list[str]) -> list[bytes]:
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         return [np.array(e.ids, "<u4").tobytes() for e in run(texts, add_special_tokens=False)]
 
+    def _learn(self, missing: list[str]) -> None:
+        """Pieces with a space before each. Letters and marks after them never share a token: both are looked up."""
+        whole, split, base = [], [], set()
+        for x in missing:
+            if x[-1] in _MARKS and (y := x.rstrip(_MARKS)) and y[-1].isalpha():
+                split.append((x, y, x[len(y) :]))
+                base.add(y)
+            else:
+                whole.append(x)
+        self._encode(whole)
+        self._encode(list(base.difference(self.spaced)))
+        ends = list({e for _, _, e in split}.difference(self.bare))
+        self.bare.update(zip(ends, self.library(ends)))
+        spaced, bare = self.spaced, self.bare
+        for x, y, e in split:
+            spaced[x] = spaced[y] + bare[e]
+
+    def _encode(self, missing: list[str]) -> None:
+        """Encodes many pieces as one text: every piece's first token, and no other, has the space."""
+        for lo in range(0, len(missing), 2000):
+            part = missing[lo : lo + 2000]
+            (data,) = self.library([" " + " ".join(part)])
+            first = np.flatnonzero(self.opens[np.frombuffer(data, "<u4")]) * 4
+            if len(first) == len(part) and first[0] == 0:
+                cuts = [*first.tolist(), len(data)]
+                self.spaced.update((x, data[s:e]) for x, s, e in zip(part, cuts, cuts[1:]))
+            else:
+                self.spaced.update(zip(part, self.library([" " + x for x in part])))
+
+    def _whole(self, text: str) -> bool:
+        return text[:1] == " " or text[-1:] in (" ", "\n") or any(x in text for x in _PAIRS) or bool(_OTHER.search(text)) or any(x in text for x in self.special)
+
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _UNSURE.search(text):
-            return self.library([text])[0]
-        first, *rest = text.split(" ")
-        pieces = [first, *[" " + x for x in rest]]
-        cache = self.cache
-        missing = [x for x in set(pieces) if x not in cache]
-        if missing:
-            if len(cache) + len(missing) > _CACHE:
-                cache.clear()
-                missing = list(set(pieces))
-            cache.update(zip(missing, self.library(missing)))
-        return b"".join(map(cache.__getitem__, pieces))
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        plan = [None if self._whole(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
+        words: set[str] = set()
+        words.update(*(line for p in plan if p for line in p))
+        missing = words.difference(self.spaced)
+        if len(self.spaced) + len(missing) > _CACHE:
+            self.spaced = {"": b""}
+            missing = words.difference(self.spaced)
+        self._learn(list(missing))
+        heads = {line[0] for p in plan if p for line in p}
+        if len(self.bare) + len(heads) > _CACHE // 4:
+            self.bare = {"": b""}
+        missing = list(heads.difference(self.bare))
+        self.bare.update(zip(missing, self.library(missing)))
+        whole = iter(self.library([t for t, p in zip(texts, plan) if p is None]))
+        look, bare = self.spaced.__getitem__, self.bare
+        return [next(whole) if p is None else self.newline.join([bare[line[0]] + b"".join(map(look, line[1:])) for line in p]) for p in plan]
+
+
+@lru_cache(2)
+def encoder_for(path: str) -> Encoder:
+    """A worker's encoder, kept with its cache from task to task."""
+    return Encoder(path)
 
 
 def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = None) -> str:
@@ -71,10 +124,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | N
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
-        encoder, part, start = Encoder(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, start = encoder_for(tokenizer), TaskContext.get().partitionId(), 0
         for b in batches:
             for lo, hi in _blocks(b.column(1)):
-                data = [encoder.encode(t) + tail for t in texts(b.column(1).slice(lo, hi - lo))]
+                data = [x + tail for x in encoder.encode_many(texts(b.column(1).slice(lo, hi - lo)))]
                 at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in data])])
                 flat = pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32())
                 lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)
