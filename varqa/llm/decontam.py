@@ -20,6 +20,7 @@ Q, PIECE, STRIDE, EDITS, BAND = 10, 120, 60, 0.08, 16
 BLOCK_BYTES = 16 << 20
 _BASE = 0x9E3779B97F4A7C15
 _SLICE = 1 << 19
+_TEXTS = 4 << 20
 _BITS = 22
 
 
@@ -130,9 +131,17 @@ def banded_edits(piece: np.ndarray, region: np.ndarray, k: int) -> tuple[int, in
 
 
 def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
-    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region."""
-    if not len(pieces.hash):
-        return []
+    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time."""
+    out, lo = [], 0
+    while lo < len(offsets) - 1 and len(pieces.hash):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + _TEXTS, side="right")) - 1)
+        part = _find(flat[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], pieces)
+        out += [(lo + d, *rest) for d, *rest in part]
+        lo = hi
+    return out
+
+
+def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
     x, at, starts = normalize(flat, offsets)
     hits, which = [], []
     for lo in range(0, max(len(x) - Q + 1, 0), _SLICE):
