@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from varqa.llm.decontam import EDITS, Pieces, _norm_one, banded_edits, decontaminate, find, leaks, qgrams
+from varqa.llm.decontam import EDITS, Pieces, _norm_one, banded_edits, decontaminate, find, find_runs, leaks, qgrams
 
 
 def semi_global(p, t):
@@ -81,3 +81,29 @@ def test_nulls_empty_tables_and_other_columns(spark):
     kept = decontaminate(docs, bench)
     assert kept.columns == docs.columns and kept.count() == 3
     assert leaks(docs.limit(0), bench).count() == 0 and leaks(docs, bench.limit(0)).count() == 0
+
+
+def test_verbatim_passages_of_13_words_are_found_at_every_offset():
+    rng = random.Random(3)
+    for letters, gap in (("abcdefghijklmnop", " "), ("абвгдежзиклмноп", " "), ("的一是不了人我在有他这中大来上", "")):
+        word = lambda: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8) if gap else 1))
+        w = [word() for _ in range(60)]
+        pieces = Pieces([(7, gap.join(w)), (8, gap.join(word() for _ in range(60)))])
+        for size in (12, 13, 14, 20, 29):
+            passages = [gap.join(w[i : i + size]) for i in range(len(w) - size + 1)]
+            raw = [f"zz{i}, {p}. yy".encode() for i, p in enumerate(passages)]
+            flat, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+            got = {(d, item, raw[d][s:e].decode()) for d, item, s, e in find_runs(flat, offsets, pieces)}
+            assert got == ({(d, 7, p) for d, p in enumerate(passages)} if size >= 13 else set())
+            if gap:  # the first word is another
+                cut = np.frombuffer(b"".join(r.replace(b", ", b", q") for r in raw), np.uint8), offsets + np.arange(len(offsets))
+                assert {d for d, *_ in find_runs(*cut, pieces)} == (set(range(len(raw))) if size > 13 else set())
+
+
+def test_short_items_and_short_passages_leak(spark):
+    item = "one of these words two of these words three of them four of all these words five of nothing else"
+    bench = spark.createDataFrame([(1, item), (2, "Is it so?"), (3, " . "), (4, "ja")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "a - WORDS two of these words three of them four of all these words, b"), (2, "and is it so"), (3, "this it so"), (4, "is it sour jam . "), (5, "words two of these words three")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id, r.start, r.end, r.pieces, r.of_pieces, r.edits) for r in leaks(docs, bench).collect()}
+    assert got == {(1, 1, 4, 66, 0, 1, 0), (2, 2, 4, 12, 1, 1, 0)}
+    assert {r.doc_id for r in decontaminate(docs, bench).collect()} == {3, 4, 5}

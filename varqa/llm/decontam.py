@@ -4,6 +4,10 @@ Every benchmark item is cut into overlapping pieces. A text region within k edit
 least m + 1 - q - k*q of its q-grams, all of them on k + 1 neighbouring diagonals (text position minus piece
 position). Shared q-grams are counted in overlapping diagonal bands; regions that reach the bound are verified by
 banded alignment.
+
+A verbatim passage may hold no nearly whole piece. So the runs of WORDS words from every word of an item are looked up
+too, and items too short for pieces as a whole: all runs of as many words of the texts are hashed by prefix sums, and
+runs of an equal hash are compared byte by byte.
 """
 
 from __future__ import annotations
@@ -16,9 +20,12 @@ from pyspark.sql import functions as F
 from .common import texts, utf8_buffer
 
 Q, PIECE, STRIDE, EDITS, BAND = 10, 120, 60, 0.08, 16
+#: Words of an item that a text must hold verbatim to count; each Chinese character or kana is a word.
+WORDS = 13
 #: Bytes of benchmark text that one pass over the documents compares them with.
 BLOCK_BYTES = 16 << 20
 _BASE = 0x9E3779B97F4A7C15
+_UNBASE = pow(_BASE, -1, 2**64)
 _SLICE = 1 << 19
 _TEXTS = 4 << 20
 _BITS = 22
@@ -72,16 +79,99 @@ def _norm_one(text: str) -> np.ndarray:
     return np.frombuffer(x, np.uint8)
 
 
+def words(x: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text of each word of normalised texts."""
+    first = np.ones(len(x), bool)
+    first[1:] = x[:-1] == 32
+    first[starts[starts < len(x)]] = True
+    alone = np.flatnonzero((x >= 0xE3) & (x <= 0xE9))  # a character of these lead bytes is a word of its own
+    first[alone] = True
+    first[alone[alone + 3 < len(x)] + 3] = True
+    first &= x != 32
+    s = np.flatnonzero(first)
+    e = np.r_[s[1:], len(x)]
+    e = e - (x[e - 1] == 32) if len(s) else s
+    return s, e, np.searchsorted(starts, s, side="right") - 1
+
+
+def prefix_sums(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums from which run_hash has the hash of any stretch, and the powers that it takes."""
+    powers = np.full((2, len(x) + 1), _BASE, np.uint64)
+    powers[1] = _UNBASE
+    powers[:, 0] = 1
+    np.multiply.accumulate(powers, axis=1, out=powers)
+    sums = np.zeros(len(x) + 1, np.uint64)
+    np.cumsum((x.astype(np.uint64) + np.uint64(1)) * powers[0, : len(x)], out=sums[1:])
+    return sums, powers[1]
+
+
+def run_hash(sums: np.ndarray, powers: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    return (sums[e] - sums[s]) * powers[s]
+
+
+def equal_stretches(a: np.ndarray, at_a: np.ndarray, b: np.ndarray, at_b: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the stretches of a and b of these starts and sizes (not 0) hold the same bytes."""
+    out = np.zeros(len(size), bool)
+    for lo in range(0, len(size), 1 << 13):
+        n, k = size[lo : lo + (1 << 13)], slice(lo, lo + (1 << 13))
+        cut = np.cumsum(n) - n
+        step = np.arange(n.sum()) - np.repeat(cut, n)
+        out[k] = np.logical_and.reduceat(a[np.repeat(at_a[k], n) + step] == b[np.repeat(at_b[k], n) + step], cut)
+    return out
+
+
+class Runs:
+    """The runs of so many words of some items, by hash."""
+
+    def __init__(self, size: int, items: list[tuple[int, np.ndarray]]):
+        self.size, self.x = size, np.concatenate([x for _, x in items])
+        starts = np.cumsum([0, *(len(x) for _, x in items)])
+        s, e, k = words(self.x, starts)
+        first = np.flatnonzero(k[size - 1 :] == k[: len(k) - size + 1])
+        s, e = s[first], e[first + size - 1]
+        h = run_hash(*prefix_sums(self.x), s, e)
+        order = np.argsort(h, kind="stable")
+        self.start, self.length, self.item = s[order], (e - s)[order], np.array([i for i, _ in items], np.int64)[k[first]][order]
+        self.hash, first = np.unique(h[order], return_index=True)
+        self.first = np.r_[first, len(h)]
+        self.seen = np.zeros(1 << _BITS, bool)
+        self.seen[(self.hash >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+
+    def find(self, x, s, e, doc, sums, powers) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """text, item, start and end of every run of the words (s, e, doc) of x that an item holds too."""
+        first = np.flatnonzero(doc[self.size - 1 :] == doc[: max(len(doc) - self.size + 1, 0)])
+        lo, hi = s[first], e[first + self.size - 1]
+        h = run_hash(sums, powers, lo, hi)
+        maybe = np.flatnonzero(self.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
+        k = np.searchsorted(self.hash, h[maybe])
+        same = self.hash[np.minimum(k, len(self.hash) - 1)] == h[maybe]
+        maybe, k = maybe[same], k[same]
+        count = self.first[k + 1] - self.first[k]
+        at = np.repeat(self.first[k], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
+        maybe = np.repeat(maybe, count)
+        lo, hi = lo[maybe], hi[maybe]
+        same = np.flatnonzero(hi - lo == self.length[at])
+        same = same[equal_stretches(x, lo[same], self.x, self.start[at[same]], (hi - lo)[same])]
+        return doc[first[maybe[same]]], self.item[at[same]], lo[same], hi[same]
+
+
 class Pieces:
     """The q-gram index of some benchmark items, small enough to be sent to every task."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.item, self.text, hashes, where, at = [], [], [], [], []
         self.of_item: dict[int, int] = {}
+        runs: dict[int, list] = {}
         for item, text in items:
             x = _norm_one(text or "")
-            if len(x) < 3 * Q:  # too little to tell a copy from chance
+            n = len(words(x, np.array([0]))[0])
+            if len(x) < 3 * Q:  # too little for edits: only as a whole
+                self.of_item.setdefault(item, 1)
+                if n:
+                    runs.setdefault(n, []).append((item, x))
                 continue
+            if n >= WORDS:
+                runs.setdefault(WORDS, []).append((item, x))
             starts = [0] if len(x) <= PIECE else [*range(0, len(x) - PIECE, STRIDE), len(x) - PIECE]
             self.of_item[item] = len(starts)
             for s in starts:
@@ -92,6 +182,8 @@ class Pieces:
                 at.append(np.arange(len(h)))
                 self.item.append(item)
                 self.text.append(p)
+        self.runs = [Runs(n, found) for n, found in sorted(runs.items())]
+        self.whole = np.array(sorted({i for r in self.runs for i in r.item.tolist()} - set(self.item)), np.int64)
         self.m = np.array([len(p) for p in self.text], np.int64)
         self.k = np.minimum((self.m * EDITS).astype(np.int64), BAND)
         self.least = np.maximum(self.m + 1 - Q - self.k * Q, 1)
@@ -130,14 +222,37 @@ def banded_edits(piece: np.ndarray, region: np.ndarray, k: int) -> tuple[int, in
     return (int(row[best]), best + m - k) if row[best] <= k else (far, -1)
 
 
-def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
-    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time."""
-    out, lo = [], 0
-    while lo < len(offsets) - 1 and len(pieces.hash):
+def _slices(flat: np.ndarray, offsets: np.ndarray):
+    """The texts in slices of some size: number of the first, bytes, offsets."""
+    lo = 0
+    while lo < len(offsets) - 1:
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + _TEXTS, side="right")) - 1)
-        part = _find(flat[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], pieces)
-        out += [(lo + d, *rest) for d, *rest in part]
+        yield lo, flat[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
+
+
+def find_runs(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int]]:
+    """(text, item, start byte, end byte) of all verbatim runs of an item in a text, one row for both."""
+    out = []
+    for lo, part, cuts in _slices(flat, offsets) if pieces.runs else ():
+        x, at, starts = normalize(part, cuts)
+        s, e, doc = words(x, starts)
+        sums, powers = prefix_sums(x)
+        found = [np.concatenate(c) for c in zip(*(r.find(x, s, e, doc, sums, powers) for r in pieces.runs))]
+        order = np.lexsort((found[1], found[0]))
+        d, item, a, b = (c[order] for c in found)
+        if len(d):
+            cut = np.flatnonzero(np.r_[True, (d[1:] != d[:-1]) | (item[1:] != item[:-1])])
+            a, b, d, item = at[np.minimum.reduceat(a, cut)], at[np.maximum.reduceat(b, cut) - 1] + 1, d[cut], item[cut]
+            out += zip((d + lo).tolist(), item.tolist(), (a - cuts[d]).tolist(), (b - cuts[d]).tolist())
+    return out
+
+
+def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
+    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time."""
+    out = []
+    for lo, part, cuts in _slices(flat, offsets) if len(pieces.hash) else ():
+        out += [(lo + d, *rest) for d, *rest in _find(part, cuts, pieces)]
     return out
 
 
@@ -204,8 +319,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item of which it holds a passage:
     doc_id, item_id, start, end (code points of the whole stretch), pieces, of_pieces, edits.
 
-    Null and short texts hold none; items of fewer than 30 letters and digits are left out, as chance; repeated rows
-    report again; other columns are ignored. Rows of a null doc_id report with a null doc_id.
+    A passage is a piece within its edits (counted in pieces and edits) or a verbatim run of WORDS words; items of fewer
+    than 30 bytes count as one piece, verbatim and of whole words. Null texts hold none; repeated rows report again;
+    other columns are ignored. Rows of a null doc_id report with a null doc_id.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kinds = "doc_id long, item_id long, start long, end long, pieces long, of_pieces long, edits long"
@@ -213,6 +329,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for pieces in _blocks(benchmark):
 
         def run(batches, pieces=pieces):
+            whole = set(pieces.whole.tolist())
             for b in batches:
                 flat, offsets = utf8_buffer(b.column(1))
                 found: dict = {}
@@ -221,6 +338,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     x[0], x[1] = min(x[0], s), max(x[1], e)
                     x[3] += 0 if p in x[2] else k
                     x[2].add(p)
+                for d, item, s, e in find_runs(flat, offsets, pieces):
+                    x = found.setdefault((d, item), [s, e, set(), 0])
+                    x[0], x[1] = min(x[0], s), max(x[1], e)
+                    if item in whole:
+                        x[2].add(-1)
                 doc_ids, rows = b.column(0).to_pylist(), []
                 for (d, item), (s, e, ps, k) in sorted(found.items()):
                     raw = flat[offsets[d] : offsets[d] + e]
@@ -243,7 +365,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, pieces=pieces):
             for b in batches:
                 flat, offsets = utf8_buffer(b.column(at))
-                bad = {x[0] for x in find(flat, offsets, pieces)}
+                bad = {x[0] for x in find(flat, offsets, pieces)} | {x[0] for x in find_runs(flat, offsets, pieces)}
                 if bad:
                     b = b.filter(pa.array([i not in bad for i in range(b.num_rows)]))
                 yield b
