@@ -89,9 +89,10 @@ def fn43_next_id(spark, d):
 
 
 def fn09_keys(spark, d):
-    """FN01, FN08-FN10, FN13: keys of every first line."""
-    x = table(spark, d, "documents").select("doc_id", T.first_line(F.col("text")).alias("t"))
-    return x.select("doc_id", keys.slugify_udf("t").alias("slug"), keys.latin_key_udf("t").alias("latin_key"), keys.strip_marks_udf("t").alias("plain"), keys.arabic_key_udf("t").alias("arabic_key"), keys.devanagari_key_udf("t").alias("devanagari_key"))
+    """FN01, FN08-FN10, FN13: keys of every non-blank line, numbered from 1; a document without one has an empty line 1."""
+    x = table(spark, d, "documents").select("doc_id", F.posexplode_outer(T.nonempty_lines(F.col("text"))).alias("pos", "t"))
+    x = x.select("doc_id", (F.coalesce("pos", F.lit(0)) + 1).cast("long").alias("line"), F.coalesce(F.regexp_replace("t", r"(?U)^\s+", ""), F.lit("")).alias("t"))
+    return x.select("doc_id", "line", keys.slugify_udf("t").alias("slug"), keys.latin_key_udf("t").alias("latin_key"), keys.strip_marks_udf("t").alias("plain"), keys.arabic_key_udf("t").alias("arabic_key"), keys.devanagari_key_udf("t").alias("devanagari_key"))
 
 
 def fn17_views(spark, d):
