@@ -6,6 +6,7 @@ reads go stripe by stripe in parallel and look-ups by doc_id skip stripes and ro
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
@@ -18,21 +19,72 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, sized_broadcast, texts
+from .common import shared_dir, sized_broadcast, utf8_buffer
 
 ORC = {"compression": "lz4", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
-_CACHE, _BLOCK = 600_000, 4 << 20
-_MARKS = ".,;:!?*#$%&|)]}\""
-_PAIRS = ("  ", " \n", "\n ", "\n\n")
-_OTHER = re.compile(r"[\t\x0b-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+#: Bytes of text that are cut and encoded together, and bytes that a worker's known pieces may take.
+_BLOCK, _CACHE = 8 << 20, 128 << 20
+_ENTRY = 160  # bytes of a known piece besides its text
+_SPACE, _LETTER, _DIGIT, _MARK = 1, 2, 3, 4  # other bytes are 0: nothing is cut beside them but before white space
+
+
+def _classes() -> np.ndarray:
+    """Classes of bytes. Apostrophes (contractions), control characters and all that isn't ASCII are left open."""
+    t = np.zeros(256, np.uint8)
+    for c in map(chr, range(33, 127)):
+        t[ord(c)] = _LETTER if c.isalpha() else _DIGIT if c.isdigit() else 0 if c == "'" else _MARK
+    t[[9, 10, 11, 12, 13, 32]] = _SPACE
+    return t
+
+
+_CLASS = _classes()
+#: First bytes of two-byte characters that are letters all (but for two signs behind 0xC3).
+_LATIN = np.zeros(256, bool)
+_LATIN[[*range(0xC3, 0xCA), 0xD0, 0xD1]] = True
+#: The last two bytes of what may be white space beyond ASCII; no cut follows it, as a run of white space is one match.
+_LAST, _BEFORE = np.zeros(256, bool), np.zeros(256, bool)
+_LAST[[0x85, 0xA0, *range(0x80, 0x8B), 0xA8, 0xA9, 0xAF, 0x9F]] = True
+_BEFORE[[0xC2, 0x9A, 0x80, 0x81]] = True
+
+
+def piece_starts(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where the texts may be cut so that pieces encode alone as they do within their text.
+
+    A byte-level tokenizer's own split never joins what stands before a run of white space with the run, nor letters,
+    digits and other marks with one another, contractions apart; a single line break before one of those stands alone.
+    """
+    k, first = _CLASS[flat], np.zeros(len(flat), bool)
+    at = np.flatnonzero(_LATIN[flat])
+    at = at[(at + 1 < len(flat)) & ((flat[at] != 0xC3) | ~np.isin(flat[np.minimum(at + 1, len(flat) - 1)], (0x97, 0xB7)))]
+    k[at], k[at + 1] = _LETTER, _LETTER
+    a, b = k[:-1], k[1:]
+    run = (b == _SPACE) & (a != _SPACE)
+    at = np.flatnonzero(run)
+    last = flat[at]
+    run[at[((last >= 0x1C) & (last <= 0x1F)) | (_LAST[last] & _BEFORE[flat[at - 1]])]] = False
+    first[1:] = run | ((a > _SPACE) & (b > _SPACE) & (a != b))
+    first[offsets[:-1][offsets[:-1] < len(flat)]] = True
+    at = np.flatnonzero(flat[:-1] == 10)
+    at = at[first[at] & (k[at + 1] > _SPACE)]
+    first[at + 1] = True
+    return np.flatnonzero(first)
+
+
+def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places first[i], first[i] + 1, ... of every i, count[i] of them, in a row."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
+
+
+_BLANK = re.compile(r"[\x00-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 class Encoder:
-    """Ids of whole texts, as little-endian 32-bit bytes.
+    """Ids of whole texts by the tokenizer's own library.
 
-    The tokenizer splits before a space, and around a newline, that stand between two characters which are no white
-    space. So the pieces between them are encoded by the library once, many in one call, and then looked up; a text
-    with two white-space characters in a row, or others than space and newline, is encoded by the library as a whole.
+    The texts are cut into pieces that encode alone as they do in their text; each different piece is encoded by the
+    library once and then known by its place in one array of ids, from which all texts' ids are gathered. A text with a
+    special token's name, and all texts of a tokenizer that doesn't split byte by byte, are one piece each.
     """
 
     def __init__(self, path: str):
@@ -40,70 +92,114 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.spaced: dict[str, bytes] = {"": b""}  # by what follows the space
-        self.bare: dict[str, bytes] = {"": b""}
+        told = json.loads(self.tokenizer.to_str())
+        split = told["pre_tokenizer"] or {}
+        self.cuts = told["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         names = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(names.values()) + 1, bool)
         self.opens[[i for t, i in names.items() if t.startswith("\u0120")]] = True  # the byte-level mark of a space
-        self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.newline = self.library(["\n"])[0]
+        self.special = [t["content"] for t in told["added_tokens"]]
+        self.line = self.library(["\n"])[0][0] if self.cuts else -1
+        self.known: dict[str, int] = {}
+        self.ids, self.first, self.count, self.hits, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
 
-    def library(self, texts: list[str]) -> list[bytes]:
+    def library(self, texts: list[str]) -> list[np.ndarray]:
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        return [np.array(e.ids, "<u4").tobytes() for e in run(texts, add_special_tokens=False)]
-
-    def _learn(self, missing: list[str]) -> None:
-        """Pieces with a space before each. Letters and marks after them never share a token: both are looked up."""
-        whole, split, base = [], [], set()
-        for x in missing:
-            if x[-1] in _MARKS and (y := x.rstrip(_MARKS)) and y[-1].isalpha():
-                split.append((x, y, x[len(y) :]))
-                base.add(y)
-            else:
-                whole.append(x)
-        self._encode(whole)
-        self._encode(list(base.difference(self.spaced)))
-        ends = list({e for _, _, e in split}.difference(self.bare))
-        self.bare.update(zip(ends, self.library(ends)))
-        spaced, bare = self.spaced, self.bare
-        for x, y, e in split:
-            spaced[x] = spaced[y] + bare[e]
-
-    def _encode(self, missing: list[str]) -> None:
-        """Encodes many pieces as one text: every piece's first token, and no other, has the space."""
-        for lo in range(0, len(missing), 2000):
-            part = missing[lo : lo + 2000]
-            (data,) = self.library([" " + " ".join(part)])
-            first = np.flatnonzero(self.opens[np.frombuffer(data, "<u4")]) * 4
-            if len(first) == len(part) and first[0] == 0:
-                cuts = [*first.tolist(), len(data)]
-                self.spaced.update((x, data[s:e]) for x, s, e in zip(part, cuts, cuts[1:]))
+        return [np.array(e.ids, np.int32) for e in run(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> None:
+        """Adds new pieces: many in one call, their ids told apart by the space that each begins with, or by line breaks."""
+        spaced, bare, alone = [], [], []
+        for x in pieces:
+            if not self.cuts or len(x) > 200:
+                alone.append(x)
+            elif x.isascii():
+                n = len(x.split())
+                (spaced if x[0] == " " and n == 1 and x[1] > " " and x[-1] > " " else bare if n == 1 and x[0] > " " and x[-1] > " " else alone).append(x)
             else:
-                self.spaced.update(zip(part, self.library([" " + x for x in part])))
-
-    def _whole(self, text: str) -> bool:
-        return text[:1] == " " or text[-1:] in (" ", "\n") or any(x in text for x in _PAIRS) or bool(_OTHER.search(text)) or any(x in text for x in self.special)
+                n = len(_BLANK.split(x, 2))
+                (spaced if x[0] == " " and n == 2 and x[1:2] != "" else bare if n == 1 else alone).append(x)
+        order, data, count = [], [], []
+        for group, sep in ((spaced, ""), (bare, "\n")):
+            for lo in range(0, len(group), 2000):
+                part = group[lo : lo + 2000]
+                joined = sep.join(part)
+                if any(x in joined for x in self.special):
+                    alone += part
+                    continue
+                (got,) = self.library([joined])
+                if sep:
+                    at = np.flatnonzero(got == self.line) - np.arange(len(part) - 1) if (got == self.line).sum() == len(part) - 1 else None
+                    got, at = (got[got != self.line], np.r_[0, at]) if at is not None else (got, np.zeros(0, np.int64))
+                else:
+                    at = np.flatnonzero(self.opens[got])
+                if len(at) == len(part) and at[0] == 0:
+                    order += part
+                    data.append(got)
+                    count.append(np.diff(np.r_[at, len(got)]))
+                else:
+                    alone += part
+        for lo in range(0, len(alone), 2000):
+            got = self.library(alone[lo : lo + 2000])
+            data += got
+            count.append(np.array([len(x) for x in got], np.int64))
+        order += alone
+        more = np.concatenate(count)
+        begin = len(self.known)
+        self.known.update(zip(order, range(begin, begin + len(order))))
+        self.first = np.r_[self.first, len(self.ids) + np.cumsum(more) - more]
+        self.count, self.hits = np.r_[self.count, more], np.r_[self.hits, np.zeros(len(more), np.int64)]
+        self.ids = np.concatenate([self.ids, *data])
+        self.size += sum(map(len, order)) + _ENTRY * len(order)
+
+    def _shrink(self) -> None:
+        """Keeps the pieces met oftenest, up to half the bound; older meetings count less and less."""
+        names, budget = list(self.known), _CACHE // 2
+        size = np.array([len(x) for x in names], np.int64) + _ENTRY
+        order = np.argsort(-self.hits, kind="stable")
+        order = np.sort(order[np.cumsum(size[order]) <= budget])
+        ids = self.ids[_spread(self.first[order], self.count[order])]
+        self.known = {names[i]: n for n, i in enumerate(order.tolist())}
+        self.ids, self.count, self.hits, self.size = ids, self.count[order], self.hits[order] // 2, int(size[order].sum())
+        self.first = np.cumsum(self.count) - self.count
+
+    def encode_block(self, flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts (UTF-8 and int64 offsets) in a row, and where each text's begin and end."""
+        n = len(flat)
+        starts = piece_starts(flat, offsets) if self.cuts else np.unique(offsets[:-1][np.diff(offsets) > 0])
+        raw = flat.tobytes()
+        named = {int(np.searchsorted(offsets, m.start(), side="right")) - 1 for x in self.special for m in re.finditer(re.escape(x.encode()), raw)}
+        if named:
+            whole = np.array(sorted(named))
+            starts = starts[~_inside(starts, offsets[whole], offsets[whole + 1])]
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(offsets), np.int64)
+        cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.r_[starts, n].astype(np.int64)), pa.py_buffer(raw))
+        coded = cut.dictionary_encode()
+        names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        slots = list(map(self.known.get, names))
+        if fresh := [x for x, k in zip(names, slots) if k is None]:
+            self._learn(fresh)
+            slots = list(map(self.known.__getitem__, names))
+        slot = np.array(slots, np.int64)
+        self.hits[slot] += np.bincount(which, minlength=len(slot))
+        slot = slot[which]
+        count = self.count[slot]
+        ids = self.ids[_spread(self.first[slot], count)]
+        at = np.r_[0, np.cumsum(count)][np.searchsorted(starts, offsets)]
+        if self.size > _CACHE:
+            self._shrink()
+        return ids, at
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        plan = [None if self._whole(t) else [line.split(" ") for line in t.split("\n")] for t in texts]
-        words: set[str] = set()
-        words.update(*(line for p in plan if p for line in p))
-        missing = words.difference(self.spaced)
-        if len(self.spaced) + len(missing) > _CACHE:
-            self.spaced = {"": b""}
-            missing = words.difference(self.spaced)
-        self._learn(list(missing))
-        heads = {line[0] for p in plan if p for line in p}
-        if len(self.bare) + len(heads) > _CACHE // 4:
-            self.bare = {"": b""}
-        missing = list(heads.difference(self.bare))
-        self.bare.update(zip(missing, self.library(missing)))
-        whole = iter(self.library([t for t, p in zip(texts, plan) if p is None]))
-        look, bare = self.spaced.__getitem__, self.bare
-        return [next(whole) if p is None else self.newline.join([bare[line[0]] + b"".join(map(look, line[1:])) for line in p]) for p in plan]
+        flat = np.frombuffer(text.encode(), np.uint8)
+        return self.encode_block(flat, np.array([0, len(flat)]))[0].astype("<u4").tobytes()
+
+
+def _inside(at: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Which of the places lie within (not at the begin of) one of the sorted stretches lo to hi."""
+    k = np.searchsorted(lo, at, side="left") - 1
+    return (k >= 0) & (at < hi[np.maximum(k, 0)])
 
 
 @lru_cache(2)
@@ -121,17 +217,20 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | N
     spark = docs.sparkSession
     path = path or f"{shared_dir(spark).rstrip('/')}/varqa/tokens-{uuid.uuid4().hex}"
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches):
         encoder, part, start = encoder_for(tokenizer), TaskContext.get().partitionId(), 0
         for b in batches:
-            for lo, hi in _blocks(b.column(1)):
-                data = [x + tail for x in encoder.encode_many(texts(b.column(1).slice(lo, hi - lo)))]
-                at = np.concatenate([[0], np.cumsum([len(x) // 4 for x in data])])
-                flat = pa.array(np.frombuffer(b"".join(data), "<i4"), pa.int32())
-                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)
+            flat, offsets = utf8_buffer(b.column(1))
+            for lo, hi in _blocks(offsets):
+                ids, at = encoder.encode_block(flat[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
                 n = hi - lo
+                every = np.full(len(ids) + n, end_id, np.int32)
+                at = at + np.arange(n + 1)
+                mine = np.ones(len(every), bool)
+                mine[at[1:] - 1] = False
+                every[mine] = ids
+                lists = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(every, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, n), pa.array(np.full(n, part), pa.int64()), pa.array(start + at[:-1], pa.int64()), pa.array(np.diff(at), pa.int64()), lists],
                     ["doc_id", "part", "local_start", "n_tokens", "ids"],
@@ -143,14 +242,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | N
     return path
 
 
-def _blocks(column: pa.Array):
+def _blocks(offsets: np.ndarray):
     """Row ranges of about _BLOCK bytes of text each."""
-    import pyarrow.compute as pc
-
-    size = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
     lo = 0
-    while lo < len(size):
-        hi = max(lo + 1, int(np.searchsorted(size, (size[lo - 1] if lo else 0) + _BLOCK, side="right")))
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + _BLOCK, side="right")) - 1)
         yield lo, hi
         lo = hi
 
