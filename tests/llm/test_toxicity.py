@@ -1,3 +1,5 @@
+import math
+import re
 import zlib
 
 import numpy as np
@@ -15,18 +17,56 @@ def test_held_out_accuracy(spark):
     assert len(held) > 40 and np.mean([a == b for a, b in held]) > 0.9
 
 
-def test_label_model_shares_the_weight_of_copies():
-    rng = np.random.default_rng(0)
-    y = (rng.random(4000) < 0.3).astype(int)
-    vote = lambda: np.where(y == 1, rng.random(4000) < 0.7, rng.random(4000) < 0.1).astype(float)
-    a, b = vote(), vote()
-    m = LabelModel(np.stack([a, a, a, b], 1), y)
-    one, three = m.posterior(np.array([[1, 0, 0, 0.0], [1, 1, 1, 0]]))
-    assert abs(np.log(three / (1 - three)) - np.log(one / (1 - one))) < 0.3  # copies count about once
-    assert abs(m.rate[1][0] - 0.7) < 0.05 and abs(m.rate[0][0] - 0.1) < 0.03
-    q = m.posterior(np.stack([a, a, a, b], 1))
-    assert np.mean((q > 0.5) == y) > 0.82  # 0.84 is the best that two such voters allow
-    assert fit_linear(a[:, None], q)[0] > 0
+def test_label_model_finds_accuracies_and_correlations_without_gold_labels():
+    rng, n = np.random.default_rng(0), 8000
+    y = (rng.random(n) < 0.3).astype(int)
+    vote = lambda hit, miss: np.where(y == 1, rng.random(n) < hit, rng.random(n) < miss).astype(float)
+    known = [(0.7, 0.08), (0.6, 0.05), (0.8, 0.1), (0.5, 0.05), (0.65, 0.06)]
+    own = [vote(*r) for r in known]
+    follower = np.where(rng.random(n) < 0.9, own[1], vote(0.5, 0.05))  # mostly says what the second voter says
+    m = LabelModel(np.stack([own[0], own[0], own[0], *own[1:], follower], 1), 0.3, rounds=60, abstain=False, anchor=0)
+    for j, (hit, miss) in zip((0, 3, 4, 5, 6), known):
+        assert abs(m.rate[1][j] - hit) < 0.12 and abs(m.rate[0][j] - miss) < 0.05, j
+    assert min(m.correlation[0, 1], m.correlation[1, 2]) > 0.95 and m.correlation[3, 7] > 0.7
+    assert max(abs(m.correlation[0, j]) for j in (3, 4, 5, 6)) < 0.25
+    assert m.parent[7] == 3 or m.parent[3] == 7  # the follower hangs on the voter that it follows
+    q = m.posterior(np.stack([own[0], own[0], own[0], *own[1:], follower], 1))
+    assert np.mean((q > 0.5) == y) > 0.9
+
+
+def test_label_model_counts_copies_once():
+    rng, n = np.random.default_rng(1), 6000
+    y = (rng.random(n) < 0.3).astype(int)
+    vote = lambda: np.where(y == 1, rng.random(n) < 0.7, rng.random(n) < 0.1).astype(float)
+    a, rest = vote(), [vote() for _ in range(4)]
+    one, three = (LabelModel(np.stack(v, 1), 0.3, rounds=60, abstain=False, anchor=0) for v in ([a, *rest], [a, a, a, *rest]))
+    logit = lambda p: np.log(p / (1 - p))
+    p, q = one.posterior(np.array([[1.0, 0, 0, 0, 0]])), three.posterior(np.array([[1.0, 1, 1, 0, 0, 0, 0]]))
+    assert abs(logit(q)[0] - logit(p)[0]) < 0.5
+    assert fit_linear(a[:, None], one.posterior(np.stack([a, *rest], 1)))[0] > 0
+
+
+def test_query_matches_brute_force_scores(spark, sf_dir):
+    """Every voter's words counted by a plain search of the whole text, then the linear model by its formula."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = train_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if not model.voters:
+        model = train_toxicity(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    got = {r.doc_id: r.score for r in score_toxicity(docs, model).collect()}
+    assert model.voters and len(got) == docs.count()
+    for r in docs.collect():
+        hits = []
+        for v in model.voters:
+            n = 0
+            for token in r.text.lower().split():
+                mine = re.findall(r"[^\W\d_]+", token)
+                n += any(w == v[:-1] if v.endswith("$") else w.startswith(v) for w in mine)
+            hits.append(n)
+        words, total = len(r.text.split()), sum(hits)
+        z = sum(w * math.log1p(n) for w, n in zip(model.weights, hits))
+        more = (math.log1p(total), math.log1p(100 * total / max(words, 20)), math.log1p(sum(n > 0 for n in hits)))
+        z += sum(w * x for w, x in zip(model.weights[len(hits) :], more)) + model.weights[-1]
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-max(min(z, 30), -30)))) < 1e-9, r.doc_id
 
 
 def test_voters_are_the_stems():

@@ -1,9 +1,10 @@
 """Toxicity by weak supervision.
 
 Voters are words (lexicon) and word beginnings (patterns) that labelled toxic documents hold oftener than labelled
-clean ones, each at several counts. A generative label model estimates every voter's firing rates in either class
-and the voters' correlations within a class; correlated voters share their weight. Its posterior labels train a
-linear classifier, which scores every document.
+clean ones, each at several counts. A generative label model with a latent label estimates, from the votes alone, every
+voter's firing rates in either class and the voters' correlations within a class; a voter that follows another adds
+little. Labels choose the voters, and give the share of the class and the weights that estimation begins with; no row's
+own label enters its posterior. The posterior labels train a linear classifier, which scores every document.
 """
 
 from __future__ import annotations
@@ -75,6 +76,10 @@ def features(found: dict[int, int], words: int, voters: int) -> np.ndarray:
     return x
 
 
+def _odds(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
+    return {b: log((t + 0.5) / (toxic + 1)) - log((c + 0.5) / (clean + 1)) for b, t, c in rows}
+
+
 def choose_voters(rows: list[tuple[str, int, int]], toxic: int, clean: int, most: int = VOTERS) -> list[str]:
     """rows: (word beginning, toxic documents, clean documents). The most telling ones, without near repetitions."""
 
@@ -86,7 +91,7 @@ def choose_voters(rows: list[tuple[str, int, int]], toxic: int, clean: int, most
                 s += 2 * o * log(o / e) if o and e else 0.0
         return s if n else 0.0
 
-    odds = {b: log((t + 0.5) / (toxic + 1)) - log((c + 0.5) / (clean + 1)) for b, t, c in rows}
+    odds = _odds(rows, toxic, clean)
     ranked = sorted(((telling(t, c), len(b), b) for b, t, c in rows if odds[b] > log(3)), key=lambda x: (-x[0], -x[1], x[2]))
     chosen: list[str] = []
     for score, _, b in ranked:
@@ -98,29 +103,97 @@ def choose_voters(rows: list[tuple[str, int, int]], toxic: int, clean: int, most
     return chosen
 
 
+def _sigmoid(z):
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
 class LabelModel:
-    """Posterior of the label from votes: rates by class; correlated voters that fire together share their weight."""
-
-    def __init__(self, votes: np.ndarray, y: np.ndarray):
-        n, m = votes.shape
-        self.prior = (y.sum() + 1) / (n + 2)
-        self.rate = np.stack([(votes[y == k].sum(0) + 0.3) / ((y == k).sum() + 1) for k in (0, 1)])
-        quiet = ~votes.any(1)
-        self.silent = [(quiet[y == k].sum() + 0.5) / ((y == k).sum() + 1) for k in (0, 1)]
-        left = votes - self.rate[y]
-        sd = np.sqrt((left**2).mean(0)) + 1e-9
-        self.correlation = (left.T @ left) / n / np.outer(sd, sd)
+    """Posteriors of a latent label from votes alone; no row's own label is seen.
+
+    The label draws the votes; within a class a voter also depends on one other voter, its parent in the tree of the
+    strongest conditional mutual information. Expectation maximisation estimates the rates at which a voter fires by
+    class (`rate`: its accuracies), its rates given its parent (`given`), and the voters' correlations within a class
+    (`correlation`), which choose the tree: a copy of its parent adds nothing. The prior share of the label is given.
+    With `abstain`, for voters that don't apply to every row (words of one language), a voter that doesn't fire says
+    nothing, and that none fires is a vote of its own; else not firing counts as firing does. Estimation begins with the
+    log odds `start` that each voter stands for (without them, rarer voters stand for more), and its first posteriors
+    keep a share `anchor` in all later ones' estimates: a single independent voter tells no classes apart.
+    """
+
+    def __init__(self, votes: np.ndarray, prior: float, start: np.ndarray | None = None, rounds: int = 10, abstain: bool = True, anchor: float = 0.5):
+        self.prior, self.abstain = float(np.clip(prior, 1e-4, 1 - 1e-4)), abstain
+        x = self._with_silence(votes)
+        if start is None:
+            start = -np.log((votes.sum(0) + 1) / (len(votes) + 2))
+        q = first = _sigmoid(votes @ start - self._shift(votes @ start))
+        for _ in range(rounds):
+            self._fit(x, (q + anchor * first) / (1 + anchor))
+            z = self._evidence(x)
+            self.shift = self._shift(z)
+            last, q = q, _sigmoid(z - self.shift)
+            if np.abs(q - last).max() < 1e-3:
+                break
+
+    def _shift(self, z: np.ndarray) -> float:
+        """What to take off the evidence so that the posteriors' mean is the prior share."""
+        lo, hi = -200.0, 200.0
+        for _ in range(60):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if _sigmoid(z - mid).mean() > self.prior else (lo, mid)
+        return (lo + hi) / 2
+
+    def _with_silence(self, votes: np.ndarray) -> np.ndarray:
+        return (np.c_[votes, ~votes.any(1)] if self.abstain else votes).astype(float)
+
+    def _fit(self, x: np.ndarray, q: np.ndarray) -> None:
+        m, weight = x.shape[1], (1 - q, q)
+        total = np.array([w.sum() for w in weight]) + 1
+        both = np.stack([(x * w[:, None]).T @ x for w in weight])  # how often two voters fire together, by class
+        one = np.stack([np.diag(b) for b in both])
+        self.rate = (one + 0.3) / total[:, None]
+        spread = np.sqrt(self.rate * (1 - self.rate))
+        within = (both / total[:, None, None] - self.rate[:, :, None] * self.rate[:, None, :]) / (spread[:, :, None] * spread[:, None, :])
+        self.correlation = np.clip((within * (total / total.sum())[:, None, None]).sum(0), -1, 1)
         np.fill_diagonal(self.correlation, 0)
-        both = [votes[y == k].T @ votes[y == k] for k in (0, 1)]
-        self.shared = np.max([b / np.maximum(np.diag(b), 1.0)[None, :] for b in both], 0)  # [k, j]: share of j's votes that k joins
-        np.fill_diagonal(self.shared, 0)
+        gain = np.zeros((m, m))
+        for k in (0, 1):
+            a, b = self.rate[k][:, None], self.rate[k][None, :]
+            joint = np.clip((both[k] + 0.3 * np.minimum(a, b)) / total[k], 1e-9, np.minimum(a, b) * (1 - 1e-9))
+            for p, e in ((joint, a * b), (a - joint, a * (1 - b)), (b - joint, (1 - a) * b), (1 - a - b + joint, (1 - a) * (1 - b))):
+                gain += total[k] * np.where(p > 0, p * np.log(np.maximum(p, 1e-12) / e), 0)
+        self.parent = self._tree(gain, np.log(len(x) + 1))
+        has, pa = np.flatnonzero(self.parent >= 0), self.parent[self.parent >= 0]
+        self.given = np.repeat(self.rate[:, None], 2, 1)  # [class, whether the parent fires, voter]
+        for k in (0, 1):
+            fired, prior = one[k][pa], self.rate[k][has]
+            self.given[k, 1, has] = (both[k][has, pa] + 2 * prior) / (fired + 2)
+            self.given[k, 0, has] = (one[k][has] - both[k][has, pa] + 2 * prior) / (total[k] - 1 - fired + 2)
+
+    @staticmethod
+    def _tree(gain: np.ndarray, least: float) -> np.ndarray:
+        """Each voter's parent, or -1: a spanning forest of the greatest gains, none below `least`."""
+        m = len(gain)
+        parent, best, seen = np.full(m, -1), np.full(m, -np.inf), np.zeros(m, bool)
+        for _ in range(m):
+            at = int(np.where(seen, -np.inf, best).argmax()) if seen.any() else int(gain.sum(1).argmax())
+            if seen[at]:
+                at = int(np.flatnonzero(~seen)[0])
+            if best[at] < least:
+                parent[at] = -1
+            seen[at] = True
+            better = ~seen & (gain[at] > best)
+            best[better], parent[better] = gain[at][better], at
+        return parent
+
+    def _evidence(self, x: np.ndarray) -> np.ndarray:
+        p = np.clip(self.given, 1e-6, 1 - 1e-6)
+        joined = np.where(self.parent >= 0, x[:, self.parent], 0) > 0
+        said = lambda r: np.where(joined, r[1], r[0])
+        z = (x * said(np.log(p[1] / p[0]))).sum(1)
+        return z if self.abstain else z + ((1 - x) * said(np.log((1 - p[1]) / (1 - p[0])))).sum(1)
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """A voter that does not fire abstains; only that none fires is held against the label, as a voter of its own."""
-        each = votes * np.log(self.rate[1] / self.rate[0]) / (1 + votes @ self.shared)
-        z = np.log(self.prior / (1 - self.prior)) + each.sum(1)
-        z = z + np.where(votes.any(1), 0.0, np.log(self.silent[1] / self.silent[0]))
-        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        return _sigmoid(self._evidence(self._with_silence(votes)) - self.shift)
 
 
 def fit_linear(x: np.ndarray, q: np.ndarray, penalty: float = 0.2, rounds: int = 25) -> np.ndarray:
@@ -130,7 +203,7 @@ def fit_linear(x: np.ndarray, q: np.ndarray, penalty: float = 0.2, rounds: int =
     ridge = np.full(x.shape[1], penalty)
     ridge[-1] = 1e-6
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        p = _sigmoid(x @ w)
         g = x.T @ (p - q) + ridge * w
         step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge + 1e-9), g)
         w -= step
@@ -149,7 +222,7 @@ class ToxicityModel:
 
         def score(text: str) -> float:
             found, words = counter.count(text)
-            return float(1 / (1 + np.exp(-np.clip(features(found, words, n) @ w[:-1] + w[-1], -30, 30))))
+            return float(_sigmoid(features(found, words, n) @ w[:-1] + w[-1]))
 
         return score
 
@@ -164,7 +237,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     total = known.count()
     share = min(1.0, rows / max(total, 1))
-    known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    known = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) < int(share * 2**53))
     part = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(sized_broadcast(known, 2 * rows), "doc_id").select("text", "toxic")
     part = materialize(part, "toxicity-train")
 
@@ -183,7 +256,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     counts = part.mapInArrow(tally, "b string, t long, c long").groupBy("b").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
     best = counts.where((F.col("t") >= 3) & (odds > log(3))).orderBy(F.desc(F.col("t") / toxic - F.col("c") / clean), "b").limit(20 * VOTERS)  # bounds the model, not the rows it scores
-    names = choose_voters([tuple(r) for r in best.collect()], toxic, clean)
+    found = [tuple(r) for r in best.collect()]
+    names = choose_voters(found, toxic, clean)
+    odds = _odds(found, toxic, clean)
 
     def vote(batches):
         counter = Voters(names)
@@ -197,7 +272,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     for k, r in enumerate(cast):
         n[k, list(r[1])] = r[2]
     votes = np.concatenate([(n >= lo) & (n < hi) for lo, hi in zip(COUNTS, (*COUNTS[1:], np.inf))], 1).astype(float)
-    q = LabelModel(votes, y).posterior(votes)
+    q = LabelModel(votes, y.mean(), np.tile([odds[b] for b in names], len(COUNTS))).posterior(votes)
     x = np.stack([features(dict(zip(r[1], r[2])), r[3], len(names)) for r in cast])
     return ToxicityModel(names, fit_linear(x, q))
 
