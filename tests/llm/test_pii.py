@@ -3,8 +3,9 @@ import random
 import re
 
 import numpy as np
+import pytest
 
-from varqa.llm.pii import KINDS, WINDOW, BiLstmCrf, _labelled, base_spans, detect_pii, find_pii, luhn, reconcile, trained, windows
+from varqa.llm.pii import KINDS, WINDOW, BiLstmCrf, _labelled, _piece, base_spans, detect_pii, find_pii, luhn, reconcile, stretches, teacher, train_pii, trained, windows
 
 BRUTE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
@@ -94,3 +95,51 @@ def test_nulls_ties_long_texts_and_other_columns(spark):
     got = {(r.doc_id, r.n_email, r.n_ip, r.n_phone) for r in detect_pii(docs).collect()}
     assert got == {(1, 0, 0, 0), (2, 0, 0, 0), (3, 20000, 0, 0), (3, 0, 1, 0), (None, 0, 0, 1)}
     assert detect_pii(docs.limit(0)).count() == 0
+
+
+@pytest.fixture(scope="module")
+def held_out(spark):
+    """A network trained on four fifths of the documents, and the texts of the rest."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    return train_pii(docs.where("doc_id % 5 <> 0")), [r.text for r in docs.where("doc_id % 5 = 0").orderBy("doc_id").collect()]
+
+
+def test_forms_planted_in_held_out_texts(held_out):
+    net, texts = held_out
+    rng, words, made, gold = random.Random(5), " ".join(texts).split(), [], []
+    for _ in range(500):
+        piece, spans = _piece(rng)
+        k = rng.randint(0, len(words) - 40)
+        before = " ".join(words[k : k + 12]) + " "
+        made.append(before + piece + " " + " ".join(words[k + 12 : k + 24]))
+        gold.append([(a, s + len(before), e + len(before)) for a, s, e in spans] + [x for x in teacher(before) if x[2] < len(before)])
+    got = [every for _, every in find_pii(made, net)]
+    right = sum(x in every for want, every in zip(gold, got) for x in want)
+    assert right / sum(map(len, gold)) > 0.9
+    assert right / sum(map(len, got)) > 0.9
+
+
+def test_secrets_of_held_out_documents_are_added(held_out):
+    net, texts = held_out
+    named = found = added = 0
+    for text, (base, every) in zip(texts, find_pii(texts, net)):
+        want = {x for x in teacher(text) if x[0] == "secret"}
+        named, found, added = named + len(want), found + len(want & set(every)), added + len(every) - len(base)
+    assert named and found / named > 0.9 and found / added > 0.9
+
+
+def test_a_number_that_runs_into_another_is_found(held_out):
+    ((base, every),) = find_pii(["un. Des +1 (826) 555-4081 190.137.22.204 du la"], held_out[0])
+    assert [k for k, _, _ in base] == ["ip"] and ("phone", 8, 25) in every
+
+
+def test_windows_reach_over_whole_runs_and_keep_labels():
+    t = "see " + "a" * 60 + "@" + "b" * 60 + ".example.com now"
+    (s, e) = windows(t)[0][0], windows(t)[-1][1]
+    assert s == 0 and e == len(t)
+    assert stretches("x +1 (555) 123-4567 y") == [("x +1 (555) 123-4567 y", [("phone", 2, 19)])]
+
+
+def test_an_empty_table_trains_on_generated_windows(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert train_pii(none).p["e"].shape[0] == 130 and detect_pii(none).collect() == []

@@ -1,8 +1,10 @@
 """Personal data: exact base patterns, and spans that a character BiLSTM with CRF transitions adds.
 
-The network is trained in numpy from generated sentences with labelled spans. Every span of its kinds holds a digit
-or an @, so windows are laid around those characters only; overlapping windows are decoded one by one and
-reconciled over the whole text: each character keeps the tag of the window in which it is farthest from an edge.
+The network is trained in numpy on labelled windows of the corpus: stretches of its own texts, labelled by the base
+patterns and by named secrets, with further forms set in between that no pattern has (hidden addresses, bare phone
+numbers, numbers that run into one another, keys). Every span of its kinds holds a digit or an @, so windows are laid
+over the runs around those characters only, and none can be missed elsewhere; overlapping windows are decoded one by
+one and reconciled over the whole text: each character keeps the tag of the window in which it is farthest from an edge.
 """
 
 from __future__ import annotations
@@ -20,9 +22,11 @@ from pyspark.sql import functions as F
 from .common import utf8_buffer
 
 KINDS = ("email", "ip", "card", "phone")
+#: The network's kinds: a secret is the value of a named key or token.
+ALL_KINDS = (*KINDS, "secret")
 WINDOW, STRIDE, MARGIN = 96, 48, 24
-#: Bounds of training: generated sentences, steps, and the sizes of the network.
-SENTENCES, STEPS, BATCH, EMBED, HIDDEN = 3000, 260, 48, 12, 20
+#: Bounds of training: documents that give windows, windows in all, steps, and the sizes of the network.
+DOCUMENTS, SENTENCES, STEPS, BATCH, EMBED, HIDDEN = 20_000, 3000, 360, 48, 12, 20
 
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
@@ -30,6 +34,8 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _TRIGGER = re.compile("[0-9@]")
+_SECRET = re.compile(r"(?i)\b(?:token|secret|password|passwd|pwd|api[_-]?key|access[_-]?key|key)[\"']?\s?[=:]\s?[\"']?([a-z0-9+/_-]{16,64})(?![a-z0-9+/_-])")
+_VALUE = re.compile("[A-Za-z0-9+/_-]+")
 _BYTES = np.zeros(256, bool)
 _BYTES[[*range(48, 58), 64]] = True
 
@@ -77,7 +83,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # --- the network -----------------------------------------------------------------------------------------------
 
-_TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
+_TAGS = 1 + 2 * len(ALL_KINDS)  # O, then B and I of each kind
 
 
 def char_ids(text: str) -> np.ndarray:
@@ -86,52 +92,97 @@ def char_ids(text: str) -> np.ndarray:
     return np.where(x < 128, x + 1, 129)
 
 
-def _sentence(rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
-    """WINDOW characters with labelled spans: also forms that the base patterns miss, and numbers that are none."""
-    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
-    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwéèüñ") for _ in range(rng.randint(1, 9)))
+def _digits(rng: random.Random, n: int) -> str:
+    return "".join(rng.choice("0123456789") for _ in range(n))
 
-    def card():
-        d = rng.choice("3456") + digits(rng.choice((12, 13, 14, 14, 14)))
-        d += next(c for c in "0123456789" if luhn(d + c))
-        sep = rng.choice(("", "", " ", "-", "."))
-        return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
 
-    def phone():
-        a, b, c = digits(3), digits(3), digits(4)
-        return rng.choice((f"+{rng.randint(1, 99)} ({a}) {b}-{c}", f"+{rng.randint(1, 99)} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{rng.randint(1, 99)}{a}{b}{c}"))
+def _word(rng: random.Random) -> str:
+    return "".join(rng.choice("abcdefghijklmnoprstuvwéèüñ") for _ in range(rng.randint(1, 9)))
 
-    def email():
-        return f"{word()}{rng.choice(('', '.', '_'))}{rng.choice((word(), digits(2)))}{rng.choice(('@', '@', '@', ' @ ', '(at)@'))}{word()}{digits(1)}.{rng.choice(('com', 'org', 'example.com', 'de'))}"
 
-    makers = {"email": email, "ip": lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)), "card": card, "phone": phone}
-    none = (lambda: digits(rng.randint(1, 8)), lambda: f"{digits(2)}.{digits(2)}", lambda: f"{digits(4)}-{digits(2)}-{digits(2)}", lambda: f"v{rng.randint(0, 9)}.{rng.randint(0, 9)}.{rng.randint(0, 30)}", lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40)), lambda: f"@{word()}", lambda: digits(rng.randint(20, 30)))
+def _card(rng: random.Random) -> str:
+    d = rng.choice("3456") + _digits(rng, rng.choice((12, 13, 14, 14, 14)))
+    d += next(c for c in "0123456789" if luhn(d + c))
+    return rng.choice(("", "", " ", "-", ".")).join(d[i : i + 4] for i in range(0, len(d), 4))
+
+
+def _phone(rng: random.Random) -> str:
+    a, b, c, land = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4), rng.randint(1, 99)
+    return rng.choice((f"+{land} ({a}) {b}-{c}", f"+{land} ({a}) {b}-{c}", f"+{land} {a} {b} {c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{land}{a}{b}{c}"))
+
+
+def _email(rng: random.Random) -> str:
+    who = f"{_word(rng)}{rng.choice(('', '.', '_'))}{rng.choice((_word(rng), _digits(rng, 2)))}"
+    return f"{who}{rng.choice(('@', '@', '@', ' @ ', '(at)@'))}{_word(rng)}{_digits(rng, 1)}.{rng.choice(('com', 'org', 'example.com', 'de'))}"
+
+
+def _ip(rng: random.Random) -> str:
+    return ".".join(str(rng.randint(0, 255)) for _ in range(4))
+
+
+def _secret(rng: random.Random) -> tuple[str, str]:
+    """What names a secret, and the secret."""
+    name = rng.choice(("token", "token", "Token", "TOKEN", "api_key", "API_KEY", "secret", "password", "access-key", "key"))
+    letters = rng.choice(("0123456789abcdef", "0123456789abcdef", "0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"))
+    return f"{name}{rng.choice((' = ', ' = ', '=', ': ', ':'))}{rng.choice(chr(34) + chr(34) + chr(39) + '|')}".rstrip("|"), "".join(rng.choice(letters) for _ in range(rng.choice((20, 32, 40, 40, 40))))
+
+
+def _no_span(rng: random.Random) -> str:
+    """Numbers and signs that are no personal data: also a digest without a name, and a card number that fails its check."""
+    x, y = rng.randint(0, 9), "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    wrong = next(d for d in iter(lambda: _digits(rng, 16), "") if not luhn(d))
+    return rng.choice((_digits(rng, rng.randint(1, 8)), f"{_digits(rng, 2)}.{_digits(rng, 2)}", f"{_digits(rng, 4)}-{_digits(rng, 2)}-{_digits(rng, 2)}", f"v{x}.{rng.randint(0, 9)}.{rng.randint(0, 30)}", y, f"commit {y}", f"@{_word(rng)}", _digits(rng, rng.randint(20, 30)), wrong))
+
+
+def _piece(rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
+    """One stretch with its labels: a span, or two numbers that run into one another."""
+    x = rng.random()
+    if x < 0.3:
+        name, value = _secret(rng)
+        return name + value + (name[-1] if name[-1] in "\"'" else ""), [("secret", len(name), len(name) + len(value))]
+    if x < 0.4:
+        a, b = _phone(rng), _ip(rng)
+        return f"{a} {b}", [("phone", 0, len(a)), ("ip", len(a) + 1, len(a) + 1 + len(b))]
+    kind, made = rng.choice((("email", _email), ("ip", _ip), ("card", _card), ("phone", _phone), ("phone", _phone)))
+    t = made(rng)
+    return t, [(kind, 0, len(t))]
+
+
+def _sentence(rng: random.Random, corpus: list[tuple[str, list[tuple[str, int, int]]]] = ()) -> tuple[str, list[tuple[str, int, int]]]:
+    """WINDOW characters with labelled spans: the corpus' own stretches and words, further forms, and numbers that are none."""
     text, spans = "", []
+
+    def add(t, found=()):
+        nonlocal text
+        spans.extend((k, s + len(text), e + len(text)) for k, s, e in found)
+        text += t
+
     while len(text) < WINDOW:
-        text += rng.choice(("", " ", " ", ". ", ", ", "\n", '"', "(", "*** ")) if text else ""
+        add(rng.choice(("", " ", " ", ". ", ", ", "\n", '"', "(", "*** ")) if text else "")
         x = rng.random()
         if x < 0.16:
-            kind = rng.choice(KINDS)
-            s = makers[kind]()
-            spans.append((kind, len(text), len(text) + len(s)))
-            text += s + rng.choice((" ", " ", ".", "\n", "!!"))
+            add(*_piece(rng))
+            add(rng.choice((" ", " ", ".", "\n", "!!", "$$$ ")))
         elif x < 0.28:
-            text += rng.choice(none)() + " "
+            add(_no_span(rng) + " ")
+        elif corpus and x < 0.6:
+            add(*rng.choice(corpus))
+            add(" ")
         else:
-            text += word() + " "
+            add(_word(rng) + " ")
     shift = rng.randint(0, len(text) - WINDOW)
     kept = [(k, max(s - shift, 0), min(e - shift, WINDOW)) for k, s, e in spans if s - shift < WINDOW and e - shift > 0]
     return text[shift : shift + WINDOW], kept
 
 
-def _labelled(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+def _labelled(n: int, seed: int, corpus: list = ()) -> tuple[np.ndarray, np.ndarray]:
     rng = random.Random(seed)
     x, y = np.zeros((n, WINDOW), np.int64), np.zeros((n, WINDOW), np.int64)
     for i in range(n):
-        text, spans = _sentence(rng)
+        text, spans = _sentence(rng, corpus)
         x[i] = char_ids(text)
         for kind, s, e in spans:
-            k = 1 + 2 * KINDS.index(kind)
+            k = 1 + 2 * ALL_KINDS.index(kind)
             y[i, s:e] = k + 1
             y[i, s] = k
         pad = rng.choice((0, 0, 0, rng.randint(1, 60)))
@@ -140,6 +191,27 @@ def _labelled(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     return x, y
 
 
+def teacher(text: str) -> list[tuple[str, int, int]]:
+    """The labels of a corpus text: its base spans, and secrets that are named."""
+    named = [("secret", m.start(1), m.end(1)) for m in _SECRET.finditer(text) if _mixed(m[1])]
+    base = base_spans(text)
+    return [x for x in base if all(x[2] <= s or x[1] >= e for _, s, e in named)] + named
+
+
+def _mixed(t: str) -> bool:
+    return any(c.isdigit() for c in t) and any(c.isalpha() for c in t)
+
+
+def stretches(text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """A text's windows with the teacher's labels; windows that cut a span are left out."""
+    known, out = teacher(text), []
+    for s, e in windows(text):
+        inside = [(k, a - s, b - s) for k, a, b in known if a < e and b > s]
+        if all(a >= 0 and b <= e - s for _, a, b in inside):
+            out.append((text[s:e], inside))
+    return out
+
+
 def _sigmoid(z):
     return 1 / (1 + np.exp(-z))
 
@@ -250,11 +322,31 @@ class BiLstmCrf:
         return out.T
 
 
+def corpus_windows(docs: DataFrame, documents: int = DOCUMENTS, most: int = SENTENCES) -> list[tuple[str, list[tuple[str, int, int]]]]:
+    """Labelled windows of about `documents` documents, chosen by a hash of their ids and texts; at most `most` of them.
+
+    Windows are cut where the texts are; the `most` of the least hashes come to the driver, WINDOW characters each.
+    """
+    share = min(1.0, documents / max(docs.count(), 1))
+
+    def run(batches):
+        for b in batches:
+            flat, offsets = utf8_buffer(b.column(0))
+            hits = np.diff(np.searchsorted(np.flatnonzero(_BYTES[flat]), offsets))
+            cut = {(t, tuple(spans)) for i in np.flatnonzero(hits).tolist() for t, spans in stretches(b.column(0)[i].as_py())}
+            t = [x for x, _ in cut]
+            yield pa.RecordBatch.from_arrays([pa.array(t, pa.string()), pa.array([",".join(f"{k}:{s}:{e}" for k, s, e in spans) for _, spans in cut], pa.string())], ["t", "spans"])
+
+    picked = docs.where(F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 11) < int(share * 2**53)).select("text")
+    rows = picked.mapInArrow(run, "t string, spans string").distinct().orderBy(F.xxhash64("t"), "t", "spans").limit(most).collect()  # bounds what trains the network
+    return [(r.t, [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]) for r in rows]
+
+
 @cache
-def trained(sentences: int = SENTENCES, steps: int = STEPS, seed: int = 7) -> BiLstmCrf:
-    """Adam over generated sentences; the same numbers give the same network."""
+def trained(corpus: tuple = (), sentences: int = SENTENCES, steps: int = STEPS, seed: int = 7) -> BiLstmCrf:
+    """Adam over labelled windows; the same corpus windows and numbers give the same network."""
     net, rng = BiLstmCrf(seed), np.random.default_rng(seed)
-    x, y = _labelled(sentences, seed)
+    x, y = _labelled(sentences, seed, [(t, list(spans)) for t, spans in corpus])
     first = {k: np.zeros_like(v) for k, v in net.p.items()}
     second = {k: np.zeros_like(v) for k, v in net.p.items()}
     for t in range(1, steps + 1):
@@ -270,22 +362,34 @@ def trained(sentences: int = SENTENCES, steps: int = STEPS, seed: int = 7) -> Bi
     return net
 
 
+def train_pii(docs: DataFrame) -> BiLstmCrf:
+    """The network for a corpus, from its own labelled windows; an empty corpus leaves the generated ones."""
+    return trained(tuple((t, tuple(spans)) for t, spans in corpus_windows(docs)))
+
+
 def windows(text: str) -> list[tuple[int, int]]:
-    """Overlapping windows over all stretches within MARGIN characters of a digit or an @."""
-    out, lo, hi = [], None, None
+    """Overlapping windows over all stretches within MARGIN characters of a run of non-blanks with a digit or an @."""
+    out, lo, hi, n = [], None, 0, len(text)
     for m in _TRIGGER.finditer(text):
         p = m.start()
-        if lo is not None and p - MARGIN <= hi:
-            hi = p + MARGIN + 1
+        if lo is not None and p < hi - MARGIN:
+            continue
+        s = e = p
+        while s > max(hi - MARGIN, 0) and not text[s - 1].isspace():
+            s -= 1
+        while e < n and not text[e].isspace():
+            e += 1
+        if lo is not None and s - MARGIN <= hi:
+            hi = e + MARGIN
             continue
         if lo is not None:
             out.append((lo, hi))
-        lo, hi = max(p - MARGIN, 0), p + MARGIN + 1
+        lo, hi = max(s - MARGIN, 0), e + MARGIN
     if lo is not None:
         out.append((lo, hi))
     cut = []
     for s, e in out:
-        e = min(e, len(text))
+        e = min(e, n)
         for a in range(s, max(e - WINDOW, s) + STRIDE, STRIDE):
             cut.append((a, min(a + WINDOW, e)))
             if a + WINDOW >= e:
@@ -313,7 +417,7 @@ def reconcile(found: list[tuple[int, int, np.ndarray]]) -> list[tuple[str, int,
         edge = np.flatnonzero(np.r_[True, (kind[1:] != kind[:-1]) | ((tags[1:] % 2 == 1) & (tags[1:] > 0))])
         for a, b in zip(edge, np.r_[edge[1:], len(tags)]):
             if kind[a]:
-                spans.append((KINDS[kind[a] - 1], int(lo + a), int(lo + b)))
+                spans.append((ALL_KINDS[kind[a] - 1], int(lo + a), int(lo + b)))
         i = j
     return spans
 
@@ -331,6 +435,8 @@ def added_spans(text: str, base: list[tuple[str, int, int]], model: list[tuple[s
             fine = t.count("@") == 1 and "." in t.split("@")[1] and t[0] != "@"
         elif kind == "ip":
             fine = bool(_IP.fullmatch(t)) and valid(kind, t)
+        elif kind == "secret":
+            fine = 16 <= len(t) <= 64 and _mixed(t) and bool(_VALUE.fullmatch(t))
         else:
             fine = valid(kind, t) and all(c in "0123456789+().- " for c in t)
         left, right = text[s - 1 : s], text[e : e + 1]
@@ -341,7 +447,7 @@ def added_spans(text: str, base: list[tuple[str, int, int]], model: list[tuple[s
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1])))
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (ALL_KINDS.index(x[0]), x[1])))
 
 
 def find_pii(texts: list[str], net: BiLstmCrf) -> list[tuple[list, list]]:
@@ -364,11 +470,12 @@ def find_pii(texts: list[str], net: BiLstmCrf) -> list[tuple[list, list]]:
 
 
 def detect_pii(docs: DataFrame, net: BiLstmCrf | None = None) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added for every row of docs.
+    """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added, n_spans for every row of docs.
 
-    Null and empty texts have none; repeated rows agree; other columns are ignored; whole texts of any length.
+    Null and empty texts have none; repeated rows agree; other columns are ignored; whole texts of any length; an empty
+    table gives an empty result. Without a network, one is trained on docs.
     """
-    net = net or trained()
+    net = net or train_pii(docs)
 
     def run(batches):
         for b in batches:
@@ -383,9 +490,9 @@ def detect_pii(docs: DataFrame, net: BiLstmCrf | None = None) -> DataFrame:
             for i in range(b.num_rows):
                 base, every = got.get(i, ((), ()))
                 kinds = [k for k, _, _ in base]
-                out.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(_joined(list(base)).encode()).hexdigest(), _joined(list(every)), len(every) - len(base)))
-            c = list(zip(*out)) if out else [()] * 7
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(c, kinds))], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
+                out.append((*(kinds.count(k) for k in KINDS), hashlib.sha256(_joined(list(base)).encode()).hexdigest(), _joined(list(every)), len(every) - len(base), len(every)))
+            c = list(zip(*out)) if out else [()] * 8
+            kinds = [pa.int64()] * 4 + [pa.string(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(c, kinds))], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "n_spans"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
