@@ -74,10 +74,10 @@ def test_edited_copies_are_found_and_others_are_not():
 
 
 def test_nulls_empty_tables_and_other_columns(spark):
-    bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog again and again"), (2, None), (None, "x" * 99), (3, "short")], "item_id long, text string")
-    docs = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (None, "THE QUICK  brown fox, jumps over the lazy dog again and again", "c"), (4, "é" * 100000 + " the quick brown fox jumps over the lazy dog again and again", "d"), (4, "clean", "d")], "doc_id long, text string, item_id string")
+    bench = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog again and again"), (2, None), (None, "x" * 99), (None, "ask me no more"), (3, "short")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (None, "THE QUICK  brown fox, jumps over the lazy dog again and again", "c"), (4, "é" * 100000 + " the quick brown fox jumps over the lazy dog again and again", "d"), (4, "clean", "d"), (6, "y " + "x" * 99, "e"), (7, "Ask me no more!", "f")], "doc_id long, text string, item_id string")
     got = {(r.doc_id, r.item_id, r.start) for r in leaks(docs, bench).collect()}
-    assert got == {(None, 1, 0), (4, 1, 100001)}
+    assert got == {(None, 1, 0), (4, 1, 100001), (6, None, 0), (7, None, 0)}
     kept = decontaminate(docs, bench)
     assert kept.columns == docs.columns and kept.count() == 3
     assert leaks(docs.limit(0), bench).count() == 0 and leaks(docs, bench.limit(0)).count() == 0
@@ -107,3 +107,39 @@ def test_short_items_and_short_passages_leak(spark):
     got = {(r.doc_id, r.item_id, r.start, r.end, r.pieces, r.of_pieces, r.edits) for r in leaks(docs, bench).collect()}
     assert got == {(1, 1, 4, 66, 0, 1, 0), (2, 2, 4, 12, 1, 1, 0)}
     assert {r.doc_id for r in decontaminate(docs, bench).collect()} == {3, 4, 5}
+
+
+def test_edited_passages_planted_in_documents_match_brute_force(spark, sf_dir):
+    rng = random.Random(9)
+    docs = [r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").where("n_chars between 300 and 700").orderBy("doc_id").collect()][:12]
+    items = [r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").orderBy("item_id").collect()][:4]
+    pieces, made = Pieces(list(enumerate(items))), []
+    for i, text in enumerate(docs):
+        p, edits = bytearray(pieces.text[i % len(pieces.text)].tobytes()), i
+        for _ in range(edits):
+            at = rng.randrange(len(p))
+            match rng.randrange(3):
+                case 0:
+                    p[at : at + 1] = b"q"
+                case 1:
+                    del p[at]
+                case _:
+                    p.insert(at, ord("q"))
+        made.append((text[:150] + " " + p.decode("utf-8", "ignore") + " " + text[150:300]).encode())
+    want = {(d, j) for d, t in enumerate(made) for j in range(len(pieces.text)) if semi_global(pieces.text[j].tobytes(), _norm_one(t.decode()).tobytes()) <= pieces.k[j]}
+    got = {(d, j) for d, j, *_ in find(np.frombuffer(b"".join(made), np.uint8), np.cumsum([0, *map(len, made)]), pieces)}
+    assert got == want and len({d for d, _ in want}) >= 8
+
+
+def test_a_beginning_that_all_items_share_is_counted_in_bounded_parts(monkeypatch):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    head = "answer the following question with one letter only please "
+    items = [(i, head + " ".join(word() for _ in range(25))) for i in range(300)]
+    pieces = Pieces(items)
+    texts = [(head + "and no more " * 5).encode(), items[7][1].encode(), (head * 20 + items[250][1]).encode()]
+    flat, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    whole = find(flat, offsets, pieces)
+    monkeypatch.setattr("varqa.llm.decontam._PAIRS", 1000)
+    assert find(flat, offsets, pieces) == whole
+    assert {(d, pieces.item[p]) for d, p, *_ in whole} == {(1, 7), (2, 250)}

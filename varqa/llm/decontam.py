@@ -17,13 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts, utf8_buffer
+from .common import NULL_ID, id_array, utf8_buffer
 
 Q, PIECE, STRIDE, EDITS, BAND = 10, 120, 60, 0.08, 16
 #: Words of an item that a text must hold verbatim to count; each Chinese character or kana is a word.
 WORDS = 13
-#: Bytes of benchmark text that one pass over the documents compares them with.
-BLOCK_BYTES = 16 << 20
+#: Bytes of an index that one pass over the documents compares them with, and what an index takes for a byte of items.
+INDEX_BYTES, _PER_BYTE = 128 << 20, 40
+#: Shared q-grams that are counted at a time.
+_PAIRS = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 2**64)
 _SLICE = 1 << 19
@@ -166,20 +168,20 @@ class Pieces:
             x = _norm_one(text or "")
             n = len(words(x, np.array([0]))[0])
             if len(x) < 3 * Q:  # too little for edits: only as a whole
-                self.of_item.setdefault(item, 1)
+                self.of_item[item] = self.of_item.get(item, 0) + 1
                 if n:
                     runs.setdefault(n, []).append((item, x))
                 continue
             if n >= WORDS:
                 runs.setdefault(WORDS, []).append((item, x))
             starts = [0] if len(x) <= PIECE else [*range(0, len(x) - PIECE, STRIDE), len(x) - PIECE]
-            self.of_item[item] = len(starts)
+            self.of_item[item] = self.of_item.get(item, 0) + len(starts)
             for s in starts:
                 p = x[s : s + PIECE]
                 h = qgrams(p)
                 hashes.append(h)
-                where.append(np.full(len(h), len(self.item)))
-                at.append(np.arange(len(h)))
+                where.append(np.full(len(h), len(self.item), np.int32))
+                at.append(np.arange(len(h), dtype=np.int16))
                 self.item.append(item)
                 self.text.append(p)
         self.runs = [Runs(n, found) for n, found in sorted(runs.items())]
@@ -190,8 +192,8 @@ class Pieces:
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         h = h[order]
-        self.where = np.concatenate(where)[order] if hashes else np.zeros(0, np.int64)
-        self.at = np.concatenate(at)[order] if hashes else np.zeros(0, np.int64)
+        self.where = np.concatenate(where)[order] if hashes else np.zeros(0, np.int32)
+        self.at = np.concatenate(at)[order] if hashes else np.zeros(0, np.int16)
         self.hash, first = np.unique(h, return_index=True)
         self.first = np.r_[first, len(h)]
         self.seen = np.zeros(1 << _BITS, bool)
@@ -256,6 +258,34 @@ def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[in
     return out
 
 
+def _band_counts(pos, k, doc, starts, pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, piece, band and shared q-grams of every diagonal band in which q-grams meet.
+
+    A q-gram that many pieces hold meets them all; so some _PAIRS meetings are laid out at a time and only counts are kept.
+    """
+    count = pieces.first[k + 1] - pieces.first[k]
+    bands = int((np.diff(starts).max() if len(starts) > 1 else 0) + PIECE) // BAND + 2
+    total = np.cumsum(count)
+    kept = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    lo = 0
+    while lo < len(pos):
+        hi = max(lo + 1, int(np.searchsorted(total, (total[lo - 1] if lo else 0) + _PAIRS, side="right")))
+        n = count[lo:hi]
+        at = np.repeat(pieces.first[k[lo:hi]], n) + (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        d, piece = np.repeat(doc[lo:hi], n), pieces.where[at].astype(np.int64)
+        band = (np.repeat(pos[lo:hi], n) - pieces.at[at] - starts[d] + PIECE) // BAND
+        key = (d * len(pieces.m) + piece) * bands
+        found, n = np.unique(np.r_[key + band, key + np.maximum(band - 1, 0)], return_counts=True)
+        if len(kept[0]):
+            found, back = np.unique(np.r_[kept[0], found], return_inverse=True)
+            n = np.bincount(back, np.r_[kept[1], n]).astype(np.int64)
+        kept = found, n
+        lo = hi
+    key, band = np.divmod(kept[0], bands)
+    doc_at, piece = np.divmod(key, len(pieces.m))
+    return doc_at, piece, band, kept[1]
+
+
 def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
     x, at, starts = normalize(flat, offsets)
     hits, which = [], []
@@ -274,20 +304,12 @@ def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[i
     doc = np.searchsorted(starts, pos, side="right") - 1
     inside = pos + Q <= starts[doc + 1]
     pos, k, doc = pos[inside], k[inside], doc[inside]
-    count = pieces.first[k + 1] - pieces.first[k]
-    flat_at = np.repeat(pieces.first[k], count) + (np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count))
-    pos, doc, piece = np.repeat(pos, count), np.repeat(doc, count), pieces.where[flat_at]
-    diagonal = pos - pieces.at[flat_at] - starts[doc] + PIECE  # not negative
-    band = diagonal // BAND
-    keys = np.stack([np.r_[doc, doc], np.r_[piece, piece], np.r_[band, np.maximum(band - 1, 0)]])
-    order = np.lexsort(keys[::-1])
-    keys = keys[:, order]
-    cut = np.flatnonzero(np.r_[True, (keys[:, 1:] != keys[:, :-1]).any(0)]) if keys.shape[1] else np.zeros(0, np.int64)
-    counts = np.diff(np.r_[cut, keys.shape[1]])
-    enough = counts >= pieces.least[keys[1][cut]] if len(cut) else np.zeros(0, bool)
+    doc_at, piece_at, band_at, counts = _band_counts(pos, k, doc, starts, pieces)
+    enough = counts >= pieces.least[piece_at]
+    doc_at, piece_at, band_at, counts = doc_at[enough], piece_at[enough], band_at[enough], counts[enough]
     out, done = [], {}
-    for i, c in sorted(zip(cut[enough].tolist(), counts[enough].tolist()), key=lambda t: -t[1]):
-        d, p, b = keys[:, i].tolist()
+    for i in np.argsort(-counts, kind="stable").tolist():
+        d, p, b, c = int(doc_at[i]), int(piece_at[i]), int(band_at[i]), int(counts[i])
         if any(b + e in done.get((d, p), ()) for e in (-1, 0, 1)):
             continue  # the neighbouring band holds the same region
         edits_most, m = int(pieces.k[p]), int(pieces.m[p])
@@ -307,12 +329,12 @@ def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[i
 
 
 def _blocks(benchmark: DataFrame):
-    """Indexes of the benchmark's items, in blocks of bounded size (one block for a usual benchmark)."""
+    """Indexes of the benchmark's items, of about INDEX_BYTES at most each (one for a usual benchmark)."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
-    n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES))
+    n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * _PER_BYTE // INDEX_BYTES))
     for i in range(n):
-        part = items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == i) if n > 1 else items
-        yield Pieces(sorted(((r.item_id, r.text) for r in part.where("item_id is not null").toLocalIterator()), key=lambda r: (r[0], r[1] or "")))
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) if n > 1 else items
+        yield Pieces(sorted((NULL_ID if r.item_id is None else r.item_id, r.text or "") for r in part.toLocalIterator()))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -320,8 +342,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     doc_id, item_id, start, end (code points of the whole stretch), pieces, of_pieces, edits.
 
     A passage is a piece within its edits (counted in pieces and edits) or a verbatim run of WORDS words; items of fewer
-    than 30 bytes count as one piece, verbatim and of whole words. Null texts hold none; repeated rows report again;
-    other columns are ignored. Rows of a null doc_id report with a null doc_id.
+    than 30 bytes count as one piece, verbatim and of whole words; items without a word match nothing. Null and empty
+    texts hold none; repeated rows report again; very long texts are searched whole; other columns are ignored; empty
+    tables give an empty result. Rows of a null doc_id report with a null doc_id, items of a null item_id with a null
+    item_id (all such items as one).
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     kinds = "doc_id long, item_id long, start long, end long, pieces long, of_pieces long, edits long"
@@ -349,7 +373,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     chars = np.cumsum((raw & 0xC0) != 0x80)
                     rows.append((doc_ids[d], item, int(chars[s]) - 1, int(chars[e - 1]), len(ps), pieces.of_item[item], k))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["doc_id", "item_id", "start", "end", "pieces", "of_pieces", "edits"])
+                    columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
+                    columns[1] = id_array(np.array([r[1] for r in rows], np.int64))
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "start", "end", "pieces", "of_pieces", "edits"])
 
         part = source.mapInArrow(run, kinds)
         out = part if out is None else out.unionByName(part)
@@ -357,7 +383,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows that hold a benchmark passage; all columns as they were, nothing shuffled."""
+    """docs without the rows that hold a benchmark passage; all columns as they were, nothing shuffled.
+
+    Null and empty texts hold none and stay, whatever their doc_id; an empty benchmark, or items that are null or
+    without a word, reject nothing; items of a null item_id count like any other; repeated rows go or stay together.
+    """
     at = docs.columns.index("text")
     out = docs
     for pieces in _blocks(benchmark):
