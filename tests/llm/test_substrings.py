@@ -43,6 +43,7 @@ def test_documents_match_brute_force(spark, sf_dir):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     check(spark, rows)
     check(spark, rows, batch_bytes=20_000)
+    check(spark, rows, batch_bytes=20_000, hot=3)
 
 
 def test_few_words_in_many_orders(spark):
@@ -56,6 +57,8 @@ def test_few_words_in_many_orders(spark):
         i = rng.randrange(20)
         rows.append((d, " ".join(t[i : i + rng.randint(5, 60)])))
     check(spark, rows, batch_bytes=500)
+    check(spark, rows, batch_bytes=500, hot=0)
+    check(spark, rows, batch_bytes=500, hot=20)
 
 
 def test_nulls_ties_and_white_space(spark):

@@ -10,6 +10,10 @@ so that no common passage puts more than one entry per batch into a shard:
    order of documents, and streams every stretch through it for matching statistics; where the statistic reaches
    `length`, the state of that suffix knows the first document.
 
+An anchor that occurs oftener than HOT times (a phrase in ever other contexts, a large group of copies) would make one
+great automaton. Its windows are dealt out one by one instead, by the hash of all their words, so they spread over
+all shards; the automaton of equal windows is a path and its answer their first document.
+
 Batches then remove the spans that earlier documents cover.
 """
 
@@ -27,6 +31,11 @@ from .common import batches_for, id_array, ids, utf8_buffer
 
 LENGTH, GRAM = 13, 6
 BATCH_BYTES = 8 << 20
+#: Occurrences beyond which an anchor's windows are dealt out one by one.
+HOT = 512
+#: Batches that a task holds one after the other, and that share a shard.
+_BATCHES_A_TASK = 16
+_ALL, _ONE = 255, 254  # for a window's number in an answer: all of a stretch; a window dealt out alone
 _BASE = 0xD6E8FEB86659FD93
 _INVERSE = pow(_BASE, -1, 2**64)
 _SPACE = np.zeros(256, bool)
@@ -202,8 +211,8 @@ class SuffixAutomaton:
         return out
 
 
-def _shared(data: list[tuple[int, bytes]]):
-    """Of (batch, packed anchors): for each batch those that are in more than one document."""
+def _shared(data: list[tuple[int, bytes]], hot: int):
+    """Of (batch, packed anchors): for each batch those that are in more than one document, and which of them are hot."""
     h = [_unpacked(d, "u8 u1") for _, d in data]
     key, many = np.concatenate([x[0] for x in h]), np.concatenate([x[1] for x in h])
     batch = np.repeat([b for b, _ in data], [len(x[0]) for x in h])
@@ -211,13 +220,14 @@ def _shared(data: list[tuple[int, bytes]]):
     key, many, batch = key[order], many[order], batch[order]
     cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     size = np.diff(np.r_[cut, len(key)])
-    keep = np.repeat((size > 1) | (np.maximum.reduceat(many, cut) > 0), size)
+    keep = np.repeat((size > 1) | (np.maximum.reduceat(many, cut) > 127), size)
+    often = np.repeat(np.add.reduceat((many & 127).astype(np.int64), cut) > hot, size)[keep]
     key, batch = key[keep], batch[keep]
     order = np.argsort(batch, kind="stable")
-    key, batch = key[order], batch[order]
+    key, batch, often = key[order], batch[order], often[order]
     for part in np.split(np.arange(len(key)), np.flatnonzero(batch[1:] != batch[:-1]) + 1):
         if len(part):
-            yield int(batch[part[0]]), _packed([("u8", key[part])])
+            yield int(batch[part[0]]), _packed([("u8", key[part]), ("u1", often[part])])
 
 
 def _regions(a: Anchored, shared: np.ndarray, length: int):
@@ -257,7 +267,7 @@ def _first_documents(data: list[tuple[int, bytes]], length: int, width: int):
     plain = np.repeat(kinds == 1, size) & (least < high)  # one stretch only: it is the whole automaton
     out_batch.append(batch[plain])
     out_full.append(full[plain])
-    out_window.append(np.full(plain.sum(), 255, np.uint8))
+    out_window.append(np.where(n[plain] == 0, _ONE, _ALL).astype(np.uint8))
     out_doc.append(least[plain])
     more_batch, more_full, more_window, more_doc = [], [], [], []
     for g in np.flatnonzero(kinds > 1):
@@ -304,8 +314,11 @@ _HEAD = "u8 u8 u1 i8 i8"
 
 
 def _pack_stretches(head: list[np.ndarray], words: np.ndarray, length: int) -> bytes:
-    """Columns (anchor, stretch, windows, least document, greatest document), then the words of all, unpadded."""
-    used = np.arange(words.shape[1])[None, :] < (head[2].astype(np.int64) + length - 1)[:, None]
+    """Columns (anchor, stretch, windows, least document, greatest document), then the words of all, unpadded.
+
+    A window dealt out alone has 0 windows and no words: its hash stands for it.
+    """
+    used = np.arange(words.shape[1])[None, :] < np.where(head[2] > 0, head[2].astype(np.int64) + length - 1, 0)[:, None]
     return _packed([("i8", np.array([len(words)])), *zip(_HEAD.split(), head), ("u4", words[used])])
 
 
@@ -314,11 +327,11 @@ def _unpack_stretches(data: bytes, length: int, width: int) -> list[np.ndarray]:
     size = 8 + n * sum(np.dtype(t).itemsize for t in _HEAD.split())
     head = _unpacked(data[8:size], _HEAD)
     words = np.zeros((n, width), np.uint32)
-    words[np.arange(width)[None, :] < (head[2].astype(np.int64) + length - 1)[:, None]] = np.frombuffer(data, "u4", -1, size)
+    words[np.arange(width)[None, :] < np.where(head[2] > 0, head[2].astype(np.int64) + length - 1, 0)[:, None]] = np.frombuffer(data, "u4", -1, size)
     return [*head, words]
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH_BYTES, keep_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batch_bytes: int = BATCH_BYTES, keep_text: bool = False, hot: int = HOT) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (and kept, the text left, with keep_text) for every row of docs.
 
     Removed is each word of a window of `length` words that also starts in a document with a smaller doc_id; windows
@@ -328,7 +341,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     """
     width = 2 * length - gram
     batches = batches_for(docs, "text", batch_bytes)
-    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(batches)).alias("batch")).repartition("batch")
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-batches // _BATCHES_A_TASK))
+    buckets = tasks
+    text = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.pmod(F.xxhash64("doc_id", F.octet_length("text")), F.lit(batches)).alias("batch")).repartition(tasks, "batch")
 
     def anchors(part: pa.Table) -> pa.Table:
         batch = part.column("batch")[0].as_py()
@@ -343,21 +358,31 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
         cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         last = np.r_[cut[1:], len(key)] - 1
         k = key[cut]
-        many = own[cut] != own[last]
-        return _table([(int(k[p[0]] % np.uint64(batches)), batch, _packed([("u8", k[p]), ("u1", many[p])])) for p in _parts(k % np.uint64(batches))])
+        many = (own[cut] != own[last]) * 128 + np.minimum(last - cut + 1, 127)  # whether in two documents, and how often
+        return _table([(int(k[p[0]] % np.uint64(buckets)), batch, _packed([("u8", k[p]), ("u1", many[p])])) for p in _parts(k % np.uint64(buckets))])
 
     def which(part: pa.Table) -> pa.Table:
-        return _table([(0, b, d) for b, d in _shared(list(zip(part.column("batch").to_pylist(), part.column("data").to_pylist())))])
+        return _table([(0, b, d) for b, d in _shared(list(zip(part.column("batch").to_pylist(), part.column("data").to_pylist())), hot)])
 
     def stretches(part: pa.Table, reply: pa.Table) -> pa.Table:
         rows: list[tuple[int, int, bytes]] = []
         if not part.num_rows or not reply.num_rows:
             return _table(rows)
         batch = part.column("batch")[0].as_py()
-        shared = np.unique(np.concatenate([_unpacked(d, "u8")[0] for d in reply.column("data").to_pylist()]))
+        got = [_unpacked(d, "u8 u1") for d in reply.column("data").to_pylist()]
+        shared, often = (np.concatenate([g[i] for g in got]) for i in (0, 1))
         own = ids(part.column("doc_id"))
         a = Anchored(*utf8_buffer(part.column("text")), length, gram)
-        found = _regions(a, np.isin(a.key, shared), length)
+        alone = np.flatnonzero(np.isin(a.key, shared[often > 0]))
+        if len(alone):
+            full, mine = _grams(a.hash, length)[a.at[alone]], own[a.doc[alone]]
+            order = np.lexsort((mine, full))
+            cut = np.flatnonzero(np.r_[True, full[order][1:] != full[order][:-1]])
+            head, tail = order[cut], order[np.r_[cut[1:], len(order)] - 1]
+            columns = [full[head], full[head], np.zeros(len(head), np.uint8), mine[head], mine[tail]]
+            for p in _parts(full[head] % np.uint64(buckets)):
+                rows.append((int(full[head[p[0]]] % np.uint64(buckets)), batch, _pack_stretches([c[p] for c in columns], np.zeros((len(p), width), np.uint32), length)))
+        found = _regions(a, np.isin(a.key, shared[often == 0]), length)
         if found is None:
             return _table(rows)
         doc, key, at, n, full = found
@@ -370,8 +395,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
             go = k < n[head] + length - 1
             words[go, k] = short[at[head][go] + k]
         columns = [key[head], full[head], n[head].astype(np.uint8), own[doc[head]], own[doc[tail]]]
-        for p in _parts(columns[0] % np.uint64(batches)):
-            rows.append((int(columns[0][p[0]] % np.uint64(batches)), batch, _pack_stretches([c[p] for c in columns], words[p], length)))
+        for p in _parts(columns[0] % np.uint64(buckets)):
+            rows.append((int(columns[0][p[0]] % np.uint64(buckets)), batch, _pack_stretches([c[p] for c in columns], words[p], length)))
         return _table(rows)
 
     def firsts(part: pa.Table) -> pa.Table:
@@ -386,6 +411,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
         found = _regions(a, np.ones(len(a.key), bool), length) if got else None
         if found is not None:
             known, window, earliest = (np.concatenate([g[i] for g in got]) for i in range(3))
+            alone = window == _ONE
+            if alone.any():
+                order = np.argsort(known[alone], kind="stable")
+                one, before = known[alone][order], earliest[alone][order]
+                full = _grams(a.hash, length)[a.at]
+                k = np.minimum(np.searchsorted(one, full), len(one) - 1)
+                hit = np.flatnonzero((one[k] == full) & (before[k] < own[a.doc]))
+                np.add.at(gone, a.at[hit], 1)
+                np.add.at(gone, a.at[hit] + length, -1)
+                known, window, earliest = known[~alone], window[~alone], earliest[~alone]
             order = np.argsort(known, kind="stable")
             known, window, earliest = known[order], window[order], earliest[order]
             doc, _, at, n, full = found
@@ -395,7 +430,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
             of = np.repeat(np.arange(len(at)), count)
             early = earliest[rows] < own[doc[of]]
             rows, of = rows[early], of[early]
-            whole = window[rows] == 255
+            whole = window[rows] == _ALL
             begin = at[of] + np.where(whole, 0, window[rows])
             np.add.at(gone, begin, 1)
             np.add.at(gone, begin + np.where(whole, n[of].astype(np.int64), 1) + length - 1, -1)
@@ -414,8 +449,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
 
     # One exchange of the texts serves all three passes over them.
     by_batch = text.groupBy("batch")
-    shared = by_batch.applyInArrow(anchors, _BLOB).groupBy("bucket").applyInArrow(which, _BLOB)
+    shared = by_batch.applyInArrow(anchors, _BLOB).repartition(tasks, "bucket").groupBy("bucket").applyInArrow(which, _BLOB)
     sent = by_batch.cogroup(shared.groupBy("batch")).applyInArrow(stretches, _BLOB)
-    answers = sent.groupBy("bucket").applyInArrow(firsts, _BLOB)
+    answers = sent.repartition(tasks, "bucket").groupBy("bucket").applyInArrow(firsts, _BLOB)
     done = by_batch.cogroup(answers.groupBy("batch")).applyInArrow(cleaned, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return done if keep_text else done.drop("kept")
