@@ -64,3 +64,12 @@ def test_nulls_ties_and_other_columns(spark):
         want[r.doc_id] += r.taken
     assert {k: v for k, v in n.items() if v} == {k: v for k, v in want.items() if v}
     assert mix_copies(docs.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    rows = [(1, "a b c", "s", 77, 5), (1, "a b c", "s", 88, 6), (2, "d e", "s", 99, 7), (None, "f g h", None, 11, 8), (None, "f g h", None, 12, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _n int, _copies int").selectExpr("*", "_n as row", "_n as h", "_n as `a.b`", "_n as _id", "_n as _copy")
+    out = mix(docs, share=2.0).collect()
+    assert mix(docs).columns == docs.columns
+    assert sorted((r._n, r._copies, r.row, r.h, r._id, r._copy) for r in out) == sorted((n, c, n, n, n, n) for *_, n, c in rows for _ in range(2))
+    assert mix(docs.limit(0)).count() == 0

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from varqa.llm.simhash import local_components, masks, near_dedup, simhash_components
+from varqa.llm.simhash import covering_edges, local_components, masks, near_dedup, simhash_components
 
 
 def brute_fp(text):
@@ -70,8 +70,37 @@ def test_nulls_ties_and_other_columns(spark):
     assert got == [(False, 1, 1), (False, 2, 1), (False, 3, 3), (False, 4, 3), (False, 4, 3), (False, 7, 7), (True, 0, 3)]
     kept = near_dedup(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 7]
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [1, 3, 7]  # the row without an id is near 3
 
 
 def test_empty_table(spark):
     assert simhash_components(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_rows_without_ids_and_clashing_names(spark):
+    rows = [(None, "a b c d e", 7, 77), (None, "a b c d e", 8, 88), (None, "quite other words than those", 9, 99), (5, "one more text of this kind", 1, 11), (5, "one more text of this kind", 2, 12), (5, "words that no other row has", 3, 13)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _first int, `h` int").selectExpr("*", "1 as `a.b`", "_first as row", "h as n")
+    kept = near_dedup(docs)
+    assert kept.columns == docs.columns
+    got = kept.collect()
+    assert len(got) == 4 and all(r.h % 11 == 0 or r.h in (11, 12, 13) for r in got) and all(r.row == r._first and r.n == r.h for r in got)
+    assert sorted(r.text for r in got) == sorted({t for _, t, *_ in rows})
+    assert near_dedup(docs.limit(0)).count() == 0
+
+
+def test_a_bucket_over_many_arrow_batches(spark):
+    fps = sorted({0x0123456789ABCDEF ^ 1 << a ^ 1 << b for a, b in itertools.combinations(range(0, 60, 3), 2)})
+    table = spark.createDataFrame([(x,) for x in fps], "fp long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        edges = [(r.src, r.dst) for r in covering_edges(table, 4).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    reached, todo = {fps[0]}, [fps[0]]
+    while todo:
+        x = todo.pop()
+        new = {b for a, b in edges if a == x} | {a for a, b in edges if b == x}
+        todo += new - reached
+        reached |= new
+    assert reached == set(fps) and all((a ^ b).bit_count() <= 64 for a, b in edges)

@@ -59,3 +59,36 @@ def test_nulls_long_texts_and_broken_files(spark):
     bad = spark.createDataFrame([(1, None), (2, bytearray(b"II*\0\xff\0\0\0")), (3, bytearray(b"GIF"))], "doc_id long, media binary")
     assert {(r.doc_id, r.page, r.error is None) for r in tiff_pages(bad).collect()} == {(1, None, False), (2, None, False), (3, None, False)}
     assert media_digests(texts_to_media(docs.limit(0))).count() == 0
+
+
+def test_hostile_files_are_error_rows(spark):
+    import struct
+
+    def file(*tags):
+        return b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", len(tags)) + b"".join(struct.pack("<HHII", t, 4, 1, v) for t, v in tags) + b"\0\0\0\0"
+
+    strips = ((273, 8), (279, 4))
+    bad = {
+        1: file((257, 5), *strips),  # no width
+        2: file((256, 2**31), (257, 2**31), *strips),  # huge
+        3: file((256, 4), (257, 4)),  # no strips
+        4: file((256, 4), (257, 4), (322, 0), (323, 0), (324, 8), (325, 4)),  # tiles of nothing
+        5: file((256, 4), (257, 4), (322, 2**30), (323, 2**30), (324, 8), (325, 4)),
+        6: file((256, 4), (257, 4), (259, 5), (273, 0), (279, 3)),  # too few codes
+        7: b"II*\0" + struct.pack("<I", 8) + struct.pack("<H", 1) + struct.pack("<HHII", 256, 4, 2**31, 8),
+        8: text_to_tiff("fine")[1][:-9],
+    }
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in bad.items()] + [(9, bytearray(text_to_tiff("fine")[1])), (9, None)], "doc_id long, media binary")
+    got = tiff_pages(df).collect()
+    assert {(r.doc_id, r.page) for r in got} == {(k, None) for k in bad} | {(9, 0), (9, None)} and all((r.error is None) == (r.page == 0) for r in got)
+    digests = media_digests(df).collect()
+    assert len(digests) == 10 and sum(r.error is None for r in digests) == 1 and all((r.payload_sha256 is None) == (r.error is not None) for r in digests)
+
+
+def test_digests_are_those_of_the_page_rows(spark):
+    docs = spark.createDataFrame([(i % 3, "x" * (i * 700_000)) for i in range(5)], "doc_id long, text string").coalesce(1)
+    media = texts_to_media(docs)
+    pages = tiff_pages(media).collect()
+    assert [(r.doc_id, r.page) for r in pages] == [(0, 0), (1, 0), (2, 0), (2, 1), (0, 0), (0, 1), (0, 2), (1, 0), (1, 1), (1, 2)]
+    got = media_digests(media).collect()
+    assert [r.pages for r in got] == [1, 1, 2, 3, 3] and [r.payload_bytes for r in got] == [64] + [-(-i * 700_000 // 64) * 64 for i in range(1, 5)]

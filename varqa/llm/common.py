@@ -12,30 +12,47 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a checked lookup table is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 20_000
-#: A null doc_id travels as this value inside numpy arrays.
+#: A null doc_id travels as this value inside numpy arrays; it is no doc_id itself (a row that has it counts as null).
 NULL_ID = -(2**63)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        import os
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset.
 
-        os.makedirs("/tmp/checkpoints", exist_ok=True)
-        found = "file://" + tempfile.mkdtemp(prefix="varqa-", dir="/tmp/checkpoints")
+    Our own is a temporary folder in local mode, else one on the cluster's default file system; a cluster whose default
+    is its machines' own disks is refused.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if spark.sparkContext.master.startswith("local"):
+            found = "file://" + tempfile.mkdtemp(prefix="varqa-")
+        else:
+            default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+            if default.startswith("file:"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            found = f"{default.rstrip('/')}/tmp/varqa-{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted when the session's JVM ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/varqa/{name}-{uuid.uuid4().hex}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Cuts lineage: writes df once as Parquet in the shared folder and reads it back."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/varqa/{name}-{uuid.uuid4().hex}"
+    path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def whole_rows(df: DataFrame):
+    """All columns of df as one struct, so that columns beside it can have any name."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def sized_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, sized_broadcast
+from .common import materialize, sized_broadcast, whole_rows
 
 LEAF, FAN = 512, 32
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,22 +90,21 @@ def _duel_with(last: bool):
 
 
 def mix_copies(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """doc_id, source, n, size, source_size, target, copies, taken for every row of docs.
+    """doc_id, source, h, n, size, source_size, target, copies, taken for every row of docs.
 
     size is the number of words (a null text has none), taken = copies * size. Null sources form a source of their
-    own; repeated rows are documents of their own (n numbers the rows of one doc_id); documents without words and
-    sources without words are taken 0 times; an empty table gives an empty result. Other columns are ignored.
-    Reruns agree: chance is a hash of ids.
+    own; repeated rows are documents of their own (h is a hash of the text, n numbers the rows of one doc_id, text and
+    source); documents without words and sources without words are taken 0 times; very long texts count whole; an empty
+    table gives an empty result. Other columns are ignored. Reruns agree: chance is a hash of ids.
     """
-    same = Window.partitionBy("doc_id").orderBy("size", "source", "h")
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("h"))
-    sized = materialize(sized.withColumn("n", F.row_number().over(same)), "sizes")
+    sized = materialize(sized.withColumn("n", F.row_number().over(Window.partitionBy("doc_id", "h", "source").orderBy("size"))), "sizes")
     targets = materialize(source_targets(sized, weights, share, most), "targets")
     leaves = F.ceil(F.col("docs") / LEAF).cast("long")
     rows = sized.join(sized_broadcast(targets.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s")))
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.select(
-        "doc_id", "source", "n", "size", "source_size", "target", F.floor(expected).alias("base"), (expected - F.floor(expected)).alias("p"),
+        "doc_id", "source", "h", "n", "size", "source_size", "target", F.floor(expected).alias("base"), (expected - F.floor(expected)).alias("p"),
         F.xxhash64("doc_id", "n", "size").alias("key"), F.pmod(F.xxhash64("doc_id", "n", F.lit(1)), leaves).alias("leaf"),
     )
     most_leaves = targets.agg(F.max(leaves)).first()[0] or 1
@@ -121,15 +120,27 @@ def mix_copies(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: f
         rows = level.where("p > 0 and p < 1").withColumn("leaf", F.floor(F.col("leaf") / FAN).cast("long"))
         most_leaves = -(-most_leaves // FAN)
     copies = (F.col("base") + F.col("p")).cast("long")
-    return done.select("doc_id", "source", "n", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return done.select("doc_id", "source", "h", "n", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float = 1.5, most: float = 2.0) -> DataFrame:
-    """docs with each row as many times as the mix takes it; columns as they were."""
-    names = docs.columns
-    taken = mix_copies(docs, weights, share, most).where("copies > 0").select(F.col("doc_id").alias("_id"), F.col("n").alias("_m"), F.col("copies").cast("int").alias("_copies"))
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0))
-    same = Window.partitionBy("doc_id").orderBy(size, "source", F.xxhash64("text"))
-    mine = docs.withColumn("_n", F.row_number().over(same))
-    found = mine.join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_m")))
-    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
+    """docs with each row as many times as the mix takes it; columns as they were, whatever their names.
+
+    Null doc_ids, texts and sources, empty texts, repeated rows and empty tables: as mix_copies says. Only rows that are
+    repeated in doc_id, text and source are numbered; all others meet their copies by a plain join.
+    """
+    found = materialize(mix_copies(docs, weights, share, most), "copies")
+    keys = ["doc_id", "source", "h"]
+    taken = found.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("n").alias("_n"), F.col("copies").cast("int").alias("_copies"))
+    many = found.where("n = 2").select(*[F.col(k).alias(f"_{k}") for k in keys])  # each repeated row once
+    rows = docs.select(whole_rows(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "source", F.xxhash64("text").alias("h"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("h") == F.col("_h"))
+    if many.take(1):
+        repeated = sized_broadcast(many)
+        order = F.hash(*[F.col("row")[c] for c, t in docs.dtypes if "map<" not in t])
+        again = rows.join(repeated, same, "left_semi").withColumn("n", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+        rows = rows.join(repeated, same, "left_anti").withColumn("n", F.lit(1)).unionByName(again)
+    else:
+        rows = rows.withColumn("n", F.lit(1))
+    met = rows.join(taken.where("_copies > 0"), same & (F.col("n") == F.col("_n")))
+    return met.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("row.*")

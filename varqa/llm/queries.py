@@ -58,7 +58,7 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_tiff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media_digests(texts_to_media(table(spark, sf_dir, "documents")))
+    return media_digests(texts_to_media(table(spark, sf_dir, "documents"))).drop("error")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

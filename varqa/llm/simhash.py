@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_array, ids, materialize
+from .common import materialize, whole_rows
 from .components import connected_components, tree_edges
 
 BITS = 64
@@ -39,15 +39,15 @@ def _fingerprint(text: bytes, width: int, seed: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 4, seed: int = 42) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every whole text; a null or blank text has fingerprint 0."""
+    """doc_id, h (a hash of the text), fp (the 64 bits as a signed long) of every whole text; a null or blank text has fingerprint 0."""
 
     def run(batches):
         for b in batches:
-            raw = b.column(1).cast(pa.binary()).to_pylist()
+            raw = b.column(2).cast(pa.binary()).to_pylist()
             fp = np.array([_fingerprint(x or b"", width, seed) for x in raw], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp, pa.int64())], ["doc_id", "h", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text").mapInArrow(run, "doc_id long, h long, fp long")
 
 
 def masks(radius: int) -> list[int]:
@@ -128,52 +128,61 @@ def _breadth(fp: np.ndarray, radius: int) -> np.ndarray:
     return label
 
 
-def covering_edges(reps: DataFrame, radius: int) -> DataFrame:
-    """src, dst: a spanning forest of each bucket's links between reps (fp, rep), rep by rep; never all pairs."""
-    tables = reps.select(
-        "fp", "rep", F.explode(F.array(*[F.struct(F.lit(v).cast("short").alias("v"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for v, m in enumerate(masks(radius))])).alias("t")
-    ).select("t.v", "t.key", "fp", "rep")
+def covering_edges(fps: DataFrame, radius: int) -> DataFrame:
+    """src, dst: a spanning forest of each bucket's links between different fingerprints (fp); never all pairs."""
+    tables = fps.select(
+        "fp", F.explode(F.array(*[F.struct(F.lit(v).cast("short").alias("v"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for v, m in enumerate(masks(radius))])).alias("t")
+    ).select("t.v", "t.key", "fp")
     dealt = tables.repartition("v", "key").sortWithinPartitions("v", "key")
 
-    def linked(fp, rep):
-        src, dst = [], []
+    def linked(fp):
+        node = fp.view(np.int64)
         if len(fp) == 2:
-            if (int(fp[0]) ^ int(fp[1])).bit_count() <= radius:
-                src, dst = [max(rep)], [min(rep)]
-        else:
-            label = local_components(fp, radius)
-            for k in np.flatnonzero(np.bincount(label) > 1):
-                a, b = tree_edges(np.sort(rep[label == k]))
-                src.extend(a)
-                dst.extend(b)
+            return ([int(node.max())], [int(node.min())]) if (int(fp[0]) ^ int(fp[1])).bit_count() <= radius else ([], [])
+        src, dst, label = [], [], local_components(fp, radius)
+        for k in np.flatnonzero(np.bincount(label) > 1):
+            a, b = tree_edges(np.sort(node[label == k]))
+            src.extend(a)
+            dst.extend(b)
         return src, dst
 
     def run(batches):
-        left = None  # the last bucket of a batch may go on in the next one
+        open_key, open_parts = None, []  # the last bucket of a batch may go on in the next ones
         for b in batches:
-            rows = [b.column(0).to_numpy().astype(np.int64), b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64), b.column(3).to_numpy()]
-            if left is not None:
-                rows = [np.concatenate(x) for x in zip(left, rows)]
-            v, key, fp, rep = rows
-            cuts = np.flatnonzero((v[1:] != v[:-1]) | (key[1:] != key[:-1])) + 1
-            last = cuts[-1] if len(cuts) else 0
-            bounds = np.r_[0, cuts]
+            v, key, fp = b.column(0).to_numpy().astype(np.int64), b.column(1).to_numpy(), b.column(2).to_numpy().view(np.uint64)
+            cuts = np.r_[0, np.flatnonzero((v[1:] != v[:-1]) | (key[1:] != key[:-1])) + 1, len(v)] if len(v) else [0]
             src, dst = [], []
-            for i in np.flatnonzero(np.diff(bounds) > 1):
-                a, c = linked(fp[bounds[i] : bounds[i + 1]], rep[bounds[i] : bounds[i + 1]])
-                src.extend(a)
-                dst.extend(c)
-            left = [x[last:] for x in rows]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo and hi < len(v):
+                    if hi - lo > 1:
+                        a, c = linked(fp[lo:hi])
+                        src.extend(a)
+                        dst.extend(c)
+                    continue
+                if (v[lo], key[lo]) != open_key:
+                    if sum(map(len, open_parts)) > 1:
+                        a, c = linked(np.concatenate(open_parts))
+                        src.extend(a)
+                        dst.extend(c)
+                    open_key, open_parts = (v[lo], key[lo]), []
+                open_parts.append(fp[lo:hi].copy())
             if src:
                 yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
-        if left is not None and len(left[0]) > 1:
-            src, dst = linked(left[2], left[3])
+        if sum(map(len, open_parts)) > 1:
+            src, dst = linked(np.concatenate(open_parts))
             if src:
                 yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], ["src", "dst"])
 
     return dealt.mapInArrow(run, "src long, dst long").distinct()
 
 
+def _classes(known: DataFrame, radius: int) -> DataFrame:
+    """fp, least (its smallest doc_id), component (a number of its own) for every different fingerprint."""
+    each = materialize(known.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
+    labels = connected_components(covering_edges(each, radius))
+    return each.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("label", "fp").alias("component"))
+
+
 def simhash_components(docs: DataFrame, radius: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable) for every row of docs.
 
@@ -182,19 +191,25 @@ def simhash_components(docs: DataFrame, radius: int = 4, width: int = 4, seed: i
     come back with a null doc_id; where nothing else is in their component, component_id is null too.
     """
     known = materialize(fingerprints(docs, width, seed), "fingerprints")
-    reps = materialize(known.groupBy("fp").agg(F.min("doc_id").alias("rep")), "classes")
-    labels = connected_components(covering_edges(reps.where("rep is not null"), radius))
-    classes = reps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
+    classes = materialize(_classes(known, radius), "components")
+    smallest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
-    return known.join(classes, "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
+    return known.join(classes.join(smallest, "component").select("fp", "component_id"), "fp").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
 def near_dedup(docs: DataFrame, radius: int = 4, width: int = 4, seed: int = 42) -> DataFrame:
-    """docs with one row of each near-duplicate group: that of the smallest doc_id; rows without an id all stay."""
-    names = docs.columns
-    found = simhash_components(docs.where("doc_id is not null"), radius, width, seed)
-    keep = found.where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    kept = docs.join(keep, F.col("doc_id") == F.col("_keep"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = kept.withColumn("_first", F.row_number().over(first)).where("_first = 1").select(*names)
-    return kept.unionByName(docs.where("doc_id is null"))
+    """docs with one row of each near-duplicate group: that of the smallest doc_id, of rows of one doc_id that of the
+    least hash of text; columns as they were, whatever their names.
+
+    Rows without a doc_id take part: one stays only where its group has no row with an id. Null and blank texts are
+    near duplicates of one another; repeated rows are one group; an empty table stays empty.
+    """
+    known = materialize(fingerprints(docs, width, seed), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
+    best = known.join(_classes(known, radius).select("fp", "component"), "fp").groupBy("component").agg(F.min(order).alias("b"))
+    keep = best.select(F.col("b.doc_id").alias("keep_id"), F.col("b.h").alias("keep_h")).distinct()
+    rows = docs.select(whole_rows(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
+    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("h") == F.col("keep_h")), "left_semi")
+    same = F.hash(*[F.col("row")[c] for c, t in docs.dtypes if "map<" not in t])
+    first = F.row_number().over(Window.partitionBy("id", "h").orderBy(same))
+    return kept.withColumn("n", first).where("n = 1").select("row.*")

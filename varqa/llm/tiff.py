@@ -23,7 +23,9 @@ NONE, LZW, DEFLATE, OLD_DEFLATE, PACKBITS = 1, 5, 8, 32946, 32773
 SIZES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8}
 
 PAGE = 1 << 20
-CODECS = (DEFLATE, LZW, PACKBITS)
+#: Bytes of samples that a page may have; a directory that claims more is an error.
+MOST = 1 << 28
+_BROKEN = (ValueError, KeyError, IndexError, TypeError, OverflowError, MemoryError, struct.error, zlib.error)
 
 
 def packbits(data: bytes) -> bytes:
@@ -219,15 +221,21 @@ def _samples(data: bytes, tags: dict, order: str) -> np.ndarray:
     one = lambda tag, default=None: tags.get(tag, (default,))[0]
     w, h, depth, codec = one(WIDTH), one(HEIGHT), one(SAMPLES, 1), one(COMPRESSION, 1)
     bits = one(BITS, 8)
+    if not w or not h or not depth:
+        raise ValueError("a page without width, height or samples")
+    if w * h * depth > MOST:
+        raise ValueError(f"a page of {w} x {h} x {depth} samples")
     if bits not in (8, 16) or one(PLANAR, 1) != 1:
         raise ValueError(f"{bits} bits or separate planes are not supported")
     kind = np.dtype("u1" if bits == 8 else order + "u2")
     out = np.zeros((h, w, depth), kind.newbyteorder("="))
     if TILE_AT in tags:
-        bw, bh, starts, sizes = one(TILE_WIDTH), one(TILE_HEIGHT), tags[TILE_AT], tags[TILE_BYTES]
+        bw, bh, starts, sizes = one(TILE_WIDTH, 0), one(TILE_HEIGHT, 0), tags[TILE_AT], tags[TILE_BYTES]
     else:
         bw, bh, starts, sizes = w, min(one(ROWS, h), h), tags[STRIP_AT], tags[STRIP_BYTES]
-    across = -(-w // bw) if bw else 1
+    if bw < 1 or bh < 1 or bw * bh * depth > MOST:
+        raise ValueError(f"blocks of {bw} x {bh}")
+    across = -(-w // bw)
     for i, (s, n) in enumerate(zip(starts, sizes)):
         y, x = i // across * bh, i % across * bw
         rows = bh if TILE_AT in tags else min(bh, h - y)
@@ -280,48 +288,81 @@ def texts_to_media(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_bytes long, media binary")
 
 
+_PAGES = "doc_id long, n_bytes long, media_bytes long, media_sha256 string, page long, width long, height long, codec long, samples binary, feature string, error string"
+_PAGE_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string()]
+_PAGE_NAMES = [x.split()[0] for x in _PAGES.split(", ")]
+
+
 def tiff_pages(media: DataFrame) -> DataFrame:
-    """One row for each page of doc_id's media: doc_id, page, width, height, codec, samples (binary), feature, error.
+    """One row for each page of the media, a file's pages in order and one after the other: doc_id, n_bytes (if media has
+    it), media_bytes, media_sha256, page, width, height, codec, samples (binary), feature, error.
 
-    A null or broken file gives one row with its error and nothing else.
+    A null, empty or broken file, or one whose pages claim more than MOST bytes, gives one row with its error and page
+    null, and no other. Other columns are ignored; an empty table gives no rows.
     """
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string(), pa.string()]
-    names = ["doc_id", "page", "width", "height", "codec", "samples", "feature", "error"]
 
     def run(batches):
+        rows, held = [], 0
         for b in batches:
-            for doc, data in zip(b.column(0).to_pylist(), b.column(1)):
-                rows = []
+            for doc, n, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                data = data.as_py() or b""
+                file, mine = (doc, n, len(data), hashlib.sha256(data).hexdigest()), []
                 try:
-                    for i, (tags, s) in enumerate(read_pages(data.as_py() or b"")):
-                        rows.append((doc, i, s.shape[1], s.shape[0], tags.get(COMPRESSION, (1,))[0], s.tobytes(), page_feature(s), None))
-                except (ValueError, KeyError, struct.error, zlib.error, IndexError) as e:
-                    rows = [(doc, None, None, None, None, None, None, str(e) or type(e).__name__)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-
-    return media.select("doc_id", "media").mapInArrow(run, "doc_id long, page long, width long, height long, codec long, samples binary, feature string, error string")
+                    for i, (tags, x) in enumerate(read_pages(data)):
+                        mine.append((*file, i, x.shape[1], x.shape[0], tags.get(COMPRESSION, (1,))[0], x.tobytes(), page_feature(x), None))
+                except _BROKEN as e:
+                    mine = []
+                    why = str(e) or type(e).__name__
+                else:
+                    why = "no page"
+                rows += mine or [(*file, None, None, None, None, None, None, why)]
+                held += sum(len(r[8]) for r in mine)
+                if held > 4 * PAGE or len(rows) > 2000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _PAGE_KINDS)], _PAGE_NAMES)
+                    rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _PAGE_KINDS)], _PAGE_NAMES)
+
+    n = F.col("n_bytes").cast("long") if "n_bytes" in media.columns else F.lit(None).cast("long")
+    return media.select(F.col("doc_id").cast("long").alias("doc_id"), n.alias("n_bytes"), "media").mapInArrow(run, _PAGES)
 
 
 def media_digests(media: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, pages from stored files.
+    """doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, pages, error of stored files.
 
-    The payload is read back page by page; the feature is that of the pages, joined by a comma.
+    Read from tiff_pages, whose rows of one file follow one another: the payload is all samples in order, the feature is
+    that of the pages, joined by a comma. A null or broken file has nulls for what can't be read, and its error.
     """
+    names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pages", "error"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
 
     def run(batches):
+        file = None  # doc_id, n_bytes, media_bytes, media_sha256, digest, size, last samples, features: of the file being read
+
+        def done():
+            doc, n, size, sha, digest, read, tail, said = file
+            return doc, n, read, digest.hexdigest(), zlib.crc32(tail), size, sha, ",".join(said), len(said), None
+
         for b in batches:
             out = []
-            for doc, n, data in zip(*(b.column(i).to_pylist() for i in range(3))):
-                digest, size, tail, said = hashlib.sha256(), 0, b"", []
-                for _, s in read_pages(data):
-                    raw = s.tobytes()
-                    digest.update(raw)
-                    size, tail = size + len(raw), (tail + raw[-64:])[-64:]
-                    said.append(page_feature(s))
-                out.append((doc, n, size, digest.hexdigest(), zlib.crc32(tail), len(data), hashlib.sha256(data).hexdigest(), ",".join(said), len(said)))
-            c = list(zip(*out)) if out else [()] * 9
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-            names = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pages"]
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(c, kinds)], names)
-
-    return media.select("doc_id", "n_bytes", "media").mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pages long")
+            c = dict(zip(_PAGE_NAMES, b.columns))
+            small = zip(*(c[k].to_pylist() for k in ("doc_id", "n_bytes", "media_bytes", "media_sha256", "page", "feature", "error")))
+            for (doc, n, size, sha, page, feature, error), data in zip(small, c["samples"]):
+                if not page and file is not None:
+                    out.append(done())
+                    file = None
+                if page is None:
+                    out.append((doc, n, None, None, None, size, sha, None, 0, error))
+                    continue
+                if page == 0:
+                    file = (doc, n, size, sha, hashlib.sha256(), 0, b"", [])
+                data = data.as_py()
+                file[4].update(data)
+                file[7].append(feature)
+                file = (*file[:5], file[5] + len(data), (file[6] + data[-64:])[-64:], file[7])
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*out), kinds)], names)
+        if file is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(done(), kinds)], names)
+
+    return tiff_pages(media).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, pages long, error string")

@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import re
-import uuid
 import zlib
 from functools import lru_cache
 
@@ -19,9 +18,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, sized_broadcast, utf8_buffer
+from .common import shared_path, sized_broadcast, utf8_buffer
 
-ORC = {"compression": "lz4", "orc.stripe.size": str(16 << 20), "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
+STRIPE = 16 << 20
+ORC = {"compression": "lz4", "orc.rows.between.memory.checks": "500", "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 #: Bytes of text that are cut and encoded together, and bytes that a worker's known pieces may take.
 _BLOCK, _CACHE = 4 << 20, 96 << 20
 _ENTRY = 160  # bytes of a known piece besides its text
@@ -208,14 +208,16 @@ def encoder_for(path: str) -> Encoder:
     return Encoder(path)
 
 
-def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = None) -> str:
+def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | None = None, stripe_bytes: int = STRIPE) -> str:
     """Writes docs' ids, end_id after each document, and returns the folder: by default one in the shared folder.
 
     Columns: doc_id, part (the range of doc_ids, ascending), local_start (ids before it in its part), n_tokens, ids.
-    Rows of one doc_id are ordered by a hash of their texts; a null doc_id comes first; null texts are empty.
+    Rows of one doc_id are ordered by a hash of their texts; a null doc_id comes first; null and empty texts have just
+    the end_id; very long texts are encoded whole; other columns, whatever their names, are ignored; an empty table
+    gives no rows. A tokenizer that doesn't split byte by byte encodes every text as a whole.
     """
     spark = docs.sparkSession
-    path = path or f"{shared_dir(spark).rstrip('/')}/varqa/tokens-{uuid.uuid4().hex}"
+    path = path or shared_path(spark, "tokens")
     dealt = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
 
     def run(batches):
@@ -238,7 +240,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int = 2, path: str | N
                 start += int(at[-1])
 
     found = dealt.mapInArrow(run, "doc_id long, part long, local_start long, n_tokens long, ids array<int>")
-    found.write.options(**ORC).orc(path)
+    found.write.options(**ORC, **{"orc.stripe.size": str(stripe_bytes)}).orc(path)
     return path
 
 
@@ -252,7 +254,7 @@ def _blocks(offsets: np.ndarray):
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """doc_id, start (ids of all documents before), n_tokens, ids_crc32, all from the files.
+    """doc_id, start (ids of all documents before), n_tokens, ids_crc32, all from the files; nothing for no rows.
 
     Starts are running sums within a part plus the sums of the parts before it: one row per part is summed in order.
     """
@@ -278,4 +280,5 @@ def lookup(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
 
 
 def token_table(docs: DataFrame, tokenizer: str, end_id: int = 2) -> DataFrame:
+    """docs written by write_tokens and read back by read_tokens, which say what becomes of nulls, ties and empty tables."""
     return read_tokens(docs.sparkSession, write_tokens(docs, tokenizer, end_id))

@@ -295,7 +295,11 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """docs without the rows predicted toxic; all columns as they were, nothing shuffled."""
+    """docs without the rows predicted toxic; all columns as they were, nothing shuffled.
+
+    Null and empty texts score as texts without words; a null doc_id changes nothing; repeated rows go or stay together;
+    very long texts are scored whole; an empty table stays empty.
+    """
     at = docs.columns.index("text")
 
     def run(batches):
