@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -15,6 +18,43 @@ def sized_broadcast(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if len(df.select(F.lit(1)).take(rows + 1)) <= rows else df
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df written to the shared folder (spark.checkpoint.dir) and read back; deleted when the session's JVM ends.
+
+    Where the setting is missing, local mode takes a temporary folder and a cluster its default file system; a cluster
+    whose default is its machines' own disks is refused.
+    """
+    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+        if context.master.startswith("local"):
+            folder = "file://" + tempfile.mkdtemp(prefix="varqa-")
+        elif default.startswith("file:"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        else:
+            folder = f"{default.rstrip('/')}/tmp/varqa-{context.applicationId}"
+        spark.conf.set("spark.checkpoint.dir", folder)
+    path = f"{folder.rstrip('/')}/varqa/cut-{uuid.uuid4().hex}"
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(where)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def with_positions(df: DataFrame, name: str, *order: str) -> DataFrame:
+    """df with `name`, each row's position from 0 in the order of the columns, without one task that sorts all.
+
+    Rows are dealt out by ranges and numbered within; the counts of the ranges before are added. df is written once, as
+    the ranges must not be drawn anew.
+    """
+    dealt = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(*order)).cast("long"))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
+    before = counts.select("_range", (F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - 1).alias("_before"))
+    return own.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_own")).drop("_range", "_own", "_before")
+
+
 def ordered_list(value: Column, *order: Column) -> Column:
     """Aggregate: values in the given order."""
     return F.transform(F.array_sort(F.collect_list(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], value.alias("v")))), lambda x: x["v"])

@@ -9,18 +9,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .common import ordered_list, sql_words, table
+from .common import ordered_list, sized_broadcast, sql_words, table, with_positions
 from .relational import quota
 
 
 def split_examples(examples: DataFrame, modulus: int = 10, holdout: bool = True) -> DataFrame:
     """examples (seq, work) with `split`: every modulus-th work of the sorted works is held out whole; rows without
-    a work go by their position among all rows."""
+    a work go by their position among all rows. Positions are counted range by range."""
     if not holdout:
         return examples.withColumn("split", F.lit("train"))
     works = examples.where("work is not null and work <> ''").select("work").distinct()
-    works = works.withColumn("held", F.pmod(F.row_number().over(Window.orderBy("work")) - 1, F.lit(modulus)) == 0)
-    x = examples.withColumn("_n", F.row_number().over(Window.orderBy("seq")) - 1).join(works, "work", "left")
+    works = with_positions(works, "_w", "work").select("work", (F.pmod("_w", F.lit(modulus)) == 0).alias("held"))
+    x = with_positions(examples, "_n", "seq").join(sized_broadcast(works), "work", "left")
     return x.withColumn("split", F.when(F.coalesce("held", F.pmod("_n", F.lit(modulus)) == 0), "eval").otherwise("train")).drop("_n", "held")
 
 
@@ -108,14 +108,17 @@ def pad(values: Column, to: Column, fill: int) -> Column:
 
 
 def record_violations(records: DataFrame, required: list[str], safe_rights: list[str]) -> DataFrame:
-    """level, record_id, rule: missing fields, repeated or absent ids, placeholders, unsafe published rights."""
-    one = lambda cond, level, rule: records.where(cond).select(F.lit(level).alias("level"), F.col("id").alias("record_id"), F.lit(rule).alias("rule"))
-    out = one(F.col("id").isNull(), "error", "no id")
-    for f in required:
-        out = out.unionByName(one(F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == ""), "error", f"no {f}"))
+    """level, record_id, rule: missing fields, repeated or absent ids, placeholders, unsafe published rights.
+
+    One pass finds all broken rules of a row; only ids are shuffled, to find repeated ones.
+    """
+    rule = lambda cond, level, name: F.when(cond, F.struct(F.lit(level).alias("level"), F.lit(name).alias("rule")))
+    rules = [rule(F.col("id").isNull(), "error", "no id")]
+    rules += [rule(F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == ""), "error", f"no {f}") for f in required]
+    rules += [rule(T.has_placeholder(F.col("text")), "warning", "placeholder"), rule(F.col("published") & ~F.coalesce(F.col("rights").isin(safe_rights), F.lit(False)), "error", "unsafe rights")]
+    broken = records.select(F.col("id").alias("record_id"), F.explode(F.array_compact(F.array(*rules))).alias("r")).select("r.level", "record_id", "r.rule")
     twice = records.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select(F.lit("error").alias("level"), F.col("id").alias("record_id"), F.lit("repeated id").alias("rule"))
-    out = out.unionByName(twice).unionByName(one(T.has_placeholder(F.col("text")), "warning", "placeholder"))
-    return out.unionByName(one(F.col("published") & ~F.coalesce(F.col("rights").isin(safe_rights), F.lit(False)), "error", "unsafe rights"))
+    return broken.unionByName(twice)
 
 
 # --- queries ---------------------------------------------------------------------------------------------------
@@ -186,9 +189,10 @@ def gate07_violations(spark, d):
 
 
 def gate13_verdict(spark, d):
-    x = table(spark, d, "documents").where("source in ('src1', 'src2', 'src3', 'src4')").groupBy("source").agg(F.avg("n_chars").alias("factual"), F.avg(F.col("doc_id")).alias("honesty"))
-    name = F.element_at(F.create_map(*[F.lit(v) for p in zip(("src1", "src2", "src3", "src4"), ("base", "base_rag", "tuned", "tuned_rag")) for v in p]), F.col("source"))
-    return verdict(x.select(name.alias("name"), "factual", "honesty"))
+    """GATE13: all labelled documents, dealt to the four runs by id; the share without toxicity as honesty, of quality as factual."""
+    run = F.element_at(F.array(*map(F.lit, ("base", "base_rag", "tuned", "tuned_rag"))), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    x = table(spark, d, "labels").groupBy(run.alias("name")).agg(F.avg("quality").alias("factual"), F.avg(1 - F.col("toxic")).alias("honesty"))
+    return verdict(x)
 
 
 def trn01_masks(spark, d):
@@ -219,6 +223,6 @@ ORACLE = {
     "evl04_summary": f"SELECT count(*) AS probes, coalesce(round(avg(score) FILTER (conv_id % 3 = 2), 3), 0.0) AS factual, coalesce(round(avg(score) FILTER (conv_id % 3 = 0), 3), 0.0) AS honesty, coalesce(round(avg(score) FILTER (conv_id % 3 = 1), 3), 0.0) AS disputed, count(*) FILTER (score IS NULL) AS unjudged FROM ({_SCORES})",
     "gate05_hedges": "SELECT conv_id, turn FROM conversations WHERE role = 'assistant' AND conv_id % 3 = 0 AND turn % 2 <> 1 AND NOT regexp_matches(text, '(?i)disput|uncertain|conventional|later sources|not definitive|debated|cannot be stated|traditions disagree|confidence')",
     "gate07_violations": "WITH x AS (SELECT doc_id::VARCHAR AS id, n_chars, lang, quality FROM documents LEFT JOIN labels USING (doc_id)) SELECT 'error' AS level, id AS record_id, 'no text' AS rule FROM x WHERE n_chars <= 50 UNION ALL SELECT 'error', id, 'no grade' FROM x WHERE quality IS NULL UNION ALL SELECT 'error', id, 'unsafe rights' FROM x WHERE quality = 1 AND lang <> 'en'",
-    "gate13_verdict": "WITH x AS (SELECT source, avg(n_chars) AS f, avg(doc_id) AS h FROM documents GROUP BY 1) SELECT CASE WHEN (SELECT f FROM x WHERE source = 'src4') >= (SELECT f FROM x WHERE source = 'src2') AND (SELECT h FROM x WHERE source = 'src3') >= (SELECT h FROM x WHERE source = 'src1') THEN 'pass' ELSE 'fail' END AS verdict",
+    "gate13_verdict": "WITH x AS (SELECT doc_id % 4 AS r, avg(quality) AS f, avg(1 - toxic) AS h FROM labels GROUP BY 1) SELECT CASE WHEN (SELECT f FROM x WHERE r = 3) >= (SELECT f FROM x WHERE r = 1) AND (SELECT h FROM x WHERE r = 2) >= (SELECT h FROM x WHERE r = 0) THEN 'pass' ELSE 'fail' END AS verdict",
     "trn01_masks": "WITH x AS (SELECT conv_id, list(text ORDER BY turn) AS t FROM conversations GROUP BY 1 HAVING count(*) >= 2), y AS (SELECT conv_id, len(string_split(array_to_string(t[1:len(t) - 1], ' '), ' ')) AS p, len(string_split(array_to_string(t, ' '), ' ')) AS f FROM x) SELECT conv_id, least(f, 256) AS n, least(f, 256) - p AS learnt, 256::BIGINT AS padded FROM y WHERE p < least(f, 256)",
 }

@@ -2,44 +2,26 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut_lineage, table
 
 EXACT, RELATED = 1.0, 0.85
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df written to the shared checkpoint folder and read back, so that no lineage grows with the rounds."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        import os
-
-        os.makedirs("/tmp/checkpoints", exist_ok=True)
-        folder = "file://" + tempfile.mkdtemp(prefix="varqa-", dir="/tmp/checkpoints")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/graph-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """node, label: the smallest node of each component; nodes (node), edges (a, b).
 
     Every round hooks a node to the least label around it and then jumps to that label's label.
     """
-    both = _cut(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).where("x <> y").distinct())
+    both = cut_lineage(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).where("x <> y").distinct())
     labels = nodes.select("node", F.col("node").alias("label"))
     for _ in range(most_rounds):
         near = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
         best = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("best"))
         up = labels.select(F.col("node").alias("best"), F.col("label").alias("up"))
-        new = _cut(best.join(up, "best", "left").select("node", F.col("label").alias("old"), F.least("best", F.coalesce("up", "best")).alias("label")))
+        new = cut_lineage(best.join(up, "best", "left").select("node", F.col("label").alias("old"), F.least("best", F.coalesce("up", "best")).alias("label")))
         labels = new.select("node", "label")
         if not new.where("old <> label").take(1):
             return labels

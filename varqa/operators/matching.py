@@ -150,9 +150,10 @@ def gate01_ngram_leak(spark, d):
 
 
 def join11_short_leak(spark, d):
-    """Second rule of the leak gate: the first three words of each item as short protected texts."""
-    short = table(spark, d, "benchmark").select("item_id", F.array_join(F.slice(T.words(F.col("text")), 1, 5), " ").alias("text"))
-    return short_text_leaks(table(spark, d, "documents"), "doc_id", short, "item_id")
+    """Second rule of the leak gate: the lines and sentences of each item; the short ones, of three words or more, are
+    looked for in the texts."""
+    parts = table(spark, d, "benchmark").select("item_id", F.explode(F.split("text", r"[.!?\n]+")).alias("text")).where(F.size(T.words(F.col("text"))) >= 3)
+    return short_text_leaks(table(spark, d, "documents"), "doc_id", parts, "item_id")
 
 
 def join04_exact_lines(spark, d):
@@ -168,10 +169,14 @@ def join01_source_matching(spark, d):
 
 
 def _shared_runs(docs: DataFrame, bench: DataFrame, n: int = 4) -> DataFrame:
-    mine, theirs = grams_of(docs, "doc_id", "text", n), grams_of(bench, "item_id", "text", n)
-    n_doc, n_item = mine.groupBy("doc_id").agg(F.count("*").alias("n_doc")), theirs.groupBy("item_id").agg(F.count("*").alias("n_item"))
-    hits = mine.join(sized_broadcast(theirs, 200_000), "gram").groupBy("item_id", "doc_id").agg(F.count("*").alias("n_grams"))
-    return hits.join(n_doc, "doc_id").join(sized_broadcast(n_item), "item_id")
+    """item_id, doc_id, n_grams, n_doc, n_item: how many different runs a row has goes with each of its runs, so no side is counted by a shuffle."""
+
+    def counted(df, key, size):
+        x = df.select(key, T.ngram_set(T.words(F.col("text")), n).alias("g"))
+        return x.select(key, F.size("g").alias(size), F.explode("g").alias("gram"))
+
+    met = counted(docs, "doc_id", "n_doc").join(sized_broadcast(counted(bench, "item_id", "n_item"), 200_000), "gram")
+    return met.groupBy("item_id", "doc_id", "n_doc", "n_item").agg(F.count("*").alias("n_grams"))
 
 
 def join02_line_scores(spark, d):
@@ -213,7 +218,7 @@ def _sql_line_keys(tbl: str, key: str) -> str:
 
 ORACLE = {
     "gate01_ngram_leak": f"WITH a AS ({_sql_grams('documents', 'doc_id', 8)}), b AS ({_sql_grams('benchmark', 'item_id', 8)}) SELECT doc_id, item_id, count(*) AS n_grams FROM a JOIN b USING (gram) GROUP BY 1, 2",
-    "join11_short_leak": f"WITH a AS (SELECT doc_id, array_to_string({sql_words('text')}, ' ') AS hay FROM documents), b AS (SELECT item_id, array_to_string(({sql_words('text')})[1:5], ' ') AS needle FROM benchmark) SELECT doc_id, item_id FROM a JOIN b ON contains(hay, needle) WHERE needle <> ''",
+    "join11_short_leak": f"WITH a AS (SELECT doc_id, array_to_string({sql_words('text')}, ' ') AS hay FROM documents), b AS (SELECT item_id, array_to_string(w, ' ') AS needle FROM (SELECT item_id, {sql_words('part')} AS w FROM (SELECT item_id, unnest(string_split_regex(text, '[.!?\\n]+')) AS part FROM benchmark)) WHERE len(w) BETWEEN 3 AND 7) SELECT DISTINCT doc_id, item_id FROM a JOIN b ON contains(hay, needle)",
     "join04_exact_lines": f"WITH a AS (SELECT DISTINCT doc_id, lk FROM ({_sql_line_keys('documents', 'doc_id')}) WHERE lk <> ''), b AS (SELECT DISTINCT item_id, lk FROM ({_sql_line_keys('benchmark', 'item_id')}) WHERE lk <> '') SELECT doc_id, item_id, count(*) AS n_lines FROM a JOIN b USING (lk) GROUP BY 1, 2",
     "join01_source_matching": f"""WITH a AS ({_sql_grams('documents', 'doc_id', 4)}), b AS ({_sql_grams('benchmark', 'item_id', 4)}),
   na AS (SELECT doc_id, count(*) AS n_doc FROM a GROUP BY 1), nb AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY 1),

@@ -110,10 +110,12 @@ def flt03_layers(spark, d):
 
 
 def flt07_reviews(spark, d):
-    """FLT07, WIN05, AGG11, JOIN12: labels as reviews of documents; corrections counted by kind."""
+    """FLT07, WIN05, AGG11, JOIN12: labels as reviews of documents, each document's and its neighbour's (the later id wins);
+    corrections counted by kind."""
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
-    r = labels.select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("seq"), F.pmod("doc_id", F.lit(300)).cast("string").alias("poem_id"), F.when(F.col("quality") == 1, "r1").otherwise("[name]").alias("reviewer"), F.concat(F.lit("t"), "doc_id").alias("corrected_translation"), F.when(F.col("toxic") == 1, F.concat(F.lit("x"), "doc_id")).otherwise("[todo]").alias("corrected_tashreeh"))
-    layers = docs.where("doc_id < 300").select(F.col("doc_id").cast("string").alias("poem_id"), F.lit("literary_translation").alias("kind"), F.col("source").alias("text"))
+    labels = labels.withColumn("of", F.explode(F.array(F.col("doc_id"), F.col("doc_id") + 1)))
+    r = labels.select(F.col("doc_id").cast("string").alias("id"), F.col("doc_id").alias("seq"), F.col("of").cast("string").alias("poem_id"), F.when(F.col("quality") == 1, "r1").otherwise("[name]").alias("reviewer"), F.concat(F.lit("t"), "doc_id").alias("corrected_translation"), F.when(F.col("toxic") == 1, F.concat(F.lit("x"), "doc_id")).otherwise("[todo]").alias("corrected_tashreeh"))
+    layers = docs.select(F.col("doc_id").cast("string").alias("poem_id"), F.lit("literary_translation").alias("kind"), F.col("source").alias("text"))
     return corrected_layers(layers, r).groupBy("kind", "corrected").agg(F.count("*").alias("n"), F.min("text").alias("first"))
 
 
@@ -148,7 +150,8 @@ def gate03_example_leak(spark, d):
 def udf06_prompts(spark, d):
     docs, bench = table(spark, d, "documents"), table(spark, d, "benchmark")
     p = docs.select("doc_id", F.col("doc_id").alias("id"), F.col("source").alias("text"), F.array(F.pmod("doc_id", F.lit(60)), F.pmod("doc_id", F.lit(7))).alias("term_ids"))
-    return prompt_packs(p, bench.select(F.col("item_id").alias("id"), F.substring("text", 1, 9).alias("meaning")), "Explain: {text}").withColumnRenamed("id", "doc_id")
+    packs = prompt_packs(p, bench.select(F.col("item_id").alias("id"), F.col("text").alias("meaning")), "Explain: {text}")
+    return packs.select(F.col("id").alias("doc_id"), F.sha2("prompt", 256).alias("prompt_sha256"))
 
 
 QUERIES = {f.__name__: f for f in (flt03_layers, flt07_reviews, flt08_bands, prj01_records, gate03_example_leak, udf06_prompts)}
@@ -160,12 +163,13 @@ def _grams(source: str, key: str) -> str:
 
 ORACLE = {
     "flt03_layers": "SELECT doc_id, CASE WHEN quality = 1 THEN 'a' ELSE '' END || CASE WHEN toxic = 1 THEN 'b' ELSE '' END AS kinds, array_to_string(list_filter([CASE WHEN n_chars > 1000 THEN 'chars' END, CASE WHEN quality > 0 THEN 'quality' END], lambda x: x IS NOT NULL), ',') AS signals FROM documents LEFT JOIN labels USING (doc_id)",
-    "flt07_reviews": """WITH r AS (SELECT (doc_id % 300)::VARCHAR AS poem_id, 'literary_translation' AS kind, 't' || doc_id AS text, doc_id FROM labels WHERE quality = 1 UNION ALL SELECT (doc_id % 300)::VARCHAR, 'tashreeh', 'x' || doc_id, doc_id FROM labels WHERE quality = 1 AND toxic = 1),
-  l AS (SELECT poem_id, kind, arg_max(text, doc_id) AS text FROM r GROUP BY 1, 2), d AS (SELECT doc_id::VARCHAR AS poem_id, 'literary_translation' AS kind, source FROM documents WHERE doc_id < 300),
+    "flt07_reviews": """WITH o AS (SELECT doc_id, quality, toxic, doc_id AS of FROM labels UNION ALL SELECT doc_id, quality, toxic, doc_id + 1 FROM labels),
+  r AS (SELECT of::VARCHAR AS poem_id, 'literary_translation' AS kind, 't' || doc_id AS text, doc_id FROM o WHERE quality = 1 UNION ALL SELECT of::VARCHAR, 'tashreeh', 'x' || doc_id, doc_id FROM o WHERE quality = 1 AND toxic = 1),
+  l AS (SELECT poem_id, kind, arg_max(text, doc_id) AS text FROM r GROUP BY 1, 2), d AS (SELECT doc_id::VARCHAR AS poem_id, 'literary_translation' AS kind, source FROM documents),
   x AS (SELECT coalesce(d.kind, l.kind) AS kind, l.text IS NOT NULL AS corrected, coalesce(l.text, d.source) AS text FROM d FULL JOIN l ON d.poem_id = l.poem_id AND d.kind = l.kind)
 SELECT kind, corrected, count(*) AS n, min(text) AS first FROM x GROUP BY 1, 2""",
     "flt08_bands": "WITH x AS (SELECT doc_id, source, round(n_chars::DOUBLE / max(n_chars) OVER (PARTITION BY source), 4) AS score FROM documents) SELECT doc_id AS match_id, source AS entry, score, CASE WHEN score >= 1 THEN 'exact' WHEN score >= 0.5 THEN 'strong' ELSE 'weak' END AS band, CASE WHEN doc_id % 4 = 0 THEN 'variant' ELSE 'needs_review' END AS status FROM x",
     "prj01_records": "SELECT doc_id::VARCHAR AS id, source AS title, lang AS language, len(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''))::BIGINT AS n_segments, CASE doc_id % 3 WHEN 0 THEN 'reference_translation:human:false,' WHEN 1 THEN 'literal_gloss:ai:true,' ELSE '' END || 'ai_translation:human:true' AS layers FROM documents",
     "gate03_example_leak": f"WITH a AS ({_grams(chr(10).join(['SELECT conv_id, string_agg(text, chr(32) ORDER BY turn) AS text FROM conversations GROUP BY 1', 'UNION ALL SELECT -1 - doc_id, text FROM documents']), 'conv_id')}), b AS ({_grams('SELECT item_id, text FROM benchmark', 'item_id')}) SELECT item_id, count(DISTINCT conv_id) AS n FROM a JOIN b USING (gram) GROUP BY 1",
-    "udf06_prompts": "SELECT d.doc_id, 'Explain: ' || source || coalesce(chr(10) || '- ' || array_to_string(list_filter([substr(a.text, 1, 9), substr(b.text, 1, 9)], lambda x: x IS NOT NULL), chr(10) || '- '), '') AS prompt FROM documents d LEFT JOIN benchmark a ON a.item_id = d.doc_id % 60 LEFT JOIN benchmark b ON b.item_id = d.doc_id % 7",
+    "udf06_prompts": "SELECT d.doc_id, sha256('Explain: ' || source || coalesce(chr(10) || '- ' || array_to_string(list_filter([a.text, b.text], lambda x: x IS NOT NULL), chr(10) || '- '), '')) AS prompt_sha256 FROM documents d LEFT JOIN benchmark a ON a.item_id = d.doc_id % 60 LEFT JOIN benchmark b ON b.item_id = d.doc_id % 7",
 }

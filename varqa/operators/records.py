@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..sources.readers import catalog, html_elements, segments
 from ..sources.sinks import search_documents
-from .common import table
+from .common import table, with_positions
 
 KB = "id string, kind string, text string, poem_ids array<string>, canonical_work_id string, source_ids array<string>, rights string, trainable boolean, uncertainty boolean, provenance_note string"
 
@@ -49,16 +49,14 @@ def examples(rows: DataFrame, family: str, question: Column, answer: Column, sys
 def numbered(parts: list[DataFrame], *order: str) -> DataFrame:
     """The union of the parts in their order with global ids ex_{family}_{position}: only rows that were kept count.
 
-    Positions are numbered within (part, hash range) windows and shifted by running counts, so no task sorts all.
+    Positions are counted over ranges of (part, order), so no task sorts all.
     """
     x = None
     for i, p in enumerate(parts):
         p = p.withColumn("_part", F.lit(i))
         x = p if x is None else x.unionByName(p, allowMissingColumns=True)
-    x = x.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    before = x.groupBy("_part").agg(F.count("*").alias("_c")).withColumn("_before", F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    x = x.join(F.broadcast(before), "_part")  # one row for each part
-    return x.withColumn("seq", F.col("_before") + F.col("_n")).withColumn("id", F.format_string("ex_%s_%06d", "family", "seq")).drop("_part", "_n", "_before")
+    x = with_positions(x, "_n", "_part", *order)
+    return x.withColumn("seq", F.col("_n") + 1).withColumn("id", F.format_string("ex_%s_%06d", "family", "seq")).drop("_part", "_n")
 
 
 # Fixed value: what an answer from uncertain records ends with.

@@ -77,10 +77,10 @@ def fn_labels(spark, d):
 
 
 def fn14_style(spark, d):
-    """FN14, FN15: native vowel lengths and lint counts over first lines."""
-    x = table(spark, d, "documents").select("doc_id", T.first_line(F.col("text")).alias("t"))
+    """FN14, FN15: native vowel lengths and lint counts over whole texts."""
+    x = table(spark, d, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("t"))
     n = T.lint_counts(F.col("t"))
-    return x.select("doc_id", T.vowel_lengths(F.col("t")).alias("styled"), n["doubled"].cast("long").alias("doubled"), n["nasal"].cast("long").alias("nasal"))
+    return x.select("doc_id", F.sha2(T.vowel_lengths(F.col("t")), 256).alias("styled_sha256"), n["doubled"].cast("long").alias("doubled"), n["nasal"].cast("long").alias("nasal"))
 
 
 def fn43_next_id(spark, d):
@@ -127,8 +127,8 @@ SELECT conv_id, turn, round(CASE WHEN len(list_intersect(x, y)) > 0 THEN 2.0::DO
     "fn_labels": """SELECT doc_id, source || ' happened' AS after, '(' || lang || '): ' || source || ' happened' AS before, 'Divine ' || source AS label, lang AS language,
   CASE WHEN doc_id % 3 = 0 THEN source || chr(10) || chr(10) || 'Note: uncertain.' ELSE source END AS hedged,
   (['What is {}?', 'Explain {}.', 'Define {}.'])[doc_id % 3 + 1] AS template, source || ' THEME DIVINE ' || upper(source) AS search_text FROM documents""",
-    "fn14_style": f"""WITH x AS (SELECT doc_id, coalesce(ltrim(({sql_lines('text')})[1]), '') AS t FROM documents)
-SELECT doc_id, replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t, 'aa', 'ā'), 'Aa', 'Ā'), 'AA', 'Ā'), 'ee', 'ī'), 'Ee', 'Ī'), 'EE', 'Ī'), 'oo', 'ū'), 'Oo', 'Ū'), 'OO', 'Ū'), 'ṅ', 'n̄'), 'ṁ', 'n̄'), 'ṉ', 'n̄') AS styled,
+    "fn14_style": f"""WITH x AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id, sha256(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(t, 'aa', 'ā'), 'Aa', 'Ā'), 'AA', 'Ā'), 'ee', 'ī'), 'Ee', 'Ī'), 'EE', 'Ī'), 'oo', 'ū'), 'Oo', 'Ū'), 'OO', 'Ū'), 'ṅ', 'n̄'), 'ṁ', 'n̄'), 'ṉ', 'n̄')) AS styled_sha256,
   len(regexp_extract_all(t, '(?i)aa|ee|oo'))::BIGINT AS doubled, len(regexp_extract_all(t, '[ṅṁṉ]'))::BIGINT AS nasal FROM x""",
     "fn43_next_id": "SELECT 'doc_' || lpad((max(doc_id) + 1)::VARCHAR, 7, '0') AS next_id FROM documents",
     "fn17_views": f"""WITH x AS (SELECT doc_id, list_transform({sql_lines('text')}, lambda l: string_split(l, ' ')) AS t FROM documents)

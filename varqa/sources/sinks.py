@@ -31,10 +31,13 @@ def search_documents(poems: DataFrame, terms: DataFrame) -> DataFrame:
 
 
 def markdown_table(df: DataFrame, *order: str, most: int = 10_000) -> str:
-    """A report of at most `most` rows; the DataFrame remains the product (SNK05)."""
-    rows = df.orderBy(*order).limit(most).collect()
+    """A report of the first `most` rows, which says how many more there are; the DataFrame remains the product (SNK05)."""
+    rows = df.orderBy(*order).limit(most + 1).collect()
     cell = lambda v: "" if v is None else str(v).replace("|", "\\|").replace("\n", " ")
-    return "\n".join(["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *("| " + " | ".join(map(cell, r)) + " |" for r in rows)]) + "\n"
+    lines = ["| " + " | ".join(df.columns) + " |", "|" + "---|" * len(df.columns), *("| " + " | ".join(map(cell, r)) + " |" for r in rows[:most])]
+    if len(rows) > most:
+        lines.append(f"\nThe first {most} of {df.count()} rows.")
+    return "\n".join(lines) + "\n"
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
