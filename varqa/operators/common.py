@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,14 +46,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def with_positions(df: DataFrame, name: str, *order: str) -> DataFrame:
     """df with `name`, each row's position from 0 in the order of the columns, without one task that sorts all.
 
-    Rows are dealt out by ranges and numbered within; the counts of the ranges before are added. df is written once, as
-    the ranges must not be drawn anew.
+    Only the columns of the order are dealt out by ranges and written (the ranges must not be drawn anew); a range's sums
+    go on from those before it, and the rows then meet their positions by these columns. Equal ones follow one another
+    by a hash of the row.
     """
-    dealt = cut_lineage(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy("_range").orderBy(*order)).cast("long"))
-    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))  # one row for each range
-    before = counts.select("_range", (F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) - 1).alias("_before"))
-    return own.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_own")).drop("_range", "_own", "_before")
+    keys = df.groupBy(*order).agg(F.count("*").alias("_c"))
+    dealt = cut_lineage(keys.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    own = dealt.withColumn("_own", F.sum("_c").over(Window.partitionBy("_range").orderBy(*order)) - F.col("_c"))
+    sums = dealt.groupBy("_range").agg(F.sum("_c").alias("_n"))  # one row for each range
+    before = sums.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    first = own.join(F.broadcast(before), "_range").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], (F.col("_before") + F.col("_own") - 1).alias("_first"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order)])
+    tie = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t])
+    here = F.row_number().over(Window.partitionBy(*order).orderBy(tie))
+    return df.join(first, same).withColumn(name, F.col("_first") + here).drop("_first", *[f"_k{i}" for i in range(len(order))])
 
 
 def ordered_list(value: Column, *order: Column) -> Column:
