@@ -207,9 +207,11 @@ def near_dedup(docs: DataFrame, radius: int = 4, width: int = 4, seed: int = 42)
     known = materialize(fingerprints(docs, width, seed), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")
     best = known.join(_classes(known, radius).select("fp", "component"), "fp").groupBy("component").agg(F.min(order).alias("b"))
-    keep = best.select(F.col("b.doc_id").alias("keep_id"), F.col("b.h").alias("keep_h")).distinct()
-    rows = docs.select(whole_rows(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("h"))
-    kept = rows.join(keep, F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("h") == F.col("keep_h")), "left_semi")
+    # Plain keys, null or not, so that the join and the window after it share one exchange.
+    key = lambda c: [F.coalesce(c, F.lit(0)).alias("id"), c.isNull().alias("none")]
+    keep = best.select(*key(F.col("b.doc_id")), F.col("b.h").alias("h"))
+    rows = docs.select(whole_rows(docs).alias("row"), *key(F.col("doc_id").cast("long")), F.xxhash64("text").alias("h"))
+    kept = rows.join(keep, ["id", "none", "h"], "left_semi")
     same = F.hash(*[F.col("row")[c] for c, t in docs.dtypes if "map<" not in t])
-    first = F.row_number().over(Window.partitionBy("id", "h").orderBy(same))
+    first = F.row_number().over(Window.partitionBy("id", "none", "h").orderBy(same))
     return kept.withColumn("n", first).where("n = 1").select("row.*")

@@ -23,7 +23,7 @@ from .common import shared_path, sized_broadcast, utf8_buffer
 STRIPE = 16 << 20
 ORC = {"compression": "lz4", "orc.rows.between.memory.checks": "500", "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 #: Bytes of text that are cut and encoded together, and bytes that a worker's known pieces may take.
-_BLOCK, _CACHE = 4 << 20, 96 << 20
+_BLOCK, _CACHE = 4 << 20, 48 << 20
 _ENTRY = 160  # bytes of a known piece besides its text
 _SPACE, _LETTER, _DIGIT, _MARK = 1, 2, 3, 4  # other bytes are 0: nothing is cut beside them but before white space
 
@@ -73,7 +73,9 @@ def piece_starts(flat: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def _spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The places first[i], first[i] + 1, ... of every i, count[i] of them, in a row."""
     ends = np.cumsum(count)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+    at += np.repeat((first - (ends - count)).astype(np.int32), count)
+    return at
 
 
 _BLANK = re.compile(r"[\x00-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -92,13 +94,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        told = json.loads(self.tokenizer.to_str())
-        split = told["pre_tokenizer"] or {}
-        self.cuts = told["normalizer"] is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+        split = json.loads(self.tokenizer.pre_tokenizer.__getstate__()) if self.tokenizer.pre_tokenizer else {}
+        self.cuts = self.tokenizer.normalizer is None and split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
         names = self.tokenizer.get_vocab()
         self.opens = np.zeros(max(names.values()) + 1, bool)
         self.opens[[i for t, i in names.items() if t.startswith("\u0120")]] = True  # the byte-level mark of a space
-        self.special = [t["content"] for t in told["added_tokens"]]
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line = self.library(["\n"])[0][0] if self.cuts else -1
         self.known: dict[str, int] = {}
         self.ids, self.first, self.count, self.hits, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64), 0
@@ -177,6 +178,7 @@ class Encoder:
         cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.r_[starts, n].astype(np.int64)), pa.py_buffer(raw))
         coded = cut.dictionary_encode()
         names, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        del cut, coded, raw
         slots = list(map(self.known.get, names))
         if fresh := [x for x, k in zip(names, slots) if k is None]:
             self._learn(fresh)
