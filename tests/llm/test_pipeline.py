@@ -75,3 +75,49 @@ def test_tokens_stage(stages):
 
 def test_run_gives_the_last_stage_and_agrees_with_itself(spark, sf_dir, stages):
     assert sorted(map(tuple, P.run(spark, sf_dir).collect())) == sorted(map(tuple, stages[4][1].collect()))
+
+
+@pytest.fixture(scope="module")
+def odd_tables(spark, tmp_path_factory):
+    """Tables with nulls, empty and long texts, repeated rows and columns of names that operators use themselves."""
+    base = tmp_path_factory.mktemp("odd")
+    words = "the quick brown fox jumps over the lazy dog while many other animals sleep under old trees tonight".split()
+    rows = [(i, " ".join(words[(i * k) % len(words)] + str(i) for k in range(1, 30)), "en", f"s{i % 3}", i) for i in range(12)]
+    rows += [(None, "you idiot " * 9, "en", "s1", 100), (None, rows[3][1], None, None, 101), (20, None, None, "s1", 102), (21, "", "en", None, 103), (22, "w " * 60_000, "en", "s0", 104)]
+    rows += [(5, rows[5][1], "en", "s2", 105), (23, "x " + " ".join(words), "en", "s0", 106)]
+    names = ("_n", "_copies", "_first", "row", "h", "id", "none", "n", "score", "batch")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *(f"n_chars as `{x}`" for x in (*names, "a.b")))
+    docs.write.parquet(f"{base}/documents.parquet")
+    spark.createDataFrame([(1, " ".join(words)), (None, "never asked before"), (2, None), (3, "")], "item_id long, text string").write.parquet(f"{base}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (2, None, None), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{base}/labels.parquet")
+    return str(base)
+
+
+def test_odd_rows_pass_every_stage(spark, odd_tables, tmp_path):
+    docs = spark.read.parquet(f"{odd_tables}/documents.parquet")
+    columns, kept = docs.columns, []
+    for i, (_, stage) in enumerate(P.STAGES):
+        stage(spark, docs, odd_tables).write.parquet(f"{tmp_path}/{i}")
+        docs = spark.read.parquet(f"{tmp_path}/{i}")
+        kept.append(docs)
+    assert all(x.columns == columns for x in kept[:-1])
+    assert all(r[c] == r.n_chars for x in kept[:-1] for r in x.collect() for c in columns[5:])
+    assert kept[0].count() == 19  # labels of no toxic row teach nothing
+    ids = [r.doc_id for r in kept[1].collect()]
+    assert sorted(map(str, ids)) == sorted(map(str, [*range(12), 20, 22, 23, None]))  # 21 is blank like 20; the row near 3 has no id
+    assert 23 not in {r.doc_id for r in kept[2].collect()} and kept[2].count() == len(ids) - 1
+    assert {r.doc_id for r in kept[3].collect()} <= {r.doc_id for r in kept[2].collect()} - {20}
+    got, start = sorted(kept[4].collect(), key=lambda r: r.start), 0
+    for r in got:
+        assert r.start == start
+        start += r.n_tokens
+    assert len(got) == kept[3].count()
+
+
+def test_an_empty_table_passes_every_stage(spark, odd_tables):
+    docs = spark.read.parquet(f"{odd_tables}/documents.parquet").limit(0)
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, docs, odd_tables)
+        assert got.columns == docs.columns and got.count() == 0, name
+    assert P.STAGES[-1][1](spark, docs, odd_tables).columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+    assert P.STAGES[-1][1](spark, docs, odd_tables).count() == 0

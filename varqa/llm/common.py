@@ -55,6 +55,12 @@ def whole_rows(df: DataFrame):
     return F.struct(*[F.col(f"`{c}`") for c in df.columns])
 
 
+def filter_batches(df: DataFrame, run) -> DataFrame:
+    """df through run (Arrow batches to Arrow batches of the same columns), whatever the columns' names are."""
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(run, plain.schema).toDF(*df.columns)
+
+
 def sized_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it has at most `rows` rows, else df itself (a shuffle join, split by AQE where skewed)."""
     return F.broadcast(df) if len(df.limit(rows + 1).select(F.lit(1)).take(rows + 1)) <= rows else df

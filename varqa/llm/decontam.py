@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_array, utf8_buffer
+from .common import NULL_ID, filter_batches, id_array, utf8_buffer
 
 Q, PIECE, STRIDE, EDITS, BAND = 10, 120, 60, 0.08, 16
 #: Words of an item that a text must hold verbatim to count; each Chinese character or kana is a word.
@@ -29,7 +29,7 @@ _PAIRS = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 2**64)
 _SLICE = 1 << 19
-_TEXTS = 4 << 20
+_TEXTS = 2 << 20
 _BITS = 22
 
 
@@ -400,5 +400,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     b = b.filter(pa.array([i not in bad for i in range(b.num_rows)]))
                 yield b
 
-        out = out.mapInArrow(run, docs.schema)
+        out = filter_batches(out, run)
     return out

@@ -94,7 +94,7 @@ def mix_copies(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: f
 
     size is the number of words (a null text has none), taken = copies * size. Null sources form a source of their
     own; repeated rows are documents of their own (h is a hash of the text, n numbers the rows of one doc_id, text and
-    source); documents without words and sources without words are taken 0 times; very long texts count whole; an empty
+    source); documents without words, and so sources without words, get no copy; very long texts count whole; an empty
     table gives an empty result. Other columns are ignored. Reruns agree: chance is a hash of ids.
     """
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.xxhash64("text").alias("h"))
@@ -102,7 +102,7 @@ def mix_copies(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: f
     targets = materialize(source_targets(sized, weights, share, most), "targets")
     leaves = F.ceil(F.col("docs") / LEAF).cast("long")
     rows = sized.join(sized_broadcast(targets.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s")))
-    expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    expected = F.when(F.col("size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rows = rows.select(
         "doc_id", "source", "h", "n", "size", "source_size", "target", F.floor(expected).alias("base"), (expected - F.floor(expected)).alias("p"),
         F.xxhash64("doc_id", "n", "size").alias("key"), F.pmod(F.xxhash64("doc_id", "n", F.lit(1)), leaves).alias("leaf"),

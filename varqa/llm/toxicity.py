@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_crc, materialize, sized_broadcast, texts
+from .common import doc_crc, filter_batches, materialize, sized_broadcast, texts
 
 #: Bounds of the model: labelled rows it is fitted on (about; chosen by a hash of doc_id), and voters.
 TRAIN_ROWS, VOTERS = 12_000, 160
@@ -307,4 +307,4 @@ def reject_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
         for b in batches:
             yield b.filter(pa.array([score(t) < 0.5 for t in texts(b.column(at))], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return filter_batches(docs, run)
