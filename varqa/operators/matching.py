@@ -58,15 +58,17 @@ def exact_line_overlap(texts: DataFrame, key: str, other: DataFrame, other_key:
     return keyed(texts, key).join(sized_broadcast(keyed(other, other_key), 200_000), "line_key").groupBy(key, other_key).agg(F.count("*").alias("n_lines"))
 
 
-def _multiset_bound(a: Column, b: Column) -> Column:
-    """Upper bound of the similarity ratio from character counts (arrays of 28 counts)."""
-    both = F.aggregate(F.zip_with(a, b, lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    return 2.0 * both / (F.aggregate(a, F.lit(0), lambda s, x: s + x) + F.aggregate(b, F.lit(0), lambda s, x: s + x))
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def _multiset_bound(a: Column, b: Column, total: Column) -> Column:
+    """Upper bound of the similarity ratio from two lines' character counts (arrays) and their lengths' sum; compiled, no lambda."""
+    both = reduce(lambda x, y: x + y, [F.least(F.get(a, F.lit(i)), F.get(b, F.lit(i))) for i in range(len(_LETTERS) + 1)])
+    return 2.0 * both / total
 
 
 def _letter_counts(key: Column) -> Column:
-    letters = "abcdefghijklmnopqrstuvwxyz"
-    each = [F.length(key) - F.length(F.replace(key, F.lit(c), F.lit(""))) for c in letters]
+    each = [F.length(key) - F.length(F.replace(key, F.lit(c), F.lit(""))) for c in _LETTERS]
     return F.array(*each, F.length(key) - reduce(lambda x, y: x + y, each))
 
 
@@ -88,7 +90,7 @@ def line_similarity(texts: DataFrame, key: str, other: DataFrame, other_key: str
     cls = lambda n: F.floor(F.log(n) / F.log(step))
     a = a.withColumn("cls", cls(F.col("n")))
     b = b.select(other_key, "other_pos", F.col("lk").alias("rk"), F.col("n").alias("m"), F.col("c").alias("rc"), F.explode(F.sequence(F.greatest(cls(F.col("n") * ratio), F.lit(0)), cls(F.col("n") / ratio))).alias("cls"))
-    pairs = a.join(sized_broadcast(b, 200_000), "cls").where(2.0 * F.least("n", "m") / (F.col("n") + F.col("m")) >= least).where(_multiset_bound(F.col("c"), F.col("rc")) >= least)
+    pairs = a.join(sized_broadcast(b, 200_000), "cls").where(2.0 * F.least("n", "m") / (F.col("n") + F.col("m")) >= least).where(_multiset_bound(F.col("c"), F.col("rc"), F.col("n") + F.col("m")) >= least)
     scored = pairs.withColumn("score", F.when(F.col("lk") == F.col("rk"), F.lit(1.0)).otherwise(similarity_udf("lk", "rk")))
     return scored.where(F.col("score") >= least).select(key, "pos", other_key, "other_pos", "score")
 
