@@ -50,3 +50,39 @@ def test_nulls_ties_and_other_columns(spark):
     assert len(got) == 65 and by[100] == by[101] == "und" and by[None] == "en" and by[102] == "de"
     assert {r.lang_pred for r in predict_language(docs, learn_profiles(docs.limit(0))).collect()} == {"und"}
     assert predict_language(docs.limit(0), m).count() == 0
+
+
+def packed(text):
+    """Counts by packed n-gram, from plain strings: a boundary is 0, so a leading one doesn't show."""
+    s, out = re.sub(r"[\W\d_]+", "\0", "\0" + text.lower() + "\0"), Counter()
+    for n in (1, 2, 3):
+        for i in range(len(s) - n + 1):
+            key = 0
+            for c in s[i : i + n]:
+                key = key << 21 | ord(c)
+            out[key] += key > 0
+    return +out
+
+
+def test_counts_by_gram_match_brute_force():
+    for t in ("", "a", "Ab ba!! ab", "été, straße 99 x_y", "the cat sat on the mat\n" * 50):
+        keys, counts = gram_counts(t)
+        assert dict(zip(keys.tolist(), counts.tolist())) == dict(packed(t)), t
+
+
+def test_query_matches_brute_force(spark, sf_dir):
+    """Profiles, out-of-place distances and predictions of every document, all from plain counters."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    total = {}
+    for d, t, lang in rows:
+        if lang is not None and zlib.crc32(str(d).encode()) % 4 != 2:
+            total.setdefault(lang, Counter()).update(packed(t))
+    order = lambda c: [k for k, _ in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:400]]
+    ranks = {lang: {g: i for i, g in enumerate(order(c))} for lang, c in total.items()}
+    got = {r.doc_id: (r.lang_pred, r.score) for r in predict_language(docs, learn_profiles(docs)).collect()}
+    for d, t, _ in rows:
+        mine = order(packed(t))
+        away = {lang: sum(abs(r[g] - i) if g in r else 400 for i, g in enumerate(mine)) for lang, r in ranks.items()}
+        best = min(sorted(away), key=lambda x: away[x])
+        assert got[d] == ((best, 1 - away[best] / (400 * len(mine))) if mine else ("und", 0.0)), d

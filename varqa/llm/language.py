@@ -85,7 +85,7 @@ def learn_profiles(docs: DataFrame, per_language: int = DOCS, ranks: int = RANKS
     if not count:
         return Profiles({})
     share = F.create_map(*[x for k, n in sorted(count.items()) for x in (F.lit(k), F.lit(min(1.0, per_language / n)))])
-    part = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share[F.col("lang")] * 1_000_000)
+    part = known.where(F.shiftrightunsigned(F.xxhash64("doc_id"), 11) < share[F.col("lang")] * 2.0**53)
 
     def tally(batches):
         for b in batches:
