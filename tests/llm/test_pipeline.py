@@ -1,4 +1,6 @@
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -6,6 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
+from tests.llm.test_mixing import targets
 from tests.llm.test_simhash import brute as brute_simhash
 from varqa.llm.decontam import _norm_one
 from varqa.llm.mixing import mix_copies
@@ -63,6 +66,21 @@ def test_mixing_stage(stages):
     assert all(r.text == texts[r.doc_id].text and r.source == texts[r.doc_id].source for r in after.collect())
 
 
+def test_mixing_stage_meets_targets_worked_out_plainly(stages):
+    before, after = stages[3]
+    words = lambda t: len((t or "").encode().split())
+    sizes, longest, copies = Counter(), Counter(), Counter(r.doc_id for r in after.collect())
+    for r in before.collect():
+        sizes[r.source] += words(r.text)
+        longest[r.source] = max(longest[r.source], words(r.text))
+    want, taken = targets(sizes), Counter()
+    for r in before.collect():
+        expected = want[r.source] / sizes[r.source] if words(r.text) else 0
+        assert math.floor(expected + 1e-9) <= copies[r.doc_id] <= math.ceil(expected - 1e-9)
+        taken[r.source] += copies[r.doc_id] * words(r.text)
+    assert all(abs(taken[s] - want[s]) <= longest[s] for s in want)
+
+
 def test_tokens_stage(stages):
     before, after = stages[4]
     t, start, want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), 0, []
