@@ -25,3 +25,12 @@ def test_a_leak_keeps_the_corpus_from_being_written(spark, tmp_path):
     assert main([*args, "--protected", str(tmp_path / "safe.parquet")], spark) == 1 and not (tmp_path / "o").exists()
     assert main(args, spark) == 0
     assert {r.kind for r in spark.read.parquet(str(tmp_path / "o" / "layers.parquet")).collect()} == {"original", "literary"}
+
+
+def test_validate_writes_its_report_and_fails_on_errors(spark, tmp_path):
+    kinds = "id string, text string, published boolean, rights string"
+    spark.createDataFrame([("a", "fine", True, "public-domain"), ("b", None, False, "x")], kinds).write.parquet(str(tmp_path / "records.parquet"))
+    assert main(["validate", "--data", str(tmp_path), "--out", str(tmp_path / "o")], spark) == 1
+    assert [(r.record_id, r.rule) for r in spark.read.parquet(str(tmp_path / "o" / "violations.parquet")).collect()] == [("b", "no text")]
+    spark.createDataFrame([("a", "fine", True, "public-domain")], kinds).write.mode("overwrite").parquet(str(tmp_path / "records.parquet"))
+    assert main(["validate", "--data", str(tmp_path), "--out", str(tmp_path / "o")], spark) == 0

@@ -4,7 +4,8 @@ import os
 from pyspark.sql import functions as F
 
 from varqa.operators.evaluation import augment, call_model, verdict
-from varqa.operators.matching import combine_signals, line_similarity, propose_status, short_text_leaks
+from varqa.functions import keys as K
+from varqa.operators.matching import combine_signals, line_similarity, propose_status, score_items, short_text_leaks, top_matches
 from varqa.sources import readers as R
 from varqa.sources import sinks as S
 from varqa.streaming.events import read_events, run_available, windowed
@@ -141,3 +142,39 @@ def test_streams_resume(spark, sf_dir, tmp_path):
     q = windowed(read_events(spark, str(src)), "1 day", late="1 day").writeStream.format("memory").queryName("w").outputMode("append").option("checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
     q.awaitTermination()
     assert 0 < spark.table("w").count()
+
+
+def test_item_scores_match_brute_force(spark):
+    roman = ["ilmon bas kari o yaar", "ikko alif tere darkaar", "raanjha raanjha kardi ni main", "aape raanjha hoi", "ki jaana main kaun", "bulleya ki jaana"]
+    urdu = ["علموں بس کریں او یار", "اکو الف تیرے درکار", "رانجھا رانجھا کردی", "کی جاناں میں کون"]
+    items = [
+        ("a", "Ilmon bas kari", "ilmõ bas karī o yār\nikko alif tere darkār", None, urdu[0], None, None),
+        ("b", "Ranjha", None, "رانجھا", "رانجھا کردی نی\n", "राँझा", "राँझा राँझा करदी"),
+        ("c", "", "", "", "", "", "बुल्ल्हिआ की जाणां मैं कौण"),
+        ("d", "nothing like it 999", "zz top\nqq", None, None, None, None),
+    ]
+    entries = [("e1", "Ilmon bas", "\n".join(roman[:2]), "\n".join(urdu[:2])), ("e2", "Ranjha ranjha", "\n".join(roman[2:4]), urdu[2]), ("e3", "Ki jana", "\n".join(roman[4:]), urdu[3]), ("e4", None, None, None)]
+    keyed = lambda make, text: [k for k in (make(x) for x in (text or "").split("\n")) if k]
+    least, want = 0.5, {}
+
+    def best(left, right):
+        return max((x for x in (K.similarity(p, q) for p in left for q in right) if x >= least), default=0.0)
+
+    for i, rt, rx, ut, ux, dt, dx in items:
+        for e, title, er, eu in entries:
+            t, r, u = keyed(K.latin_key, title), keyed(K.latin_key, er), keyed(K.arabic_key, eu)
+            rl, ul = keyed(K.latin_key, rx), keyed(K.arabic_key, ux)
+            s = [best(keyed(K.latin_key, rt), t), best(keyed(K.latin_key, rt), t + r), best(rl, r), best(keyed(K.arabic_key, ut), u), best(ul, u), best(keyed(K.devanagari_key, dt), t + r), best(keyed(K.devanagari_key, dx), r)]
+            exact = len(set(rl) & set(r)) + len(set(ul) & set(u))
+            a, b, score = max(s[1:3]), max(s[3:5]), max(s[:5])
+            score = max(score, min(1.0, (a + b) / 2 + 0.05)) if a >= 0.75 and b >= 0.75 else score
+            score = 1.0 if exact else max(score, min(0.98, max(s[5:])))
+            if score > 0:
+                want[i, e] = (round(score, 4), sorted(round(x, 4) for x in s if x > 0), exact)
+    kinds = "item_id string, roman_title string, roman_text string, urdu_title string, urdu_text string, devanagari_title string, devanagari_text string"
+    scored = score_items(spark.createDataFrame(items, kinds), spark.createDataFrame(entries, "entry_id string, title string, roman_text string, urdu_text string"), least)
+    got = {(r.item_id, r.entry_id): (r.score, sorted(r.signals.values()), r.exact_roman + r.exact_urdu) for r in scored.collect()}
+    assert got == want and len({i for i, _ in got}) >= 3 and any(x[2] for x in got.values())
+    first = {r.item_id: r.entry_id for r in top_matches(scored, "item_id", "entry_id", 1).collect()}
+    assert first["a"] == "e1" and first["b"] == "e2"
+    assert score_items(spark.createDataFrame([], kinds), spark.createDataFrame([], "entry_id string, title string, roman_text string, urdu_text string")).count() == 0

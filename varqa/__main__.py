@@ -49,7 +49,7 @@ COMMANDS = {
     "export-training-corpus": (lambda s, a: records.layers(table(s, a, "poems"), a.include_reference), "layers"),
     "generate-training-data": (lambda s, a: evaluation.split_examples(records.build_examples(table(s, a, "poems"), table(s, a, "knowledge_base")).withColumn("work", F.col("id")), holdout=not a.no_holdout), "examples"),
     "build-probes": (lambda s, a: relational.quota(table(s, a, "examples"), "family", "id", 5, 25), "probes"),
-    "match-source-manifest": (lambda s, a: matching.top_matches(table(s, a, "scored"), "item_id", "entry_id", a.top), "matches"),
+    "match-source-manifest": (lambda s, a: matching.top_matches(matching.score_items(table(s, a, "items"), table(s, a, "entries"), a.least), "item_id", "entry_id", a.top), "matches"),
     "apply-reviews": (lambda s, a: projections.corrected_layers(table(s, a, "layers"), table(s, a, "reviews")), "layers"),
     "retrieve": (lambda s, a: vectors.with_floor(vectors.nearest(table(s, a, "queries"), table(s, a, "embeddings"), a.top), a.min_score), "hits"),
     "run-eval": (lambda s, a: evaluation.summary(table(s, a, "eval_results")), "summary"),
@@ -82,12 +82,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--tables", default="records")
     p.add_argument("--top", type=int, default=5)
     p.add_argument("--min-score", type=float, default=0.35)
+    p.add_argument("--least", type=float, default=0.5, help="similarity from which a signal of match-source-manifest counts")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName("varqa").getOrCreate()
     make, name = COMMANDS[a.command]
     df = make(spark, a)
     found = gates(a, a.command, df, spark)
     bad = sinks.gated_write(df, df.limit(0) if found is None else found, lambda x: x.write.mode("overwrite").parquet(f"{a.out}/{name}.parquet"))
+    if a.command == "validate":  # the report is written, and errors in it are a failure
+        bad = spark.read.parquet(f"{a.out}/{name}.parquet").where("level = 'error'").limit(100).collect()
     for row in bad:
         print("violation:", row, file=sys.stderr)
     return int(bool(bad))

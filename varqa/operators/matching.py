@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.keys import latin_key_udf, similarity_udf
+from ..functions.keys import arabic_key_udf, devanagari_key_udf, latin_key_udf, similarity_udf
 from .common import ordered_list, sized_broadcast, sql_lines, sql_words, table
 
 # The length of a leak, the thresholds of coverage and the cap of approximate scores.
@@ -106,6 +106,60 @@ def combine_signals(roman: list[Column], urdu: list[Column], approximate: list[C
     return F.round(F.when(exact_lines > 0, 1.0).otherwise(score), 4)
 
 
+def similar_keys(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
+    """script, lk, rk, score: pairs of different line keys of one script whose similarity reaches `least`, without loss.
+
+    left (script, lk) and right (script, rk) meet by classes of length that the score allows; the bound from character
+    counts comes before the comparison. Equal keys score 1.
+    """
+    ratio, cls = least / (2 - least), lambda n: F.floor(F.log(n) / F.log(F.lit(1.15)))
+    a = left.distinct().withColumn("n", F.length("lk")).withColumn("c", _letter_counts(F.col("lk"))).withColumn("cls", cls(F.col("n")))
+    b = right.distinct().withColumn("m", F.length("rk")).withColumn("rc", _letter_counts(F.col("rk")))
+    b = b.withColumn("cls", F.explode(F.sequence(F.greatest(cls(F.col("m") * ratio), F.lit(0)), cls(F.col("m") / ratio))))
+    total = F.col("n") + F.col("m")
+    met = a.join(sized_broadcast(b, 200_000), ["script", "cls"]).where(2.0 * F.least("n", "m") / total >= least).where(_multiset_bound(F.col("c"), F.col("rc"), total) >= least)
+    score = F.when(F.col("lk") == F.col("rk"), F.lit(1.0)).otherwise(similarity_udf("lk", "rk"))
+    return met.select("script", "lk", "rk", score.alias("score")).where(F.col("score") >= least)
+
+
+def score_items(items: DataFrame, entries: DataFrame, least: float = 0.5) -> DataFrame:
+    """item_id, entry_id, score, signals (positive ones, to 4 places), exact_roman, exact_urdu (JOIN01).
+
+    items: item_id, roman_title, roman_text, urdu_title, urdu_text, devanagari_title, devanagari_text; entries: entry_id,
+    title, roman_text, urdu_text. Titles and lines are compared by their keys; Devanagari meets the Roman side by
+    transliteration. A signal is the best similarity of its kind; those below `least` (at most 0.75) count as none.
+    Nulls and blank lines have no key; repeated lines count once; empty tables give no rows.
+    """
+    if least > 0.75:
+        raise ValueError("the rule for two strong scripts needs signals from 0.75 on")
+
+    def keyed(df, key, parts):
+        out = None
+        for part, script, column, make, lines in parts:
+            text = F.explode(T.nonempty_lines(F.col(column))) if lines else F.col(column)
+            x = df.select(key, F.lit(part).alias("part"), F.lit(script).alias("script"), text.alias("t")).select(key, "part", "script", make("t").alias("k")).where("k <> ''")
+            out = x if out is None else out.unionByName(x)
+        return out.distinct()
+
+    sides = ("roman", "r", latin_key_udf), ("urdu", "u", arabic_key_udf), ("devanagari", "r", devanagari_key_udf)
+    mine = keyed(items, "item_id", [(f"{name}_{kind}", script, f"{name}_{kind}", make, kind == "text") for name, script, make in sides for kind in ("title", "text")])
+    theirs = keyed(entries, "entry_id", [("title", "r", "title", latin_key_udf, False), ("lines", "r", "roman_text", latin_key_udf, True), ("lines", "u", "urdu_text", arabic_key_udf, True)])
+    alike = similar_keys(mine.select("script", F.col("k").alias("lk")), theirs.select("script", F.col("k").alias("rk")), least)
+    met = alike.join(mine.withColumnRenamed("k", "lk").withColumnRenamed("part", "mine"), ["script", "lk"]).join(theirs.withColumnRenamed("k", "rk").withColumnRenamed("part", "theirs"), ["script", "rk"])
+    lines, says = F.col("theirs") == "lines", lambda part: F.col("mine") == part
+    rules = {
+        "roman_title_to_title": says("roman_title") & ~lines, "roman_title_to_any_line": says("roman_title"), "roman_any_line": says("roman_text") & lines,
+        "urdu_title_to_any_line": says("urdu_title"), "urdu_any_line": says("urdu_text"),
+        "devanagari_title_to_any_line": says("devanagari_title"), "devanagari_any_line": says("devanagari_text") & lines,
+    }
+    exact = lambda part: F.count_if(says(part) & lines & (F.col("lk") == F.col("rk")))
+    x = met.groupBy("item_id", "entry_id").agg(*[F.coalesce(F.max(F.when(rule, F.col("score"))), F.lit(0.0)).alias(name) for name, rule in rules.items()], exact("roman_text").alias("exact_roman"), exact("urdu_text").alias("exact_urdu"))
+    c = F.col
+    score = combine_signals([c("roman_title_to_any_line"), c("roman_any_line")], [c("urdu_title_to_any_line"), c("urdu_any_line")], [c("devanagari_title_to_any_line"), c("devanagari_any_line")], c("exact_roman") + c("exact_urdu"))
+    signals = F.map_filter(F.create_map(*[v for name in rules for v in (F.lit(name), F.round(c(name), 4))]), lambda _, v: v > 0)
+    return x.select("item_id", "entry_id", score.alias("score"), signals.alias("signals"), "exact_roman", "exact_urdu").where("score > 0")
+
+
 def top_matches(scored: DataFrame, item: str, candidate: str, n: int) -> DataFrame:
     """The n best candidates of each item by (score descending, candidate), positive scores only."""
     if n < 1:
