@@ -1,3 +1,5 @@
+import pytest
+
 from varqa.__main__ import main
 
 
@@ -34,3 +36,11 @@ def test_validate_writes_its_report_and_fails_on_errors(spark, tmp_path):
     assert [(r.record_id, r.rule) for r in spark.read.parquet(str(tmp_path / "o" / "violations.parquet")).collect()] == [("b", "no text")]
     spark.createDataFrame([("a", "fine", True, "public-domain")], kinds).write.mode("overwrite").parquet(str(tmp_path / "records.parquet"))
     assert main(["validate", "--data", str(tmp_path), "--out", str(tmp_path / "o")], spark) == 0
+
+
+def test_a_broken_entry_fails_the_step(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "e1.md").write_text("---\nid: p1\n# Original\nx\n", encoding="utf-8")
+    with pytest.raises(Exception, match="front matter is not closed"):
+        main(["build-data", "--data", str(tmp_path / "in"), "--out", str(tmp_path / "o")], spark)
+    assert not (tmp_path / "o" / "records.parquet").exists() or not list((tmp_path / "o" / "records.parquet").glob("*.parquet"))

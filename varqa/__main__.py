@@ -24,10 +24,20 @@ ALIASES = {
 
 
 def build_data(spark: SparkSession, a) -> DataFrame:
-    """Markdown entries under --data as records; entries with unfilled slots only with --include-placeholders."""
+    """Markdown entries under --data as records; entries with unfilled slots only with --include-placeholders.
+
+    An entry whose front matter is broken fails the step: nothing is written.
+    """
     files = readers.markdown_paths(spark, a.data)
-    parse = F.udf(lambda t: readers.front_matter(t)[:2], "struct<f: map<string, array<string>>, rest: string>")
-    x = files.select("path", parse("value").alias("p")).select("path", F.col("p.f").alias("front_matter"), readers.sections(F.col("p.rest"), ALIASES).alias("sections"))
+
+    def parsed(path, text):
+        fields, rest, error = readers.front_matter(text)
+        if error:
+            raise ValueError(f"{path}: {error}")
+        return fields, rest
+
+    parse = F.udf(parsed, "struct<f: map<string, array<string>>, rest: string>", useArrow=True)
+    x = files.select("path", parse("path", "value").alias("p")).select("path", F.col("p.f").alias("front_matter"), readers.sections(F.col("p.rest"), ALIASES).alias("sections"))
     x = x.withColumn("id", F.coalesce(F.get(F.try_element_at("front_matter", F.lit("id")), F.lit(0)), F.regexp_extract("path", r"([^/]+)\.md$", 1)))
     if not a.include_placeholders:
         from .functions import text as T
