@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import format_chats, read_back
 from .common import table
 from .decontam import leaks
+from .fim import digests, fill_in_middle
 from .language import learn_profiles, predict_language
 from .mixing import mix_copies
 from .pii import detect_pii
@@ -65,7 +66,11 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_pii(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(fill_in_middle(table(spark, sf_dir, "documents"), seed=1))
+
+
+QUERIES = {"op12_fim": op12_fim, "op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 _ESCAPED = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<s>', '<\\s>'), '</s>', '<\\/s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
 
 ORACLE: dict[str, str] = {
@@ -79,5 +84,14 @@ SELECT conv_id::BIGINT AS conv_id, count(*)::BIGINT AS n_turns,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   (3 + sum(6 + 7 + 4 + length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')})))::BIGINT AS formatted_chars
-FROM said GROUP BY conv_id"""
+FROM said GROUP BY conv_id""",
+    "op12_fim": """
+WITH h AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+u AS (SELECT doc_id, t, length(t)::BIGINT AS n, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2, ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM h),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM u),
+o AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substring(t, b + 1) AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256 FROM o""",
 }
