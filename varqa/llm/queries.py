@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .chat import format_chats, read_back
 from .common import table
 from .decontam import leaks
+from .divergence import audit_sources
 from .fim import digests, fill_in_middle
 from .language import learn_profiles, predict_language
 from .mixing import mix_copies
@@ -70,7 +71,11 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(fill_in_middle(table(spark, sf_dir, "documents"), seed=1))
 
 
-QUERIES = {"op12_fim": op12_fim, "op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {"op13_divergence": op13_divergence, "op12_fim": op12_fim, "op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 _ESCAPED = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<s>', '<\\s>'), '</s>', '<\\/s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
 
 ORACLE: dict[str, str] = {
@@ -94,4 +99,21 @@ o AS (SELECT *, substring(t, 1, a) AS p, substring(t, a + 1, b - a) AS m, substr
 SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
   sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
   sha256(t) AS restored_sha256 FROM o""",
+    "op13_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+t AS (SELECT r, lang, source, term, count(*) AS c FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(c) AS lc FROM t GROUP BY 1, 2 HAVING count(*) >= 10),
+v AS (SELECT lang, count(*) AS v, sum(lc) AS ln FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, sum(c) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY 1, 2, 3),
+n AS (SELECT lang, source, sum(c) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT lang, source, term, coalesce(c, 0) AS c, 1 + (1000000000::HUGEINT * (coalesce(c, 0) + 2)) // (coalesce(n, 0) + 2 * v) AS p, 1 + (1000000000::HUGEINT * (lc + 2)) // (ln + 2 * v) AS q
+  FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, term) LEFT JOIN n USING (lang, source)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE c > 0 AND p > q),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM z WHERE part = 'pair' OR rank <= 10""",
 }
