@@ -10,6 +10,7 @@ from .common import table
 from .decontam import leaks
 from .divergence import audit_sources
 from .fim import digests, fill_in_middle
+from .html import main_text
 from .language import learn_profiles, predict_language
 from .mixing import mix_copies
 from .pii import detect_pii
@@ -75,7 +76,11 @@ def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_sources(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op13_divergence": op13_divergence, "op12_fim": op12_fim, "op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
+def op11_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {"op11_html": op11_html, "op13_divergence": op13_divergence, "op12_fim": op12_fim, "op2_pii": op2_pii, "op4_tiff": op4_tiff, "op10_language": op10_language, "op9_chat": op9_chat, "op7_substring_dedup": op7_substring_dedup, "op6_token_ids": op6_token_ids, "op1_mixing": op1_mixing, "op5_toxicity": op5_toxicity, "op3_decontamination": op3_decontamination, "op8_simhash": op8_simhash}
 _ESCAPED = "replace(replace(replace(replace(replace({0}, '\\', '\\\\'), '<s>', '<\\s>'), '</s>', '<\\/s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
 
 ORACLE: dict[str, str] = {
