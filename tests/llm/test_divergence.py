@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from varqa.llm import divergence as D
@@ -49,8 +50,10 @@ def corpus(seed, n, n_sources, n_terms):
 
 
 def test_terms():
-    for t in ("", "a", " ", "Don't STOP-me ÀÉ x9y \x7f\x00Z 文字、か", "İ K  b", "a\x1cb\x85c"):
-        assert [w.decode() for w in terms_of(t.encode())] == [w.translate(LOWER) for w in TERM.findall(t)]
+    texts = ["", "a", " ", "Don't STOP-me ÀÉ x9y \x7f\x00Z 文字、か", "ends", "Starts İ K  b", "a\x1cb\x85c", ""]
+    raw = [t.encode() for t in texts]
+    words, doc = terms_of(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    assert list(zip(doc.tolist(), (w.decode() for w in words.to_pylist()))) == [(i, w.translate(LOWER)) for i, t in enumerate(texts) for w in TERM.findall(t)]
 
 
 def test_shares_are_exact_beyond_64_bits():
@@ -84,10 +87,25 @@ def test_other_columns_and_empty_tables(spark):
     assert audit_sources(wide.limit(0)).collect() == []
 
 
-def test_many_flushes(spark, monkeypatch):
-    monkeypatch.setattr(D, "HELD", 5)
+@pytest.mark.parametrize(("held", "slice_bytes"), [(5, 40), (60, 7), (10**6, 1)])
+def test_slices_and_flushes_do_not_matter(spark, monkeypatch, held, slice_bytes):
+    monkeypatch.setattr(D, "HELD", held)
+    monkeypatch.setattr(D, "SLICE", slice_bytes)
     rows = corpus(11, 120, 3, 25)
-    docs = spark.createDataFrame(rows, "text string, lang string, source string")
-    got = {tuple(r)[:3]: r["count"] for r in D.term_counts(docs).collect() if r.term}
-    want = Counter((lang or "", s or "", w.translate(LOWER)) for t, lang, s in rows for w in TERM.findall(t))
-    assert got == dict(want)
+    batch = pa.record_batch([pa.array([r[i] or "" for r in rows]) for i in (1, 2, 0)], ["lang", "source", "text"])
+
+    class Docs:  # the function that the workers run, without workers
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            return run
+
+    got, want = Counter(), Counter()
+    for b in D.term_counts(Docs())(iter([batch.slice(0, 50), batch.slice(50)])):
+        for r in b.to_pylist():
+            got[r["lang"], r["source"], r["term"]] += np.array([r["count"], r["docs"]])
+    for t, lang, s in rows:
+        for w, n in Counter(x.translate(LOWER) for x in TERM.findall(t)).items():
+            want[lang or "", s or "", w] += np.array([n, 1])
+    assert {k: x.tolist() for k, x in got.items()} == {k: x.tolist() for k, x in want.items()}
