@@ -82,14 +82,14 @@ def test_classes_equal_whole_vectors(spark, monkeypatch):
         t = first[h]
         got = {frozenset(t.tokens[t.cls == c].tolist()) for c in np.unique(t.cls)}
         assert got == brute_classes(hosts[h])
-        assert set(valid[h].tokens.tolist()) <= set(t.tokens.tolist()) and len(valid[h].tags) > 10
+        assert set(valid[h].tokens.tolist()) <= set(t.tokens.tolist()) and len(valid[h].tags) >= 10
     assert "c" not in first
-    assert any("crumbs" in p for p in hosts["b"]) and valid["b"].words
+    assert any("crumbs" in p for p in hosts["b"]) and valid["b"].texts
 
 
 def test_places_tell_order_and_nesting():
     rows = np.zeros(4, H._PACKED)
-    rows["token"], rows["cls"], rows["outer"] = [2, 4, 6, 9], [0, 0, 1, 1], [1, 1, 0, 0]
+    rows["token"], rows["cls"], rows["kind"] = [2, 4, 6, 9], [0, 0, 1, 1], [1, 1, 0, 0]
     t = Template(rows.tobytes())
     index, place, gap = t.places(np.array([2, 50, 6, 9, 6, 9, 4, 77], np.uint64))
     assert (t.tokens[index].tolist(), place.tolist(), gap.tolist()) == ([2, 6, 9, 6, 9, 4], [0, 0, 0, 0, 0, 1], [0, 1, 1, 1, 1, 0])

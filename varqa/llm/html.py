@@ -1,10 +1,10 @@
 """Main text of web pages by deducing each host's template from its pages.
 
-A token is a tag or a word, told apart by the path of elements above it. Tokens that occur equally often on each page of
+A token is a tag or the text between two tags, told apart by the path of elements above it. Tokens that occur equally often on each page of
 a host form an equivalence class. Classes that are large and frequent make up the template: members whose place in the
 class's order changes from page to page are taken out, and so are those that don't keep to one gap of the outer class.
 What lies between template tokens are slots. Slots inside menus, headers, footers and the like, slots of links, and
-blocks that consist of template words only are left out; the rest is the page's text.
+blocks that consist of template texts only are left out; the rest is the page's text.
 
 No page meets another: occurrence vectors are compared by two sums, over pages, of 32 bits of a hash of page and count.
 """
@@ -25,7 +25,7 @@ from .common import materialize, texts
 
 #: A class is large from so many tokens, frequent from so many pages and such a share of its host's pages.
 LARGE, PAGES, SHARE = 3, 3, 0.3
-#: A word is template text on this share of a host's pages, not counting those of its commonest title, if it has so many titles.
+#: A text is of the template on this share of a host's pages, not counting those of its commonest title, if it has so many titles.
 EVERYWHERE, TITLES = 0.9, 5
 #: A slot outside articles holds a menu if links hold more than this share of its characters.
 LINKS = 0.5
@@ -57,17 +57,6 @@ ARTICLE, MAIN = 2, 1
 FORM, HARD = 1, 2
 
 
-class Words(dict):
-    """Ids of the words under one path; odd, as tags' are even."""
-
-    def __init__(self, path: int):
-        self.path = path
-
-    def __missing__(self, word: str) -> int:
-        self[word] = found = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"), self.path) | 1
-        return found
-
-
 class Element:
     __slots__ = ("name", "path", "outside", "scope", "link", "block")
 
@@ -76,15 +65,14 @@ class Element:
 
 
 class Reader:
-    """Reads pages into tokens and blocks; keeps the ids of paths, labels and words it has met."""
+    """Reads pages into tokens and blocks; keeps the ids of paths and labels it has met. Ids of tags are even, those of texts odd."""
 
     def __init__(self):
         self.paths: dict[tuple[int, str], int] = {}
-        self.words: dict[int, Words] = {}
         self.labels: dict[tuple[str, str], tuple[str, int, int, bool]] = {}
 
     def _forget(self):
-        if len(self.paths) + len(self.labels) + sum(map(len, self.words.values())) > 500_000:
+        if len(self.paths) + len(self.labels) > 200_000:
             self.__init__()
 
     def label(self, name: str, attributes: str) -> tuple[str, int, int, bool]:
@@ -115,9 +103,9 @@ class Reader:
         paths, root = self.paths, Element("", 0, 0, 0, False, 0)
         stack, stream, blocks, title = [root], [], [], ""
         pieces: list[str] = []
-        state = [0, 0, 0, 0, True]  # of the open block: path, scope, link characters, slot, template words only
+        state = [0, 0, 0, 0, True]  # of the open block: path, scope, link characters, slot, template texts only
         tags = template.tags if template else frozenset()
-        template_words = template.words if template else frozenset()
+        fixed = template.texts if template else frozenset()
         last = 0
 
         def text(lo: int, hi: int) -> None:
@@ -127,18 +115,14 @@ class Reader:
             piece = page[lo:hi]
             if "&" in piece:
                 piece = entities.unescape(piece)
-            found = piece.split()
-            if found:
-                words = self.words.get(top.path)
-                if words is None:
-                    words = self.words[top.path] = Words(top.path)
-                ids = [words[w] for w in found]
-                stream.extend(ids)
+            plain = " ".join(piece.split())
+            if plain:
+                stream.append(known := xxhash.xxh3_64_intdigest(plain.encode("utf-8", "surrogatepass"), top.path) | 1)
                 if not state[0]:
                     state[:] = [top.block or 1, top.scope, 0, xxhash.xxh3_64_intdigest(last.to_bytes(8, "little"), top.block), True]
                 if top.link:
-                    state[2] += sum(map(len, found))
-                state[4] = state[4] and template_words.issuperset(ids)
+                    state[2] += len(plain)
+                state[4] = state[4] and known in fixed
             pieces.append(piece)
 
         def end_block() -> None:
@@ -209,24 +193,29 @@ class Reader:
         return stream, blocks, title
 
 
-_PACKED = np.dtype([("token", "<u8"), ("cls", "<u4"), ("outer", "<u4")])
+#: Of a template: tokens of the outer class (kind 1) and of others (0), and slots judged to be menus (2) or not (3).
+_PACKED = np.dtype([("token", "<u8"), ("cls", "<u4"), ("kind", "<u4")])
+MENU, NO_MENU = 2, 3
 
 
 class Template:
-    """A host's template: its tokens (sorted), each one's class and whether that is the outer one."""
+    """A host's template: its tokens (sorted), each one's class and whether that is the outer one, and its frequent slots."""
 
     def __init__(self, packed: bytes | None):
         rows = np.frombuffer(packed or b"", _PACKED)
-        self.tokens, self.cls, self.outer = rows["token"].copy(), rows["cls"].copy(), rows["outer"] == 1
+        slots = rows[rows["kind"] >= MENU]
+        self.menus = dict(zip(slots["token"].tolist(), (slots["kind"] == MENU).tolist()))
+        rows = rows[rows["kind"] < MENU]
+        self.tokens, self.cls, self.outer = rows["token"].copy(), rows["cls"].copy(), rows["kind"] == 1
         self.tags = frozenset(self.tokens[self.tokens & 1 == 0].tolist())
-        self.words = frozenset(self.tokens[self.tokens & 1 == 1].tolist())
+        self.texts = frozenset(self.tokens[self.tokens & 1 == 1].tolist())
         self.size = np.zeros(int(self.cls.max()) + 1 if len(rows) else 0, np.int64)  # tags in each class
         np.add.at(self.size, self.cls, (self.tokens & 1 == 0).astype(np.int64))
 
     def places(self, stream: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each template token of a page: its index, its place in its class's order, and its gap of the outer class.
 
-        A tag's place is its turn among the class's tags; a word's is the gap between those tags that it stands in.
+        A tag's place is its turn among the class's tags; a text's is the gap between those tags that it stands in.
         """
         if not len(self.tokens):
             return (np.zeros(0, np.int64),) * 3
@@ -240,8 +229,8 @@ class Template:
             if m := int(self.size[c]):
                 tags = mine[tag[mine]]
                 place[tags] = np.arange(len(tags)) % m
-                words = mine[~tag[mine]]
-                place[words] = np.searchsorted(tags, words) % m
+                rest = mine[~tag[mine]]
+                place[rest] = np.searchsorted(tags, rest) % m
         outer = np.flatnonzero(self.outer[index] & tag)
         gap = np.searchsorted(outer, np.arange(len(at)))
         gap[self.outer[index]] = 0  # the outer class's own tokens have their places
@@ -305,7 +294,7 @@ def _pack(t: pa.Table) -> pa.Table:
     first = np.unique(cls, return_index=True)[1]
     outer = max(range(len(keys)), key=lambda c: (support[first[c]], -total[first[c]], size[c], keys[c]))
     rows = np.zeros(len(token), _PACKED)
-    rows["token"], rows["cls"], rows["outer"] = token, cls, cls == outer
+    rows["token"], rows["cls"], rows["kind"] = token, cls, cls == outer
     rows.sort(order="token")
     return pa.table({"host": t["host"].slice(0, 1), "template": pa.array([rows.tobytes()], pa.binary())})
 
@@ -333,9 +322,9 @@ def deduce_templates(pages: DataFrame) -> DataFrame:
     sums = pages.mapInArrow(_vectors, "host string, is_title boolean, token long, low long, high long, support long, total long")
     sums = materialize(sums.groupBy("host", "is_title", "token").agg(*[F.sum(c).alias(c) for c in ("low", "high", "support", "total")]), "vectors")
     hosts = sums.where("is_title").groupBy("host").agg(F.sum("support").alias("n"), F.max("support").alias("common"), F.count("*").alias("titles"))
-    is_word = F.col("token").bitwiseAND(F.lit(1)) == 1
+    is_text = F.col("token").bitwiseAND(F.lit(1)) == 1
     spread = (F.col("titles") >= TITLES) & (F.col("support") - F.col("common") >= EVERYWHERE * (F.col("n") - F.col("common")))
-    often = sums.where(~F.col("is_title") & (F.col("support") >= PAGES)).join(hosts, "host").where((F.col("support") >= SHARE * F.col("n")) & (~is_word | spread))
+    often = sums.where(~F.col("is_title") & (F.col("support") >= PAGES)).join(hosts, "host").where((F.col("support") >= SHARE * F.col("n")) & (~is_text | spread))
     vector = ["host", "low", "high", "support", "total"]
     large = often.withColumn("size", F.count("*").over(Window.partitionBy(*vector))).where(F.col("size") >= LARGE)
     classes = large.select("host", "token", F.xxhash64("low", "high", "support", "total").alias("cls"), "support", "total")
@@ -356,27 +345,61 @@ def with_templates(pages: DataFrame, templates: DataFrame) -> DataFrame:
     return pages.withColumn("_salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")).join(parts, ["host", "_salt"], "left").drop("_salt")
 
 
-_BLOCK = "struct<slot: bigint, scope: int, chars: bigint, linked: bigint, fixed: boolean, text: string>"
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(host, html, template, page_id, url) to the page's blocks, those of its articles only if it has some."""
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, html, template) to pages, characters and those in links of each slot, over the batch's pages without article
+    and main part; slot 0 counts such pages."""
+    reader = Reader()
+    for b in batches:
+        pages, packed = texts(b.column(1)), b.column(2)
+        for host, rows in _by_host(b).items():
+            t, sums = Template(packed[rows[0]].as_py()), {}
+            for i in rows:
+                found = reader.read(pages[i], t)[1]
+                if any(x[1] for x in found):
+                    continue
+                one = {0: [1, 0, 0]}
+                for slot, _, chars, linked, _, _ in found:
+                    x = one.setdefault(slot, [1, 0, 0])
+                    x[1] += chars
+                    x[2] += linked
+                for slot, x in one.items():
+                    y = sums.setdefault(slot, [0, 0, 0])
+                    y[:] = map(sum, zip(x, y))
+            values = np.array(list(sums.values()), np.int64).reshape(-1, 3)
+            yield pa.record_batch([pa.array([host] * len(sums), pa.string()), _long(np.array(list(sums), np.uint64)), *(pa.array(values[:, j]) for j in range(3))], ["host", "slot", "pages", "chars", "linked"])
+
+
+def _pack_slots(t: pa.Table) -> pa.Table:
+    rows = np.zeros(len(t), _PACKED)
+    rows["token"], rows["kind"] = t["slot"].to_numpy().view(np.uint64), np.where(t["menu"].to_numpy(zero_copy_only=False), MENU, NO_MENU)
+    return pa.table({"host": t["host"].slice(0, 1), "slots": pa.array([rows.tobytes()], pa.binary())})
+
+
+def judge_slots(pages: DataFrame, templates: DataFrame) -> DataFrame:
+    """Templates with the slots that are frequent on their host's pages without article, and whether each holds a menu."""
+    sums = with_templates(pages, templates).select("host", "html", "template").mapInArrow(_slots, "host string, slot long, pages long, chars long, linked long")
+    sums = materialize(sums.groupBy("host", "slot").agg(*[F.sum(c).alias(c) for c in ("pages", "chars", "linked")]), "slots")
+    n = sums.where("slot = 0").select("host", F.col("pages").alias("n"))
+    often = sums.where(F.col("slot") != 0).join(n, "host").where((F.col("pages") >= PAGES) & (F.col("pages") >= SHARE * F.col("n")))
+    slots = often.select("host", "slot", (F.col("linked") > LINKS * F.col("chars")).alias("menu")).groupBy("host").applyInArrow(_pack_slots, "host string, slots binary")
+    empty = F.lit(b"")
+    return materialize(templates.join(slots, "host", "full").select("host", F.concat(F.coalesce("template", empty), F.coalesce("slots", empty)).alias("template")), "judged")
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(host, html, template, page_id, url) to page_id, url, text: blocks of the page's articles only if it has some."""
     reader = Reader()
-    kind = pa.list_(pa.struct([("slot", pa.int64()), ("scope", pa.int32()), ("chars", pa.int64()), ("linked", pa.int64()), ("fixed", pa.bool_()), ("text", pa.string())]))
     for b in batches:
-        pages, packed, known = texts(b.column(1)), b.column(2), {}
-        hosts, out, held, lo = b.column(0).to_pylist(), [], 0, 0
-        for i, page in enumerate(pages):
-            t = known.get(hosts[i])
+        pages, packed, known, out = texts(b.column(1)), b.column(2), {}, []
+        for i, host in enumerate(b.column(0).to_pylist()):
+            t = known.get(host)
             if t is None:
-                t = known[hosts[i]] = Template(packed[i].as_py())
-            found = reader.read(page, t)[1]
+                t = known[host] = Template(packed[i].as_py())
+            found = reader.read(pages[i], t)[1]
             scope = max((x[1] for x in found), default=0)
-            out.append([{"slot": x[0] - (1 << 64) if x[0] >> 63 else x[0], "scope": x[1], "chars": x[2], "linked": x[3], "fixed": x[4], "text": x[5].encode("utf-8", "replace").decode()} for x in found if x[1] == scope])
-            held += len(page)
-            if held > 4 << 20 or i == len(pages) - 1:
-                yield pa.record_batch([b.column(0).slice(lo, i + 1 - lo), b.column(3).slice(lo, i + 1 - lo), b.column(4).slice(lo, i + 1 - lo), pa.array(out, kind)], ["host", "page_id", "url", "blocks"])
-                out, held, lo = [], 0, i + 1
+            keep = (x[5] for x in found if x[1] == scope and not x[4] and (scope or not t.menus.get(x[0], x[3] > LINKS * x[2])))
+            out.append(" ".join(keep).encode("utf-8", "replace").decode())
+        yield pa.record_batch([b.column(3), b.column(4), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -390,17 +413,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     host = F.coalesce(F.regexp_extract(F.lower("url"), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
     plain = pages.select(F.col("page_id"), F.col("url").cast("string"), F.col("html").cast("string")).select(host.alias("host"), "html", "page_id", "url")
-    templates = deduce_templates(plain.select("host", "html"))
+    bare = plain.select("host", "html")
+    judged = judge_slots(bare, deduce_templates(bare))
     kind = plain.schema["page_id"].dataType.simpleString()
-    read = with_templates(plain, templates).select("host", "html", "template", "page_id", "url").mapInArrow(_blocks, f"host string, page_id {kind}, url string, blocks array<{_BLOCK}>")
-    read = materialize(read.withColumn("row", F.monotonically_increasing_id()), "blocks")
-    # Words of the template only: no part of any page's text. Slots count outside articles, over all pages of the host.
-    own = F.filter("blocks", lambda x: ~x["fixed"])
-    free = F.exists("blocks", lambda x: (x["scope"] == 0) & (x["linked"] > 0))
-    each = read.where(free).select("host", "row", F.posexplode(own).alias("pos", "b")).select("host", "row", "pos", "b.*")
-    slots = each.groupBy("host", "slot").agg(F.sum("chars").alias("c"), F.sum("linked").alias("l"))
-    menus = slots.where(F.col("l") > LINKS * F.col("c")).select("host", "slot")
-    rest = each.join(menus, ["host", "slot"], "left_anti").groupBy("row").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda x: x["text"]), " ").alias("left"))
-    direct = read.select("page_id", "url", "row", F.when(~F.coalesce(free, F.lit(False)), F.array_join(F.transform(own, lambda x: x["text"]), " ")).alias("direct"))
-    text = F.coalesce("direct", "left", F.lit(""))
-    return direct.join(rest, "row", "left").select("page_id", "url", text.alias("text"), F.length(text).cast("long").alias("n_chars"))
+    read = with_templates(plain, judged).select("host", "html", "template", "page_id", "url").mapInArrow(_texts, f"page_id {kind}, url string, text string")
+    return read.withColumn("n_chars", F.length("text").cast("long"))
