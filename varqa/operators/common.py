@@ -19,13 +19,13 @@ def sized_broadcast(df: DataFrame, rows: int = 20_000) -> DataFrame:
     return F.broadcast(df) if len(df.select(F.lit(1)).take(rows + 1)) <= rows else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df written to the shared folder (spark.checkpoint.dir) and read back; deleted when the session's JVM ends.
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder (spark.checkpoint.dir); deleted when the session's JVM ends.
 
     Where the setting is missing, local mode takes a temporary folder and a cluster its default file system; a cluster
     whose default is its machines' own disks is refused.
     """
-    spark, context = df.sparkSession, df.sparkSession.sparkContext
+    context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         default = context._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
@@ -36,11 +36,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         else:
             folder = f"{default.rstrip('/')}/tmp/varqa-{context.applicationId}"
         spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/varqa/cut-{uuid.uuid4().hex}"
+    path = f"{folder.rstrip('/')}/varqa/{name}-{uuid.uuid4().hex}"
     where = context._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(context._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back."""
+    path = shared_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def with_positions(df: DataFrame, name: str, *order: str) -> DataFrame:
