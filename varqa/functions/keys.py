@@ -7,6 +7,8 @@ import unicodedata
 from difflib import SequenceMatcher
 
 import pandas as pd
+import regex
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import STYLE_PAIRS
@@ -35,28 +37,31 @@ SIGNS = {"ं": "n", "ँ": "n", "ः": "h", "ऽ": "", "।": " ", "॥": " ",
 WITH_NUKTA = {"k": "q", "j": "z", "ph": "f", "d": "r", "dh": "rh"}
 
 
+_MARKS = regex.compile(r"\p{Mn}+")
+_NO_LETTER = regex.compile(r"[^\p{L}\p{N}]+|[ʿʾʻ]+")
+_NO_ARABIC = regex.compile(r"[\p{M}\p{P}\p{C}\p{Z}]+")
+_FOLDED = str.maketrans(ARABIC_FOLD | {TATWEEL: ""})
+
+
 def slugify(text: str) -> str:
-    plain = unicodedata.normalize("NFKD", text or "").encode("ascii", "ignore").decode().lower()
-    return re.sub("[^a-z0-9]+", "_", plain).strip("_") or "untitled"
+    """ASCII words joined by underscores, letters that decompose to ASCII counted in."""
+    letters = regex.sub(r"[^\x00-\x7f]+", "", unicodedata.normalize("NFKD", text or "")).lower()
+    return "_".join(regex.findall("[a-z0-9]+", letters)) or "untitled"
 
 
 def strip_marks(text: str) -> str:
-    return "".join(c for c in unicodedata.normalize("NFKD", text or "") if unicodedata.category(c) != "Mn")
+    return _MARKS.sub("", unicodedata.normalize("NFKD", text or ""))
 
 
 def latin_key(text: str) -> str:
-    """Letters and digits without marks, case or the signs for ain; long vowels folded until nothing changes."""
-    key = "".join(c for c in strip_marks(text).casefold() if c.isalnum() and c not in "ʿʾʻ")
-    while True:
-        folded = key.replace("aa", "a").replace("ee", "i").replace("oo", "u")
-        if folded == key:
-            return key
-        key = folded
+    """Letters and digits without marks, case or the signs for ain; doubled vowels are one letter (a run of a is one a)."""
+    key = _NO_LETTER.sub("", strip_marks(text).casefold())
+    return regex.sub("aa+", "a", key).replace("ee", "i").replace("oo", "u")
 
 
 def arabic_key(text: str) -> str:
-    folded = unicodedata.normalize("NFKC", text or "").translate(str.maketrans(ARABIC_FOLD)).replace(TATWEEL, "")
-    return "".join(c for c in folded if unicodedata.category(c)[0] not in "MPCZ")
+    """Letters of one form each, without marks, punctuation and blanks."""
+    return _NO_ARABIC.sub("", unicodedata.normalize("NFKC", text or "").translate(_FOLDED))
 
 
 def devanagari_to_latin(text: str) -> str:
@@ -86,14 +91,19 @@ def devanagari_key(text: str) -> str:
     return latin_key(devanagari_to_latin(text))
 
 
+_STYLE = dict(STYLE_PAIRS)
+# Small doubled vowels go first, then those that begin with a capital, then capitals.
+_STYLED = [regex.compile("|".join(x for x in _STYLE if shape(x))) for shape in (str.islower, str.istitle, str.isupper)]
+_NAMES = re.compile(r"'(?P<ain>(?=[Aa]in\b))|'?\b(?P<g>[gG])h(?=ain\b)")
+_LINE_START = regex.compile(r"(?m)^[^\p{L}\p{Nl}\p{No}\n]*\K[\p{L}\p{Nl}\p{No}]")
+
+
 def latin_style(text: str) -> str:
     """The house transliteration style: macrons, one nasal mark, ain and ghain, a capital at each line's first letter."""
-    for source, target in STYLE_PAIRS:
-        text = text.replace(source, target)
-    text = re.sub(r"'(?=[Aa]in\b)", "ʿ", text)
-    text = re.sub(r"'?\b([gG])hain\b", lambda m: ("ġ" if m[1] == "g" else "Ġ") + "ain", text)
-    first = re.compile(r"[^\W\d_]")
-    return "\n".join(first.sub(lambda m: m[0].upper() if m[0].islower() else m[0], line, count=1) for line in text.splitlines())
+    for pairs in _STYLED:
+        text = pairs.sub(lambda m: _STYLE[m[0]], text)
+    named = _NAMES.sub(lambda m: "ʿ" if m["g"] is None else "Ġ" if m["g"] == "G" else "ġ", text)
+    return _LINE_START.sub(lambda m: m[0].upper() if m[0].islower() else m[0], "\n".join(named.splitlines()))
 
 
 def similarity(left: str, right: str) -> float:
@@ -118,7 +128,18 @@ def _text_udf(function):
 
 slugify_udf = _text_udf(slugify)
 strip_marks_udf = _text_udf(strip_marks)
-latin_key_udf = _text_udf(latin_key)
+_other_latin_key = _text_udf(latin_key)
+
+
+def latin_key_udf(text: Column | str) -> Column:
+    """latin_key: compiled for ASCII texts; only the others go to Python."""
+    t = F.col(text) if isinstance(text, str) else text
+    ascii_only = F.octet_length(t) == F.length(t)
+    letters = F.regexp_replace(F.regexp_replace(F.lower(t), "[^a-z0-9]+", ""), "aa+", "a")
+    folded = F.replace(F.replace(letters, F.lit("ee"), F.lit("i")), F.lit("oo"), F.lit("u"))
+    return F.when(ascii_only, folded).otherwise(_other_latin_key(F.when(~ascii_only, t)))
+
+
 arabic_key_udf = _text_udf(arabic_key)
 devanagari_key_udf = _text_udf(devanagari_key)
 latin_style_udf = _text_udf(latin_style)

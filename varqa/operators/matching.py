@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import ahocorasick
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions.keys import arabic_key_udf, devanagari_key_udf, latin_key_udf, similarity_udf
-from .common import ordered_list, sized_broadcast, sql_lines, sql_words, table
+from ..functions.numbers import round_exact
+from .common import cut_lineage, ordered_list, sized_broadcast, sql_lines, sql_words, table
+from .linejoin import similar_keys
 
 # The length of a leak, the thresholds of coverage and the cap of approximate scores.
 LEAK_WORDS = 8
@@ -38,14 +43,49 @@ def short_text_leaks(texts: DataFrame, key: str, protected: DataFrame, protected
     their parts; containment is then confirmed on the strings.
     """
     short = protected.select(protected_key, T.words(F.col("text")).alias("w")).where((F.size("w") < n) & (F.size("w") > 0))
-    short = short.select(protected_key, F.array_join("w", " ").alias("needle"), F.size("w").alias("_k"), F.element_at(F.when(F.size("w") > 1, F.col("w")), 2).alias("second"))
-    hay = texts.select(key, T.words(F.col("text")).alias("hw")).withColumn("hay", F.array_join("hw", " "))
-    # From three words on, the second word stands whole in any text that holds them.
-    inner = short.where("_k >= 3")
-    by_word = hay.select(key, "hay", F.explode(F.array_distinct("hw")).alias("second")).join(sized_broadcast(inner), "second")
-    # One or two words can start or end inside a longer word: so few protected texts are compared one by one.
-    rest = hay.join(sized_broadcast(short.where("_k < 3")), F.expr("contains(hay, needle)"))
-    return by_word.where("contains(hay, needle)").select(key, protected_key).unionByName(rest.select(key, protected_key)).distinct()
+    short = short.select(protected_key, F.array_join("w", " ").alias("needle"), F.size("w").alias("_k"), F.get("w", F.lit(1)).alias("second"))
+    hay = texts.select(key, T.words(F.col("text")).alias("hw"))
+    # From three words on, the second word stands whole in any text that holds them: ids meet first, then the texts.
+    met = hay.select(key, F.explode(F.array_distinct("hw")).alias("second")).join(sized_broadcast(short.where("_k >= 3")), "second").select(key, protected_key, "needle")
+    joined = hay.select(key, F.array_join("hw", " ").alias("hay"))
+    by_word = joined.join(met, key).where("contains(hay, needle)").select(key, protected_key)
+    return by_word.unionByName(_holding(joined, key, short.where("_k < 3").select(protected_key, "needle"), protected_key)).distinct()
+
+
+#: Needles that one automaton holds; more of them are looked for in several passes.
+NEEDLES = 50_000
+
+
+def _holding(texts: DataFrame, key: str, needles: DataFrame, needle_key: str) -> DataFrame:
+    """key, needle_key for the needles (of a word or two: they can begin and end inside longer words) that stand anywhere
+    in a text (key, hay): one reading of each text for all needles of a pass, by an automaton."""
+    kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((texts, key), (needles, needle_key))}
+    needles = cut_lineage(needles)
+    passes = max(1, -(-needles.count() // NEEDLES))
+    out = None
+    for i in range(passes):
+        held: dict[str, list] = {}
+        for r in needles.where(F.pmod(F.xxhash64("needle"), F.lit(passes)) == i).toLocalIterator():
+            held.setdefault(r["needle"], []).append(r[needle_key])
+        if not held:
+            continue
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            automaton = ahocorasick.Automaton()
+            for needle, ids in held.items():
+                automaton.add_word(needle, (needle, ids))
+            automaton.make_automaton()
+            for b in batches:
+                at, found = [], []
+                for j, hay in enumerate(b.column(1).to_pylist()):
+                    mine = {k for needle in {v[0] for _, v in automaton.iter(hay or "")} for k in held[needle]}
+                    at += [j] * len(mine)
+                    found += mine
+                yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(found)], [key, needle_key]) if at else pa.record_batch([b.column(0).slice(0, 0), pa.array([], pa.from_numpy_dtype("int64") if kinds[needle_key] == "bigint" else pa.string())], [key, needle_key])
+
+        hits = texts.select(key, "hay").mapInArrow(run, f"{key} {kinds[key]}, {needle_key} {kinds[needle_key]}")
+        out = hits if out is None else out.unionByName(hits)
+    return out if out is not None else texts.select(key).join(needles.select(needle_key), F.lit(False)).select(key, needle_key)
 
 
 def exact_line_overlap(texts: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
@@ -58,41 +98,19 @@ def exact_line_overlap(texts: DataFrame, key: str, other: DataFrame, other_key:
     return keyed(texts, key).join(sized_broadcast(keyed(other, other_key), 200_000), "line_key").groupBy(key, other_key).agg(F.count("*").alias("n_lines"))
 
 
-_LETTERS = "abcdefghijklmnopqrstuvwxyz"
-
-
-def _multiset_bound(a: Column, b: Column, total: Column) -> Column:
-    """Upper bound of the similarity ratio from two lines' character counts (arrays) and their lengths' sum; compiled, no lambda."""
-    both = reduce(lambda x, y: x + y, [F.least(F.get(a, F.lit(i)), F.get(b, F.lit(i))) for i in range(len(_LETTERS) + 1)])
-    return 2.0 * both / total
-
-
-def _letter_counts(key: Column) -> Column:
-    each = [F.length(key) - F.length(F.replace(key, F.lit(c), F.lit(""))) for c in _LETTERS]
-    return F.array(*each, F.length(key) - reduce(lambda x, y: x + y, each))
-
-
 def line_similarity(texts: DataFrame, key: str, other: DataFrame, other_key: str, least: float) -> DataFrame:
     """key, pos, other_key, other_pos, score: line pairs whose similarity reaches `least`, without loss.
 
-    Pairs are compared only if they share a block: equal keys, or lengths whose bound 2 min / (a + b) allows the
-    score. Length classes meet in an equi join (each line goes to its class, protected lines to all classes they can
-    reach); the character-count bound cuts most of the rest before the pandas UDF runs.
+    Distinct keys meet once, by their rarest grams (`similar_keys`); the pairs are then given back to their lines.
     """
 
-    def keyed(df, k, pos):
+    def keyed(df, k, pos, name):
         x = df.select(k, F.posexplode(T.nonempty_lines(F.col("text"))).alias(pos, "line"))
-        x = x.select(k, pos, latin_key_udf("line").alias("lk")).where("lk <> ''")
-        return x.withColumn("n", F.length("lk")).withColumn("c", _letter_counts(F.col("lk")))
+        return cut_lineage(x.select(k, pos, latin_key_udf("line").alias(name)).where(f"{name} <> ''"))
 
-    a, b = keyed(texts, key, "pos"), keyed(other, other_key, "other_pos")
-    step, ratio = F.lit(1.15), least / (2 - least)
-    cls = lambda n: F.floor(F.log(n) / F.log(step))
-    a = a.withColumn("cls", cls(F.col("n")))
-    b = b.select(other_key, "other_pos", F.col("lk").alias("rk"), F.col("n").alias("m"), F.col("c").alias("rc"), F.explode(F.sequence(F.greatest(cls(F.col("n") * ratio), F.lit(0)), cls(F.col("n") / ratio))).alias("cls"))
-    pairs = a.join(sized_broadcast(b, 200_000), "cls").where(2.0 * F.least("n", "m") / (F.col("n") + F.col("m")) >= least).where(_multiset_bound(F.col("c"), F.col("rc"), F.col("n") + F.col("m")) >= least)
-    scored = pairs.withColumn("score", F.when(F.col("lk") == F.col("rk"), F.lit(1.0)).otherwise(similarity_udf("lk", "rk")))
-    return scored.where(F.col("score") >= least).select(key, "pos", other_key, "other_pos", "score")
+    a, b = keyed(texts, key, "pos", "lk"), keyed(other, other_key, "other_pos", "rk")
+    alike = cut_lineage(similar_keys(a.select(F.lit("r").alias("script"), "lk"), b.select(F.lit("r").alias("script"), "rk"), least).drop("script"))
+    return a.join(sized_broadcast(alike), "lk").join(sized_broadcast(b, 200_000), "rk").select(key, "pos", other_key, "other_pos", "score")
 
 
 def combine_signals(roman: list[Column], urdu: list[Column], approximate: list[Column], exact_lines: Column) -> Column:
@@ -103,31 +121,16 @@ def combine_signals(roman: list[Column], urdu: list[Column], approximate: list[C
     score = F.greatest(r, u)
     score = F.when((r >= 0.75) & (u >= 0.75), F.greatest(score, F.least(F.lit(1.0), (r + u) / 2 + 0.05))).otherwise(score)
     score = F.greatest(score, F.least(F.lit(APPROXIMATE_CAP), top(approximate)))
-    return F.round(F.when(exact_lines > 0, 1.0).otherwise(score), 4)
+    return round_exact(F.when(exact_lines > 0, 1.0).otherwise(score), 4)
 
 
-def similar_keys(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
-    """script, lk, rk, score: pairs of different line keys of one script whose similarity reaches `least`, without loss.
-
-    left (script, lk) and right (script, rk) meet by classes of length that the score allows; the bound from character
-    counts comes before the comparison. Equal keys score 1.
-    """
-    ratio, cls = least / (2 - least), lambda n: F.floor(F.log(n) / F.log(F.lit(1.15)))
-    a = left.distinct().withColumn("n", F.length("lk")).withColumn("c", _letter_counts(F.col("lk"))).withColumn("cls", cls(F.col("n")))
-    b = right.distinct().withColumn("m", F.length("rk")).withColumn("rc", _letter_counts(F.col("rk")))
-    b = b.withColumn("cls", F.explode(F.sequence(F.greatest(cls(F.col("m") * ratio), F.lit(0)), cls(F.col("m") / ratio))))
-    total = F.col("n") + F.col("m")
-    met = a.join(sized_broadcast(b, 200_000), ["script", "cls"]).where(2.0 * F.least("n", "m") / total >= least).where(_multiset_bound(F.col("c"), F.col("rc"), total) >= least)
-    score = F.when(F.col("lk") == F.col("rk"), F.lit(1.0)).otherwise(similarity_udf("lk", "rk"))
-    return met.select("script", "lk", "rk", score.alias("score")).where(F.col("score") >= least)
-
-
-def score_items(items: DataFrame, entries: DataFrame, least: float = 0.5) -> DataFrame:
+def score_items(items: DataFrame, entries: DataFrame, least: float = 0.0) -> DataFrame:
     """item_id, entry_id, score, signals (positive ones, to 4 places), exact_roman, exact_urdu (JOIN01).
 
     items: item_id, roman_title, roman_text, urdu_title, urdu_text, devanagari_title, devanagari_text; entries: entry_id,
     title, roman_text, urdu_text. Titles and lines are compared by their keys; Devanagari meets the Roman side by
-    transliteration. A signal is the best similarity of its kind; those below `least` (at most 0.75) count as none.
+    transliteration. A signal is the best similarity of its kind, whatever it is, or with `least` (at most 0.75)
+    those that reach it; `best_matches` finds the top ones without all pairs.
     Nulls and blank lines have no key; repeated lines count once; empty tables give no rows.
     """
     if least > 0.75:
@@ -156,10 +159,33 @@ def score_items(items: DataFrame, entries: DataFrame, least: float = 0.5) -> Dat
     x = met.groupBy("item_id", "entry_id").agg(*[F.coalesce(F.max(F.when(rule, F.col("score"))), F.lit(0.0)).alias(name) for name, rule in rules.items()], exact("roman_text").alias("exact_roman"), exact("urdu_text").alias("exact_urdu"))
     c = F.col
     score = combine_signals([c("roman_title_to_any_line"), c("roman_any_line")], [c("urdu_title_to_any_line"), c("urdu_any_line")], [c("devanagari_title_to_any_line"), c("devanagari_any_line")], c("exact_roman") + c("exact_urdu"))
-    signals = F.map_filter(F.create_map(*[v for name in rules for v in (F.lit(name), F.round(c(name), 4))]), lambda _, v: v > 0)
+    signals = F.map_filter(F.create_map(*[v for name in rules for v in (F.lit(name), round_exact(c(name), 4))]), lambda _, v: v > 0)
     return x.select("item_id", "entry_id", score.alias("score"), signals.alias("signals"), "exact_roman", "exact_urdu").where("score > 0")
 
 
+#: Scores down to which candidates are looked for, one after the other, until an item has enough of them.
+TIERS = (0.75, 0.5, 0.0)
+
+
+def best_matches(items: DataFrame, entries: DataFrame, n: int) -> DataFrame:
+    """item_id, entry_id, score, signals, exact_roman, exact_urdu, rank: each item's n best entries of all with a positive score.
+
+    Signals below a tier can't lift an entry over it, so an item that has n entries from a tier on is done; only the
+    others are compared again, with all entries, at the next tier, and at last at any score. Signals of an item's rows
+    are those from its tier on.
+    """
+    if n < 1:
+        raise ValueError("top_n must be at least 1")
+    left, done = cut_lineage(items), None
+    for tier in TIERS:
+        scored = cut_lineage(score_items(left, entries, tier))
+        have = scored.where(F.col("score") >= tier).groupBy("item_id").count().where(F.col("count") >= n).select("item_id")
+        own = scored.join(have, "item_id", "left_semi").where(F.col("score") >= tier) if tier else scored
+        done = own if done is None else done.unionByName(own)
+        left = left.join(have, "item_id", "left_anti")
+    return top_matches(done, "item_id", "entry_id", n)
+
+
 def top_matches(scored: DataFrame, item: str, candidate: str, n: int) -> DataFrame:
     """The n best candidates of each item by (score descending, candidate), positive scores only."""
     if n < 1:
@@ -192,10 +218,92 @@ def propose_status(channels: Column, strong_w: Column, strong_e: Column, loose_w
     )
 
 
-def coverage(lines: DataFrame, aligned: DataFrame, key: str, pos: str, strong: float = STRONG, loose: float = LOOSE) -> DataFrame:
-    """Share of each key's lines whose best score, rounded to 2 places, reaches either threshold."""
-    x = lines.join(aligned, [key, pos], "left").withColumn("s", F.coalesce(F.round("score", 2), F.lit(0.0)))
-    return x.groupBy(key).agg(F.avg((F.col("s") >= strong).cast("int")).alias("strong"), F.avg((F.col("s") >= loose).cast("int")).alias("loose"), F.count("*").alias("n"))
+def coverage(lines: DataFrame, aligned: DataFrame, keys: list[str], pos: str, strong: float = STRONG, loose: Column | float = LOOSE) -> DataFrame:
+    """Share of each key's lines whose best score, rounded to 2 places, reaches either threshold, to 2 places; `n` lines.
+
+    Lines without a partner have a score of 0; `loose` may be a column of the lines.
+    """
+    x = lines.join(aligned, [*keys, pos], "left").withColumn("s", F.coalesce(round_exact(F.col("score"), 2), F.lit(0.0)))
+    share = lambda least: round_exact(F.avg((F.col("s") >= least).cast("int")), 2)
+    return x.groupBy(*keys).agg(share(strong).alias("strong"), share(loose).alias("loose"), F.count("*").alias("n"))
+
+
+def channel_lines(df: DataFrame, key: str, channels: dict[str, tuple[str, object]]) -> DataFrame:
+    """key, channel, pos, raw, k: the non-blank lines of each channel's column with their keys (empty ones left out).
+
+    channels: name -> (column, key function); Devanagari lines have the key of their transliteration.
+    """
+    out = None
+    for channel, (column, make) in channels.items():
+        x = df.select(key, F.lit(channel).alias("channel"), F.posexplode(T.nonempty_lines(F.col(column))).alias("pos", "raw"))
+        x = x.select(key, "channel", "pos", F.trim("raw").alias("raw"), make("raw").alias("k")).where("k <> ''")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+WITNESS = {"roman": ("roman_text", latin_key_udf), "urdu": ("urdu_text", arabic_key_udf), "devanagari": ("devanagari_text", devanagari_key_udf)}
+#: An entry's Roman lines also stand against the transliterated Devanagari ones.
+ENTRY = {"roman": ("roman_text", latin_key_udf), "urdu": ("urdu_text", arabic_key_udf), "devanagari": ("roman_text", latin_key_udf)}
+
+
+def line_evidence(matches: DataFrame, items: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(evidence, alignment) of matches (item_id, entry_id) for each channel that both sides have lines in.
+
+    evidence: item_id, entry_id, channel, witness_lines, entry_lines, exact_lines (distinct keys in common),
+    witness_strong, entry_strong, witness_loose, entry_loose (to 2 places; the loose threshold is lower for Devanagari).
+    alignment: item_id, entry_id, channel, side, pos, raw, best (the other side's line; empty where nothing is alike),
+    score. Each line goes to the other side's line of the highest score, of equal ones the first. A match's lines meet
+    each other only, all of them, and keys that occur again are compared once. Unknown ids and empty texts have no channel.
+    """
+    wanted = matches.select("item_id", "entry_id").distinct()
+    w = wanted.join(channel_lines(items, "item_id", WITNESS), "item_id")
+    e = wanted.join(channel_lines(entries, "entry_id", ENTRY), "entry_id")
+    pair = ["item_id", "entry_id", "channel"]
+    w, e = cut_lineage(w.select(*pair, "pos", "raw", "k")), cut_lineage(e.select(*pair, "pos", "raw", "k"))
+    both = w.select(*pair).distinct().intersect(e.select(*pair).distinct())
+    w, e = w.join(both, pair), e.join(both, pair)
+    other = e.select(*pair, F.col("pos").alias("epos"), F.col("raw").alias("eraw"), F.col("k").alias("ek"))
+    met = w.select(*pair, F.col("pos").alias("wpos"), F.col("raw").alias("wraw"), F.col("k").alias("wk")).join(other, pair)
+    # The ratio is not the same both ways: forward scores have the witness first, backward ones the entry.
+    ratio = lambda a, b: F.when(F.col(a) == F.col(b), F.lit(1.0)).otherwise(similarity_udf(a, b)).alias("score")
+    forward = cut_lineage(met.select("wk", "ek").distinct().select("wk", "ek", ratio("wk", "ek")))
+    backward = cut_lineage(met.select("wk", "ek").distinct().select("wk", "ek", ratio("ek", "wk")))
+    sides = []
+    for side, lines, pos, raw, scores, to, said in (("witness", w, "wpos", "wraw", forward, "epos", "eraw"), ("entry", e, "epos", "eraw", backward, "wpos", "wraw")):
+        best = best_alignment(met.join(scores, ["wk", "ek"]).where("score > 0"), [*pair, pos], to).select(*pair, F.col(pos).alias("pos"), F.col(said).alias("best"), "score")
+        soft = F.when(F.col("channel") == "devanagari", LOOSE_APPROXIMATE).otherwise(LOOSE)
+        share = coverage(lines.select(*pair, "pos"), best.select(*pair, "pos", "score"), pair, "pos", loose=soft)
+        sides.append((side, share, lines.join(best, [*pair, "pos"], "left").select(*pair, F.lit(side).alias("side"), "pos", "raw", F.coalesce("best", F.lit("")).alias("best"), round_exact(F.coalesce("score", F.lit(0.0)), 2).alias("score"))))
+    named = [x.select(*pair, F.col("strong").alias(f"{side}_strong"), F.col("loose").alias(f"{side}_loose"), F.col("n").alias(f"{side}_lines")) for side, x, _ in sides]
+    exact = w.select(*pair, "k").distinct().intersect(e.select(*pair, "k").distinct()).groupBy(*pair).agg(F.count("*").alias("exact_lines"))
+    evidence = named[0].join(named[1], pair).join(exact, pair, "left").na.fill(0, ["exact_lines"])
+    evidence = evidence.select(*pair, "witness_lines", "entry_lines", "exact_lines", "witness_strong", "entry_strong", "witness_loose", "entry_loose")
+    return evidence, sides[0][2].unionByName(sides[1][2])
+
+
+# The order of channels among equal ones.
+CHANNELS = ("roman", "urdu", "devanagari")
+
+
+def proposals(matches: DataFrame, items: DataFrame, evidence: DataFrame) -> DataFrame:
+    """item_id, status, entry_id, channel, note for each item of matches (item_id, entry_id, rank).
+
+    A candidate's best channel is that of most strong, then most loose coverage of both sides; the item goes with the
+    candidate of most loose coverage, the first of equal ones. Items that aren't in `items` have the note `missing`, those
+    without a candidate or a common channel `no comparable channel`; both are unmatched.
+    """
+    turn = F.array_position(F.array(*map(F.lit, CHANNELS)), F.col("channel"))
+    strong, loose = F.col("witness_strong") + F.col("entry_strong"), F.col("witness_loose") + F.col("entry_loose")
+    per_pair = Window.partitionBy("item_id", "entry_id").orderBy(strong.desc(), loose.desc(), turn)
+    best = evidence.withColumn("_c", F.row_number().over(per_pair)).where("_c = 1").drop("_c")
+    ranked = best.join(matches.select("item_id", "entry_id", "rank").distinct(), ["item_id", "entry_id"])
+    chosen = ranked.withColumn("_r", F.row_number().over(Window.partitionBy("item_id").orderBy(loose.desc(), "rank", "entry_id"))).where("_r = 1")
+    c = F.col
+    known = items.select("item_id", F.lit(True).alias("known")).distinct()
+    x = matches.select("item_id").distinct().join(known, "item_id", "left").join(chosen, "item_id", "left")
+    status = propose_status(c("channel").isNotNull(), c("witness_strong"), c("entry_strong"), c("witness_loose"), c("entry_loose"), c("exact_lines"))
+    note = F.when(c("known").isNull(), "missing").when(c("channel").isNull(), "no comparable channel")
+    return x.select("item_id", status.alias("status"), "entry_id", "channel", note.alias("note"))
 
 
 # --- queries ---------------------------------------------------------------------------------------------------
@@ -206,9 +314,8 @@ def gate01_ngram_leak(spark, d):
 
 
 def join11_short_leak(spark, d):
-    """Second rule of the leak gate: the lines and sentences of each item; the short ones, of three words or more, are
-    looked for in the texts."""
-    parts = table(spark, d, "benchmark").select("item_id", F.explode(F.split("text", r"[.!?\n]+")).alias("text")).where(F.size(T.words(F.col("text"))) >= 3)
+    """Second rule of the leak gate: the lines and sentences of each item, of however few words, are looked for in the texts."""
+    parts = table(spark, d, "benchmark").select("item_id", F.explode(F.split("text", r"[.!?\n]+")).alias("text"))
     return short_text_leaks(table(spark, d, "documents"), "doc_id", parts, "item_id")
 
 
@@ -257,7 +364,41 @@ def join07_evidence(spark, d):
     return x.select("item_id", "doc_id", "covered", "n_item", "n_doc", propose_status(F.lit(True), w, e, w, e, F.col("covered")).alias("status"))
 
 
-QUERIES = {f.__name__: f for f in (gate01_ngram_leak, join11_short_leak, join04_exact_lines, join01_source_matching, join02_line_scores, join07_evidence)}
+# Letters that stand for the Latin ones in the views that the queries derive.
+_URDU, _NAGARI = "ابچدےفگہیجکلمنوپقرستعتوخیز", "अबचदएफगहइजकलमनओपकरसतउववखयझ"
+
+
+def _views(df: DataFrame, key: str) -> DataFrame:
+    """Texts in three scripts, each letter by one of the other script, with the first line's first words as titles."""
+    t = F.coalesce(F.col("text"), F.lit(""))
+    other = lambda to: F.translate(F.lower(t), "abcdefghijklmnopqrstuvwxyz", to)
+    title = lambda c: F.substring(F.coalesce(F.get(T.nonempty_lines(c), F.lit(0)), F.lit("")), 1, 40)
+    return df.select(F.col(key), t.alias("roman_text"), other(_URDU).alias("urdu_text"), other(_NAGARI).alias("devanagari_text")).select("*", *[title(F.col(f"{s}_text")).alias(f"{s}_title") for s in ("roman", "urdu", "devanagari")])
+
+
+def _signal_matches(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    items = _views(table(spark, d, "benchmark"), "item_id")
+    entries = _views(table(spark, d, "documents").withColumnRenamed("doc_id", "entry_id"), "entry_id").withColumnRenamed("roman_title", "title")
+    return items, entries, top_matches(score_items(items, entries, least=0.75), "item_id", "entry_id", 3)
+
+
+def join01_signals(spark, d):
+    """Benchmark items against all documents by seven signals over three scripts, from a similarity of 0.75 on; top 3."""
+    _, _, best = _signal_matches(spark, d)
+    signals = F.array_join(F.array_sort(F.transform(F.map_entries("signals"), lambda e: F.concat_ws("=", e["key"], F.format_number(e["value"], 4)))), ",")
+    return best.select("item_id", F.col("entry_id").alias("doc_id"), "score", F.col("rank").cast("long").alias("rank"), signals.alias("signals"), "exact_roman", "exact_urdu")
+
+
+def join07_channels(spark, d):
+    """Evidence of each match in each channel: coverage of both sides, exact lines, and the item's proposed status."""
+    items, entries, best = _signal_matches(spark, d)
+    matches = cut_lineage(best.select("item_id", "entry_id", "rank"))
+    evidence = cut_lineage(line_evidence(matches, items, entries)[0])
+    status = proposals(matches, items, evidence).select("item_id", "status", F.col("entry_id").alias("chosen"))
+    return evidence.join(status, "item_id").withColumnRenamed("entry_id", "doc_id")
+
+
+QUERIES = {f.__name__: f for f in (gate01_ngram_leak, join11_short_leak, join04_exact_lines, join01_source_matching, join02_line_scores, join07_evidence, join01_signals, join07_channels)}
 
 
 def _sql_grams(tbl: str, key: str, n: int) -> str:
@@ -270,7 +411,7 @@ def _sql_line_keys(tbl: str, key: str) -> str:
 
 ORACLE = {
     "gate01_ngram_leak": f"WITH a AS ({_sql_grams('documents', 'doc_id', 8)}), b AS ({_sql_grams('benchmark', 'item_id', 8)}) SELECT doc_id, item_id, count(*) AS n_grams FROM a JOIN b USING (gram) GROUP BY 1, 2",
-    "join11_short_leak": f"WITH a AS (SELECT doc_id, array_to_string({sql_words('text')}, ' ') AS hay FROM documents), b AS (SELECT item_id, array_to_string(w, ' ') AS needle FROM (SELECT item_id, {sql_words('part')} AS w FROM (SELECT item_id, unnest(string_split_regex(text, '[.!?\\n]+')) AS part FROM benchmark)) WHERE len(w) BETWEEN 3 AND 7) SELECT DISTINCT doc_id, item_id FROM a JOIN b ON contains(hay, needle)",
+    "join11_short_leak": f"WITH a AS (SELECT doc_id, array_to_string({sql_words('text')}, ' ') AS hay FROM documents), b AS (SELECT item_id, array_to_string(w, ' ') AS needle FROM (SELECT item_id, {sql_words('part')} AS w FROM (SELECT item_id, unnest(string_split_regex(text, '[.!?\\n]+')) AS part FROM benchmark)) WHERE len(w) BETWEEN 1 AND 7) SELECT DISTINCT doc_id, item_id FROM a JOIN b ON contains(hay, needle)",
     "join04_exact_lines": f"WITH a AS (SELECT DISTINCT doc_id, lk FROM ({_sql_line_keys('documents', 'doc_id')}) WHERE lk <> ''), b AS (SELECT DISTINCT item_id, lk FROM ({_sql_line_keys('benchmark', 'item_id')}) WHERE lk <> '') SELECT doc_id, item_id, count(*) AS n_lines FROM a JOIN b USING (lk) GROUP BY 1, 2",
     "join01_source_matching": f"""WITH a AS ({_sql_grams('documents', 'doc_id', 4)}), b AS ({_sql_grams('benchmark', 'item_id', 4)}),
   na AS (SELECT doc_id, count(*) AS n_doc FROM a GROUP BY 1), nb AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY 1),
