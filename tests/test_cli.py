@@ -44,3 +44,35 @@ def test_a_broken_entry_fails_the_step(spark, tmp_path):
     with pytest.raises(Exception, match="front matter is not closed"):
         main(["build-data", "--data", str(tmp_path / "in"), "--out", str(tmp_path / "o")], spark)
     assert not (tmp_path / "o" / "records.parquet").exists() or not list((tmp_path / "o" / "records.parquet").glob("*.parquet"))
+
+
+def test_gates_of_the_corpus_and_examples_fail_closed(spark, tmp_path):
+    kinds = "id string, original string, transliteration string, rights string, translations array<struct<kind: string, text: string, rights: string, trainable: boolean>>, tashreeh array<struct<text: string, rights: string, trainable: boolean>>"
+    own = [("reference_translation", "Love burns", "copyrighted", False), ("literary", "They say: love burns bright", "r", True)]
+    spark.createDataFrame([("p", "o", None, "r", own, [])], kinds).write.parquet(str(tmp_path / "poems.parquet"))
+    args = ["export-training-corpus", "--data", str(tmp_path), "--out", str(tmp_path / "o")]
+    assert main(args, spark) == 1 and not (tmp_path / "o").exists()  # a short reference text, without being asked for
+    assert main([*args, "--include-reference"], spark) == 0
+
+    poems = "id string, title string, original string, translation string, transliteration string, note string, uncertain boolean"
+    d = tmp_path / "g"
+    spark.createDataFrame([(f"p{i}", f"T{i}", f"line {i} of many", "a b" if i else "one two three four five six seven eight nine", "", "", False) for i in range(12)], poems).write.parquet(str(d / "poems.parquet"))
+    spark.createDataFrame([], "kb_id string, kind string, text string, titles array<string>").write.parquet(str(d / "knowledge_base.parquet"))
+    args = ["generate-training-data", "--data", str(d), "--out", str(tmp_path / "e")]
+    with pytest.raises(SystemExit, match="no texts to protect"):
+        main(args, spark)
+    spark.createDataFrame([("x two three four five six seven eight nine",)], "text string").write.parquet(str(tmp_path / "safe.parquet"))
+    assert main([*args, "--protected", str(tmp_path / "safe.parquet")], spark) == 1 and not (tmp_path / "e").exists()
+    assert main([*args, "--include-reference"], spark) == 0
+
+
+def test_example_gates(spark):
+    from varqa.operators.evaluation import example_violations
+
+    kinds = "id string, seq long, messages array<struct<role: string, content: string>>, question string, answer string, uncertain boolean, split string, work string"
+    e = lambda i, q, a, u, s, w: (f"e{i}", i, [("system", "s"), ("user", q), ("assistant", a)], q, a, u, s, w)
+    x = spark.createDataFrame([e(1, "What is it?", "This.", False, "train", "w1"), e(2, "what IS it", "That, uncertain.", True, "eval", "w2"), e(3, "Why?", "So.", True, "train", "w2"), e(4, "How?", "Love burns here", None, "train", "")], kinds)
+    safe = spark.createDataFrame([("k", "love burns")], "protected string, text string")
+    got = {(r.id, r.rule, r.other) for r in example_violations(x, safe).collect()}
+    assert got == {("e2", "repeated question", "e1"), ("e3", "unhedged", None), ("e2", "work in both splits", "w2"), ("e4", "repeats a protected text", "k")}
+    assert {r.rule for r in example_violations(x, None, holdout=False).collect()} == {"repeated question", "unhedged"}

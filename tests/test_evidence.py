@@ -158,3 +158,11 @@ def test_short_texts_of_any_number_of_words(spark):
     got = {tuple(r) for r in M.short_text_leaks(texts, "doc_id", short, "p").collect()}
     assert got == {(1, 10), (2, 10), (4, 10), (1, 11), (4, 11), (2, 12), (1, 14), (2, 14), (4, 14)}
     assert M.short_text_leaks(texts, "doc_id", short.where("p = 13"), "p").count() == 0
+
+
+def test_positions_with_the_callers_names(spark):
+    from varqa.operators.common import with_positions
+
+    df = spark.createDataFrame([(3, "a", 1), (1, "b", 1), (2, "c", 1), (1, "d", None)], "_first int, k0 string, row int")
+    got = {(r.k0, r.n) for r in with_positions(df, "n", "_first", "row").collect()}
+    assert {n for _, n in got} == {0, 1, 2, 3} and ("a", 3) in got and ("c", 2) in got

@@ -31,17 +31,32 @@ def test_markdown(spark, tmp_path):
     assert R.front_matter("---\nid: x\n")[2] == "front matter is not closed"
     aliases = {"original": "original", "literal gloss": "literal_gloss", "literal translation": "literal_gloss"}
     got = spark.createDataFrame([(rest,)], "t string").select(R.sections(F.col("t"), aliases).alias("s")).first().s
-    assert got == {"original": "line", "literal_gloss": "g1\n\ng2", "my_part": "x"}
+    assert got == {"original": "line", "literal_gloss": "g1\ng2", "my_part": "x"}
 
 
 def test_bullets(spark):
     t = "- Rights: ok\n- trainable? yes\n- Bare\n- rights: later\nno\n- ishq: love; do not flatten to: romance, desire\n- [placeholder]"
     r = spark.createDataFrame([(t,)], "t string").select(R.bullet_map(F.col("t")).alias("m"), R.bullet_values(F.col("t")).alias("v"), R.key_terms(F.col("t")).alias("k")).first()
     assert r.m["rights"] == "later" and r.m["trainable?"] == "yes" and r.m["bare"] == ""
-    assert r.v[-1] == "ishq" and len(r.v) == 5
+    assert r.v == ["Rights", "trainable? yes", "Bare", "rights", "ishq", "[placeholder]"]
+    assert [x.headword for x in r.k] == ["Rights", "rights", "ishq"]
     assert (r.k[-1].headword, r.k[-1].meaning, r.k[-1].do_not_flatten_to) == ("ishq", "love", ["romance", "desire"])
 
 
+def test_bullets_at_colons_and_questions(spark):
+    t = "- is it ok? no: x\n- why?now\n  -  no\n- a? b? c\n-no\n- : y\n- Ünder : 1:2\n- [slot]: kept\n- "
+    r = spark.createDataFrame([(t,), (None,)], "t string").select(R.bullet_map(F.col("t")).alias("m"), R.bullet_values(F.col("t")).alias("v"), R.theme_values(F.col("t")).alias("h")).collect()
+    assert r[0].m == {"is it ok? no": "x", "why?now": "", "no": "", "a?": "b? c", "": "y", "ünder": "1:2", "[slot]": "kept"}
+    assert r[0].v == ["is it ok? no", "why?now", "no", "a? b? c", "Ünder", "[slot]"]
+    assert r[0].h == ["is it ok? no: x", "why?now", "no", "a? b? c", ": y", "Ünder : 1:2"] and r[1].m == {} and r[1].v == r[1].h == []
+
+
+def test_section_names_of_other_scripts(spark):
+    t = "before\n# Été\n a\n\n# ترجمہ\nu1\n # no heading\n# ETE \r\nb\n# Empty\n# ete\n\n# 文\n\nu2\n"
+    got = spark.createDataFrame([(t,), (None,)], "t string").select(R.sections(F.col("t"), {}).alias("s")).collect()
+    assert got[0].s == {"ete": "a\n\nb", "untitled": "u1\n # no heading\n\nu2", "empty": ""} and got[1].s == {}
+
+
 def test_html_and_fetch(spark):
     pages = spark.createDataFrame([(1, "<h1>A &amp; B</h1><p>x <a href='/u'>link</a></p>"), (2, None), (3, "<p>only")], "page_id long, html string")
     e = R.html_elements(pages)

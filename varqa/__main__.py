@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import argparse
 import sys
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import evaluation, graph, matching, projections, records, relational, vectors
+from .functions import keys, text
+from .operators import ann, evaluation, graph, matching, projections, records, relational, vectors
 from .sources import readers, sinks
 
 # Section titles and the names they stand for.
@@ -59,7 +61,11 @@ COMMANDS = {
     "export-training-corpus": (lambda s, a: records.layers(table(s, a, "poems"), a.include_reference), "layers"),
     "generate-training-data": (lambda s, a: evaluation.split_examples(records.build_examples(table(s, a, "poems"), table(s, a, "knowledge_base")).withColumn("work", F.col("id")), holdout=not a.no_holdout), "examples"),
     "build-probes": (lambda s, a: relational.quota(table(s, a, "examples"), "family", "id", 5, 25), "probes"),
-    "match-source-manifest": (lambda s, a: matching.top_matches(matching.score_items(table(s, a, "items"), table(s, a, "entries"), a.least), "item_id", "entry_id", a.top), "matches"),
+    "crosswalk-evidence": (lambda s, a: matching.line_evidence(table(s, a, "matches"), table(s, a, "items"), table(s, a, "entries"))[0], "evidence"),
+    "propose-statuses": (lambda s, a: matching.proposals(table(s, a, "matches"), table(s, a, "items"), table(s, a, "evidence")), "proposals"),
+    "normalize-translit": (lambda s, a: table(s, a, "records").select("id", keys._text_udf(keys.latin_style)("transliteration").alias("transliteration"), text.lint_counts(F.col("transliteration")).alias("found")), "styled"),
+    "build-index": (lambda s, a: ann.index_report(table(s, a, "embeddings"), f"{a.out}/index", a.model), "index_report"),
+    "match-source-manifest": (lambda s, a: matching.best_matches(table(s, a, "items"), table(s, a, "entries"), a.top) if a.least is None else matching.top_matches(matching.score_items(table(s, a, "items"), table(s, a, "entries"), a.least), "item_id", "entry_id", a.top), "matches"),
     "apply-reviews": (lambda s, a: projections.corrected_layers(table(s, a, "layers"), table(s, a, "reviews")), "layers"),
     "retrieve": (lambda s, a: vectors.with_floor(vectors.nearest(table(s, a, "queries"), table(s, a, "embeddings"), a.top), a.min_score), "hits"),
     "run-eval": (lambda s, a: evaluation.summary(table(s, a, "eval_results")), "summary"),
@@ -71,14 +77,29 @@ COMMANDS = {
 
 def gates(a, name: str, df: DataFrame, spark: SparkSession) -> DataFrame | None:
     """Violations that keep a step's result from being written."""
-    if name == "export-training-corpus" and a.protected:
+    if name == "export-training-corpus" and not a.include_reference:
         texts = df.select(F.concat_ws("/", "poem_id", "kind").alias("key"), "text")
-        return matching.leak_pairs(texts, "key", spark.read.parquet(a.protected).select(F.monotonically_increasing_id().alias("protected"), "text"), "protected")
-    if name == "generate-training-data" and not a.no_holdout:
-        return df.where("split = 'train'").select("work").intersect(df.where("split = 'eval'").select("work"))
+        return matching.leaks(texts, "key", protected_texts(spark, a, table(spark, a, "poems")), "protected")
+    if name == "generate-training-data":
+        return evaluation.example_violations(df, None if a.include_reference else protected_texts(spark, a, None), holdout=not a.no_holdout)
     return None
 
 
+def protected_texts(spark: SparkSession, a, poems: DataFrame | None) -> DataFrame:
+    """protected, text: the poems' reference translations, the table `references` and --protected, of which one must be there."""
+    found = []
+    if poems is not None:
+        found.append(poems.select(F.explode("translations").alias("t")).where("t.kind = 'reference_translation'").select("t.text"))
+    if a.protected:
+        found.append(spark.read.parquet(a.protected).select("text"))
+    if (rest := readers.read_optional(spark, f"{a.data}/references.parquet", "text string", spark.read.parquet)).columns and not rest.isEmpty():
+        found.append(rest.select("text"))
+    if not found:
+        raise SystemExit("no texts to protect: give --protected, a table `references` or --include-reference")
+    texts = reduce(DataFrame.unionByName, found)
+    return texts.where("text is not null").distinct().select(F.sha2("text", 256).alias("protected"), "text")
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     p = argparse.ArgumentParser(prog="varqa", description=__doc__)
     p.add_argument("command", choices=sorted(COMMANDS))
@@ -89,10 +110,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     p.add_argument("--no-holdout", action="store_true")
     p.add_argument("--required", default="text")
     p.add_argument("--protected", help="Parquet of texts that no output may repeat")
+    p.add_argument("--model", default="unnamed", help="the embedding model of build-index")
     p.add_argument("--tables", default="records")
     p.add_argument("--top", type=int, default=5)
     p.add_argument("--min-score", type=float, default=0.35)
-    p.add_argument("--least", type=float, default=0.5, help="similarity from which a signal of match-source-manifest counts")
+    p.add_argument("--least", type=float, help="similarity from which a signal of match-source-manifest counts; any if not given")
     a = p.parse_args(argv)
     spark = spark or SparkSession.builder.appName("varqa").getOrCreate()
     make, name = COMMANDS[a.command]

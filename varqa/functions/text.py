@@ -155,7 +155,7 @@ def with_query(url: Column, key: str, value: Column) -> Column:
 def label_of_id(identifier: Column, prefix: str) -> Column:
     """theme_divine_love -> Divine love: first letter only."""
     s = F.replace(F.regexp_replace(identifier, "^" + prefix, ""), F.lit("_"), F.lit(" "))
-    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substring(s, 2, 1 << 20)))
+    return F.concat(F.upper(F.substring(s, 1, 1)), F.lower(F.substr(s, F.lit(2))))
 
 
 def primary_language(languages: Column) -> Column:

@@ -137,6 +137,12 @@ def build_index(vectors: DataFrame, path: str, model: str, lists: int | None = N
     spark.createDataFrame([(model, dim, n, len(q.centres), q.probes(sample, k, recall))], "model string, dim int, n long, lists int, probes int").coalesce(1).write.parquet(f"{path}/about")
 
 
+def index_report(vectors: DataFrame, path: str, model: str) -> DataFrame:
+    """build_index, and what it says of itself: model, dim, n, lists, probes."""
+    build_index(vectors, path, model)
+    return vectors.sparkSession.read.parquet(f"{path}/about")
+
+
 def open_index(spark: SparkSession, path: str, model: str) -> tuple[Quantiser, int]:
     """The index' quantiser and its measured number of probes (bounded: 4,096 centroids, 8 codebooks); an index that another model made is refused."""
     about = spark.read.parquet(f"{path}/about").first()

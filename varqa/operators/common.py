@@ -56,16 +56,18 @@ def with_positions(df: DataFrame, name: str, *order: str) -> DataFrame:
     go on from those before it, and the rows then meet their positions by these columns. Equal ones follow one another
     by a hash of the row.
     """
-    keys = df.groupBy(*order).agg(F.count("*").alias("_c"))
-    dealt = cut_lineage(keys.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
-    own = dealt.withColumn("_own", F.sum("_c").over(Window.partitionBy("_range").orderBy(*order)) - F.col("_c"))
-    sums = dealt.groupBy("_range").agg(F.sum("_c").alias("_n"))  # one row for each range
-    before = sums.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    first = own.join(F.broadcast(before), "_range").select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(order)], (F.col("_before") + F.col("_own") - 1).alias("_first"))
-    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_k{i}")) for i, c in enumerate(order)])
-    tie = F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t])
-    here = F.row_number().over(Window.partitionBy(*order).orderBy(tie))
-    return df.join(first, same).withColumn(name, F.col("_first") + here).drop("_first", *[f"_k{i}" for i in range(len(order))])
+    own = [f"k{i}" for i in range(len(order))]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[F.col(f"`{c}`").alias(k) for c, k in zip(order, own)])
+    keys = rows.groupBy(*own).agg(F.count("*").alias("c"))
+    dealt = cut_lineage(keys.repartitionByRange(*own).withColumn("part", F.spark_partition_id()))
+    here = dealt.withColumn("here", F.sum("c").over(Window.partitionBy("part").orderBy(*own)) - F.col("c"))
+    sums = dealt.groupBy("part").agg(F.sum("c").alias("n"))  # one row for each range
+    before = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    first = here.join(F.broadcast(before), "part").select(*[F.col(k).alias(f"_{k}") for k in own], (F.col("before") + F.col("here") - 1).alias("first"))
+    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in own])
+    tie = F.xxhash64(*[F.col("row")[c] for c, t in df.dtypes if "map<" not in t])
+    turn = F.row_number().over(Window.partitionBy(*own).orderBy(tie))
+    return rows.join(first, same).select("row.*", (F.col("first") + turn).alias(name))
 
 
 def ordered_list(value: Column, *order: Column) -> Column:

@@ -121,6 +121,29 @@ def record_violations(records: DataFrame, required: list[str], safe_rights: list
     return broken.unionByName(twice)
 
 
+def example_violations(examples: DataFrame, protected: DataFrame | None, holdout: bool = True) -> DataFrame:
+    """id, rule, other: what keeps examples (id, seq, messages, question, answer, uncertain, split, work) from being written.
+
+    A message that repeats a protected text (protected, text), unless that is None; a question whose words an earlier
+    example has; an uncertain source whose answer doesn't hedge; and, with a hold-out, a work in both splits.
+    """
+    from .matching import leaks
+
+    none = F.lit(None).cast("string")
+    hedged = T.is_uncertain(F.col("answer")) | F.contains(F.lower("answer"), F.lit("uncertain"))
+    out = examples.where(F.coalesce("uncertain", F.lit(False)) & ~F.coalesce(hedged, F.lit(False))).select("id", F.lit("unhedged").alias("rule"), none.alias("other"))
+    asked = examples.select("id", "seq", F.sha2(F.array_join(T.words(F.col("question")), " "), 256).alias("q"))
+    first = asked.groupBy("q").agg(F.min_by("id", "seq").alias("other"), F.count("*").alias("n")).where("n > 1")
+    out = out.unionByName(asked.join(first, "q").where("id <> other").select("id", F.lit("repeated question").alias("rule"), "other"))
+    if holdout:
+        sides = examples.where("work <> ''").groupBy("work").agg(F.countDistinct("split").alias("n"), F.min("id").alias("id")).where("n > 1")
+        out = out.unionByName(sides.select("id", F.lit("work in both splits").alias("rule"), F.col("work").alias("other")))
+    if protected is not None:
+        each = examples.select("id", F.explode("messages.content").alias("text")).distinct()
+        out = out.unionByName(leaks(each, "id", protected, "protected").select("id", F.lit("repeats a protected text").alias("rule"), F.col("protected").alias("other")))
+    return out
+
+
 # --- queries ---------------------------------------------------------------------------------------------------
 
 
@@ -182,7 +205,7 @@ def gate05_hedges(spark, d):
 
 
 def gate07_violations(spark, d):
-    """GATE07-GATE10, FLT01-FLT02: rule violations over documents as records."""
+    """GATE07, GATE08, FLT01, FLT02: rule violations over documents as records."""
     docs, labels = table(spark, d, "documents"), table(spark, d, "labels")
     x = docs.join(labels, "doc_id", "left").select(F.col("doc_id").cast("string").alias("id"), F.when(F.col("n_chars") > 50, F.col("text")).alias("text"), F.col("lang"), F.col("quality").alias("grade"), F.coalesce(F.col("quality") == 1, F.lit(False)).alias("published"), F.when(F.col("lang") == "en", "public-domain").otherwise("copyrighted").alias("rights"))
     return record_violations(x, ["text", "grade"], ["public-domain", "permission-cleared", "project-original"])
@@ -196,7 +219,7 @@ def gate13_verdict(spark, d):
 
 
 def trn01_masks(spark, d):
-    """TRN01-TRN03 with word lengths as token ids: prefix mask, truncation, padding; rows with nothing to learn go."""
+    """TRN01, TRN02 with word lengths as token ids: prefix mask, truncation, padding; rows with nothing to learn go."""
     c = table(spark, d, "conversations")
     ids = lambda col: F.transform(F.split(col, " "), lambda w: F.length(w))
     x = c.groupBy("conv_id").agg(ordered_list(F.col("text"), F.col("turn")).alias("t")).where(F.size("t") >= 2)

@@ -9,6 +9,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions import text as T
 from ..functions.keys import arabic_key_udf, devanagari_key_udf, latin_key_udf, similarity_udf
@@ -60,7 +61,7 @@ def _holding(texts: DataFrame, key: str, needles: DataFrame, needle_key: str) ->
     """key, needle_key for the needles (of a word or two: they can begin and end inside longer words) that stand anywhere
     in a text (key, hay): one reading of each text for all needles of a pass, by an automaton."""
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((texts, key), (needles, needle_key))}
-    needles = cut_lineage(needles)
+    needles, found_type = cut_lineage(needles), to_arrow_type(needles.schema[needle_key].dataType)
     passes = max(1, -(-needles.count() // NEEDLES))
     out = None
     for i in range(passes):
@@ -81,13 +82,19 @@ def _holding(texts: DataFrame, key: str, needles: DataFrame, needle_key: str) ->
                     mine = {k for needle in {v[0] for _, v in automaton.iter(hay or "")} for k in held[needle]}
                     at += [j] * len(mine)
                     found += mine
-                yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(found)], [key, needle_key]) if at else pa.record_batch([b.column(0).slice(0, 0), pa.array([], pa.from_numpy_dtype("int64") if kinds[needle_key] == "bigint" else pa.string())], [key, needle_key])
+                yield pa.record_batch([b.column(0).take(pa.array(at, pa.int64())), pa.array(found, found_type)], [key, needle_key])
 
         hits = texts.select(key, "hay").mapInArrow(run, f"{key} {kinds[key]}, {needle_key} {kinds[needle_key]}")
         out = hits if out is None else out.unionByName(hits)
     return out if out is not None else texts.select(key).join(needles.select(needle_key), F.lit(False)).select(key, needle_key)
 
 
+def leaks(texts: DataFrame, key: str, protected: DataFrame, protected_key: str, n: int = LEAK_WORDS) -> DataFrame:
+    """key, protected_key of texts that share an n-word run with a protected text, or hold a shorter one (GATE01, JOIN11)."""
+    runs = leak_pairs(texts, key, protected, protected_key, n).select(key, protected_key)
+    return runs.unionByName(short_text_leaks(texts, key, protected, protected_key, n)).distinct()
+
+
 def exact_line_overlap(texts: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
     """key, other_key, n_lines: how many distinct normalised lines two texts have in common."""
 

@@ -134,13 +134,13 @@ def snk03_search(spark, d):
 
 
 def src11_pages(spark, d):
-    """SRC11-SRC15: pages parsed to elements, then to one catalog row each."""
+    """SRC11, SRC15: pages parsed to elements, then to one catalog row each."""
     return catalog(html_elements(table(spark, d, "pages"))).select("page_id", "n_links", F.col("title").isNull().alias("untitled"))
 
 
 def src22_segments(spark, d):
     """SRC22, WIN07, AGG06: documents as pages of a book per source, every third one opened by a numbered heading."""
-    x = table(spark, d, "documents").select("source", F.col("doc_id").cast("int").alias("page"), F.concat(F.when(F.pmod("doc_id", F.lit(3)) == 0, F.concat(F.pmod("doc_id", F.lit(900)).cast("string"), F.lit(". Title\n"))).otherwise(""), F.col("lang"), F.lit("\n")).alias("text"))
+    x = table(spark, d, "documents").select("source", F.col("doc_id").cast("int").alias("page"), F.concat(F.when(F.pmod("doc_id", F.lit(3)) == 0, F.concat(F.pmod("doc_id", F.lit(900)).cast("string"), F.lit(". Title\n"))).otherwise(""), F.coalesce("text", F.lit(""))).alias("text"))
     return segments(x, key="source").select("source", "ordinal", F.col("page_start").cast("long").alias("page_start"), F.col("page_end").cast("long").alias("page_end"), "text")
 
 
@@ -156,7 +156,9 @@ ORACLE = {
   n AS (SELECT *, row_number() OVER (ORDER BY p, id) AS seq FROM e)
 SELECT family, count(*) AS n, min(seq) AS first, max(seq) AS last, count(*) FILTER (unc AND family <> 'honesty') AS hedged FROM n GROUP BY 1""",
     "snk03_search": "SELECT 'd' || doc_id AS id, 'poem' AS type, source AS title, sha256(source || ' ' || text || ' ' || lang) AS text_sha256 FROM documents WHERE n_chars > 500 UNION ALL SELECT 'i' || item_id, 'term', 'head ' || item_id, sha256('head ' || item_id || ' ' || text) FROM benchmark",
-    "src22_segments": """WITH x AS (SELECT source, doc_id, lang, sum((doc_id % 3 = 0)::INT) OVER (PARTITION BY source ORDER BY doc_id) AS g FROM documents)
-SELECT source, (min(doc_id) FILTER (doc_id % 3 = 0) % 900)::INT AS ordinal, min(doc_id) AS page_start, max(doc_id) AS page_end,
-  regexp_replace(string_agg(CASE WHEN doc_id % 3 = 0 THEN lang || chr(10) ELSE lang || chr(10) END, chr(10) ORDER BY doc_id), '(?:\\n[ \\t]*)+$', '') AS text FROM x WHERE g > 0 GROUP BY source, g""",
+    "src22_segments": r"""WITH p AS (SELECT source, doc_id AS page, string_split(CASE WHEN doc_id % 3 = 0 THEN (doc_id % 900) || '. Title' || chr(10) ELSE '' END || coalesce(text, ''), chr(10)) AS l FROM documents),
+  x AS (SELECT source, page, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM p), h AS (SELECT *, regexp_matches(s, '^\s*\d{1,3}\.\s*.*\S\s*$') AS head FROM x),
+  y AS (SELECT *, sum(head::INT) OVER (PARTITION BY source ORDER BY page, i) AS g FROM h)
+SELECT source, max(CASE WHEN head THEN regexp_extract(s, '^\s*(\d{1,3})\.\s*(.*\S)\s*$', 1)::INT END) AS ordinal, min(page) AS page_start, max(page) FILTER (trim(s) <> '') AS page_end,
+  regexp_replace(regexp_replace(coalesce(string_agg(s, chr(10) ORDER BY page, i) FILTER (NOT head), ''), '^(?:[ \t]*\n)+', ''), '(?:\n[ \t]*)+$', '') AS text FROM y WHERE g > 0 GROUP BY source, g""",
 }

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .common import ordered_list, sized_broadcast, sql_words, table
+from .common import ordered_list, sized_broadcast, sql_words, table, with_positions
 
 
 def paired_join(left: DataFrame, right: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -107,6 +107,14 @@ def join10_work_members(spark, d):
     return docs.join(sized_broadcast(works), ["source", "lang"], "left").select("doc_id", F.coalesce("first", F.lit(-1)).alias("anchor"), F.coalesce("n", F.lit(0)).alias("n_members"))
 
 
+def join10_members(spark, d):
+    """JOIN10: the sorted members of each work (source and language) as rows: each document's position among them."""
+    docs = with_positions(table(spark, d, "documents").select("source", "lang", "doc_id"), "n", "source", "lang", "doc_id")
+    first = docs.groupBy("source", "lang").agg(F.min("n").alias("first"), F.count("*").alias("n_members"))
+    x = docs.join(sized_broadcast(first), docs.source.eqNullSafe(first.source) & docs.lang.eqNullSafe(first.lang))
+    return x.select(docs.source, docs.lang, "doc_id", (F.col("n") - F.col("first") + 1).alias("position"), "n_members")
+
+
 def join14_view_pairs(spark, d):
     """Ordered pairs of turns of one conversation, at most four per conversation."""
     c = table(spark, d, "conversations").select("conv_id", "turn")
@@ -247,9 +255,10 @@ def star_join(spark, d):
     return x.groupBy("n_name").agg(F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"))
 
 
-QUERIES = {f.__name__: f for f in (join06_paired, join08_classification, join12_override, join13_ordered_lookup, join10_work_members, join14_view_pairs, join15_resume, join16_citations, join18_views, agg01_counts, agg02_pivot, agg03_merge, agg05_audit, agg06_gaps, agg07_means, agg12_argmin, win01_ranks, win03_quota, win05_last_wins, win08_duplicate_chain, win10_every_nth, win12_templates, set01_operations, srt01_sorted, cube_orders, star_join)}
+QUERIES = {f.__name__: f for f in (join06_paired, join08_classification, join12_override, join13_ordered_lookup, join10_work_members, join10_members, join14_view_pairs, join15_resume, join16_citations, join18_views, agg01_counts, agg02_pivot, agg03_merge, agg05_audit, agg06_gaps, agg07_means, agg12_argmin, win01_ranks, win03_quota, win05_last_wins, win08_duplicate_chain, win10_every_nth, win12_templates, set01_operations, srt01_sorted, cube_orders, star_join)}
 
 ORACLE = {
+    "join10_members": "SELECT source, lang, doc_id, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS position, count(*) OVER (PARTITION BY source, lang) AS n_members FROM documents",
     "join06_paired": "WITH l AS (SELECT c_custkey AS k, count(*) AS a FROM customer GROUP BY 1), r AS (SELECT o_custkey AS k, count(*) AS b FROM orders GROUP BY 1), x AS (SELECT coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM l FULL JOIN r USING (k)) SELECT CASE WHEN a = 0 THEN 'missing left' WHEN b = 0 THEN 'missing right' ELSE 'repeated' END AS problem, count(*) AS n FROM x WHERE a <> 1 OR b <> 1 GROUP BY 1",
     "join08_classification": """WITH m AS (SELECT doc_id AS match_id FROM documents WHERE doc_id % 2 = 0), c AS (SELECT doc_id AS match_id, CASE WHEN quality = 1 THEN 'variant' WHEN toxic = 1 THEN 'bad' ELSE 'unmatched' END AS status, doc_id + doc_id % 6 AS chosen FROM labels)
 SELECT match_id, 'unclassified' AS problem FROM m ANTI JOIN c USING (match_id) UNION ALL SELECT match_id, 'unknown match' FROM c ANTI JOIN m USING (match_id)

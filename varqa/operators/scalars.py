@@ -97,7 +97,7 @@ def fn09_keys(spark, d):
 
 def fn17_views(spark, d):
     """FN17, FN19, FN42: documents as nested lines of tokens; text and alignment read back from the nesting."""
-    w = F.transform(F.slice(T.nonempty_lines(F.col("text")), 1, 1 << 20), lambda x, i: F.struct(F.lit("s1").alias("stanza_id"), F.concat(F.lit("l"), i.cast("string")).alias("line_id"), F.transform(F.split(x, " "), lambda t, j: F.struct(F.concat(F.lit("m"), F.pmod(j, F.lit(3)).cast("string")).alias("mapping_id"), t.alias("text"))).alias("tokens")))
+    w = F.transform(T.nonempty_lines(F.col("text")), lambda x, i: F.struct(F.lit("s1").alias("stanza_id"), F.concat(F.lit("l"), i.cast("string")).alias("line_id"), F.transform(F.split(x, " "), lambda t, j: F.struct(F.concat(F.lit("m"), F.pmod(j, F.lit(3)).cast("string")).alias("mapping_id"), t.alias("text"))).alias("tokens")))
     x = table(spark, d, "documents").select("doc_id", w.alias("lines"))
     s = T.alignment_signature(F.col("lines"))
     return x.select("doc_id", F.sha2(T.view_text(F.col("lines")), 256).alias("view_sha256"), F.size(s).cast("long").alias("n_lines"), F.aggregate(s, F.lit(0), lambda a, v: a + F.size(v["mappings"])).cast("long").alias("n_mappings"))

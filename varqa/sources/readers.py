@@ -69,44 +69,82 @@ def front_matter(text: str | None) -> tuple[dict[str, list[str]] | None, str, st
     return None, "", "front matter is not closed"
 
 
+_BREAK = re.compile(T.LINE_BREAK)
+_HEADING = re.compile(r"(?m)^# (.*)$")
+
+
+def sections_of(text: str | None, aliases: dict[str, str]) -> dict[str, str]:
+    """name -> body of the parts under `# ` headings, as `sections` gives them."""
+    parts = _HEADING.split("\n".join(_BREAK.split(text or "")))[1:]  # title, rest, title, rest ...
+    found: dict[str, list[str]] = {}
+    for title, rest in zip(parts[::2], parts[1::2]):
+        title = title.strip().lower()
+        # The rest begins with the heading's own line break; without one, or with nothing after it, no line follows.
+        found.setdefault(aliases.get(title) or slugify(title), []).extend(rest.removesuffix("\n").split("\n")[1:])
+    return {name: "\n".join(lines).strip() for name, lines in found.items()}
+
+
 def sections(text: Column, aliases: dict[str, str]) -> Column:
-    """map<name, body> of the parts under `# ` headings; repeated headings append; unknown ones by slug (SRC05).
+    """map<name, body> of the parts under headings, lines that begin with `# ` (SRC05).
 
-    A fold over the lines: the state is the current name and the bodies so far.
+    A part's name is the alias of its lower-cased title, else the title's slug (letters of other scripts that decompose to
+    none give `untitled`). Lines under equal names follow one another, and a body is trimmed once, as a whole.
     """
-    known = F.create_map(*[F.lit(x) for kv in aliases.items() for x in kv]) if aliases else F.create_map(F.lit(""), F.lit(""))
-    parts = F.filter(F.split(F.concat(F.lit("\n"), text), r"\n(?=# )"), lambda p: F.ltrim(p).startswith("# "))
-    named = F.transform(parts, lambda p: F.struct(F.lower(F.trim(F.regexp_extract(p, r"^\s*# ([^\n]*)", 1))).alias("h"), F.trim(F.regexp_replace(p, r"^\s*# [^\n]*\n?", "")).alias("b")))
-    keyed = F.transform(named, lambda x: F.struct(F.coalesce(F.try_element_at(known, x["h"]), F.trim(F.regexp_replace(x["h"], "[^a-z0-9]+", " "))).alias("k"), F.regexp_replace(x["b"], r"^\s+|\s+$", "").alias("b")))
-    names = F.array_distinct(F.transform(keyed, lambda x: F.replace(x["k"], F.lit(" "), F.lit("_"))))
-    return F.map_from_arrays(names, F.transform(names, lambda n: F.array_join(F.transform(F.filter(keyed, lambda x: F.replace(x["k"], F.lit(" "), F.lit("_")) == n), lambda x: x["b"]), "\n\n")))
+
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(lambda t: sections_of(t, aliases))
+
+    run.__annotations__ = {"s": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "map<string, string>")(text)
+
+
+def bullets(text: Column) -> Column:
+    """What stands after `- ` in the lines that begin so, trimmed."""
+    trimmed = F.transform(F.split(F.coalesce(text, F.lit("")), T.LINE_BREAK), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
+    return F.transform(F.filter(trimmed, lambda x: x.startswith("- ")), lambda x: F.regexp_replace(F.substr(x, F.lit(3)), r"(?U)^\s+|\s+$", ""))
 
 
 def bullet_map(text: Column) -> Column:
-    """map of `- key: value`, `- question? value` and bare `- key` lines; keys in lower case, the last one wins (SRC07)."""
-    items = F.transform(F.filter(F.split(text, "\n"), lambda x: F.trim(x).startswith("- ")), lambda x: F.trim(F.substring(F.trim(x), 3, 1 << 20)))
-    pair = F.transform(items, lambda x: F.struct(F.lower(F.trim(F.regexp_extract(x, r"^([^:?]*\??)", 1))).alias("k"), F.trim(F.regexp_replace(x, r"^[^:?]*[:?]?", "")).alias("v")))
-    keys = F.array_distinct(F.transform(pair, lambda x: x["k"]))
-    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pair, lambda x: x["k"] == k), -1)["v"]))
+    """map of `- key: value`, `- question? value` and bare `- key` lines; keys in lower case, the last one wins (SRC07).
+
+    The first colon parts a line; only a line without one is parted at its first question mark, if a blank follows one.
+    """
+
+    def pair(x):
+        colon, asks = F.contains(x, F.lit(":")), F.contains(x, F.lit("? "))
+        key = F.when(colon, F.regexp_extract(x, r"(?s)^(.*?)\s*:", 1)).when(asks, F.concat(F.regexp_extract(x, r"(?s)^(.*?)\s*\?", 1), F.lit("?"))).otherwise(x)
+        value = F.when(colon, F.regexp_extract(x, r"(?s)^.*?:\s*(.*)$", 1)).when(asks, F.regexp_extract(x, r"(?s)^.*?\?\s*(.*)$", 1)).otherwise("")
+        return F.struct(F.lower(key).alias("k"), value.alias("v"))
+
+    pairs = F.transform(bullets(text), pair)
+    keys = F.array_distinct(F.transform(pairs, lambda x: x["k"]))
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: F.element_at(F.filter(pairs, lambda x: x["k"] == k), -1)["v"]))
 
 
 def bullet_values(text: Column) -> Column:
-    """What stands before a colon in each bullet (SRC08, SRC10)."""
-    items = F.transform(F.filter(F.split(text, "\n"), lambda x: F.trim(x).startswith("- ")), lambda x: F.trim(F.substring_index(F.substring(F.trim(x), 3, 1 << 20), ":", 1)))
-    return F.filter(items, lambda x: (x != "") & ~x.rlike(r"^\[[^\]]*\]$"))
+    """What stands before a colon in each bullet, if anything does (SRC08)."""
+    return F.filter(F.transform(bullets(text), lambda x: F.rtrim(F.substring_index(x, ":", 1))), lambda x: x != "")
+
+
+def theme_values(text: Column) -> Column:
+    """Whole bullets but unfilled slots, which begin with a bracket (SRC10)."""
+    return F.filter(bullets(text), lambda x: (x != "") & ~x.startswith("["))
 
 
 def key_terms(text: Column) -> Column:
-    """array<struct<headword, meaning, do_not_flatten_to>> of `- head: meaning; do not flatten to: x, y` bullets (SRC09)."""
-    items = F.transform(F.filter(F.split(text, "\n"), lambda x: F.trim(x).startswith("- ")), lambda x: F.trim(F.substring(F.trim(x), 3, 1 << 20)))
-    items = F.filter(items, lambda x: (x != "") & ~x.rlike(r"^\[[^\]]*\]$"))
-    clause = r"(?i)[;.]?\s*do not flatten to:?\s*(.*)$"
+    """array<struct<headword, meaning, do_not_flatten_to>> of `- head: meaning; do_not_flatten_to x, y.` bullets (SRC09).
+
+    Bullets without a colon, a headword or a meaning, and unfilled slots (in brackets) are no terms.
+    """
+    clause = r"(?is)[;\s]*\bdo[ _]not[ _]flatten[ _]to:?\s*(.*?)\.?\s*$"
 
     def term(x):
-        meaning = F.trim(F.regexp_replace(x, r"^[^:]*:?", ""))
-        return F.struct(F.trim(F.substring_index(x, ":", 1)).alias("headword"), F.trim(F.regexp_replace(meaning, clause, "")).alias("meaning"), F.filter(F.transform(F.split(F.regexp_extract(meaning, clause, 1), ","), lambda t: F.trim(t)), lambda t: t != "").alias("do_not_flatten_to"))
+        meaning = F.regexp_replace(x, r"(?s)^[^:]*:\s*", "")
+        avoid = F.transform(F.split(F.regexp_extract(meaning, clause, 1), ","), lambda t: F.trim(t))
+        return F.struct(F.trim(F.substring_index(x, ":", 1)).alias("headword"), F.trim(F.regexp_replace(meaning, clause, "")).alias("meaning"), F.filter(avoid, lambda t: t != "").alias("do_not_flatten_to"))
 
-    return F.transform(items, term)
+    told = F.filter(bullets(text), lambda x: x.rlike(r"^\s*[^:\[\s][^:]*:\s*\S"))
+    return F.transform(told, term)
 
 
 class _Links(HTMLParser):
@@ -200,13 +238,17 @@ def segments(page_texts: DataFrame, heading: str = r"^\s*(\d{1,3})\.\s*(.*\S)\s*
     page_texts: page, text (and key: several books). Lines before the first heading are left out; a section ends on
     the last page where it has something.
     """
-    x = page_texts.select(*([key] if key else []), "page", F.posexplode(F.split("text", "\n")).alias("line", "s"))
-    if footer:
-        x = x.where(F.trim("s") != footer)
-    part = Window.partitionBy(key) if key else Window.partitionBy(F.lit(1))
-    running = part.orderBy("page", "line").rowsBetween(Window.unboundedPreceding, 0)
+    book = [key] if key else []
+    kept = F.filter(F.split("text", "\n"), lambda s: F.trim(s) != F.lit(footer)) if footer else F.split("text", "\n")
+    pages = page_texts.select(*book, "page", kept.alias("lines"))
+    # Headings are numbered over the pages, of which only the counts are sorted, and then inside each page.
+    heads = pages.groupBy(*book, "page").agg(F.sum(F.size(F.filter("lines", lambda s: s.rlike(heading)))).alias("n"))
+    order = (Window.partitionBy(key) if key else Window.partitionBy(F.lit(1))).orderBy("page").rowsBetween(Window.unboundedPreceding, -1)
+    heads = heads.select(*book, "page", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    x = pages.join(heads, [*book, "page"]).select(*book, "page", "before", F.posexplode("lines").alias("line", "s"))
+    own = Window.partitionBy(*book, "page").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     head = F.col("s").rlike(heading)
-    x = x.withColumn("head", head).withColumn("g", F.sum(head.cast("int")).over(running)).where("g > 0")
+    x = x.withColumn("head", head).withColumn("g", F.col("before") + F.sum(head.cast("int")).over(own)).where("g > 0")
     keys = ([key] if key else []) + ["g"]
     said = F.array_sort(F.collect_list(F.when(~F.col("head"), F.struct("page", "line", "s"))))
     return x.groupBy(*keys).agg(
