@@ -136,25 +136,22 @@ def score_items(items: DataFrame, entries: DataFrame, least: float = 0.0) -> Dat
 
     items: item_id, roman_title, roman_text, urdu_title, urdu_text, devanagari_title, devanagari_text; entries: entry_id,
     title, roman_text, urdu_text. Titles and lines are compared by their keys; Devanagari meets the Roman side by
-    transliteration. A signal is the best similarity of its kind, whatever it is, or with `least` (at most 0.75)
-    those that reach it; `best_matches` finds the top ones without all pairs.
+    transliteration. A signal is the best similarity of its kind, whatever it is, or with `least`
+    those that reach it (others count as none, in the rule for two strong scripts too); `best_matches` finds the top ones without all pairs.
     Nulls and blank lines have no key; repeated lines count once; empty tables give no rows.
     """
-    if least > 0.75:
-        raise ValueError("the rule for two strong scripts needs signals from 0.75 on")
-
     def keyed(df, key, parts):
         out = None
         for part, script, column, make, lines in parts:
             text = F.explode(T.nonempty_lines(F.col(column))) if lines else F.col(column)
             x = df.select(key, F.lit(part).alias("part"), F.lit(script).alias("script"), text.alias("t")).select(key, "part", "script", make("t").alias("k")).where("k <> ''")
             out = x if out is None else out.unionByName(x)
-        return out.distinct()
+        return cut_lineage(out.distinct())
 
     sides = ("roman", "r", latin_key_udf), ("urdu", "u", arabic_key_udf), ("devanagari", "r", devanagari_key_udf)
     mine = keyed(items, "item_id", [(f"{name}_{kind}", script, f"{name}_{kind}", make, kind == "text") for name, script, make in sides for kind in ("title", "text")])
     theirs = keyed(entries, "entry_id", [("title", "r", "title", latin_key_udf, False), ("lines", "r", "roman_text", latin_key_udf, True), ("lines", "u", "urdu_text", arabic_key_udf, True)])
-    alike = similar_keys(mine.select("script", F.col("k").alias("lk")), theirs.select("script", F.col("k").alias("rk")), least)
+    alike = cut_lineage(similar_keys(mine.select("script", F.col("k").alias("lk")), theirs.select("script", F.col("k").alias("rk")), least))
     met = alike.join(mine.withColumnRenamed("k", "lk").withColumnRenamed("part", "mine"), ["script", "lk"]).join(theirs.withColumnRenamed("k", "rk").withColumnRenamed("part", "theirs"), ["script", "rk"])
     lines, says = F.col("theirs") == "lines", lambda part: F.col("mine") == part
     rules = {
@@ -386,11 +383,11 @@ def _views(df: DataFrame, key: str) -> DataFrame:
 def _signal_matches(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
     items = _views(table(spark, d, "benchmark"), "item_id")
     entries = _views(table(spark, d, "documents").withColumnRenamed("doc_id", "entry_id"), "entry_id").withColumnRenamed("roman_title", "title")
-    return items, entries, top_matches(score_items(items, entries, least=0.75), "item_id", "entry_id", 3)
+    return items, entries, top_matches(score_items(items, entries, least=0.9), "item_id", "entry_id", 3)
 
 
 def join01_signals(spark, d):
-    """Benchmark items against all documents by seven signals over three scripts, from a similarity of 0.75 on; top 3."""
+    """Benchmark items against all documents by seven signals over three scripts, from a similarity of 0.9 on; top 3."""
     _, _, best = _signal_matches(spark, d)
     signals = F.array_join(F.array_sort(F.transform(F.map_entries("signals"), lambda e: F.concat_ws("=", e["key"], F.format_number(e["value"], 4)))), ",")
     return best.select("item_id", F.col("entry_id").alias("doc_id"), "score", F.col("rank").cast("long").alias("rank"), signals.alias("signals"), "exact_roman", "exact_urdu")

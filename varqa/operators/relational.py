@@ -111,8 +111,9 @@ def join10_members(spark, d):
     """JOIN10: the sorted members of each work (source and language) as rows: each document's position among them."""
     docs = with_positions(table(spark, d, "documents").select("source", "lang", "doc_id"), "n", "source", "lang", "doc_id")
     first = docs.groupBy("source", "lang").agg(F.min("n").alias("first"), F.count("*").alias("n_members"))
-    x = docs.join(sized_broadcast(first), docs.source.eqNullSafe(first.source) & docs.lang.eqNullSafe(first.lang))
-    return x.select(docs.source, docs.lang, "doc_id", (F.col("n") - F.col("first") + 1).alias("position"), "n_members")
+    first = first.select(F.col("source").alias("s"), F.col("lang").alias("l"), "first", "n_members")
+    x = docs.join(sized_broadcast(first), F.col("source").eqNullSafe(F.col("s")) & F.col("lang").eqNullSafe(F.col("l")))
+    return x.select("source", "lang", "doc_id", (F.col("n") - F.col("first") + 1).alias("position"), "n_members")
 
 
 def join14_view_pairs(spark, d):
