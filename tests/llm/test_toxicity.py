@@ -85,3 +85,16 @@ def test_nulls_empty_tables_and_other_columns(spark):
     flat = train_toxicity(docs, labels.limit(0))
     assert {r.predicted for r in score_toxicity(docs, flat).collect()} == {0}
     assert score_toxicity(docs.limit(0), m).count() == 0
+
+
+def test_shipped_setting_on_held_out_rows(spark):
+    """The label model as it is trained (silence as a vote, anchored first posteriors, no gold start)."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = {r.doc_id: r for r in score_toxicity(docs, train_toxicity(docs, labels)).collect()}
+    held = [(got[r.doc_id].score, r.toxic) for r in labels.collect() if got[r.doc_id].held_out]
+    x, y = np.array([s for s, _ in held]), np.array([t for _, t in held])
+    rank = np.argsort(np.argsort(x))
+    n = (y == 1).sum()
+    auc = (rank[y == 1].sum() - n * (n - 1) / 2) / (n * (y == 0).sum())
+    assert auc >= 0.967 and np.mean(x[y == 1] >= 0.5) >= 0.92 and np.mean(x[y == 0] >= 0.5) <= 0.015

@@ -26,6 +26,10 @@ PREFIXES = range(3, 10)
 COUNTS = (1, 2, 4)
 #: Least likelihood ratio statistic of a voter: about what the best of a million chance candidates reaches.
 TELLING = 30
+#: Correlation within a class from which voters can hang on one another.
+RELATED = 0.02
+#: Log odds of the label that any voter stands for when estimation begins, before its rarity.
+TRUST = 3.0
 _LETTERS = re.compile(r"[^\W\d_]+")
 _CACHE = 300_000
 
@@ -113,18 +117,17 @@ class LabelModel:
     The label draws the votes; within a class a voter also depends on one other voter, its parent in the tree of the
     strongest conditional mutual information. Expectation maximisation estimates the rates at which a voter fires by
     class (`rate`: its accuracies), its rates given its parent (`given`), and the voters' correlations within a class
-    (`correlation`), which choose the tree: a copy of its parent adds nothing. The prior share of the label is given.
-    With `abstain`, for voters that don't apply to every row (words of one language), a voter that doesn't fire says
-    nothing, and that none fires is a vote of its own; else not firing counts as firing does. Estimation begins with the
-    log odds `start` that each voter stands for (without them, rarer voters stand for more), and its first posteriors
-    keep a share `anchor` in all later ones' estimates: a single independent voter tells no classes apart.
+    (`correlation`; two voters of less than RELATED don't hang on one another): a copy of its parent adds nothing. The
+    prior share of the label is given. With `abstain`, for voters that don't apply to every row (words of one language),
+    a voter that doesn't fire says nothing, and that none fires is a vote of its own; else not firing counts as firing
+    does. Estimation begins with each voter standing for the label, rarer ones for more, and these first posteriors keep a share `anchor` in all
+    later ones' estimates: a single independent voter tells no classes apart.
     """
 
-    def __init__(self, votes: np.ndarray, prior: float, start: np.ndarray | None = None, rounds: int = 10, abstain: bool = True, anchor: float = 0.5):
+    def __init__(self, votes: np.ndarray, prior: float, rounds: int = 10, abstain: bool = True, anchor: float = 0.5):
         self.prior, self.abstain = float(np.clip(prior, 1e-4, 1 - 1e-4)), abstain
         x = self._with_silence(votes)
-        if start is None:
-            start = -np.log((votes.sum(0) + 1) / (len(votes) + 2))
+        start = TRUST - np.log((votes.sum(0) + 1) / (len(votes) + 2))
         q = first = _sigmoid(votes @ start - self._shift(votes @ start))
         for _ in range(rounds):
             self._fit(x, (q + anchor * first) / (1 + anchor))
@@ -161,6 +164,7 @@ class LabelModel:
             joint = np.clip((both[k] + 0.3 * np.minimum(a, b)) / total[k], 1e-9, np.minimum(a, b) * (1 - 1e-9))
             for p, e in ((joint, a * b), (a - joint, a * (1 - b)), (b - joint, (1 - a) * b), (1 - a - b + joint, (1 - a) * (1 - b))):
                 gain += total[k] * np.where(p > 0, p * np.log(np.maximum(p, 1e-12) / e), 0)
+        gain[np.abs(self.correlation) < RELATED] = 0
         self.parent = self._tree(gain, np.log(len(x) + 1))
         has, pa = np.flatnonzero(self.parent >= 0), self.parent[self.parent >= 0]
         self.given = np.repeat(self.rate[:, None], 2, 1)  # [class, whether the parent fires, voter]
@@ -258,7 +262,6 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     best = counts.where((F.col("t") >= 3) & (odds > log(3))).orderBy(F.desc(F.col("t") / toxic - F.col("c") / clean), "b").limit(20 * VOTERS)  # bounds the model, not the rows it scores
     found = [tuple(r) for r in best.collect()]
     names = choose_voters(found, toxic, clean)
-    odds = _odds(found, toxic, clean)
 
     def vote(batches):
         counter = Voters(names)
@@ -272,7 +275,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     for k, r in enumerate(cast):
         n[k, list(r[1])] = r[2]
     votes = np.concatenate([(n >= lo) & (n < hi) for lo, hi in zip(COUNTS, (*COUNTS[1:], np.inf))], 1).astype(float)
-    q = LabelModel(votes, y.mean(), np.tile([odds[b] for b in names], len(COUNTS))).posterior(votes)
+    q = LabelModel(votes, y.mean()).posterior(votes)
     x = np.stack([features(dict(zip(r[1], r[2])), r[3], len(names)) for r in cast])
     return ToxicityModel(names, fit_linear(x, q))
 
