@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from varqa.llm.decontam import EDITS, Pieces, _norm_one, banded_edits, decontaminate, find, find_runs, leaks, qgrams
 
@@ -143,3 +144,49 @@ def test_a_beginning_that_all_items_share_is_counted_in_bounded_parts(monkeypatc
     monkeypatch.setattr("varqa.llm.decontam._PAIRS", 1000)
     assert find(flat, offsets, pieces) == whole
     assert {(d, pieces.item[p]) for d, p, *_ in whole} == {(1, 7), (2, 250)}
+
+
+def _edited(r, passage, words, chars):
+    """The passage with so many words replaced by others and so many characters by others."""
+    w = passage.split(" ")
+    for i in r.sample(range(len(w)), words):
+        w[i] = "".join(r.choice("qxzjk") for _ in range(r.randint(3, 8)))
+    t = list(" ".join(w))
+    for i in r.sample([i for i, c in enumerate(t) if c != " "], chars):
+        t[i] = "q" if t[i] != "q" else "z"
+    return "".join(t)
+
+
+@pytest.mark.parametrize(("n", "words", "chars", "least"), [(13, 0, 0, 1.0), (13, 0, 1, 0.95), (20, 0, 3, 0.95), (20, 1, 0, 0.95), (20, 2, 0, 0.9), (25, 2, 0, 0.95), (25, 0, 3, 0.95)])
+def test_recall_of_edited_passages(spark, n, words, chars, least):
+    """Passages cut from the given items at any word, edited, between words of other documents."""
+
+
+    r = random.Random(n * 100 + words * 10 + chars)
+    d = "/root/testdata/sf0.1"
+    items = [x for x in spark.read.parquet(f"{d}/benchmark.parquet").collect() if len(x.text.split()) > n + 2]
+    filler = [w for x in spark.read.parquet(f"{d}/documents.parquet").limit(50).collect() for w in x.text.split()]
+    rows, want = [], []
+    for i in range(120):
+        item = r.choice(items)
+        w = item.text.split()
+        a = r.randrange(len(w) - n + 1)
+        text = " ".join([*r.choices(filler, k=30), _edited(r, " ".join(w[a : a + n]), words, chars), *r.choices(filler, k=30)])
+        rows.append((i, text))
+        want.append((i, item.item_id))
+    docs = spark.createDataFrame([*rows, *((1000 + i, " ".join(r.choices(filler, k=80))) for i in range(60))], "doc_id long, text string")
+    found = {(x.doc_id, x.item_id) for x in leaks(docs, spark.read.parquet(f"{d}/benchmark.parquet")).collect()}
+    assert sum(x in found for x in want) / len(want) >= least
+    assert not [x for x in found if x[0] >= 1000]
+    assert {x.doc_id for x in decontaminate(docs, spark.read.parquet(f"{d}/benchmark.parquet")).collect()} == set(range(120)) - {x[0] for x in found} | {1000 + i for i in range(60)}
+
+
+def test_blocks_do_not_change_rows(spark, monkeypatch):
+    from varqa.llm import decontam
+
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven twelve thirteen"), (1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi"), (None, "short and sweet"), (None, "other words here"), (3, "x")] + [(10 + i, f"item number {i} stands by itself in here and is not like the others of them all") for i in range(9)], "item_id long, text string")
+    docs = spark.createDataFrame([(i, r.text + " . " + s.text) for i, (r, s) in enumerate((r, s) for r in bench.collect() for s in bench.collect())] + [(None, None)], "doc_id long, text string")
+    want = sorted(map(str, leaks(docs, bench).collect())), sorted(map(str, decontaminate(docs, bench).collect()))
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 20_000)
+    assert len(list(decontam._blocks(bench))) > 3
+    assert want == (sorted(map(str, leaks(docs, bench).collect())), sorted(map(str, decontaminate(docs, bench).collect())))

@@ -8,6 +8,10 @@ banded alignment.
 A verbatim passage may hold no nearly whole piece. So the runs of WORDS words from every word of an item are looked up
 too, and items too short for pieces as a whole: all runs of as many words of the texts are hashed by prefix sums, and
 runs of an equal hash are compared byte by byte.
+
+An edited passage of few words holds neither. So windows of WORDS words of the items are looked for with few edits: of
+pieces of SEED_WORDS words, one at every SEED_STEP words, the lemma's bound is that of three edits anywhere or one stretch
+that they would take; a region that reaches it is verified by banded alignment of the windows that hold the piece.
 """
 
 from __future__ import annotations
@@ -17,13 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, filter_batches, id_array, utf8_buffer
+from .common import NULL_ID, filter_batches, id_array, materialize, utf8_buffer
 
 Q, PIECE, STRIDE, EDITS, BAND = 10, 120, 60, 0.08, 16
 #: Words of an item that a text must hold verbatim to count; each Chinese character or kana is a word.
 WORDS = 13
+#: Words and least bytes of a seed, words from one to the next, and edits of a window: so many anywhere, or more of them
+#: between its first and its last word.
+SEED_WORDS, SEED_BYTES, SEED_STEP, ANYWHERE, INSIDE = 10, 40, 3, 3, 8
 #: Bytes of an index that one pass over the documents compares them with, and what an index takes for a byte of items.
-INDEX_BYTES, _PER_BYTE = 128 << 20, 40
+INDEX_BYTES, _PER_BYTE = 128 << 20, 110
 #: Shared q-grams that are counted at a time.
 _PAIRS = 1 << 21
 _BASE = 0x9E3779B97F4A7C15
@@ -189,6 +196,11 @@ class Pieces:
         self.m = np.array([len(p) for p in self.text], np.int64)
         self.k = np.minimum((self.m * EDITS).astype(np.int64), BAND)
         self.least = np.maximum(self.m + 1 - Q - self.k * Q, 1)
+        self._index(hashes, where, at)
+        self.seeds = Seeds(items)
+
+    def _index(self, hashes: list, where: list, at: list) -> None:
+        """The q-grams' hashes in order, with the piece and the place in it of each."""
         h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         order = np.argsort(h, kind="stable")
         h = h[order]
@@ -199,6 +211,57 @@ class Pieces:
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[(self.hash >> np.uint64(64 - _BITS)).astype(np.int64)] = True
 
+    def verify(self, p: int, x: np.ndarray, lo: int, hi: int, start: int, end: int) -> tuple[int, int, int]:
+        """Edits of piece p with its best stretch of x, and that stretch, near where the piece would stand (lo to hi)
+        in a text from start to end; edits over the piece's own, -1, -1 if there is none."""
+        most, m = int(self.k[p]), int(self.m[p])
+        lo, hi = max(lo - most, start), min(hi + most, end)
+        j = x[lo:hi].tobytes().find(self.text[p].tobytes())
+        edits, stop = (0, j + m) if j >= 0 else banded_edits(self.text[p], x[lo:hi], most)
+        return (edits, lo + max(stop - m, 0), lo + stop) if stop >= 0 else (edits, -1, -1)
+
+
+class Seeds(Pieces):
+    """The index of the items' seeds, with the windows of WORDS words that hold each."""
+
+    def __init__(self, items: list[tuple[int, str]]):
+        self.item, self.windows, hashes, where, at, m = [], [], [], [], [], []
+        for item, text in items:
+            x = _norm_one(text or "")
+            s, e, _ = words(x, np.array([0]))
+            for a in range(0, len(s) - WORDS + SEED_STEP, SEED_STEP):
+                a = min(a, max(len(s) - SEED_WORDS, 0))
+                b = max(a + SEED_WORDS, int(np.searchsorted(e, s[a] + SEED_BYTES)) + 1)
+                held = [i for i in range(max(b - WORDS, 0), a + 1) if i + WORDS <= len(s)] if b - a <= WORDS else []
+                if not held:
+                    continue
+                h = qgrams(x[s[a] : e[b - 1]])
+                if not len(h):
+                    continue
+                hashes.append(h)
+                where.append(np.full(len(h), len(self.item), np.int32))
+                at.append(np.arange(len(h), dtype=np.int16))
+                m.append(e[b - 1] - s[a])
+                self.item.append(item)
+                # Each window with the bytes before its seed and the lengths of its first and last words.
+                self.windows.append([(x[s[i] : e[i + WORDS - 1]], int(s[a] - s[i]), int(e[i] - s[i]), int(e[i + WORDS - 1] - s[i + WORDS - 1])) for i in held])
+        self.m = np.array(m, np.int64)
+        self.k = np.full(len(m), INSIDE, np.int64)
+        self.least = np.maximum(self.m + 1 - Q - ANYWHERE * Q, 1)
+        self._index(hashes, where, at)
+
+    def verify(self, p: int, x: np.ndarray, lo: int, hi: int, start: int, end: int) -> tuple[int, int, int]:
+        for w, before, head, tail in self.windows[p]:
+            a = max(lo - before - INSIDE, start)
+            region = x[a : min(hi - int(self.m[p]) + len(w) - before + INSIDE, end)]
+            edits, stop = banded_edits(w, region, INSIDE)
+            if stop < 0:
+                continue
+            ends = region[max(stop - tail, 0) : stop].tobytes() == w[-tail:].tobytes() and region[max(stop - len(w) - INSIDE, 0) : stop - len(w) + INSIDE + head].tobytes().find(w[:head].tobytes()) >= 0
+            if edits <= ANYWHERE or ends:
+                return edits, a + max(stop - len(w), 0), a + stop
+        return INSIDE + 1, -1, -1
+
 
 def banded_edits(piece: np.ndarray, region: np.ndarray, k: int) -> tuple[int, int]:
     """Least edits that turn piece into some stretch of region, and that stretch's end; over k: (k + 1, -1).
@@ -250,11 +313,14 @@ def find_runs(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tup
     return out
 
 
-def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
-    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time."""
+def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known=()) -> list[tuple[int, int, int, int, int, int]]:
+    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time.
+
+    Texts (or pairs of text and item) in `known` are left out.
+    """
     out = []
     for lo, part, cuts in _slices(flat, offsets) if len(pieces.hash) else ():
-        out += [(lo + d, *rest) for d, *rest in _find(part, cuts, pieces)]
+        out += [(lo + d, *rest) for d, *rest in _find(part, cuts, pieces, known, lo)]
     return out
 
 
@@ -286,7 +352,7 @@ def _band_counts(pos, k, doc, starts, pieces) -> tuple[np.ndarray, np.ndarray, n
     return doc_at, piece, band, kept[1]
 
 
-def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
+def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known=(), number: int = 0) -> list[tuple[int, int, int, int, int, int]]:
     x, at, starts = normalize(flat, offsets)
     hits, which = [], []
     for lo in range(0, max(len(x) - Q + 1, 0), _SLICE):
@@ -312,28 +378,23 @@ def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[i
         d, p, b, c = int(doc_at[i]), int(piece_at[i]), int(band_at[i]), int(counts[i])
         if any(b + e in done.get((d, p), ()) for e in (-1, 0, 1)):
             continue  # the neighbouring band holds the same region
-        edits_most, m = int(pieces.k[p]), int(pieces.m[p])
-        lo = max(starts[d] + b * BAND - PIECE - edits_most, starts[d])
-        hi = min(starts[d] + (b + 2) * BAND - PIECE + m + edits_most, starts[d + 1])
-        region = x[lo:hi]
-        j = region.tobytes().find(pieces.text[p].tobytes())
-        if j >= 0:
-            edits, end = 0, j + m
-        else:
-            edits, end = banded_edits(pieces.text[p], region, edits_most)
+        if known and (d + number in known or (d + number, pieces.item[p]) in known):
+            continue
+        lo = int(starts[d]) + b * BAND - PIECE
+        edits, first, end = pieces.verify(p, x, lo, lo + 2 * BAND + int(pieces.m[p]), int(starts[d]), int(starts[d + 1]))
         if end >= 0:
             done.setdefault((d, p), set()).add(b)
-            first = int(at[lo + max(end - m, 0)])
-            out.append((d, p, first - int(offsets[d]), int(at[lo + end - 1]) + 1 - int(offsets[d]), edits, c))
+            out.append((d, p, int(at[first]) - int(offsets[d]), int(at[end - 1]) + 1 - int(offsets[d]), edits, c))
     return out
 
 
 def _blocks(benchmark: DataFrame):
-    """Indexes of the benchmark's items, of about INDEX_BYTES at most each (one for a usual benchmark)."""
+    """Indexes of the benchmark's items, of about INDEX_BYTES at most each (one for a usual benchmark). Rows of an item
+    (and all items of a null id) are in one index, so that a document reports an item once."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text"))
     n = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * _PER_BYTE // INDEX_BYTES))
     for i in range(n):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i) if n > 1 else items
+        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(n)) == i) if n > 1 else items
         yield Pieces(sorted((NULL_ID if r.item_id is None else r.item_id, r.text or "") for r in part.toLocalIterator()))
 
 
@@ -341,7 +402,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item of which it holds a passage:
     doc_id, item_id, start, end (code points of the whole stretch), pieces, of_pieces, edits.
 
-    A passage is a piece within its edits (counted in pieces and edits) or a verbatim run of WORDS words; items of fewer
+    A passage is a piece within its edits (counted in pieces and edits), a verbatim run of WORDS words, or a window of as
+    many words with few edits (three anywhere, or eight between its first and last word); items of fewer
     than 30 bytes count as one piece, verbatim and of whole words; items without a word match nothing. Null and empty
     texts hold none; repeated rows report again; very long texts are searched whole; other columns are ignored; empty
     tables give an empty result. Rows of a null doc_id report with a null doc_id, items of a null item_id with a null
@@ -367,6 +429,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     x[0], x[1] = min(x[0], s), max(x[1], e)
                     if item in whole:
                         x[2].add(-1)
+                for d, p, s, e, _, _ in find(flat, offsets, pieces.seeds, set(found)):
+                    x = found.setdefault((d, pieces.seeds.item[p]), [s, e, set(), 0])
+                    x[0], x[1] = min(x[0], s), max(x[1], e)
                 doc_ids, rows = b.column(0).to_pylist(), []
                 for (d, item), (s, e, ps, k) in sorted(found.items()):
                     raw = flat[offsets[d] : offsets[d] + e]
@@ -390,15 +455,18 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     at = docs.columns.index("text")
     out = docs
-    for pieces in _blocks(benchmark):
+    for number, pieces in enumerate(_blocks(benchmark)):
 
         def run(batches, pieces=pieces):
             for b in batches:
                 flat, offsets = utf8_buffer(b.column(at))
                 bad = {x[0] for x in find(flat, offsets, pieces)} | {x[0] for x in find_runs(flat, offsets, pieces)}
+                bad |= {x[0] for x in find(flat, offsets, pieces.seeds, bad)}
                 if bad:
                     b = b.filter(pa.array([i not in bad for i in range(b.num_rows)]))
                 yield b
 
+        if number:  # one index in a task at a time
+            out = materialize(out, "decontaminated")
         out = filter_batches(out, run)
     return out
