@@ -28,7 +28,7 @@ Q, PIECE, STRIDE, EDITS, BAND = 10, 120, 60, 0.08, 16
 WORDS = 13
 #: Words and least bytes of a seed, words from one to the next, and edits of a window: so many anywhere, or more of them
 #: between its first and its last word.
-SEED_WORDS, SEED_BYTES, SEED_STEP, ANYWHERE, INSIDE = 10, 40, 3, 3, 8
+SEED_WORDS, SEED_BYTES, SEED_STEP, ANYWHERE, INSIDE = 10, 56, 3, 3, 8
 #: Bytes of an index that one pass over the documents compares them with, and what an index takes for a byte of items.
 INDEX_BYTES, _PER_BYTE = 128 << 20, 110
 #: Shared q-grams that are counted at a time.
@@ -198,6 +198,9 @@ class Pieces:
         self.least = np.maximum(self.m + 1 - Q - self.k * Q, 1)
         self._index(hashes, where, at)
         self.seeds = Seeds(items)
+        # Each q-gram's place among the seeds' ones, or -1.
+        k = np.minimum(np.searchsorted(self.seeds.hash, self.hash), max(len(self.seeds.hash) - 1, 0))
+        self.seed_of = np.where(self.seeds.hash[k] == self.hash, k, -1) if len(self.seeds.hash) else np.full(len(self.hash), -1)
 
     def _index(self, hashes: list, where: list, at: list) -> None:
         """The q-grams' hashes in order, with the piece and the place in it of each."""
@@ -313,15 +316,34 @@ def find_runs(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tup
     return out
 
 
-def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known=()) -> list[tuple[int, int, int, int, int, int]]:
-    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time.
+def find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> list[tuple[int, int, int, int, int, int]]:
+    """(text, piece, start byte, end byte, edits, shared q-grams) for every verified region, some texts at a time."""
+    return search(flat, offsets, pieces, None)[0]
 
-    Texts (or pairs of text and item) in `known` are left out.
+
+def search(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known: set | None, whole: bool = False) -> tuple[list, list]:
+    """(regions of pieces, windows found by seeds), both as `find` gives them; no windows without `known`.
+
+    `known` has the pairs of text and item (with `whole`, the texts) that need no windows any more; regions add to it.
     """
-    out = []
+    regions, windows = [], []
     for lo, part, cuts in _slices(flat, offsets) if len(pieces.hash) else ():
-        out += [(lo + d, *rest) for d, *rest in _find(part, cuts, pieces, known, lo)]
-    return out
+        x, at, starts = normalize(part, cuts)
+        pos, k, doc = _met(x, starts, pieces)
+        regions += _verified(x, at, starts, cuts, pos, k, doc, pieces, lo, ())
+        if known is None or not len(pieces.seeds.hash):
+            continue
+        known |= {d if whole else (d, pieces.item[p]) for d, p, *_ in regions}
+        k, seeds = pieces.seed_of[k], pieces.seeds
+        mine = k >= 0
+        if whole:
+            mine &= ~np.isin(doc, np.array([d - lo for d in known], np.int64))
+        pos, k, doc = pos[mine], k[mine], doc[mine]
+        # Fewer q-grams around than any seed asks for can't be part of one.
+        reach = int(seeds.m.max()) + INSIDE
+        near = np.searchsorted(pos, pos + reach, "right") - np.searchsorted(pos, pos - reach, "left") >= int(seeds.least.min())
+        windows += _verified(x, at, starts, cuts, pos[near], k[near], doc[near], seeds, lo, known)
+    return regions, windows
 
 
 def _band_counts(pos, k, doc, starts, pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -352,9 +374,9 @@ def _band_counts(pos, k, doc, starts, pieces) -> tuple[np.ndarray, np.ndarray, n
     return doc_at, piece, band, kept[1]
 
 
-def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known=(), number: int = 0) -> list[tuple[int, int, int, int, int, int]]:
-    x, at, starts = normalize(flat, offsets)
-    hits, which = [], []
+def _met(x: np.ndarray, starts: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Place, number in the index and text of each q-gram of the texts that a piece has too."""
+    hits, which = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo in range(0, max(len(x) - Q + 1, 0), _SLICE):
         h = qgrams(x[lo : lo + _SLICE + Q - 1])
         maybe = np.flatnonzero(pieces.seen[(h >> np.uint64(64 - _BITS)).astype(np.int64)])
@@ -364,12 +386,16 @@ def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known=(), numbe
         same = pieces.hash[np.minimum(k, len(pieces.hash) - 1)] == h[maybe]
         hits.append(maybe[same] + lo)
         which.append(k[same])
-    if not hits:
-        return []
     pos, k = np.concatenate(hits), np.concatenate(which)
     doc = np.searchsorted(starts, pos, side="right") - 1
     inside = pos + Q <= starts[doc + 1]
-    pos, k, doc = pos[inside], k[inside], doc[inside]
+    return pos[inside], k[inside], doc[inside]
+
+
+def _verified(x, at, starts, offsets, pos, k, doc, pieces: Pieces, number: int, known) -> list[tuple[int, int, int, int, int, int]]:
+    """Regions of the meetings that reach the bound and are within a piece's edits; texts count from `number`."""
+    if not len(pos):
+        return []
     doc_at, piece_at, band_at, counts = _band_counts(pos, k, doc, starts, pieces)
     enough = counts >= pieces.least[piece_at]
     doc_at, piece_at, band_at, counts = doc_at[enough], piece_at[enough], band_at[enough], counts[enough]
@@ -384,7 +410,7 @@ def _find(flat: np.ndarray, offsets: np.ndarray, pieces: Pieces, known=(), numbe
         edits, first, end = pieces.verify(p, x, lo, lo + 2 * BAND + int(pieces.m[p]), int(starts[d]), int(starts[d + 1]))
         if end >= 0:
             done.setdefault((d, p), set()).add(b)
-            out.append((d, p, int(at[first]) - int(offsets[d]), int(at[end - 1]) + 1 - int(offsets[d]), edits, c))
+            out.append((d + number, p, int(at[first]) - int(offsets[d]), int(at[end - 1]) + 1 - int(offsets[d]), edits, c))
     return out
 
 
@@ -419,17 +445,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             for b in batches:
                 flat, offsets = utf8_buffer(b.column(1))
                 found: dict = {}
-                for d, p, s, e, k, _ in find(flat, offsets, pieces):
+                verbatim = find_runs(flat, offsets, pieces)
+                regions, windows = search(flat, offsets, pieces, {(d, item) for d, item, _, _ in verbatim})
+                for d, p, s, e, k, _ in regions:
                     x = found.setdefault((d, pieces.item[p]), [s, e, set(), 0])
                     x[0], x[1] = min(x[0], s), max(x[1], e)
                     x[3] += 0 if p in x[2] else k
                     x[2].add(p)
-                for d, item, s, e in find_runs(flat, offsets, pieces):
+                for d, item, s, e in verbatim:
                     x = found.setdefault((d, item), [s, e, set(), 0])
                     x[0], x[1] = min(x[0], s), max(x[1], e)
                     if item in whole:
                         x[2].add(-1)
-                for d, p, s, e, _, _ in find(flat, offsets, pieces.seeds, set(found)):
+                for d, p, s, e, _, _ in windows:
                     x = found.setdefault((d, pieces.seeds.item[p]), [s, e, set(), 0])
                     x[0], x[1] = min(x[0], s), max(x[1], e)
                 doc_ids, rows = b.column(0).to_pylist(), []
@@ -460,8 +488,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def run(batches, pieces=pieces):
             for b in batches:
                 flat, offsets = utf8_buffer(b.column(at))
-                bad = {x[0] for x in find(flat, offsets, pieces)} | {x[0] for x in find_runs(flat, offsets, pieces)}
-                bad |= {x[0] for x in find(flat, offsets, pieces.seeds, bad)}
+                bad = {x[0] for x in find_runs(flat, offsets, pieces)}
+                bad |= {x[0] for found in search(flat, offsets, pieces, bad, whole=True) for x in found}
                 if bad:
                     b = b.filter(pa.array([i not in bad for i in range(b.num_rows)]))
                 yield b
