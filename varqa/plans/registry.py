@@ -6,7 +6,7 @@ import importlib
 from collections.abc import Callable
 
 FLAGSHIP = "join01_source_matching"
-MODULES: tuple[str, ...] = ("scalars", "matching", "relational", "graph", "vectors", "ann", "evaluation", "records", "projections", "events")
+MODULES: tuple[str, ...] = ("scalars", "matching", "relational", "graph", "vectors", "ann", "works", "project", "evaluation", "records", "projections", "events")
 
 
 def _gather(name: str) -> dict:
