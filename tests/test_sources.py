@@ -21,6 +21,29 @@ def test_jsonl_names_bad_lines(spark, tmp_path):
     assert rows.count() == errors.count() == 0
 
 
+def test_lines_of_large_files_are_numbered_in_parts(spark, tmp_path):
+    import json
+    import random
+
+    r, want = random.Random(4), {}
+    for name, n in (("a.jsonl", 4000), ("b.jsonl", 1), ("c.jsonl", 700), ("empty.jsonl", 0)):
+        lines = [r.choice(["", json.dumps({"id": f"é{i}", "t": "x" * r.randint(0, 300)}, ensure_ascii=False), "{broken", "[1]"]) for i in range(n)]
+        (tmp_path / name).write_bytes(("\ufeff" + "\n".join(lines)).encode() if n else b"")
+        want |= {(name, i): s for i, s in enumerate(lines, 1) if s}
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "32k")
+    try:
+        rows, errors = R.read_jsonl(spark, str(tmp_path), "id string, t string")
+        assert R.numbered_lines(spark, str(tmp_path)).select("path", "line").distinct().count() >= len(want)
+        assert spark.read.text(str(tmp_path)).rdd.getNumPartitions() > 8
+        bad = {(os.path.basename(e.path), e.line): e.problem for e in errors.collect()}
+        assert bad == {k: "invalid JSON" if s == "{broken" else "not an object" for k, s in want.items() if not s.startswith('{"')}
+        got = sorted((x.line, x.id, x.t) for x in rows.collect())
+        assert got == sorted((k[1], json.loads(s)["id"], json.loads(s)["t"]) for k, s in want.items() if s.startswith('{"'))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_markdown(spark, tmp_path):
     for name in ("b.md", "a.md", "README.md", "x_template.md"):
         (tmp_path / name).write_text("﻿---\nid: 'p1'\nsources:\n- s1\n- \"s2\"\nempty:\n---\n# Original\nline\n\n# Literal Gloss\ng1\n# Literal translation\ng2\n# My Part\nx\n", encoding="utf-8")

@@ -32,11 +32,24 @@ def read_optional(spark: SparkSession, path: str, schema: StructType | str, how:
         return spark.createDataFrame([], schema)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """path, line (from 1 in each file), value of all lines of text files; large files are read in parts.
+
+    Spark deals a file's bytes out in blocks and gives each line to one of them. A block's rows are read one after the
+    other, so a line's place in it follows from row ids; lines in the blocks before it are counted in a pass of its own.
+    """
+    lines = "value string, path string, block long, row long"
+    raw = read_optional(spark, path, lines, lambda p: spark.read.text(p).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")))
+    blocks = raw.groupBy("path", "block").agg(F.count("*").alias("n"), F.min("row").alias("first"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = blocks.select("path", "block", (before - F.col("first") + 1).alias("_to_line"))  # one row for each block of a file
+    x = raw.join(offsets, ["path", "block"]).withColumn("line", F.col("row") + F.col("_to_line"))
+    return x.select("path", "line", F.when(F.col("line") == 1, F.regexp_replace("value", "^\ufeff", "")).otherwise(F.col("value")).alias("value"))
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(rows with `line`, errors with path, line and problem): blank lines are skipped, a missing path is empty (SRC01)."""
-    raw = read_optional(spark, path, "value string, path string", lambda p: spark.read.text(p, wholetext=True).select("value", F.input_file_name().alias("path")))
-    x = raw.select("path", F.posexplode(F.split(F.regexp_replace("value", "^\ufeff", ""), r"\r?\n")).alias("i", "s")).where(F.trim("s") != "")
-    x = x.select("path", (F.col("i") + 1).alias("line"), F.trim("s").alias("s"))
+    x = numbered_lines(spark, path).select("path", "line", F.trim("value").alias("s")).where("s <> ''")
     fine = F.expr("try_parse_json(s)").isNotNull()
     problem = F.when(~fine, "invalid JSON").when(~F.col("s").startswith("{"), "not an object")
     rows = x.where(problem.isNull()).select("line", F.from_json("s", schema).alias("r")).select("line", "r.*")

@@ -53,11 +53,11 @@ def resume(index: DataFrame, records: DataFrame, key: str, make: Callable[[DataF
 
 def append_numbered(old: DataFrame, new: DataFrame, prefix: str, order: Column) -> DataFrame:
     """new rows with ids that go on after the greatest one there (SNK09)."""
-    from pyspark.sql import Window
+    from ..operators.common import with_positions
 
     top = old.agg(F.coalesce(F.max(F.regexp_extract("id", r"(\d+)$", 1).try_cast("long")), F.lit(0)).alias("_top"))
-    n = F.row_number().over(Window.orderBy(order))
-    made = new.crossJoin(F.broadcast(top)).withColumn("id", F.concat(F.lit(prefix), F.lpad((F.col("_top") + n).cast("string"), 5, "0"))).drop("_top")
+    placed = with_positions(new.withColumn("_order", order), "_n", "_order")  # counted over ranges, not in one task
+    made = placed.crossJoin(F.broadcast(top)).withColumn("id", F.concat(F.lit(prefix), F.lpad((F.col("_top") + F.col("_n") + 1).cast("string"), 5, "0"))).drop("_top", "_n", "_order")
     return old.unionByName(made, allowMissingColumns=True)
 
 
