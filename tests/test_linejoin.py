@@ -47,7 +47,7 @@ def test_prefixes_are_short_and_tables_may_be_empty(spark):
     import numpy as np
 
     key, none = "the quick brown fox jumps over it".replace(" ", ""), (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-    assert gram_size(0.9) == 3 and gram_size(0.8) == 2 and gram_size(0.6) == 1
+    assert gram_size(0.9) == 4 and gram_size(0.85) == 3 and gram_size(0.8) == 2 and gram_size(0.6) == 1
     for t in (0.6, 0.8, 0.9):
         q = gram_size(t)
         token, of, least = prefixes([key, "a", ""], q, t, none)
