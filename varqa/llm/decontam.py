@@ -32,7 +32,7 @@ SEED_WORDS, SEED_BYTES, SEED_STEP, ANYWHERE, INSIDE = 10, 56, 3, 3, 8
 #: Bytes of an index that one pass over the documents compares them with, and what an index takes for a byte of items.
 INDEX_BYTES, _PER_BYTE = 128 << 20, 110
 #: Shared q-grams that are counted at a time.
-_PAIRS = 1 << 21
+_PAIRS = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 _UNBASE = pow(_BASE, -1, 2**64)
 _SLICE = 1 << 19

@@ -23,7 +23,7 @@ from .common import shared_path, sized_broadcast, utf8_buffer
 STRIPE = 16 << 20
 ORC = {"compression": "lz4", "orc.rows.between.memory.checks": "500", "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 #: Bytes of text that are cut and encoded together, and bytes that a worker's known pieces may take.
-_BLOCK, _CACHE = 4 << 20, 48 << 20
+_BLOCK, _CACHE = 2 << 20, 40 << 20
 _ENTRY = 160  # bytes of a known piece besides its text
 _SPACE, _LETTER, _DIGIT, _MARK = 1, 2, 3, 4  # other bytes are 0: nothing is cut beside them but before white space
 
