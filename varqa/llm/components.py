@@ -1,4 +1,4 @@
-"""Connected components over an edge table, by minimum labels and pointer jumping, cut at each round."""
+"""Connected components over an edge table, by randomised contraction, cut at each round."""
 
 from __future__ import annotations
 
@@ -15,20 +15,28 @@ def tree_edges(members) -> tuple[list[int], list[int]]:
     return [int(x) for x in members[1:]], [int(members[(i - 1) // FAN]) for i in range(1, len(members))]
 
 
-def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """node, label (the smallest node of its component) for every node of edges (src, dst).
 
-    Each round takes the least label among a node's neighbours and then the label of that label, so the rounds
-    grow with the logarithm of the longest path. Labels are written to the shared folder after every round.
+    Each round sends a node over to the one around it (or itself) that a hash of the round puts first and draws the edges
+    between those. The order is random, so a constant share of the nodes goes in each round whatever the graph is, and
+    the rounds grow with the logarithm of the largest component. Both tables are written to the shared folder every round.
     """
-    both = materialize(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))), "edges")
-    labels = materialize(both.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.first("src")).alias("label")), "labels")
-    for _ in range(most_rounds):
-        seen = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("near"))
-        best = labels.join(seen, "node").select("node", "label", F.least("label", "near").alias("best"))
-        jump = labels.select(F.col("node").alias("best"), F.col("label").alias("further"))
-        new = materialize(best.join(jump, "best", "left").select("node", F.col("label").alias("old"), F.least("best", F.coalesce("further", "best")).alias("label")), "labels")
-        labels = new.select("node", "label")
-        if new.where("old != label").limit(1).count() == 0:
-            return labels
-    raise RuntimeError(f"components not settled after {most_rounds} rounds")
+    both = materialize(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges")
+    nodes = both.select(F.col("src").alias("node")).distinct()
+    both, gone = both.where("src <> dst"), []
+    while not both.isEmpty():
+        turn = F.lit(len(gone))
+        near = both.groupBy("src").agg(F.min(F.struct(F.xxhash64(turn, "dst").alias("h"), F.col("dst").alias("to"))).alias("m"))
+        to = materialize(near.select("src", F.least("m", F.struct(F.xxhash64(turn, "src").alias("h"), F.col("src").alias("to")))["to"].alias("to")), "labels")
+        gone.append(to)
+        ends = both.join(to.withColumnRenamed("to", "a"), "src").join(to.select(F.col("src").alias("dst"), F.col("to").alias("b")), "dst")
+        both = materialize(ends.where("a <> b").select(F.col("a").alias("src"), F.col("b").alias("dst")).distinct(), "edges")
+    if not gone:
+        return nodes.select("node", F.col("node").alias("label"))
+    root = gone.pop()
+    while gone:  # where each round's nodes have gone in the end, from the last round back
+        via = gone.pop().select("src", F.col("to").alias("via")).join(root.select(F.col("src").alias("via"), "to"), "via", "left")
+        root = materialize(via.select("src", F.coalesce("to", "via").alias("to")), "labels")
+    full = materialize(nodes.join(root.withColumnRenamed("src", "node"), "node", "left").select("node", F.coalesce("to", "node").alias("root")), "labels")
+    return full.join(full.groupBy("root").agg(F.min("node").alias("label")), "root").select("node", "label")

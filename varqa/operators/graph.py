@@ -10,22 +10,34 @@ from .common import cut_lineage, table
 EXACT, RELATED = 1.0, 0.85
 
 
-def components(nodes: DataFrame, edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """node, label: the smallest node of each component; nodes (node), edges (a, b).
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """node, label: the smallest node of each component; nodes (node), edges (a, b); edges to unknown nodes count for nothing.
 
-    Every round hooks a node to the least label around it and then jumps to that label's label.
+    Every round, each node goes over to the node around it (or itself) that a hash of the round puts first, and the
+    edges are drawn between those, so that a node stands for all that went to it. The order is random, so a constant share of the nodes goes in each round, whatever
+    the graph and its ids are (randomised contraction): rounds grow with the logarithm of the largest component.
     """
-    both = cut_lineage(edges.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(edges.select(F.col("b").alias("x"), F.col("a").alias("y"))).where("x <> y").distinct())
-    labels = nodes.select("node", F.col("node").alias("label"))
-    for _ in range(most_rounds):
-        near = both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("label").alias("near"))
-        best = labels.join(near, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("best"))
-        up = labels.select(F.col("node").alias("best"), F.col("label").alias("up"))
-        new = cut_lineage(best.join(up, "best", "left").select("node", F.col("label").alias("old"), F.least("best", F.coalesce("up", "best")).alias("label")))
-        labels = new.select("node", "label")
-        if not new.where("old <> label").take(1):
-            return labels
-    raise RuntimeError(f"components not settled after {most_rounds} rounds")
+    nodes = cut_lineage(nodes.select("node").distinct())
+    pairs = cut_lineage(edges.select(F.col("a").alias("x"), F.col("b").alias("y")))
+    pairs = cut_lineage(pairs.join(nodes.select(F.col("node").alias("x")), "x", "left_semi"))
+    pairs = cut_lineage(pairs.join(nodes.select(F.col("node").alias("y")), "y", "left_semi").where("x <> y"))
+    both = cut_lineage(pairs.select("x", "y").unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct())
+    gone: list[DataFrame] = []
+    while not both.isEmpty():
+        turn = F.lit(len(gone))
+        near = both.groupBy("x").agg(F.min(F.struct(F.xxhash64(turn, "y").alias("h"), F.col("y").alias("to"))).alias("m"))
+        to = cut_lineage(near.select("x", F.least("m", F.struct(F.xxhash64(turn, "x").alias("h"), F.col("x").alias("to")))["to"].alias("to")))
+        gone.append(to)
+        ends = both.join(to.withColumnRenamed("to", "a"), "x").join(to.select(F.col("x").alias("y"), F.col("to").alias("b")), "y")
+        both = cut_lineage(ends.where("a <> b").select(F.col("a").alias("x"), F.col("b").alias("y")).distinct())
+    if not gone:
+        return nodes.select("node", F.col("node").alias("label"))
+    root = gone.pop()
+    while gone:  # where each round's nodes have gone in the end, from the last round back
+        root = cut_lineage(gone.pop().select("x", F.col("to").alias("via")).join(root.select(F.col("x").alias("via"), "to"), "via", "left").select("x", F.coalesce("to", "via").alias("to")))
+    full = cut_lineage(nodes.join(root.withColumnRenamed("x", "node"), "node", "left").select("node", F.coalesce("to", "node").alias("root")))
+    least = full.groupBy("root").agg(F.min("node").alias("least"))
+    return full.join(least, "root", "left").select("node", F.coalesce("least", "node").alias("label"))
 
 
 def build_clusters(entries: DataFrame, items: DataFrame, matches: DataFrame) -> DataFrame:
@@ -53,7 +65,7 @@ def cluster_map(clusters: DataFrame) -> DataFrame:
 
 def _edges(spark, d):
     """Documents with equal texts, each tied to the previous one, and every fifth document to its neighbour."""
-    docs = table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h"))
+    docs = cut_lineage(table(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("h")))
     same = docs.withColumn("p", F.lag("doc_id").over(Window.partitionBy("h").orderBy("doc_id"))).where("p is not null").select(F.col("doc_id").alias("a"), F.col("p").alias("b"))
     near = docs.where("doc_id % 5 = 0").select(F.col("doc_id").alias("a"), (F.col("doc_id") + 1).alias("b")).join(docs.select(F.col("doc_id").alias("b")), "b", "left_semi").select("a", "b")
     return docs.select(F.col("doc_id").alias("node")), same.unionByName(near)
