@@ -56,3 +56,19 @@ def test_prefixes_are_short_and_tables_may_be_empty(spark):
     empty = spark.createDataFrame([], "script string, lk string")
     right = spark.createDataFrame([("r", "abc")], "script string, rk string")
     assert similar_keys(empty, right, 0.8).count() == 0 and similar_keys(right.withColumnRenamed("rk", "lk"), empty.withColumnRenamed("lk", "rk"), 0.8).count() == 0
+
+
+def test_a_small_side_is_held_and_large_sides_are_joined(spark, monkeypatch):
+    """Both ways give the pairs of all; through a small side no more than the pairs found is shuffled."""
+    from varqa.operators import linejoin as L
+
+    r = random.Random(8)
+    mine = words(r, 40, "abcdefgh") + ["x" * 40, "abcabcabcabcabcabcabc"]
+    theirs = words(r, 20, "abcdefgh") + [edited(r, k, "abcdefgh") for k in mine] + ["y" * 400]
+    df = lambda x, c: spark.createDataFrame([("r", k) for k in x], f"script string, {c} string")
+    want = {(x, y) for x in mine for y in theirs if x and y and similarity(x, y) >= 0.9}
+    assert L._held_keys(df(mine, "lk"), "lk") == {"r": sorted(set(mine))}
+    for held in (L.HELD, 50, 0):
+        monkeypatch.setattr(L, "HELD", held)
+        got = similar_keys(df(mine, "lk"), df(theirs, "rk"), 0.9).collect()
+        assert {(g.lk, g.rk) for g in got} == want and len(got) == len(want)

@@ -53,15 +53,32 @@ def strip_marks(text: str) -> str:
     return _MARKS.sub("", unicodedata.normalize("NFKD", text or ""))
 
 
+class _Each(dict):
+    """A table for str.translate that asks a function for each character once."""
+
+    def __init__(self, function):
+        super().__init__()
+        self.function = function
+
+    def __missing__(self, code: int) -> str:
+        self[code] = found = self.function(chr(code))
+        return found
+
+
+_LATIN = _Each(lambda c: _NO_LETTER.sub("", _MARKS.sub("", c).casefold()))
+_ARABIC = _Each(lambda c: _NO_ARABIC.sub("", c.translate(_FOLDED)))
+_LONG_A = re.compile("aa+")
+
+
 def latin_key(text: str) -> str:
     """Letters and digits without marks, case or the signs for ain; doubled vowels are one letter (a run of a is one a)."""
-    key = _NO_LETTER.sub("", strip_marks(text).casefold())
-    return regex.sub("aa+", "a", key).replace("ee", "i").replace("oo", "u")
+    key = unicodedata.normalize("NFKD", text or "").translate(_LATIN)
+    return _LONG_A.sub("a", key).replace("ee", "i").replace("oo", "u")
 
 
 def arabic_key(text: str) -> str:
     """Letters of one form each, without marks, punctuation and blanks."""
-    return _NO_ARABIC.sub("", unicodedata.normalize("NFKC", text or "").translate(_FOLDED))
+    return unicodedata.normalize("NFKC", text or "").translate(_ARABIC)
 
 
 def devanagari_to_latin(text: str) -> str:

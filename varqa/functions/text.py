@@ -56,7 +56,8 @@ def lines(text: Column) -> Column:
 
 def nonempty_lines(text: Column) -> Column:
     """Lines with something other than white space, right-stripped."""
-    return F.transform(F.filter(lines(text), lambda x: F.regexp_replace(x, r"(?U)\s+", "") != ""), lambda x: F.regexp_replace(x, r"(?U)\s+$", ""))
+    strip = lambda x: F.when(F.right(x, F.lit(1)).rlike(r"(?U)\s"), F.regexp_replace(x, r"(?U)\s+$", "")).otherwise(x)
+    return F.transform(F.filter(lines(text), lambda x: x.rlike(r"(?U)\S")), strip)
 
 
 def first_line(text: Column) -> Column:

@@ -4,11 +4,14 @@ A ratio of t over lengths a and b means that at least t (a + b) / 2 characters m
 than unmatched characters and one more hold them. So two keys share a number of q-grams (counted with repeats) that
 grows with their lengths, and the rarest grams of both, as many as that bound leaves open and a few more, have some in
 common. Only pairs that share as many such grams, have lengths that allow t and pass the bound from character counts are compared.
+
+Keys whose length no key of the other side allows go first. Where a side is small (`HELD`), it stands as an index of its
+grams in every task, through which the other side streams once, without a shuffle.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 import numpy as np
@@ -23,6 +26,8 @@ from .common import cut_lineage, sized_broadcast
 COUNTED, GROWTH = 50_000, 0.1
 #: Common grams asked of a pair: for each one more than one, a gram more of both keys is looked at.
 COMMON = 40
+#: Keys and characters of a side up to which it is held in every task; cells of a block of counts.
+HELD, HELD_CHARS, CELLS = 4_000, 1_000_000, 8_000_000
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -147,12 +152,110 @@ def _any_common_character(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(sized_broadcast(b, 200_000), ["script", "c"]).where(F.col("c") == F.get(F.array_intersect("lc", "rc"), F.lit(0))).select("script", "lk", "rk")
 
 
+def allowed_lengths(keys: DataFrame, key: str, least: float) -> Callable[[str, str], Column]:
+    """A condition on (script, key): some key (script, key) could reach `least` with it, by the lengths of the shortest and the longest."""
+    spans = keys.groupBy("script").agg(F.min(F.length(key)).alias("lo"), F.max(F.length(key)).alias("hi")).collect()
+
+    def allowed(script: str, other: str) -> Column:
+        n, here = F.length(other), F.lit(False)
+        for r in spans:
+            lo, hi = (r.lo * least / (2 - least), r.hi * (2 - least) / least) if least > 0 else (1, 2**31 - 1)
+            here = here | ((F.col(script) == r.script) & n.between(int(np.ceil(lo - 1e-9)), int(min(hi + 1e-9, 2**31 - 1))))
+        return here
+
+    return allowed
+
+
+class _Held:
+    """The q-grams of a script's held keys: which keys have each."""
+
+    def __init__(self, keys: list[str], q: int, t: float):
+        self.keys, self.q, self.t = keys, q, t
+        self.size = np.array([len(k) for k in keys], np.int64)
+        self.shared = shared_grams(self.size, q, t)
+        h, of = grams(keys, q)
+        pair = np.unique(np.stack((h, of.astype(np.uint64)), axis=1), axis=0)
+        self.gram, at, count = np.unique(pair[:, 0], return_index=True, return_counts=True)
+        self.at, self.count, self.of = np.append(at, 0), np.append(count, 0), pair[:, 1].astype(np.int64)
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(self.gram >> np.uint64(44)).astype(np.int64)] = True
+
+    def blocks(self, keys: list[str]) -> Iterator[tuple[int, int]]:
+        """Runs of keys whose counts take CELLS at most, whatever their grams are; one key at least."""
+        lo, chars, most = 0, 0, max(1, CELLS // max(len(self.keys), 1))
+        for i, k in enumerate(keys):
+            if i > lo and (chars := chars + len(k)) > most:
+                yield lo, i
+                lo, chars = i, 0
+            if i == lo:
+                chars = len(k)
+        if keys:
+            yield lo, len(keys)
+
+    def alike(self, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (of keys, of held ones) of the pairs whose lengths and grams allow t.
+
+        A key's grams that the held key has too, repeats counted, are at least as many as both have in common.
+        """
+        for lo, hi in self.blocks(keys):
+            size = np.array([len(k) for k in keys[lo:hi]], np.int64)
+            h, of = grams(keys[lo:hi], self.q)
+            kept = self.seen[(h >> np.uint64(44)).astype(np.int64)]
+            h, of = h[kept], of[kept]
+            at = np.searchsorted(self.gram, h)
+            at = np.where(np.append(self.gram, np.uint64(0))[at] == h, at, len(self.gram))
+            count = self.count[at]
+            first = np.repeat(self.at[at] - (np.cumsum(count) - count), count)
+            cell = np.repeat(of * len(self.keys), count) + self.of[first + np.arange(len(first))]
+            c = np.bincount(cell, minlength=len(size) * len(self.keys)).reshape(len(size), len(self.keys))
+            n, m = size[:, None], self.size[None, :]
+            ok = (c >= np.maximum(shared_grams(size, self.q, self.t)[:, None], self.shared[None, :])) & (2.0 * np.minimum(n, m) >= self.t * (n + m) - 1e-9)
+            i, j = np.nonzero(ok)
+            yield i + lo, j
+
+
+def _held_keys(df: DataFrame, key: str) -> dict[str, list[str]] | None:
+    """script -> its different keys, if the side has few rows, else None."""
+    if len(df.select(F.lit(1)).take(HELD + 1)) > HELD:
+        return None
+    found: dict[str, list[str]] = {}
+    for r in df.select("script", key).where(f"{key} <> ''").distinct().orderBy("script", key).toLocalIterator():
+        found.setdefault(r[0], []).append(r[1])
+    return found if sum(len(k) for v in found.values() for k in v) <= HELD_CHARS else None
+
+
+def _met_held(df: DataFrame, key: str, held: dict[str, list[str]], other: str, t: float) -> DataFrame:
+    """script, lk, rk: pairs of df's keys with the held ones that lengths and grams allow, each once."""
+    q = gram_size(t)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = {s: _Held(keys, q, t) for s, keys in held.items()}
+        for b in batches:
+            scripts = np.array(b.column(0).to_pylist(), object)
+            for s, x in index.items():
+                mine = b.column(1).take(pa.array(np.flatnonzero(scripts == s), pa.int64())).to_pylist()
+                for i, j in x.alike(mine):
+                    if len(i):
+                        yield pa.record_batch([pa.array([s] * len(i), pa.string()), pa.array([mine[k] for k in i], pa.string()), pa.array([x.keys[k] for k in j], pa.string())], ["script", key, other])
+
+    return df.mapInArrow(run, f"script string, {key} string, {other} string").distinct().select("script", "lk", "rk")
+
+
 def similar_keys(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """script, lk, rk, score: all pairs of non-empty keys of one script with a ratio of at least `least` (over 0 if that is 0).
 
     left (script, lk), right (script, rk); equal rows count once. The ratio is that of difflib with its defaults.
     """
-    left, right = (cut_lineage(x) for x in (left.where("lk <> ''").distinct(), right.where("rk <> ''").distinct()))
+    left, right = left.where("lk <> ''"), right.where("rk <> ''")
+    if least > 0 and gram_size(least) > 1:
+        for small, key, large, own in ((right, "rk", left, "lk"), (left, "lk", right, "rk")):
+            held = _held_keys(small, key)
+            if held is not None:
+                large = large.where(allowed_lengths(small, key, least)("script", own)) if held else large.where("false")
+                return _scored(_letters_allow(_met_held(large.select("script", own), own, held, key, least), least), least)
+        left = left.where(allowed_lengths(right, "rk", least)("script", "lk"))
+        right = right.where(allowed_lengths(left, "lk", least)("script", "rk"))
+    left, right = (cut_lineage(x.distinct()) for x in (left, right))
     if least <= 0:
         met = _any_common_character(left, right)
     else:
@@ -163,10 +266,16 @@ def similar_keys(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
         counted = met.groupBy("script", "l", "r").agg(F.count("*").alias("c"), F.min(F.least("x", "y")).alias("asked"))
         pairs = counted.where("c >= asked").select("script", "l", "r")
         met = pairs.join(sized_broadcast(right.withColumn("r", F.xxhash64("rk")), 50_000), ["script", "r"]).join(left.withColumn("l", F.xxhash64("lk")), ["script", "l"])
-        met = met.withColumn("lc", letter_counts(F.col("lk"))).withColumn("rc", letter_counts(F.col("rk")))
-        met = met.where(counts_bound(F.col("lc"), F.col("rc"), F.length("lk") + F.length("rk")) >= least - 1e-9)
+        met = _letters_allow(met, least)
+    return _scored(met, least)
+
+
+def _letters_allow(met: DataFrame, least: float) -> DataFrame:
+    met = met.withColumn("lc", letter_counts(F.col("lk"))).withColumn("rc", letter_counts(F.col("rk")))
+    return met.where(counts_bound(F.col("lc"), F.col("rc"), F.length("lk") + F.length("rk")) >= least - 1e-9)
+
+
+def _scored(met: DataFrame, least: float) -> DataFrame:
     score = F.when(F.col("lk") == F.col("rk"), F.lit(1.0)).otherwise(similarity_udf("lk", "rk"))
     scored = met.select("script", "lk", "rk", score.alias("score"))
     return scored.where(F.col("score") >= least) if least > 0 else scored.where("score > 0")
-
-

@@ -113,10 +113,10 @@ def line_similarity(texts: DataFrame, key: str, other: DataFrame, other_key: str
 
     def keyed(df, k, pos, name):
         x = df.select(k, F.posexplode(T.nonempty_lines(F.col("text"))).alias(pos, "line"))
-        return cut_lineage(x.select(k, pos, latin_key_udf("line").alias(name)).where(f"{name} <> ''"))
+        return x.select(k, pos, F.lit("r").alias("script"), latin_key_udf("line").alias(name)).where(f"{name} <> ''")
 
-    a, b = keyed(texts, key, "pos", "lk"), keyed(other, other_key, "other_pos", "rk")
-    alike = cut_lineage(similar_keys(a.select(F.lit("r").alias("script"), "lk"), b.select(F.lit("r").alias("script"), "rk"), least).drop("script"))
+    a, b = cut_lineage(keyed(texts, key, "pos", "lk")), cut_lineage(keyed(other, other_key, "other_pos", "rk"))
+    alike = cut_lineage(similar_keys(a.select("script", "lk"), b.select("script", "rk"), least).drop("script"))
     return a.join(sized_broadcast(alike), "lk").join(sized_broadcast(b, 200_000), "rk").select(key, "pos", other_key, "other_pos", "score")
 
 
@@ -146,13 +146,14 @@ def score_items(items: DataFrame, entries: DataFrame, least: float = 0.0) -> Dat
             text = F.explode(T.nonempty_lines(F.col(column))) if lines else F.col(column)
             x = df.select(key, F.lit(part).alias("part"), F.lit(script).alias("script"), text.alias("t")).select(key, "part", "script", make("t").alias("k")).where("k <> ''")
             out = x if out is None else out.unionByName(x)
-        return cut_lineage(out.distinct())
+        return out
 
     sides = ("roman", "r", latin_key_udf), ("urdu", "u", arabic_key_udf), ("devanagari", "r", devanagari_key_udf)
-    mine = keyed(items, "item_id", [(f"{name}_{kind}", script, f"{name}_{kind}", make, kind == "text") for name, script, make in sides for kind in ("title", "text")])
-    theirs = keyed(entries, "entry_id", [("title", "r", "title", latin_key_udf, False), ("lines", "r", "roman_text", latin_key_udf, True), ("lines", "u", "urdu_text", arabic_key_udf, True)])
+    mine = cut_lineage(keyed(items, "item_id", [(f"{name}_{kind}", script, f"{name}_{kind}", make, kind == "text") for name, script, make in sides for kind in ("title", "text")]).distinct())
+    theirs = cut_lineage(keyed(entries, "entry_id", [("title", "r", "title", latin_key_udf, False), ("lines", "r", "roman_text", latin_key_udf, True), ("lines", "u", "urdu_text", arabic_key_udf, True)]))
     alike = cut_lineage(similar_keys(mine.select("script", F.col("k").alias("lk")), theirs.select("script", F.col("k").alias("rk")), least))
-    met = alike.join(mine.withColumnRenamed("k", "lk").withColumnRenamed("part", "mine"), ["script", "lk"]).join(theirs.withColumnRenamed("k", "rk").withColumnRenamed("part", "theirs"), ["script", "rk"])
+    said = theirs.withColumnRenamed("k", "rk").withColumnRenamed("part", "theirs").join(sized_broadcast(alike, 200_000), ["script", "rk"]).distinct()
+    met = said.join(mine.withColumnRenamed("k", "lk").withColumnRenamed("part", "mine"), ["script", "lk"])
     lines, says = F.col("theirs") == "lines", lambda part: F.col("mine") == part
     rules = {
         "roman_title_to_title": says("roman_title") & ~lines, "roman_title_to_any_line": says("roman_title"), "roman_any_line": says("roman_text") & lines,
@@ -260,8 +261,10 @@ def line_evidence(matches: DataFrame, items: DataFrame, entries: DataFrame) -> t
     each other only, all of them, and keys that occur again are compared once. Unknown ids and empty texts have no channel.
     """
     wanted = matches.select("item_id", "entry_id").distinct()
-    w = wanted.join(channel_lines(items, "item_id", WITNESS), "item_id")
-    e = wanted.join(channel_lines(entries, "entry_id", ENTRY), "entry_id")
+    # Only the matches' texts are cut to lines and keyed: a key is a function in Python that no join is pushed below.
+    of = lambda df, key: cut_lineage(df.join(sized_broadcast(wanted.select(key).distinct()), key, "left_semi"))
+    w = wanted.join(channel_lines(of(items, "item_id"), "item_id", WITNESS), "item_id")
+    e = wanted.join(channel_lines(of(entries, "entry_id"), "entry_id", ENTRY), "entry_id")
     pair = ["item_id", "entry_id", "channel"]
     w, e = cut_lineage(w.select(*pair, "pos", "raw", "k")), cut_lineage(e.select(*pair, "pos", "raw", "k"))
     both = w.select(*pair).distinct().intersect(e.select(*pair).distinct())
