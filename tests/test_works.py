@@ -1,8 +1,10 @@
 import html
 
+import duckdb
 from pyspark.sql import functions as F
 
 from varqa.functions import text as T
+from varqa.operators.works import ORACLE, src14_problems
 from varqa.sources.works import page_works, view_name, work_lines
 
 ROMAN = "<div class='pMC' data-roman='off'><div class='w' data-p='1'><p data-l='1'><span data-m='m1'>rāñjhā </span><span data-m='m2'>kardī</span></p></div></div><div class='x pMC' data-roman='on'><div class='w' data-p='1'><p data-l='1'><span data-m='m1'>ranjha </span><span data-m='m2'>kardi</span></p><p data-l='2'>no  tokens &amp; so</p></div></div>"
@@ -44,3 +46,14 @@ def test_broken_pages_are_rows(spark):
 def test_views(spark):
     x = spark.createDataFrame([("abc", "off", "roman_diacritic"), ("abc", "", "roman_plain"), ("خدا", "off", "urdu"), ("क", "", "devanagari")], "t string, m string, want string")
     assert all(r.v == r.want for r in x.select("want", view_name(T.dominant_script(F.col("t")), F.col("m")).alias("v")).collect())
+
+
+def test_problems_decode_what_their_sql_does(spark, tmp_path):
+    """Titles cut inside a reference, and references that the SQL leaves as they are."""
+    titles = ["a &amp;&amp", "say &quot;x&quot;", "&lt;b&gt; &amp;lt; &#65; &eacute; & c", "plain"]
+    page = [(i, f"<html><h1>{t}</h1><p>&quot;</p></html>") for i, t in enumerate(titles)]
+    spark.createDataFrame(page, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {(r.page_id, r.title, r.problem) for r in src14_problems(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    assert got == set(con.sql(ORACLE["src14_problems"]).fetchall())

@@ -136,6 +136,11 @@ class PageWorks:
         yield from rows
 
 
+def three_references(page: Column) -> Column:
+    """The page with every & spelt out that opens none of &lt; &gt; &amp;: read again, only these three are decoded."""
+    return F.regexp_replace(page, "&(?!(?:lt|gt|amp);)", "&amp;")
+
+
 def page_works(pages: DataFrame, column: str = "html") -> DataFrame:
     """All columns of pages beside the rows of their works: a lateral join with the table function."""
     works = F.udtf(PageWorks, returnType=KINDS, useArrow=False)
