@@ -72,3 +72,36 @@ def test_query_recall(spark, sf_dir):
 
     q = registry.queries()
     assert recall(q["vec04_index_search"](spark, sf_dir).collect(), q["vec02_nearest"](spark, sf_dir).collect()) >= 0.9
+
+
+def test_exact_search_in_groups_of_bounded_size(spark, monkeypatch):
+    """No group holds more rows or queries than about the bounds, copies tie by id, and the rows are those of all pairs."""
+    from varqa.operators import vectors
+
+    r = np.random.default_rng(3)
+    v = r.normal(size=(900, 16)).astype(np.float32)
+    v[200:700] = v[0]  # a large group of copies
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<float>")
+    q = df.where("vec_id % 3 = 0").withColumnRenamed("vec_id", "query_id")
+    seen = spark.sparkContext.accumulator(0)  # groups of more rows or queries than allowed
+    monkeypatch.setattr(vectors, "ROWS", 128)
+    monkeypatch.setattr(vectors, "BLOCK", 64)
+    monkeypatch.setattr(vectors, "TILE", 50)
+    monkeypatch.setattr(vectors, "STEP", 7)
+    best = vectors._best
+
+    def watched(a, ids, b, k):
+        seen.add(int(len(a) > 128 or len(b) > 256))
+        return best(a, ids, b, k)
+
+    monkeypatch.setattr(vectors, "_best", watched)
+    got = {}
+    for row in nearest(q, df, 5).collect():
+        got.setdefault(row.query_id, []).append((row["rank"], row.vec_id, row.score))
+    u = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    s = np.round(u @ u.T, 4)
+    assert seen.value == 0 and len(got) == 300
+    for i, hits in got.items():
+        order = np.lexsort((np.arange(900), -s[i]))[:5]
+        assert sorted(hits) == [(n + 1, int(j), float(s[i, j])) for n, j in enumerate(order)]
+    assert nearest(q.limit(0), df, 5).count() == 0 and nearest(q, df.limit(0), 5).count() == 0

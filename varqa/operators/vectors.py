@@ -1,4 +1,4 @@
-"""Vector retrieval: exact k nearest by cosine in blocks, score floors, grounded answers (VEC01-05, JOIN20, FLT10)."""
+"""Vector retrieval: exact k nearest by cosine in groups of bounded size, score floors, grounded answers (VEC01-05, JOIN20, FLT10)."""
 
 from __future__ import annotations
 
@@ -10,43 +10,62 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-BLOCK = 4096
+#: Index rows and queries that meet in one task at most (about), and those whose scores stand at once.
+ROWS, BLOCK, TILE, STEP = 16_384, 16_384, 2048, 256
+
+
+def _unit(column: pa.ChunkedArray) -> np.ndarray:
+    """A list column as rows of doubles of length 1."""
+    flat = pa.concat_arrays(c.flatten() for c in column.chunks).to_numpy(zero_copy_only=False).astype(np.float64)
+    x = flat.reshape(len(column), -1)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-30)
+
+
+def _best(q: np.ndarray, ids: np.ndarray, v: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Scores to 4 places and ids of each query's k nearest rows of v; ids ascend, so that of equal scores the first places win."""
+    m = min(k, len(v))
+    score, at = np.full((len(q), m), -np.inf), np.zeros((len(q), m), np.int64)
+    for lo in range(0, len(q), STEP):
+        for first in range(0, len(v), TILE):
+            s = np.round(q[lo : lo + STEP] @ v[first : first + TILE].T, 4)
+            least = score[lo : lo + STEP, -1:]
+            for i in np.flatnonzero((s > least).any(axis=1)):  # later places don't win against equal scores
+                new = np.flatnonzero(s[i] > least[i])
+                if len(new) > m:
+                    edge = np.partition(s[i, new], len(new) - m)[len(new) - m]
+                    above, same = new[s[i, new] > edge], new[s[i, new] == edge]
+                    new = np.concatenate((above, same[: m - len(above)]))
+                both, where = np.concatenate((score[lo + i], s[i, new])), np.concatenate((at[lo + i], new + first))
+                order = np.lexsort((where, -both))[:m]
+                score[lo + i], at[lo + i] = both[order], where[order]
+    return score, ids[at]
 
 
 def nearest(queries: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """query_id, vec_id, score, rank: the k nearest by cosine, score rounded to 4 places, ties by vec_id.
 
-    queries (query_id, embedding) is a stated set: it goes to the index in blocks of bounded size. Each task keeps
-    its own k best per query, so only those meet in the final ranking.
+    Every query (query_id, embedding) meets every row of the index (vec_id, embedding), in groups of bounded size on both
+    sides: rows and queries are dealt by their ids, each part of the index meets each block of queries in one task, and in
+    it a tile of scores stands at a time. A group keeps its k best per query, so only those meet in the final ranking.
     """
-    n = queries.count()
-    out = None
-    for i in range(max(1, -(-n // BLOCK))):
-        part = queries.where(F.pmod(F.xxhash64("query_id"), F.lit(-(-n // BLOCK))) == i) if n > BLOCK else queries
-        rows = [(r.query_id, r.embedding) for r in part.orderBy("query_id").toLocalIterator()]
-        if not rows:
-            continue
-        ids = np.array([r[0] for r in rows])
-        q = np.array([r[1] for r in rows], np.float64)
-        q /= np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-30)
-
-        def best(batches, ids=ids, q=q):
-            for b in batches:
-                if not b.num_rows:
-                    continue
-                v = np.array(b.column(1).to_pylist(), np.float64)
-                vid = b.column(0).to_numpy()
-                s = np.round(q @ (v / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-30)).T, 4)
-                m = min(k, s.shape[1])
-                order = np.lexsort((np.broadcast_to(vid, s.shape), -s), axis=1)[:, :m]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, m)), pa.array(vid[order].ravel()), pa.array(np.take_along_axis(s, order, 1).ravel())], ["query_id", "vec_id", "score"])
-
-        found = index.select("vec_id", "embedding").mapInArrow(best, "query_id long, vec_id long, score double")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return queries.sparkSession.createDataFrame([], "query_id long, vec_id long, score double, rank int")
+    parts, blocks = max(1, -(-index.count() // ROWS)), max(1, -(-queries.count() // BLOCK))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = index.select(dealt("vec_id", parts).alias("part"), every(blocks).alias("block"), F.col("vec_id").cast("long"), "embedding")
+    right = queries.select(every(parts).alias("part"), dealt("query_id", blocks).alias("block"), F.col("query_id").cast("long"), "embedding")
+
+    def meet(rows: pa.Table, ask: pa.Table) -> pa.Table:
+        who, score, near = np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64)
+        if len(rows) and len(ask):
+            rows = rows.sort_by("vec_id")
+            s, ids = _best(_unit(ask["embedding"]), rows["vec_id"].to_numpy(), _unit(rows["embedding"]), k)
+            who, score, near = np.repeat(ask["query_id"].to_numpy(), s.shape[1]), s.ravel(), ids.ravel()
+        return pa.table({"query_id": who, "vec_id": near, "score": score})
+
+    keys = ["part", "block"]
+    hits = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def embed(texts: DataFrame, encode, batch: int = 32, dim: int = 64) -> DataFrame:
