@@ -92,15 +92,18 @@ def augment(examples: DataFrame, paraphrase: Callable[[str], str], verify: Calla
 def common_prefix(a: Column, b: Column) -> Column:
     """Length of the longest common prefix of two arrays."""
     same = F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False)))
-    first = F.array_position(same, False)
-    return F.when(first > 0, first - 1).otherwise(F.least(F.size(a), F.size(b))).cast("int")
+    first = F.nullif(F.array_position(same, False), F.lit(0))
+    return F.coalesce(first - 1, F.least(F.size(a), F.size(b))).cast("int")
 
 
 def supervised(prompt_ids: Column, full_ids: Column, most: int) -> tuple[Column, Column]:
-    """(input_ids, labels): labels are -100 over the common prefix, both truncated to `most`."""
+    """(input_ids, labels): labels are -100 over the common prefix, both truncated to `most`.
+
+    The prefix is looked for in the truncated ids and stands in no lambda, so that it isn't found anew for each id.
+    """
     ids = F.slice(full_ids, 1, most)
-    n = common_prefix(prompt_ids, full_ids)
-    return ids, F.transform(ids, lambda x, i: F.when(i < n, F.lit(-100)).otherwise(x))
+    n = common_prefix(F.slice(prompt_ids, 1, most), ids)
+    return ids, F.concat(F.array_repeat(F.lit(-100), n), F.slice(ids, n + 1, most))
 
 
 def pad(values: Column, to: Column, fill: int) -> Column:
@@ -225,9 +228,9 @@ def trn01_masks(spark, d):
     x = c.groupBy("conv_id").agg(ordered_list(F.col("text"), F.col("turn")).alias("t")).where(F.size("t") >= 2)
     x = x.select("conv_id", ids(F.array_join(F.slice("t", 1, F.size("t") - 1), " ")).alias("p"), ids(F.array_join("t", " ")).alias("f"))
     i, lab = supervised(F.col("p"), F.col("f"), 256)
-    x = x.select("conv_id", i.alias("i"), lab.alias("l")).where(F.exists("l", lambda v: v != -100))
-    padded = pad(F.col("l"), F.lit(256), -100)
-    return x.select("conv_id", F.size("i").cast("long").alias("n"), F.size(F.filter("l", lambda v: v != -100)).cast("long").alias("learnt"), F.size(padded).cast("long").alias("padded"))
+    x = x.select("conv_id", F.size(i).cast("long").alias("n"), lab.alias("l"))
+    padded = F.size(pad(F.col("l"), F.lit(256), -100)).cast("long")
+    return x.select("conv_id", "n", F.size(F.filter("l", lambda v: v != -100)).cast("long").alias("learnt"), padded.alias("padded")).where("learnt > 0")
 
 
 QUERIES = {f.__name__: f for f in (spl01_split, gate06_disjoint, evl01_probes, evl02_scores, evl04_summary, evl03_judged, gate05_hedges, gate07_violations, gate13_verdict, trn01_masks)}
