@@ -216,3 +216,22 @@ def test_item_scores_match_brute_force(spark):
     first = {r.item_id: r.entry_id for r in top_matches(scored, "item_id", "entry_id", 1).collect()}
     assert first["a"] == "e1" and first["b"] == "e2"
     assert score_items(spark.createDataFrame([], kinds), spark.createDataFrame([], "entry_id string, title string, roman_text string, urdu_text string")).count() == 0
+
+
+def test_elements_go_on_in_pieces(spark, monkeypatch):
+    """A task holds no more than a piece of the elements of its pages, and loses none."""
+    rows, batches, most = (spark.sparkContext.accumulator(0) for _ in range(3))
+    make = R._element_batch
+
+    def watched(out, key):
+        rows.add(len(out))
+        batches.add(1)
+        most.add(int(len(out) > 5))
+        return make(out, key)
+
+    monkeypatch.setattr(R, "PIECE", 1000)
+    monkeypatch.setattr(R, "_element_batch", watched)
+    pages = spark.range(400).selectExpr("id AS page_id", "concat('<h1>t', id, '</h1>', repeat(concat('<p>', repeat('x', 200), '</p>'), 7)) AS html").coalesce(1)
+    got = R.html_elements(pages.union(spark.createDataFrame([(400, None), (401, "")], "page_id long, html string"))).collect()
+    assert len(got) == rows.value == 3200 and batches.value >= 640 and most.value == 0
+    assert sorted((r.page_id, r.pos) for r in got) == [(i, j) for i in range(400) for j in range(8)]

@@ -8,6 +8,7 @@ from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -160,6 +161,10 @@ def key_terms(text: Column) -> Column:
     return F.transform(told, term)
 
 
+#: Characters of elements that a task holds before they go on, and what an element counts besides its own.
+PIECE, ELEMENT = 1_000_000, 50
+
+
 class _Links(HTMLParser):
     """Links with their text, headings, and texts of elements that carry a data id (SRC11-SRC14)."""
 
@@ -187,19 +192,33 @@ class _Links(HTMLParser):
 
 
 def html_elements(pages: DataFrame, key: str = "page_id") -> DataFrame:
-    """key, pos, tag, ref, text for the links, headings and paragraphs of every page; a bad page gives none."""
+    """key, pos, tag, ref, text for the links, headings and paragraphs of every page; a bad page gives none.
 
-    def run(frames):
-        for f in frames:
-            out = []
-            for k, html in zip(f[key], f["html"]):
+    Pages are read one by one from Arrow, and their elements go on whenever they come to PIECE characters.
+    """
+
+    def run(batches):
+        for b in batches:
+            out, held = [], 0
+            for k, html in zip(b.column(0), b.column(1)):
                 p = _Links()
-                p.feed(html or "")
+                p.feed(html.as_py() or "")
                 p.close()
-                out += [(k, i, t, r, s) for i, (t, r, s) in enumerate(p.rows)]
-            yield pd.DataFrame(out, columns=[key, "pos", "tag", "ref", "text"])
+                for i, row in enumerate(p.rows):
+                    out.append((k.as_py(), i, *row))
+                    held += ELEMENT + len(row[1] or "") + len(row[2])
+                    if held >= PIECE:
+                        yield _element_batch(out, key)
+                        out, held = [], 0
+            if out:
+                yield _element_batch(out, key)
+
+    return pages.select(F.col(key).cast("long"), "html").mapInArrow(run, f"{key} long, pos int, tag string, ref string, text string")
+
 
-    return pages.select(key, "html").mapInPandas(run, f"{key} long, pos int, tag string, ref string, text string")
+def _element_batch(rows: list[tuple], key: str) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string())
+    return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], [key, "pos", "tag", "ref", "text"])
 
 
 def catalog(elements: DataFrame, key: str = "page_id") -> DataFrame:
