@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,21 +52,26 @@ def with_positions(df: DataFrame, name: str, *order: str) -> DataFrame:
     """df with `name`, each row's position from 0 in the order of the columns, without one task that sorts all.
 
     Only the columns of the order are dealt out by ranges and written (the ranges must not be drawn anew); a range's sums
-    go on from those before it, and the rows then meet their positions by these columns. Equal ones follow one another
-    by a hash of the row.
+    go on from those before it. The first position of equal ones then goes in front of their rows, which are shuffled
+    once, without the columns that nobody asks for, and follow one another by a hash of the row.
     """
-    own = [f"k{i}" for i in range(len(order))]
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), *[F.col(f"`{c}`").alias(k) for c, k in zip(order, own)])
+    mark = "_"
+    while any(c.startswith(mark) for c in df.columns):
+        mark += "_"
+    own, tie, first = [f"{mark}k{i}" for i in range(len(order))], f"{mark}tie", f"{mark}first"
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    hashed = F.xxhash64(*[c for c, (_, t) in zip(columns, df.dtypes) if "map<" not in t])
+    rows = df.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(order, own)], F.lit(None).cast("long").alias(first), hashed.alias(tie), *columns)
     keys = rows.groupBy(*own).agg(F.count("*").alias("c"))
     dealt = cut_lineage(keys.repartitionByRange(*own).withColumn("part", F.spark_partition_id()))
     here = dealt.withColumn("here", F.sum("c").over(Window.partitionBy("part").orderBy(*own)) - F.col("c"))
     sums = dealt.groupBy("part").agg(F.sum("c").alias("n"))  # one row for each range
     before = sums.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    first = here.join(F.broadcast(before), "part").select(*[F.col(k).alias(f"_{k}") for k in own], (F.col("before") + F.col("here") - 1).alias("first"))
-    same = reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in own])
-    tie = F.xxhash64(*[F.col("row")[c] for c, t in df.dtypes if "map<" not in t])
-    turn = F.row_number().over(Window.partitionBy(*own).orderBy(tie))
-    return rows.join(first, same).select("row.*", (F.col("first") + turn).alias(name))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    ahead = here.join(F.broadcast(before), "part").select(*own, (F.col("before") + F.col("here")).alias(first), F.lit(None).cast("long").alias(tie), *nothing)
+    turn = Window.partitionBy(*own).orderBy(F.col(first).isNull(), tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = rows.union(ahead).withColumn(f"{mark}n", F.first(first).over(turn) + F.row_number().over(turn) - 2)
+    return placed.where(F.col(first).isNull()).select(*columns, F.col(f"{mark}n").alias(name))
 
 
 def ordered_list(value: Column, *order: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,24 +41,28 @@ def kb_rows(df: DataFrame, kb_id: Column, kind: str, text: Column, poem_ids: Col
     return x.where(F.length(F.trim("text")) > 0)
 
 
-def examples(rows: DataFrame, family: str, question: Column, answer: Column, system: str) -> DataFrame:
-    """One example per row with both texts: question, answer and the three chat messages (GEN)."""
-    x = rows.withColumn("question", question).withColumn("answer", answer).where((F.length(F.trim("question")) > 0) & (F.length(F.trim("answer")) > 0))
+def examples(rows: DataFrame, *made: tuple[Column | int, Column | str, Column, Column]) -> DataFrame:
+    """part, id, family, question, answer, uncertain: an example for each row (id, uncertain) and each of (part, family,
+    question, answer) with both texts, in one pass over the rows (GEN)."""
+    column = lambda c: c if isinstance(c, Column) else F.lit(c)
+    each = [F.struct(*[column(c).alias(n) for c, n in zip(m, ("part", "family", "question", "answer"))]) for m in made]
+    x = rows.select("id", "uncertain", F.explode(F.array(*each)).alias("e")).select("e.*", "id", "uncertain")
+    return x.where((F.length(F.trim("question")) > 0) & (F.length(F.trim("answer")) > 0))
+
+
+def with_messages(rows: DataFrame, system: str) -> DataFrame:
+    """Examples with their three chat messages; made after numbering, as they repeat question and answer."""
     message = lambda role, c: F.struct(F.lit(role).alias("role"), c.alias("content"))
-    return x.withColumn("family", F.lit(family)).withColumn("messages", F.array(message("system", F.lit(system)), message("user", F.col("question")), message("assistant", F.col("answer"))))
+    return rows.withColumn("messages", F.array(message("system", F.lit(system)), message("user", F.col("question")), message("assistant", F.col("answer"))))
 
 
 def numbered(parts: list[DataFrame], *order: str) -> DataFrame:
-    """The union of the parts in their order with global ids ex_{family}_{position}: only rows that were kept count.
+    """The union of examples with global ids ex_{family}_{position} in the order of `part` and the columns: only rows that were kept count.
 
     Positions are counted over ranges of (part, order), so no task sorts all.
     """
-    x = None
-    for i, p in enumerate(parts):
-        p = p.withColumn("_part", F.lit(i))
-        x = p if x is None else x.unionByName(p, allowMissingColumns=True)
-    x = with_positions(x, "_n", "_part", *order)
-    return x.withColumn("seq", F.col("_n") + 1).withColumn("id", F.format_string("ex_%s_%06d", "family", "seq")).drop("_part", "_n")
+    x = with_positions(reduce(DataFrame.unionByName, parts), "_n", "part", *order)
+    return x.withColumn("seq", F.col("_n") + 1).withColumn("id", F.format_string("ex_%s_%06d", "family", "seq")).drop("part", "_n")
 
 
 # Fixed value: what an answer from uncertain records ends with.
@@ -69,26 +75,30 @@ def build_examples(poems: DataFrame, records: DataFrame) -> DataFrame:
     knowledge-base records (kb_id, kind, text, titles): GEN02-GEN10 and the honesty family."""
     note = HEDGE_NOTE
     h = lambda c: F.when(F.trim(c) != "", T.hedged(c, F.col("uncertain"), note)).otherwise("")
-    first = T.first_line(F.col("original"))
-    kind = lambda k: records.where(F.col("kind") == k).withColumn("uncertain", F.lit(k == "biographical_claim"))
-    p = poems
-    return numbered(
-        [
-            examples(p, "translation", F.concat(F.lit("Translate:\n"), "original"), h(F.col("translation")), SYSTEM),
-            examples(p, "transliteration", F.concat(F.lit("Transliterate:\n"), "original"), h(F.col("transliteration")), SYSTEM),
-            examples(p.where("trim(transliteration) <> ''"), "transliteration", F.concat(F.lit("Give the original of:\n"), "transliteration"), h(F.col("original")), SYSTEM),
-            examples(p, "tashreeh", F.concat(F.lit("Explain:\n"), "original"), h(F.col("note")), SYSTEM),
-            examples(p, "identification", F.concat(F.lit("Which work begins: "), first), h(F.col("title")), SYSTEM),
-            examples(p, "identification", F.concat(F.lit("How does this work begin: "), "title"), h(first), SYSTEM),
-            examples(kind("term").withColumnRenamed("kb_id", "id"), "term", F.concat(F.lit("What does this term mean: "), T.before_stop(F.col("text"))), h(F.col("text")), SYSTEM),
-            examples(kind("theme").withColumnRenamed("kb_id", "id"), "theme", F.concat(F.lit("Which works share the theme "), T.before_stop(F.col("text"))), h(F.array_join("titles", "; ")), SYSTEM),
-            examples(kind("biographical_claim").withColumnRenamed("kb_id", "id"), "biography", F.concat(F.lit("What is said of: "), T.body_after_dates(F.col("text"))), h(F.col("text")), SYSTEM),
-            examples(kind("event").withColumnRenamed("kb_id", "id"), "biography", F.concat(F.lit("When: "), T.body_after_dates(F.col("text"))), h(F.col("text")), SYSTEM),
-            examples(kind("cluster_relation").withColumnRenamed("kb_id", "id"), "variant_awareness", F.concat(F.lit("Is this one work: "), F.array_join("titles", "; ")), h(F.col("text")), SYSTEM),
-            examples(p, "honesty", F.concat(F.lit("What does the corpus say of the year 2050 in "), "title"), F.lit("The corpus does not contain an answer to that."), SYSTEM),
-        ],
-        "id",
-    ).select("seq", "id", "family", "question", "answer", "messages", "uncertain")
+    poems = poems.withColumn("first", T.first_line(F.col("original")))
+    say = lambda text, c: F.concat(F.lit(text), c)
+    of_poems = examples(
+        poems,
+        (0, "translation", say("Translate:\n", F.col("original")), h(F.col("translation"))),
+        (1, "transliteration", say("Transliterate:\n", F.col("original")), h(F.col("transliteration"))),
+        (2, "transliteration", F.when(F.trim("transliteration") != "", say("Give the original of:\n", F.col("transliteration"))), h(F.col("original"))),
+        (3, "tashreeh", say("Explain:\n", F.col("original")), h(F.col("note"))),
+        (4, "identification", say("Which work begins: ", F.col("first")), h(F.col("title"))),
+        (5, "identification", say("How does this work begin: ", F.col("title")), h(F.col("first"))),
+        (11, "honesty", say("What does the corpus say of the year 2050 in ", F.col("title")), F.lit("The corpus does not contain an answer to that.")),
+    )
+    text, titles = F.col("text"), F.array_join("titles", "; ")
+    kinds = {
+        "term": (6, "term", say("What does this term mean: ", T.before_stop(text)), text),
+        "theme": (7, "theme", say("Which works share the theme ", T.before_stop(text)), titles),
+        "biographical_claim": (8, "biography", say("What is said of: ", T.body_after_dates(text)), text),
+        "event": (9, "biography", say("When: ", T.body_after_dates(text)), text),
+        "cluster_relation": (10, "variant_awareness", say("Is this one work: ", titles), text),
+    }
+    its = [reduce(lambda done, k: F.when(F.col("kind") == k, kinds[k][i] if isinstance(kinds[k][i], Column) else F.lit(kinds[k][i])).otherwise(done), kinds, F.lit(None)) for i in range(4)]
+    of_records = examples(records.select(F.col("kb_id").alias("id"), (F.col("kind") == "biographical_claim").alias("uncertain"), "kind", "text", "titles"), (*its[:3], h(its[3])))
+    x = numbered([of_poems, of_records], "id")
+    return with_messages(x, SYSTEM).select("seq", "id", "family", "question", "answer", "messages", "uncertain")
 
 
 # --- queries ---------------------------------------------------------------------------------------------------
