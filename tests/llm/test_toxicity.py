@@ -4,7 +4,7 @@ import zlib
 
 import numpy as np
 
-from varqa.llm.toxicity import LabelModel, choose_voters, fit_linear, reject_toxic, score_toxicity, train_toxicity
+from varqa.llm.toxicity import LabelModel, choose_voters, fit_linear, reject_toxic, score_toxicity, train_toxicity, vote_matrix
 
 
 def test_held_out_accuracy(spark):
@@ -98,3 +98,20 @@ def test_shipped_setting_on_held_out_rows(spark):
     n = (y == 1).sum()
     auc = (rank[y == 1].sum() - n * (n - 1) / 2) / (n * (y == 0).sum())
     assert auc >= 0.967 and np.mean(x[y == 1] >= 0.5) >= 0.92 and np.mean(x[y == 0] >= 0.5) <= 0.015
+
+
+def test_a_lone_voter_of_a_small_group_is_not_explained_away():
+    """Toxic rows are mostly of a group with ten voters; two small groups have one voter each, clean rows are silent."""
+    rng, n = np.random.default_rng(2), 6000
+    y = rng.random(n) < 0.1
+    group = rng.choice(3, n, p=(0.6, 0.2, 0.2))
+    own = [y & (group == 0) & (rng.random(n) < 0.6) for _ in range(10)] + [y & (group == g) for g in (1, 2)]
+    counts = np.stack(own, 1) * rng.choice([1, 3, 9], (n, 12))
+    votes = vote_matrix(counts, np.full(n, 300))[:, :36]  # those of counts alone
+    q = LabelModel(votes, y.mean()).posterior(votes)
+    assert all(np.mean(q[y & (group == g)] >= 0.5) > 0.95 for g in range(3)) and np.mean(q[~y] >= 0.5) < 0.01
+
+
+def test_votes_of_counts_and_shares():
+    got = vote_matrix(np.array([[0, 0], [1, 0], [3, 4]]), np.array([50, 1000, 100]))
+    assert [np.flatnonzero(r).tolist() for r in got] == [[], [0], [2, 5, 10]]  # 0.1 in a hundred is no vote, 7 the last

@@ -1,10 +1,11 @@
 """Toxicity by weak supervision.
 
 Voters are words (lexicon) and word beginnings (patterns) that labelled toxic documents hold oftener than labelled
-clean ones, each at several counts. A generative label model with a latent label estimates, from the votes alone, every
-voter's firing rates in either class and the voters' correlations within a class; a voter that follows another adds
-little. Labels choose the voters, and give the share of the class and the weights that estimation begins with; no row's
-own label enters its posterior. The posterior labels train a linear classifier, which scores every document.
+clean ones, each at several counts, and the share of all such words in a text. A generative label model with a latent
+label estimates, from the votes alone, every voter's firing rates in either class and the voters' correlations within a
+class; a voter that follows another adds little. Labels choose the voters, and give the share of the class and the
+weights that estimation begins with; no row's own label enters its posterior. The posterior labels train a linear
+classifier, which scores every document.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from .common import doc_crc, filter_batches, materialize, sized_broadcast, texts
 TRAIN_ROWS, VOTERS = 12_000, 160
 PREFIXES = range(3, 10)
 COUNTS = (1, 2, 4)
+#: Voters' words in a hundred words from which a text's share of them is another vote.
+SHARES = (0.2, 0.5, 1, 2, 4)
 #: Least likelihood ratio statistic of a voter: about what the best of a million chance candidates reaches.
 TELLING = 30
 #: Correlation within a class from which voters can hang on one another.
@@ -80,6 +83,13 @@ def features(found: dict[int, int], words: int, voters: int) -> np.ndarray:
     return x
 
 
+def vote_matrix(n: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """n: [text, voter] counts of words. One vote for each voter and range of counts, and for each range of shares."""
+    share = 100.0 * n.sum(1, keepdims=True) / np.maximum(words, 20)[:, None]
+    ranges = [(x >= lo) & (x < hi) for x, cuts in ((n, COUNTS), (share, SHARES)) for lo, hi in zip(cuts, (*cuts[1:], np.inf))]
+    return np.concatenate(ranges, 1).astype(float)
+
+
 def _odds(rows: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[str, float]:
     return {b: log((t + 0.5) / (toxic + 1)) - log((c + 0.5) / (clean + 1)) for b, t, c in rows}
 
@@ -119,9 +129,11 @@ class LabelModel:
     class (`rate`: its accuracies), its rates given its parent (`given`), and the voters' correlations within a class
     (`correlation`; two voters of less than RELATED don't hang on one another): a copy of its parent adds nothing. The
     prior share of the label is given. With `abstain`, for voters that don't apply to every row (words of one language),
-    a voter that doesn't fire says nothing, and that none fires is a vote of its own; else not firing counts as firing
-    does. Estimation begins with each voter standing for the label, rarer ones for more, and these first posteriors keep a share `anchor` in all
-    later ones' estimates: a single independent voter tells no classes apart.
+    a voter that doesn't fire says nothing, neither of the label nor of the voters that hang on it (a row that isn't
+    silent is hardly ever clean, so that would explain their votes away), and that none fires is a vote of its own; else
+    not firing counts as firing does. Estimation begins with each voter standing for the label, rarer ones for more, and
+    these first posteriors keep a share `anchor` in all later ones' estimates: a single independent voter tells no
+    classes apart.
     """
 
     def __init__(self, votes: np.ndarray, prior: float, rounds: int = 10, abstain: bool = True, anchor: float = 0.5):
@@ -171,7 +183,8 @@ class LabelModel:
         for k in (0, 1):
             fired, prior = one[k][pa], self.rate[k][has]
             self.given[k, 1, has] = (both[k][has, pa] + 2 * prior) / (fired + 2)
-            self.given[k, 0, has] = (one[k][has] - both[k][has, pa] + 2 * prior) / (total[k] - 1 - fired + 2)
+            if not self.abstain:
+                self.given[k, 0, has] = (one[k][has] - both[k][has, pa] + 2 * prior) / (total[k] - 1 - fired + 2)
 
     @staticmethod
     def _tree(gain: np.ndarray, least: float) -> np.ndarray:
@@ -274,7 +287,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -
     n = np.zeros((len(cast), len(names)))
     for k, r in enumerate(cast):
         n[k, list(r[1])] = r[2]
-    votes = np.concatenate([(n >= lo) & (n < hi) for lo, hi in zip(COUNTS, (*COUNTS[1:], np.inf))], 1).astype(float)
+    votes = vote_matrix(n, np.array([r[3] for r in cast]))
     q = LabelModel(votes, y.mean()).posterior(votes)
     x = np.stack([features(dict(zip(r[1], r[2])), r[3], len(names)) for r in cast])
     return ToxicityModel(names, fit_linear(x, q))
