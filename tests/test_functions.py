@@ -71,3 +71,32 @@ def test_similarity_is_difflibs(a, b):
 def test_udfs_keep_nulls(spark):
     df = spark.createDataFrame([("Élan",), (None,)], "t string").select(keys.slugify_udf("t").alias("s"))
     assert [r.s for r in df.collect()] == ["elan", None]
+
+
+def test_letters_make_the_keys_of_the_functions():
+    import random
+    import re
+
+    from varqa.functions import keys as K
+
+    r = random.Random(4)
+    pools = ["aaeeoo AE-'\n\r \x85\x0bß", "اآأيىكۀةہےوؤئٕٔٓـ \n", "éñßœŒǅﬁ①ﾞｶﾊﾟ가각ᅡᆨᄀୋ", "".join(map(chr, [*range(0x20, 0x2FF), *range(0x300, 0x370), *range(0x600, 0x700), *range(0x1F600, 0x1F620)]))]
+    breaks = re.compile("\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85  ]")
+    for name, key in (("latin_key", K.latin_key), ("arabic_key", K.arabic_key)):
+        for _ in range(400):
+            pool = r.choice([*pools, "".join(pools)])
+            texts = [r.choice([None, "", "".join(r.choice(pool) for _ in range(r.randint(0, 40)))]) for _ in range(r.randint(0, 6))]
+            for lines in (True, False):
+                code, size, of = K.LETTERS[name].keys(texts, lines)
+                held = code.tobytes().decode("utf-32-le")
+                ends = size.cumsum().tolist()
+                got = [(i, held[e - n : e]) for i, e, n in zip(of.tolist(), ends, size.tolist())]
+                assert sorted(got) == sorted((i, k) for i, t in enumerate(texts) for x in (breaks.split(t or "") if lines else [t or ""]) if (k := key(x)))
+
+
+def test_no_key_has_what_normalisation_reorders():
+    import unicodedata
+
+    from varqa.functions import keys as K
+
+    assert not any(chr(c).translate(K._LATIN) for c in range(0x110000) if unicodedata.combining(chr(c)))

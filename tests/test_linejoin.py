@@ -72,3 +72,38 @@ def test_a_small_side_is_held_and_large_sides_are_joined(spark, monkeypatch):
         monkeypatch.setattr(L, "HELD", held)
         got = similar_keys(df(mine, "lk"), df(theirs, "rk"), 0.9).collect()
         assert {(g.lk, g.rk) for g in got} == want and len(got) == len(want)
+
+
+def test_repeated_keys_of_a_small_side_count_once(spark, monkeypatch):
+    from varqa.operators import linejoin as L
+
+    monkeypatch.setattr(L, "HELD", 5)
+    df = spark.createDataFrame([("r", k) for k in ["abcdefgh", "bcdefghi", "", "cdefghij"] * 6], "script string, lk string")
+    assert L.held_keys(df, "lk", 0.9) == {"r": ["abcdefgh", "bcdefghi", "cdefghij"]}
+    assert L.held_keys(df, "lk", 0.0) is None and L.held_keys(df.unionByName(spark.range(9).selectExpr("'r' script", "repeat('x', id) lk")), "lk", 0.9) is None
+
+
+@pytest.mark.parametrize("least", [0.75, 0.8, 0.85, 0.9, 1.0])
+@pytest.mark.parametrize("small", [False, True])
+def test_keys_like_lose_no_pair(spark, monkeypatch, least, small):
+    from varqa.functions.keys import arabic_key, latin_key
+    from varqa.operators import linejoin as L
+
+    if small:  # every key is a slice and a block of its own, and hashes meet
+        for name, n in (("CHARS", 1), ("CELLS", 1), ("PAIRS", 1), ("SLOTS", 16), ("BUCKETS", 3)):
+            monkeypatch.setattr(L, name, n)
+    r = random.Random(int(least * 100))
+    held = {"r": sorted({k for k in map(latin_key, words(r, 60, "abcdefgh")) if k}), "u": sorted({k for k in map(arabic_key, words(r, 40, "ابتثجح")) if k})}
+    near = {s: [edited(r, r.choice(k), "xyz" if s == "r" else "زس") for _ in range(60)] for s, k in held.items()}
+    text = lambda s, letters: "\n".join(r.choice([*near[s], "", " ", *words(r, 3, letters)]) for _ in range(4))
+    rows = [(i, r.choice([None, "", text("r", "mnopqrst")]), r.choice([None, text("u", "شصضطظع")])) for i in range(40)]
+    df = spark.createDataFrame(rows, "id long, a string, b string").coalesce(2)
+    parts = [("title", "r", "a", "latin_key", False), ("lines", "r", "a", "latin_key", True), ("lines", "u", "b", "arabic_key", True)]
+    mine = [(i, part, s, key(x)) for i, a, b in rows for part, s, t, key in (("title", "r", [a or ""], latin_key), ("lines", "r", (a or "").split("\n"), latin_key), ("lines", "u", (b or "").split("\n"), arabic_key)) for x in t]
+    mine = [x for x in mine if x[3]]
+    want = [x for x in mine if any(similarity(h, x[3]) >= least or similarity(x[3], h) >= least for h in held[x[2]])]
+    got = [tuple(x) for x in L.keys_like(df, "id", parts, held, least).collect()]
+    left = list(mine)
+    for x in got:
+        left.remove(x)  # each is a key of a text, and comes once for each time it stands there
+    assert want and not any(x in left for x in want)

@@ -1,11 +1,13 @@
-"""Comparison keys that need Unicode tables or state: Arrow-batched pandas UDFs over plain Python functions."""
+"""Comparison keys that need Unicode tables or state: Arrow-batched pandas UDFs over plain Python functions, and tables for many texts at once."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column
@@ -108,6 +110,95 @@ def devanagari_key(text: str) -> str:
     return latin_key(devanagari_to_latin(text))
 
 
+#: What ends a line, as in `text.LINE_BREAK`; no key has any of it.
+_BREAKS = "\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029"
+_BREAK, _HARD, _MANY, _NEW = -1, -2, -3, -4
+
+
+class Letters:
+    """Keys of many texts at once, as code points: a table has what each character adds to a key, filled as they occur.
+
+    Lines with a character for which `each` is None (it may combine with what stands before it) go to the function itself.
+    """
+
+    def __init__(self, key: Callable[[str], str], each: Callable[[str], str | None], fold: Callable[[np.ndarray], np.ndarray] = lambda x: x):
+        self.key, self.each, self.fold = key, each, fold
+        self.table: np.ndarray | None = None
+        self.many: dict[int, list[int]] = {}
+
+    def _looked_up(self, raw: np.ndarray) -> np.ndarray:
+        if self.table is None:
+            self.table = np.full(0x110000, _NEW, np.int32)
+            self.table[[ord(c) for c in _BREAKS]] = _BREAK
+        out = self.table[raw]
+        if (new := out == _NEW).any():
+            for c in np.unique(raw[new]).tolist():
+                said = self.each(chr(c))
+                self.table[c] = _HARD if said is None else 0 if not said else ord(said) if len(said) == 1 else _MANY
+                if said and len(said) > 1:
+                    self.many[c] = [ord(x) for x in said]
+            out = self.table[raw]
+        return out
+
+    def keys(self, texts: list[str | None], lines: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The non-empty keys of the texts, or of each of their lines: code points of all, each key's size and text."""
+        size = np.array([len(t or "") + 1 for t in texts], np.int64)
+        raw = np.frombuffer("".join([(t or "") + "\n" for t in texts]).encode("utf-32-le", "surrogatepass"), "<u4")
+        out, ends = self._looked_up(raw), np.cumsum(size) - 1
+        if not lines:
+            out[out == _BREAK] = 0
+            out[ends] = _BREAK
+        breaks = np.flatnonzero(out == _BREAK)
+        of, own = np.searchsorted(ends, breaks), []
+        for i in np.unique(np.searchsorted(breaks, np.flatnonzero(out == _HARD))).tolist():
+            here = slice(breaks[i - 1] + 1 if i else 0, breaks[i])
+            own.append((self.key(raw[here].tobytes().decode("utf-32-le", "surrogatepass")), of[i]))
+            out[here] = 0
+        if len(at := np.flatnonzero(out == _MANY)):
+            said = [self.many[c] for c in raw[at].tolist()]
+            out[at] = [x[0] for x in said]
+            out = np.insert(out, np.repeat(at + 1, [len(x) - 1 for x in said]), [c for x in said for c in x[1:]])
+        out = self.fold(out[out != 0])
+        size = np.diff(np.flatnonzero(out == _BREAK), prepend=-1) - 1
+        own = [(k, i) for k, i in own if k]
+        code = np.concatenate((out[out != _BREAK].astype(np.uint32), np.frombuffer("".join(k for k, _ in own).encode("utf-32-le", "surrogatepass"), "<u4")))
+        return code, np.concatenate((size[size > 0], np.array([len(k) for k, _ in own], np.int64))), np.concatenate((of[size > 0], np.array([i for _, i in own], np.int64)))
+
+
+def _fold_doubles(code: np.ndarray) -> np.ndarray:
+    """A run of a is one a, two e are an i, two o a u, as in latin_key."""
+    twice = np.flatnonzero(code[1:] == code[:-1])
+    a = twice[code[twice] == ord("a")] + 1
+    for letter, one in (("e", "i"), ("o", "u")):
+        at = twice[code[twice] == ord(letter)]
+        turn = np.arange(len(at))
+        at = at[(turn - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, turn, 0))) % 2 == 0]
+        code[at], code[at + 1] = ord(one), 0
+    code[a] = 0
+    return code[code != 0]
+
+
+def _latin_each(c: str) -> str:
+    # What the decomposition puts into another order are marks, and no key has marks.
+    return unicodedata.normalize("NFKD", c).translate(_LATIN)
+
+
+_seconds: set[str] = set()
+
+
+def _arabic_each(c: str) -> str | None:
+    if not _seconds:  # what may be composed with a character before it
+        pairs = [unicodedata.decomposition(chr(x)).split() for x in range(0x110000)]
+        _seconds.update(chr(int(p[1], 16)) for p in pairs if len(p) == 2 and not p[0].startswith("<"))
+        _seconds.update(map(chr, (*range(0x1161, 0x1176), *range(0x11A8, 0x11C3))))
+    first = unicodedata.normalize("NFKD", c)[0]
+    return None if unicodedata.combining(first) or first in _seconds else arabic_key(c)
+
+
+#: By the name of the key function.
+LETTERS = {"latin_key": Letters(latin_key, _latin_each, _fold_doubles), "arabic_key": Letters(arabic_key, _arabic_each)}
+
+
 _STYLE = dict(STYLE_PAIRS)
 # Small doubled vowels go first, then those that begin with a capital, then capitals.
 _STYLED = [regex.compile("|".join(x for x in _STYLE if shape(x))) for shape in (str.islower, str.istitle, str.isupper)]

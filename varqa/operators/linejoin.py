@@ -16,9 +16,11 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import keys as line_keys
 from ..functions.keys import similarity_udf
 from .common import cut_lineage, sized_broadcast
 
@@ -27,7 +29,11 @@ COUNTED, GROWTH = 50_000, 0.1
 #: Common grams asked of a pair: for each one more than one, a gram more of both keys is looked at.
 COMMON = 40
 #: Keys and characters of a side up to which it is held in every task; cells of a block of counts.
-HELD, HELD_CHARS, CELLS = 4_000, 1_000_000, 8_000_000
+HELD, HELD_CHARS, CELLS = 4_000, 1_000_000, 4_000_000
+#: Rows for each held key up to which a side's different keys are counted; hashes of grams; lengths of a band, as a power of this.
+REPEATED, SLOTS, BAND = 50, 1 << 20, 1.1
+#: Characters of texts that are keyed at once; pairs whose characters are compared at once, in so many buckets.
+CHARS, PAIRS, BUCKETS = 1_000_000, 50_000, 64
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -166,64 +172,117 @@ def allowed_lengths(keys: DataFrame, key: str, least: float) -> Callable[[str, s
     return allowed
 
 
+def _codes(keys: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(keys).encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _starts(size: np.ndarray) -> np.ndarray:
+    return np.cumsum(size) - size
+
+
+def _buckets(code: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each key, how many of its characters are in each of BUCKETS buckets."""
+    of = np.repeat(np.arange(len(size)), size)
+    return np.bincount(of * BUCKETS + code % BUCKETS, minlength=len(size) * BUCKETS).reshape(len(size), BUCKETS)
+
+
 class _Held:
-    """The q-grams of a script's held keys: which keys have each."""
+    """The q-grams of a script's held keys: which keys have each.
+
+    Grams are told apart by SLOTS slots of a hash only: a slot that two share makes a pair look more alike, never less. Keys
+    of about one length meet only the held ones whose lengths allow t, through an index of these.
+    """
 
     def __init__(self, keys: list[str], q: int, t: float):
-        self.keys, self.q, self.t = keys, q, t
-        self.size = np.array([len(k) for k in keys], np.int64)
+        self.keys, self.q, self.t = sorted(keys, key=lambda k: (len(k), k)), q, t
+        self.size = np.array([len(k) for k in self.keys], np.int64)
         self.shared = shared_grams(self.size, q, t)
-        h, of = grams(keys, q)
-        pair = np.unique(np.stack((h, of.astype(np.uint64)), axis=1), axis=0)
-        self.gram, at, count = np.unique(pair[:, 0], return_index=True, return_counts=True)
-        self.at, self.count, self.of = np.append(at, 0), np.append(count, 0), pair[:, 1].astype(np.int64)
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[(self.gram >> np.uint64(44)).astype(np.int64)] = True
-
-    def blocks(self, keys: list[str]) -> Iterator[tuple[int, int]]:
-        """Runs of keys whose counts take CELLS at most, whatever their grams are; one key at least."""
-        lo, chars, most = 0, 0, max(1, CELLS // max(len(self.keys), 1))
-        for i, k in enumerate(keys):
-            if i > lo and (chars := chars + len(k)) > most:
-                yield lo, i
-                lo, chars = i, 0
-            if i == lo:
-                chars = len(k)
-        if keys:
-            yield lo, len(keys)
-
-    def alike(self, keys: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Places (of keys, of held ones) of the pairs whose lengths and grams allow t.
+        self.letters = _buckets(_codes(self.keys), self.size)
+        slot, of = self._slots(_codes(self.keys), self.size)
+        pair = np.unique(slot.astype(np.int64) * len(keys) + of)
+        held, slot_of = np.unique(pair // max(len(keys), 1), return_inverse=True)
+        self.n, self.slot = len(held), np.full(SLOTS, len(held), np.int32)  # the n-th is of no held key
+        self.slot[held] = np.arange(len(held))
+        self.pair_slot, self.pair_key, self.bands = slot_of, pair % max(len(keys), 1), {}
+
+    def _slots(self, code: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The slot of each q-gram and the key it is of."""
+        gram, c = np.zeros(len(code), np.uint64), code.astype(np.uint64)
+        for i in range(self.q):
+            gram[: max(len(c) - i, 0)] = gram[: max(len(c) - i, 0)] * np.uint64(1 << 16 | 1) + c[i:]
+        of = np.repeat(np.arange(len(size)), size)
+        whole = np.repeat(np.cumsum(size) - self.q, size) >= np.arange(len(code))
+        return (gram[whole] * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int32), of[whole]
+
+    def _band(self, n: int) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+        """For keys of n's band of lengths: the held keys between two places, where each slot's begin, how many, and all of them."""
+        if n not in self.bands:
+            lo, hi = BAND**n * self.t / (2 - self.t) * (1 - 1e-9), BAND ** (n + 1) * (2 - self.t) / self.t * (1 + 1e-9)
+            first, last = int(np.searchsorted(self.size, lo)), int(np.searchsorted(self.size, hi, "right"))
+            here = (self.pair_key >= first) & (self.pair_key < last)
+            count = np.bincount(self.pair_slot[here], minlength=self.n + 1)
+            self.bands[n] = first, last, _starts(count), count, self.pair_key[here] - first
+        return self.bands[n]
+
+    def alike(self, code: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places (of keys, of held ones) of the pairs whose lengths, grams and characters allow t; the keys as code points, one after the other.
 
         A key's grams that the held key has too, repeats counted, are at least as many as both have in common.
         """
-        for lo, hi in self.blocks(keys):
-            size = np.array([len(k) for k in keys[lo:hi]], np.int64)
-            h, of = grams(keys[lo:hi], self.q)
-            kept = self.seen[(h >> np.uint64(44)).astype(np.int64)]
-            h, of = h[kept], of[kept]
-            at = np.searchsorted(self.gram, h)
-            at = np.where(np.append(self.gram, np.uint64(0))[at] == h, at, len(self.gram))
-            count = self.count[at]
-            first = np.repeat(self.at[at] - (np.cumsum(count) - count), count)
-            cell = np.repeat(of * len(self.keys), count) + self.of[first + np.arange(len(first))]
-            c = np.bincount(cell, minlength=len(size) * len(self.keys)).reshape(len(size), len(self.keys))
-            n, m = size[:, None], self.size[None, :]
-            ok = (c >= np.maximum(shared_grams(size, self.q, self.t)[:, None], self.shared[None, :])) & (2.0 * np.minimum(n, m) >= self.t * (n + m) - 1e-9)
-            i, j = np.nonzero(ok)
-            yield i + lo, j
+        order = np.argsort(size, kind="stable")
+        order = order[size[order] > 0]
+        start, size = _starts(size)[order], size[order]
+        band, ends = np.floor(np.log(size) / np.log(BAND)).astype(np.int64), np.cumsum(size)
+        lo = 0
+        while lo < len(size):
+            first, last, at, count, held = self._band(int(band[lo]))
+            # Keys of a band whose counts take CELLS at most, whatever their grams are; one key at least.
+            hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CELLS // max(last - first, 1), "right"))
+            hi = min(max(hi, lo + 1), int(np.searchsorted(band, band[lo], "right")))
+            if last > first:
+                n = size[lo:hi]
+                mine = code[np.repeat(start[lo:hi] - _starts(n), n) + np.arange(n.sum())]
+                slot, of = self._slots(mine, n)
+                slot = self.slot[slot]
+                times, width = count[slot], last - first
+                cell = np.repeat(of * width, times) + held[np.repeat(at[slot] - _starts(times), times) + np.arange(times.sum())]
+                c = np.bincount(cell, minlength=len(n) * width).reshape(len(n), width)
+                a, b = n[:, None], self.size[None, first:last]
+                ok = (c >= np.maximum(shared_grams(n, self.q, self.t)[:, None], self.shared[None, first:last])) & (2.0 * np.minimum(a, b) >= self.t * (a + b) - 1e-9)
+                i, j = np.nonzero(ok)
+                for p in range(0, len(i), PAIRS):
+                    yield self._by_characters(mine, n, order[lo:hi], i[p : p + PAIRS], first + j[p : p + PAIRS])
+            lo = hi
+
+    def _by_characters(self, code: np.ndarray, size: np.ndarray, place: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs that have as many characters in common as t asks; those that share a bucket count as one, never as fewer."""
+        some, at = np.unique(i, return_inverse=True)
+        n = size[some]
+        here = code[np.repeat(_starts(size)[some] - _starts(n), n) + np.arange(n.sum())]
+        both = np.minimum(_buckets(here, n)[at], self.letters[j]).sum(axis=1)
+        ok = 2.0 * both >= self.t * (size[i] + self.size[j]) - 1e-9
+        return place[i[ok]], j[ok]
 
 
 def _held_keys(df: DataFrame, key: str) -> dict[str, list[str]] | None:
-    """script -> its different keys, if the side has few rows, else None."""
-    if len(df.select(F.lit(1)).take(HELD + 1)) > HELD:
+    """script -> its different keys, if the side has few, else None; sides of very many rows aren't looked through for them."""
+    df = df.select("script", key).where(f"{key} <> ''")
+    if df.limit(REPEATED * HELD + 1).count() > REPEATED * HELD:
+        return None
+    df = df.distinct()
+    if df.limit(HELD + 1).count() > HELD:
         return None
     found: dict[str, list[str]] = {}
-    for r in df.select("script", key).where(f"{key} <> ''").distinct().orderBy("script", key).toLocalIterator():
+    for r in df.orderBy("script", key).toLocalIterator():
         found.setdefault(r[0], []).append(r[1])
     return found if sum(len(k) for v in found.values() for k in v) <= HELD_CHARS else None
 
 
+def held_keys(df: DataFrame, key: str, least: float) -> dict[str, list[str]] | None:
+    """What `keys_like` takes of a side (script, key): its different keys, or None where it has too many or `least` is too low for grams."""
+    return _held_keys(df, key) if least > 0 and gram_size(least) > 1 else None
+
+
 def _met_held(df: DataFrame, key: str, held: dict[str, list[str]], other: str, t: float) -> DataFrame:
     """script, lk, rk: pairs of df's keys with the held ones that lengths and grams allow, each once."""
     q = gram_size(t)
@@ -234,13 +293,43 @@ def _met_held(df: DataFrame, key: str, held: dict[str, list[str]], other: str, t
             scripts = np.array(b.column(0).to_pylist(), object)
             for s, x in index.items():
                 mine = b.column(1).take(pa.array(np.flatnonzero(scripts == s), pa.int64())).to_pylist()
-                for i, j in x.alike(mine):
+                for i, j in x.alike(_codes(mine), np.array([len(k) for k in mine], np.int64)):
                     if len(i):
                         yield pa.record_batch([pa.array([s] * len(i), pa.string()), pa.array([mine[k] for k in i], pa.string()), pa.array([x.keys[k] for k in j], pa.string())], ["script", key, other])
 
     return df.mapInArrow(run, f"script string, {key} string, {other} string").distinct().select("script", "lk", "rk")
 
 
+def keys_like(df: DataFrame, key: str, parts: list[tuple[str, str, str, str, bool]], held: dict[str, list[str]], least: float) -> DataFrame:
+    """key, part, script, k: the keys of df's texts whose lengths and grams let them reach `least` with a held key of their script.
+
+    parts: part, script, column, key function by its name in `LETTERS`, and whether each line has a key of its own or the text has one.
+    The others can't be in any pair of `similar_keys` with the held ones; they are never strings, nor written.
+    """
+    q = gram_size(least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = {s: _Held(keys, q, least) for s, keys in held.items()}
+        for b in batches:
+            for i, (part, script, _, name, lines) in enumerate(parts):
+                if script not in index:
+                    continue
+                chars = np.cumsum(pc.utf8_length(b.column(i + 1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+                lo = 0
+                while lo < b.num_rows:
+                    hi = max(lo + 1, int(np.searchsorted(chars, (chars[lo - 1] if lo else 0) + CHARS, "right")))
+                    code, size, of = line_keys.LETTERS[name].keys(b.column(i + 1).slice(lo, hi - lo).to_pylist(), lines)
+                    found = np.unique(np.concatenate([np.zeros(0, np.int64), *(at for at, _ in index[script].alike(code, size))]))
+                    if len(found):
+                        ends = np.cumsum(size)
+                        k = [code[ends[j] - size[j] : ends[j]].tobytes().decode("utf-32-le", "surrogatepass") for j in found]
+                        yield pa.record_batch([b.column(0).take(pa.array(of[found] + lo)), pa.array([part] * len(k), pa.string()), pa.array([script] * len(k), pa.string()), pa.array(k, pa.string())], [key, "part", "script", "k"])
+                    lo = hi
+
+    texts = df.select(key, *[F.col(column).alias(f"t{i}") for i, (_, _, column, _, _) in enumerate(parts)])
+    return texts.mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, part string, script string, k string")
+
+
 def similar_keys(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
     """script, lk, rk, score: all pairs of non-empty keys of one script with a ratio of at least `least` (over 0 if that is 0).
 
@@ -252,7 +341,8 @@ def similar_keys(left: DataFrame, right: DataFrame, least: float) -> DataFrame:
             held = _held_keys(small, key)
             if held is not None:
                 large = large.where(allowed_lengths(small, key, least)("script", own)) if held else large.where("false")
-                return _scored(_letters_allow(_met_held(large.select("script", own), own, held, key, least), least), least)
+                # Written, as Spark would push the comparison below `distinct` and make it for each repeated pair.
+                return _scored(cut_lineage(_met_held(large.select("script", own), own, held, key, least)), least)
         left = left.where(allowed_lengths(right, "rk", least)("script", "lk"))
         right = right.where(allowed_lengths(left, "lk", least)("script", "rk"))
     left, right = (cut_lineage(x.distinct()) for x in (left, right))

@@ -15,7 +15,7 @@ from ..functions import text as T
 from ..functions.keys import arabic_key_udf, devanagari_key_udf, latin_key_udf, similarity_udf
 from ..functions.numbers import round_exact
 from .common import cut_lineage, ordered_list, sized_broadcast, sql_lines, sql_words, table
-from .linejoin import similar_keys
+from .linejoin import held_keys, keys_like, similar_keys
 
 # The length of a leak, the thresholds of coverage and the cap of approximate scores.
 LEAK_WORDS = 8
@@ -150,7 +150,12 @@ def score_items(items: DataFrame, entries: DataFrame, least: float = 0.0) -> Dat
 
     sides = ("roman", "r", latin_key_udf), ("urdu", "u", arabic_key_udf), ("devanagari", "r", devanagari_key_udf)
     mine = cut_lineage(keyed(items, "item_id", [(f"{name}_{kind}", script, f"{name}_{kind}", make, kind == "text") for name, script, make in sides for kind in ("title", "text")]).distinct())
-    theirs = cut_lineage(keyed(entries, "entry_id", [("title", "r", "title", latin_key_udf, False), ("lines", "r", "roman_text", latin_key_udf, True), ("lines", "u", "urdu_text", arabic_key_udf, True)]))
+    held = held_keys(mine.select("script", F.col("k").alias("lk")), "lk", least)
+    if held is not None:  # one pass over the entries leaves the keys that can be like an item's
+        theirs = keys_like(entries, "entry_id", [("title", "r", "title", "latin_key", False), ("lines", "r", "roman_text", "latin_key", True), ("lines", "u", "urdu_text", "arabic_key", True)], held, least)
+    else:
+        theirs = keyed(entries, "entry_id", [("title", "r", "title", latin_key_udf, False), ("lines", "r", "roman_text", latin_key_udf, True), ("lines", "u", "urdu_text", arabic_key_udf, True)])
+    theirs = cut_lineage(theirs)
     alike = cut_lineage(similar_keys(mine.select("script", F.col("k").alias("lk")), theirs.select("script", F.col("k").alias("rk")), least))
     said = theirs.withColumnRenamed("k", "rk").withColumnRenamed("part", "theirs").join(sized_broadcast(alike, 200_000), ["script", "rk"]).distinct()
     met = said.join(mine.withColumnRenamed("k", "lk").withColumnRenamed("part", "mine"), ["script", "lk"])
@@ -383,23 +388,32 @@ def _views(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key), t.alias("roman_text"), other(_URDU).alias("urdu_text"), other(_NAGARI).alias("devanagari_text")).select("*", *[title(F.col(f"{s}_text")).alias(f"{s}_title") for s in ("roman", "urdu", "devanagari")])
 
 
-def _signal_matches(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
-    items = _views(table(spark, d, "benchmark"), "item_id")
-    entries = _views(table(spark, d, "documents").withColumnRenamed("doc_id", "entry_id"), "entry_id").withColumnRenamed("roman_title", "title")
-    return items, entries, top_matches(score_items(items, entries, least=0.9), "item_id", "entry_id", 3)
+def _item_views(bench: DataFrame) -> DataFrame:
+    return _views(bench, "item_id")
+
+
+def _entry_views(docs: DataFrame) -> DataFrame:
+    return _views(docs.withColumnRenamed("doc_id", "entry_id"), "entry_id").withColumnRenamed("roman_title", "title")
+
+
+def _signal_matches(spark, d) -> DataFrame:
+    items, entries = _item_views(table(spark, d, "benchmark")), _entry_views(table(spark, d, "documents"))
+    return top_matches(score_items(items, entries, least=0.9), "item_id", "entry_id", 3)
 
 
 def join01_signals(spark, d):
     """Benchmark items against all documents by seven signals over three scripts, from a similarity of 0.9 on; top 3."""
-    _, _, best = _signal_matches(spark, d)
+    best = _signal_matches(spark, d)
     signals = F.array_join(F.array_sort(F.transform(F.map_entries("signals"), lambda e: F.concat_ws("=", e["key"], F.format_number(e["value"], 4)))), ",")
     return best.select("item_id", F.col("entry_id").alias("doc_id"), "score", F.col("rank").cast("long").alias("rank"), signals.alias("signals"), "exact_roman", "exact_urdu")
 
 
 def join07_channels(spark, d):
     """Evidence of each match in each channel: coverage of both sides, exact lines, and the item's proposed status."""
-    items, entries, best = _signal_matches(spark, d)
-    matches = cut_lineage(best.select("item_id", "entry_id", "rank"))
+    matches = cut_lineage(_signal_matches(spark, d).select("item_id", "entry_id", "rank"))
+    # A semi join isn't pushed below the views, which cost more than the rest of the evidence: the matches' rows go first.
+    of = lambda name, key, match: table(spark, d, name).join(sized_broadcast(matches.select(F.col(match).alias(key)).distinct()), key, "left_semi")
+    items, entries = _item_views(of("benchmark", "item_id", "item_id")), _entry_views(of("documents", "doc_id", "entry_id"))
     evidence = cut_lineage(line_evidence(matches, items, entries)[0])
     status = proposals(matches, items, evidence).select("item_id", "status", F.col("entry_id").alias("chosen"))
     return evidence.join(status, "item_id").withColumnRenamed("entry_id", "doc_id")
