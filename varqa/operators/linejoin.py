@@ -31,7 +31,7 @@ COMMON = 40
 #: Keys and characters of a side up to which it is held in every task; cells of a block of counts.
 HELD, HELD_CHARS, CELLS = 4_000, 1_000_000, 4_000_000
 #: Rows for each held key up to which a side's different keys are counted; hashes of grams; lengths of a band, as a power of this.
-REPEATED, SLOTS, BAND = 50, 1 << 20, 1.1
+REPEATED, SLOTS, BAND = 10, 1 << 20, 1.1
 #: Characters of texts that are keyed at once; pairs whose characters are compared at once, in so many buckets.
 CHARS, PAIRS, BUCKETS = 1_000_000, 50_000, 64
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -267,10 +267,10 @@ class _Held:
 def _held_keys(df: DataFrame, key: str) -> dict[str, list[str]] | None:
     """script -> its different keys, if the side has few, else None; sides of very many rows aren't looked through for them."""
     df = df.select("script", key).where(f"{key} <> ''")
-    if df.limit(REPEATED * HELD + 1).count() > REPEATED * HELD:
+    if len(df.select(F.lit(1)).take(REPEATED * HELD + 1)) > REPEATED * HELD:
         return None
     df = df.distinct()
-    if df.limit(HELD + 1).count() > HELD:
+    if len(df.select(F.lit(1)).take(HELD + 1)) > HELD:
         return None
     found: dict[str, list[str]] = {}
     for r in df.orderBy("script", key).toLocalIterator():
