@@ -29,11 +29,11 @@ COUNTED, GROWTH = 50_000, 0.1
 #: Common grams asked of a pair: for each one more than one, a gram more of both keys is looked at.
 COMMON = 40
 #: Keys and characters of a side up to which it is held in every task; cells of a block of counts.
-HELD, HELD_CHARS, CELLS = 4_000, 1_000_000, 4_000_000
+HELD, HELD_CHARS, CELLS = 4_000, 1_000_000, 1_000_000
 #: Rows for each held key up to which a side's different keys are counted; hashes of grams; lengths of a band, as a power of this.
 REPEATED, SLOTS, BAND = 10, 1 << 20, 1.1
 #: Characters of texts that are keyed at once; pairs whose characters are compared at once, in so many buckets.
-CHARS, PAIRS, BUCKETS = 1_000_000, 50_000, 64
+CHARS, PAIRS, BUCKETS = 300_000, 10_000, 64
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
